@@ -7,7 +7,8 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+import zstandard
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Rows a Python worker receives at once. Texts may be long, so a batch stays small.
@@ -49,6 +50,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def map_batches(df: DataFrame, columns: list[str], schema: str, start: Callable[[], Callable]) -> DataFrame:
     """Run Python over small Arrow batches of ``columns``.
 
@@ -56,7 +61,7 @@ def map_batches(df: DataFrame, columns: list[str], schema: str, start: Callable[
     output arrays in the order of ``schema``; only the named columns travel.
     """
     spark = df.sparkSession
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    small_batches(spark)
     fields = spark.createDataFrame([], schema).schema
     from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -72,3 +77,42 @@ def map_batches(df: DataFrame, columns: list[str], schema: str, start: Callable[
                 )
 
     return df.select(*columns).mapInArrow(run, fields)
+
+
+def _repeated(docs: DataFrame) -> bool:
+    known = docs.where(F.col("doc_id").isNotNull())
+    return not known.groupBy("doc_id").count().where("count > 1").isEmpty()
+
+
+def one_per_id(docs: DataFrame) -> DataFrame:
+    """(doc_id, text) with each doc_id once: of rows that repeat one, the smallest text. Rows with a null doc_id all stay."""
+    docs = docs.select("doc_id", "text")
+    if not _repeated(docs):
+        return docs
+    known = docs.where(F.col("doc_id").isNotNull())
+    return known.groupBy("doc_id").agg(F.min("text").alias("text")).union(docs.where(F.col("doc_id").isNull()))
+
+
+def first_rows(docs: DataFrame) -> DataFrame:
+    """``docs`` with one row a doc_id, that of the smallest text, and all rows with a null doc_id."""
+    if not _repeated(docs):
+        return docs
+    known = docs.where(F.col("doc_id").isNotNull())
+    # A null text counts as larger than any, as it does in min().
+    order = Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_last())
+    return known.withColumn("_tidewater_n", F.row_number().over(order)).where("_tidewater_n = 1").drop("_tidewater_n").union(docs.where(F.col("doc_id").isNull()))
+
+
+def zipped(docs: DataFrame) -> DataFrame:
+    """(doc_id, z): texts compressed, to travel and to wait on disk at less than half the size."""
+
+    def start():
+        coder = zstandard.ZstdCompressor(level=3)
+        return lambda ids, texts: (ids, [None if t is None else coder.compress(t.encode("utf-8", "surrogatepass")) for t in texts])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return map_batches(docs, ["doc_id", "text"], f"doc_id {kind}, z binary", start)
+
+
+def unzip(z: bytes | None) -> bytes:
+    return b"" if z is None else zstandard.decompress(z)

@@ -47,6 +47,7 @@ def link_groups(
     buckets: DataFrame,
     likely: Callable[[str, str], Column],
     first: Callable[[str, str], Column],
+    fetch: Callable[[DataFrame], DataFrame],
     verify: Callable[[DataFrame], DataFrame],
 ) -> DataFrame:
     """(node, comp) of all nodes that some link touches.
@@ -54,10 +55,18 @@ def link_groups(
     nodes: (id, further columns); buckets: (id, key, further columns). ``likely(l, r)`` is a cheap condition on the
     further columns of two nodes, given their column prefixes; it must hold for every link.
     ``first(l, r)`` holds in just one of the buckets two nodes share, given also ``l_key``; it
-    keeps a pair from being made once per bucket. ``verify`` keeps the true links of pairs (a, b).
+    keeps a pair from being made once per bucket. ``fetch`` gives (id, payload) for the ids (id) that
+    can be compared at all; ``verify`` keeps the true links (a, b) of pairs (a, b, x, y), x and y
+    being the payloads.
     """
     sized = buckets.join(buckets.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "key")
     shared = cut(sized)
+    payload = cut(fetch(shared.select("id").distinct()))
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        pairs = pairs.join(payload.select(F.col("id").alias("a"), F.col("payload").alias("x")), "a")
+        return cut(verify(pairs.join(payload.select(F.col("id").alias("b"), F.col("payload").alias("y")), "b")))
+
     weight = shared.groupBy("id").agg(F.sum("n").alias("w"))
     weighted = shared.join(weight, "id")
     # The heaviest member, and of those the smallest id.
@@ -66,7 +75,7 @@ def link_groups(
     right = nodes.select(*(F.col(c).alias(f"r_{c}") for c in nodes.columns))
     star = shared.join(centre, "key").where("id <> centre").select("id", "centre").distinct()
     star = star.join(left, star["id"] == F.col("l_id")).join(right, star["centre"] == F.col("r_id")).where(likely("l_", "r_"))
-    links = cut(verify(star.select(F.col("l_id").alias("a"), F.col("r_id").alias("b"))))
+    links = verified(star.select(F.col("l_id").alias("a"), F.col("r_id").alias("b")))
     comps = cut(connected_components(links))
 
     grouped = shared.drop("n").join(comps.withColumnRenamed("node", "id"), "id", "left")
@@ -83,7 +92,7 @@ def link_groups(
         & first("l_", "r_")
         & likely("l_", "r_"),
     )
-    more = cut(verify(pairs.select(F.col("l_id").alias("a"), F.col("r_id").alias("b"))))
+    more = verified(pairs.select(F.col("l_id").alias("a"), F.col("r_id").alias("b")))
     # The groups found so far stand for their members.
     seen = comps.select(F.col("node").alias("a"), F.col("comp").alias("b"))
     return connected_components(seen.union(more))

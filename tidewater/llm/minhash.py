@@ -19,7 +19,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import cut, map_batches
+from tidewater.llm.common import cut, first_rows, map_batches, one_per_id, unzip, zipped
 from tidewater.llm.grouping import link_groups
 from tidewater.llm.words import mix, shingles, signed, word_hashes
 
@@ -108,16 +108,14 @@ def sketches(docs: DataFrame) -> DataFrame:
     return map_batches(docs, ["doc_id", "text"], f"doc_id {kind}, n_shingles bigint, f1 bigint, f2 bigint, bands array<bigint>, sig array<bigint>", start)
 
 
-def _sets(docs: DataFrame) -> DataFrame:
-    def start():
-        def step(ids, texts):
-            sets = [shingle_set(t) for t in texts]
-            return ids, [signed(s) for s in sets], *zip(*map(_sums, sets), strict=True)
+def _sets(texts: DataFrame) -> DataFrame:
+    """(id, payload): full shingle sets of compressed texts."""
 
-        return step
+    def start():
+        return lambda ids, zs: (ids, [signed(shingle_set(unzip(z).decode("utf-8", "surrogatepass"))) for z in zs])
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return map_batches(docs, ["doc_id", "text"], f"id {kind}, items array<bigint>, f1 bigint, f2 bigint", start)
+    kind = texts.schema["doc_id"].dataType.simpleString()
+    return map_batches(texts, ["doc_id", "z"], f"id {kind}, payload array<bigint>", start)
 
 
 def _estimate(left: str, right: str) -> Column:
@@ -145,13 +143,10 @@ def groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     without words (null, empty, blank) are linked with nothing. A row with a null doc_id is linked
     with nothing, has a null component and is kept. Rows that repeat a doc_id count once, with their smallest text.
     """
-    docs = docs.select("doc_id", "text")
-    known = docs.where(F.col("doc_id").isNotNull())
-    found = cut(sketches(known))
-    once = found.groupBy("doc_id").agg(F.min(F.struct("n_shingles", "f1", "f2", "bands", "sig")).alias("s"), F.count("*").alias("n_rows"))
-    one = once.select("doc_id", "s.*", "n_rows")
+    docs = one_per_id(docs)
+    one = cut(sketches(docs))
     # Equal sets collapse to their smallest doc_id before anything is compared.
-    filled = one.where("n_shingles > 0")
+    filled = one.where("n_shingles > 0 AND doc_id IS NOT NULL")
     same = filled.groupBy("n_shingles", "f1", "f2").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"), F.first("sig").alias("sig"))
     same = cut(same)
     buckets = same.select(F.col("rep").alias("id"), F.posexplode("bands").alias("band", "hash")).select("id", F.xxhash64("band", "hash").alias("key"), "band")
@@ -173,39 +168,25 @@ def groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         lowest = F.coalesce(*(F.when(c, F.lit(k)) for k, c in enumerate(shared)))
         return lowest == F.col(f"{a}band")
 
-    members: list[DataFrame] = []
+    def fetch(ids):
+        return _sets(zipped(docs).join(ids.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi"))
 
     def verify(pairs):
-        if not members:
-            # Full sets of all that can be compared: whatever shares a bucket.
-            multi = buckets.join(buckets.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "key", "left_semi")
-            ids = multi.select(F.col("id").alias("doc_id")).distinct()
-            sets = _sets(known.join(ids, "doc_id", "left_semi"))
-            if not one.where("n_rows > 1").isEmpty():
-                chosen = same.select(F.col("rep").alias("id"), "f1", "f2")
-                sets = sets.join(chosen, ["id", "f1", "f2"], "left_semi").dropDuplicates(["id", "f1", "f2"])
-            members.append(cut(sets.select("id", "items")))
-        sets = members[0]
-        pairs = pairs.join(sets.select(F.col("id").alias("a"), F.col("items").alias("x")), "a")
-        pairs = pairs.join(sets.select(F.col("id").alias("b"), F.col("items").alias("y")), "b")
         shared = F.size(F.array_intersect("x", "y"))
         return pairs.where(shared * 100 >= (F.size("x") + F.size("y") - shared) * percent).select("a", "b")
 
-    comps = link_groups(nodes, buckets, likely, first, verify)
+    comps = link_groups(nodes, buckets, likely, first, fetch, verify)
     reps = filled.join(same.select("n_shingles", "f1", "f2", "rep"), ["n_shingles", "f1", "f2"]).select("doc_id", "rep")
     placed = reps.join(comps, reps["rep"] == comps["node"], "left").select(F.col("doc_id"), F.coalesce("comp", "rep").alias("component_id"))
     out = one.select("doc_id", "n_shingles").join(placed, "doc_id", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
-    out = out.withColumn("kept", F.col("doc_id") == F.col("component_id"))
-    nameless = sketches(docs.where(F.col("doc_id").isNull())).select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(True).alias("kept"))
-    return out.select("doc_id", "n_shingles", "component_id", "kept").union(nameless)
+    return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
 def deduplicate(docs: DataFrame, percent: int = 80) -> DataFrame:
     """``docs`` with one document of each near-duplicate group, all columns as they were.
 
-    Rows with a null doc_id stay; of rows that repeat a kept doc_id with the same text one stays.
+    Rows with a null doc_id stay. Of rows that repeat a kept doc_id the one with the smallest text
+    stays.
     """
     gone = groups(docs, percent).where(~F.col("kept")).select("doc_id")
-    named = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
-    known = named.where(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"])
-    return known.union(named.where(F.col("doc_id").isNull()))
+    return first_rows(docs).join(gone, "doc_id", "left_anti").select(*docs.columns)

@@ -10,13 +10,15 @@ evidence into the probability of label 1.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import map_batches
+from tidewater.llm.common import small_batches
 
 BLOCK = 1024
 LEVEL = 1
@@ -105,22 +107,21 @@ def fit(docs: DataFrame, labels: DataFrame) -> dict:
     return {"good": good, "bad": bad, "slope": slope, "intercept": intercept}
 
 
-def score(docs: DataFrame, model: dict) -> DataFrame:
-    """(doc_id, score) of every whole text, one row a row of ``docs``; null and empty texts get the curve's middle."""
-
+def scorer(spark: SparkSession, model: dict) -> Callable[[Column], Column]:
+    """A function from a text column to the score of each whole text; null and empty texts get the curve's middle."""
+    small_batches(spark)
     slope, intercept = model["slope"], model["intercept"]
 
-    def start():
+    @F.pandas_udf("double")
+    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         good, bad = (_compressor(model[k]) if slope else None for k in ("good", "bad"))
+        for texts in batches:
+            raw = [t.encode("utf-8", "surrogatepass") if isinstance(t, str) else b"" for t in texts]
+            z = [slope and slope * _evidence(t, good, bad) for t in raw]
+            yield pd.Series([1 / (1 + math.exp(-max(-700.0, min(700.0, v + intercept)))) for v in z], dtype=float)
 
-        def step(ids, texts):
-            z = [slope and slope * _evidence((t or "").encode("utf-8", "surrogatepass"), good, bad) for t in texts]
-            return ids, [1 / (1 + math.exp(-max(-700.0, min(700.0, v + intercept)))) for v in z]
-
-        return step
-
-    return map_batches(docs, ["doc_id", "text"], f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, score double", start)
+    return score
 
 
-def predicted(value: str = "score"):
+def predicted(value: str = "score") -> Column:
     return F.when(F.col(value) >= THRESHOLD, 1).otherwise(0).cast("int")

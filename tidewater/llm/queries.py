@@ -5,14 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import langid, minhash, quality
+from tidewater.llm import decontam, langid, licenses, lines, minhash, mixing, neighbours, quality, secrets, substrings
 from tidewater.llm.common import fold, table
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     learn = table(spark, sf_dir, "labels").where(fold("doc_id", 5) != 0)
-    scored = quality.score(docs, quality.fit(docs, learn))
+    score = quality.scorer(spark, quality.fit(docs, learn))
+    scored = docs.select("doc_id", score("text").alias("score"))
     return scored.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", quality.predicted().alias("predicted"))
 
 
@@ -27,5 +28,50 @@ def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.groups(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op1_quality": op1_quality, "op7_language": op7_language, "op9_minhash": op9_minhash}
+def op2_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = lines.deduplicate(table(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("text_sha256"))
+
+
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+def op5_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = substrings.deduplicate(table(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
+
+
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_quality,
+        op2_lines,
+        op3_decontamination,
+        op4_licenses,
+        op5_substrings,
+        op6_mixing,
+        op7_language,
+        op8_neighbours,
+        op9_minhash,
+        op10_secrets,
+    )
+}
 ORACLE_SQL: dict[str, str] = {}
