@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidewater.llm import decontam, langid, licenses, lines, minhash, mixing, neighbours, quality, secrets, substrings
 from tidewater.llm.common import fold, table
+from tidewater.llm.sql import ORACLE_SQL  # noqa: F401
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,4 +75,3 @@ QUERIES = {
         op10_secrets,
     )
 }
-ORACLE_SQL: dict[str, str] = {}

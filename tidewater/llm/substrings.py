@@ -108,35 +108,46 @@ def repeated_starts(text: np.ndarray, window: int = WINDOW) -> np.ndarray:
 
 
 def segments(docs: DataFrame) -> DataFrame:
-    """(doc_id, key, start, n): n windows from word ``start`` on whose smallest gram hash is ``key``."""
+    """(doc_id, key, start, n, grams): n windows from word ``start`` on whose smallest gram hash is ``key``; grams is 2 if they hold that gram twice."""
 
     def start():
         def one(text):
             words = word_hashes(text)
             if len(words) < WINDOW:
                 return None
-            least = shingles(words, GRAM)
+            grams = least = shingles(words, GRAM)
             reach, width = 1, WINDOW - GRAM + 1
             while reach < width:
                 step = min(reach, width - reach)
                 least = np.minimum(least[:-step], least[step:])
                 reach += step
-            change = np.flatnonzero(np.diff(least)) + 1
-            starts = np.unique(np.concatenate(([0], change, np.arange(0, len(least), RUN)))) if len(least) > RUN else np.concatenate(([0], change))
-            return signed(least[starts]), starts, np.diff(np.append(starts, len(least)))
+            starts = np.concatenate(([0], np.flatnonzero(np.diff(least)) + 1))
+            if len(least) > RUN:
+                starts = np.union1d(starts, np.arange(0, len(least), RUN))
+            keys, n = least[starts], np.diff(np.append(starts, len(least)))
+            # A segment that holds its key's gram twice may repeat a window by itself.
+            order = np.argsort(grams, kind="stable")
+            pair = np.flatnonzero(grams[order[1:]] == grams[order[:-1]])
+            times = np.ones(len(starts), np.int32)
+            if len(pair):
+                one, two = order[pair], order[pair + 1]
+                owner = np.searchsorted(starts, np.minimum(one, len(least) - 1), "right") - 1
+                inside = (keys[owner] == grams[one]) & (two < starts[owner] + n[owner] + width - 1)
+                times[owner[inside]] = 2
+            return signed(keys), starts, n, times
 
         def step(ids, texts):
             found = [(i, *r) for i, t in zip(ids, texts, strict=True) if i is not None and (r := one(t))]
             if not found:
-                return [[], [], [], []]
+                return [[] for _ in range(5)]
             names = pa.array([f[0] for f in found])
             names = names.take(pa.array(np.repeat(np.arange(len(found)), [len(f[1]) for f in found])))
-            return names, *(np.concatenate([f[k] for f in found]) for k in (1, 2, 3))
+            return names, *(np.concatenate([f[k] for f in found]) for k in (1, 2, 3, 4))
 
         return step
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return map_batches(docs, ["doc_id", "text"], f"doc_id {kind}, key bigint, start int, n int", start)
+    return map_batches(docs, ["doc_id", "text"], f"doc_id {kind}, key bigint, start int, n int, grams int", start)
 
 
 def _texts_of(joined: DataFrame) -> DataFrame:
@@ -234,12 +245,13 @@ def _repeats(rows: DataFrame) -> DataFrame:
 
 def repeats(docs: DataFrame, hot: int = HOT) -> tuple[DataFrame, DataFrame]:
     """Compressed texts by document, and (doc_id, cuts): each document's repeated word intervals."""
-    texts = zipped(docs).repartition("doc_id")
-    runs = segments(docs).repartition("key")
+    # Both are filtered as the joins would filter them, so that each is shuffled once and read twice.
+    texts = zipped(docs).where(F.col("doc_id").isNotNull()).repartition("doc_id")
+    runs = segments(docs).where(F.col("key").isNotNull() & F.col("doc_id").isNotNull()).repartition("key")
     # All columns are counted, so that Spark reads one shuffle for both sides of the join.
-    counts = runs.groupBy("key").agg(F.count("*").alias("times"), F.max("doc_id").alias("_d"), F.max("start").alias("_s"), F.max("n").alias("_n"))
+    counts = runs.groupBy("key").agg(F.sum("grams").alias("times"), F.max("doc_id").alias("_d"), F.max("start").alias("_s"), F.max("n").alias("_n"))
     wanted = runs.join(counts.where("times > 1").select("key", "times"), "key")
-    by_doc = wanted.groupBy("doc_id").agg(F.collect_list(F.struct("key", "start", "n", (F.col("times") > hot).alias("hot"))).alias("runs"))
+    by_doc = wanted.groupBy("doc_id").agg(F.collect_list(F.struct("key", "start", "n", "grams", (F.col("times") > hot).alias("hot"))).alias("runs"))
     rows = _texts_of(by_doc.join(texts, "doc_id")).repartition("part", "salt").sortWithinPartitions("part", "salt", "doc_id", "start")
     found = _repeats(rows)
     # Of hot windows, which come in salted pieces, the first piece's first row stays.
@@ -270,6 +282,7 @@ def deduplicate(docs: DataFrame, hot: int = HOT) -> DataFrame:
     """
     docs = one_per_id(docs)
     texts, cuts = repeats(docs, hot)
+    nameless = zipped(docs.where(F.col("doc_id").isNull())).withColumn("cuts", F.lit(None).cast(cuts.schema["cuts"].dataType))
 
     def start():
         def step(ids, zs, cuts):
@@ -285,4 +298,4 @@ def deduplicate(docs: DataFrame, hot: int = HOT) -> DataFrame:
         return step
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return map_batches(texts.join(cuts, "doc_id", "left"), ["doc_id", "z", "cuts"], f"doc_id {kind}, n_words bigint, n_removed bigint, kept string", start)
+    return map_batches(texts.join(cuts, "doc_id", "left").union(nameless), ["doc_id", "z", "cuts"], f"doc_id {kind}, n_words bigint, n_removed bigint, kept string", start)
