@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from tidewater.plans import features, operations
+
+QUERIES = features.QUERIES | operations.QUERIES
+ORACLE_SQL = features.ORACLE_SQL | operations.ORACLE_SQL
