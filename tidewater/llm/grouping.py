@@ -61,7 +61,9 @@ def link_groups(
     """
     sized = buckets.join(buckets.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "key")
     shared = cut(sized)
-    payload = cut(fetch(shared.select("id").distinct()))
+    ids = cut(shared.select("id").distinct())
+    nodes = cut(nodes.join(ids, "id", "left_semi"))
+    payload = cut(fetch(ids))
 
     def verified(pairs: DataFrame) -> DataFrame:
         pairs = pairs.join(payload.select(F.col("id").alias("a"), F.col("payload").alias("x")), "a")

@@ -147,14 +147,14 @@ def groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     one = cut(sketches(docs))
     # Equal sets collapse to their smallest doc_id before anything is compared.
     filled = one.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    same = filled.groupBy("n_shingles", "f1", "f2").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"), F.first("sig").alias("sig"))
-    same = cut(same)
-    buckets = same.select(F.col("rep").alias("id"), F.posexplode("bands").alias("band", "hash")).select("id", F.xxhash64("band", "hash").alias("key"), "band")
-    nodes = same.select(
-        F.col("rep").alias("id"),
+    same = cut(filled.groupBy("n_shingles", "f1", "f2").agg(F.min("doc_id").alias("rep")))
+    shown = filled.select("doc_id", "bands").join(same.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
+    buckets = shown.select(F.col("doc_id").alias("id"), F.posexplode("bands").alias("band", "hash")).select("id", F.xxhash64("band", "hash").alias("key"), "band")
+    nodes = filled.select(
+        F.col("doc_id").alias("id"),
         F.col("n_shingles").alias("size"),
         *(F.col("sig")[k].alias(f"s{k}") for k in range(_LANES)),
-        F.col("bands").alias("bands"),
+        "bands",
     )
     most = _cutoff(percent)
 
@@ -176,7 +176,7 @@ def groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         return pairs.where(shared * 100 >= (F.size("x") + F.size("y") - shared) * percent).select("a", "b")
 
     comps = link_groups(nodes, buckets, likely, first, fetch, verify)
-    reps = filled.join(same.select("n_shingles", "f1", "f2", "rep"), ["n_shingles", "f1", "f2"]).select("doc_id", "rep")
+    reps = filled.join(same, ["n_shingles", "f1", "f2"]).select("doc_id", "rep")
     placed = reps.join(comps, reps["rep"] == comps["node"], "left").select(F.col("doc_id"), F.coalesce("comp", "rep").alias("component_id"))
     out = one.select("doc_id", "n_shingles").join(placed, "doc_id", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
