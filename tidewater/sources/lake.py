@@ -7,18 +7,17 @@ from functools import reduce
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidewater.functions.scalars import derived_user_id, hash_shard
 
 FEATURES = [f"f{i}" for i in range(83)]
 
 #: The columns of the event lake.
-EVENT_SCHEMA = T.StructType.fromDDL(
+EVENT_SCHEMA = (
     "event_id string, user_id string, event_type string, event_ts double, session_id string, platform string, item_id string,"
     " category_id string, price double, quantity int, schema_version int, ingested_at double, kafka_partition int, kafka_offset long"
 )
-CSV_SCHEMA = T.StructType.fromDDL("data_id string, label int, is_treat int, " + ", ".join(f"{f} double" for f in FEATURES))
+CSV_SCHEMA = "data_id string, label int, is_treat int, " + ", ".join(f"{f} double" for f in FEATURES)
 
 
 def read_csv_split(spark: SparkSession, path: str, split: str, dt: str, row_limit: int | None = None) -> DataFrame:
@@ -52,9 +51,8 @@ def load_splits(spark: SparkSession, paths: dict[str, str], dt: str, row_limit:
     return reduce(DataFrame.unionByName, found)
 
 
-def read_or_empty(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Parquet under ``path`` as ``schema``, or no rows of it where nothing is there."""
-    schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     try:
         return spark.read.schema(schema).parquet(path)
     except AnalysisException as error:
