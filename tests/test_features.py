@@ -73,12 +73,12 @@ def test_point_in_time_sees_only_what_was_known(spark):
     bound = spark.createDataFrame([("a", ts("2024-01-10 12:00:00")), ("b", ts("2024-01-10 12:00:00"))], "target_id string, reference_ts timestamp")
     at = lambda t, kind, seen=None: ("a", kind, ts(t), ts(seen or t))
     events = spark.createDataFrame(
-        [at("2024-01-09 23:59:59", "EVT_F5"), at("2024-01-10 12:00:00", "EVT_F5"), at("2024-01-01 00:00:00", "EVT_F18"), at("2024-01-02 00:00:00", "EVT_F5", "2024-01-11 00:00:00"), at("2022-01-01 00:00:00", "EVT_F5")],
+        [at("2024-01-09 23:59:59", "EVT_F5"), at("2024-01-10 12:00:00", "EVT_F5"), at("2024-01-01 00:00:00", "EVT_F18"), at("2024-01-03 00:00:00", "EVT_ORDER_PAID"), at("2024-01-09 01:00:00", "EVT_ORDER_PAID"), at("2024-01-02 00:00:00", "EVT_F5", "2024-01-11 00:00:00"), at("2022-01-01 00:00:00", "EVT_F5")],
         "target_id string, event_type string, event_ts timestamp, observation_ts timestamp",
     )
     got = pit.pit_features(bound, events).select("target_id", "f1", "f2", "n5", "n18", "f5", "f18")
-    # The event at the reference time and the one observed later don't count; f1 reaches beyond the counters' year.
-    assert rows(got) == [("a", 739.0, 1.0, 1, 1, 0.0, 0.0), ("b", None, None, 0, 0, None, None)]
+    # The event at the reference time and the one observed later don't count, nor what is older than a year.
+    assert rows(got) == [("a", 7.0, 1.0, 1, 1, 0.0, 0.0), ("b", None, None, 0, 0, None, None)]
 
 
 def test_realtime_window_is_aligned_to_buckets(spark):

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from tidewater.functions.scalars import bucket_start, epoch_seconds, seconds_between, window_cutoff
 
 COUNTER_WINDOW_DAYS = 365
+#: Fixed value: the event type that recency looks at.
+RECENCY_EVENT = "EVT_ORDER_PAID"
 
 
 def visible(boundary: DataFrame, events: DataFrame) -> DataFrame:
@@ -21,8 +23,9 @@ def visible(boundary: DataFrame, events: DataFrame) -> DataFrame:
 
 
 def recency(seen: DataFrame, zero_fill: bool = False) -> DataFrame:
-    """Calendar days from the first and the last visible event to the reference time."""
-    out = seen.groupBy("target_id", "reference_ts").agg(F.min("event_ts").alias("first_ts"), F.max("event_ts").alias("last_ts"))
+    """Calendar days from the first and the last visible order to the reference time."""
+    order = F.when(F.col("event_type") == RECENCY_EVENT, F.col("event_ts"))
+    out = seen.groupBy("target_id", "reference_ts").agg(F.min(order).alias("first_ts"), F.max(order).alias("last_ts"))
     days = {"f1": F.datediff("reference_ts", "first_ts").cast("double"), "f2": F.datediff("reference_ts", "last_ts").cast("double")}
     names = {"f1": "days_since_first_signal", "f2": "days_since_last_signal"}
     filled = {names[k]: F.coalesce(v, F.lit(0.0)) for k, v in days.items()}

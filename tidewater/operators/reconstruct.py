@@ -70,7 +70,7 @@ def plan(decoded: DataFrame, seed: int, track: str = TRACK) -> DataFrame:
     Days: the forced ones and, of the others, those whose keyed digests come first. Every day gets
     an event; the rest fill days up to the capacity in order, and any excess goes to the first day.
     Counters, then free events, are poured into the days' room: slot sizes are the overlaps of the
-    running sums of both.
+    running sums of both, which have a closed form.
     """
     rows = bound(decoded)
     pool = F.filter(F.sequence(F.lit(0), F.lit(WINDOW_DAYS - 1)), lambda d: ~F.array_contains("forced", d))
@@ -78,41 +78,26 @@ def plan(decoded: DataFrame, seed: int, track: str = TRACK) -> DataFrame:
     need = (F.col("n_days") - F.col("n_forced")).cast("int")
     picked = F.transform(F.slice(F.array_sort(keyed), 1, need), lambda s: s["d"])
     rows = rows.withColumn("days", F.array_sort(F.concat("forced", picked)))
-    rest = F.col("n_inside") - F.col("n_days")
-    step = F.lit(CAPACITY - 1).cast("long")
     zero = F.lit(0).cast("long")
+    rest = F.greatest(zero, F.col("n_inside") - F.col("n_days"))
+    most = F.lit(CAPACITY - 1)
+    over = F.greatest(zero, rest - most * F.col("n_days"))
+    counts = [F.coalesce(F.col(f"n{c[1:]}"), zero) for c in COUNTERS] + [F.col("free_min")]
+
+    def poured(day: Column, i: Column) -> Column:
+        # Room before this day, and in it: one event a day, the rest in order, the excess first; forced days hold one already.
+        low = i + F.least(rest, most * i) + F.when(i > 0, over).otherwise(zero) - F.size(F.filter("forced", lambda f: f < day))
+        here = 1 + F.greatest(zero, F.least(most.cast("long"), rest - most * i)) + F.when(i == 0, over).otherwise(zero) - F.array_contains("forced", day).cast("long")
+        parts, begin = [], zero
+        for reason, n in zip((*COUNTERS, FREE), counts, strict=True):
+            share = F.least(begin + n, low + here) - F.greatest(begin, low)
+            parts.append(F.struct(F.lit(reason).alias("reason"), day.alias("day"), F.greatest(zero, share).alias("n")))
+            begin = begin + n
+        return F.array(*parts)
 
-    def budget(i: Column) -> Column:
-        fill = F.greatest(zero, F.least(step, rest - step * i))
-        over = F.when(i == 0, F.greatest(zero, rest - step * F.col("n_days"))).otherwise(zero)
-        return 1 + fill + over
-
-    room = F.transform("days", lambda d, i: budget(i) - F.array_contains("forced", d).cast("long"))
-    rows = rows.withColumn("room", room)
-    wanted = F.array(
-        *(F.struct(F.lit(c).alias("reason"), F.coalesce(F.col(f"n{c[1:]}"), zero).alias("n")) for c in COUNTERS),
-        F.struct(F.lit(FREE).alias("reason"), F.col("free_min").alias("n")),
-    )
-    rows = rows.withColumn("wanted", wanted)
-
-    def before(values: Column, i: Column) -> Column:
-        return F.aggregate(F.slice(values, 1, i), zero, lambda s, x: s + x)
-
-    counts = F.transform("wanted", lambda w: w["n"])
-    rows = rows.withColumn("starts", F.transform("room", lambda r, i: before(F.col("room"), i)))
-    rows = rows.withColumn("wants", F.transform("wanted", lambda w, i: F.struct(w["reason"].alias("reason"), before(counts, i).alias("low"), (before(counts, i) + w["n"]).alias("high"))))
-
-    def overlap(w: Column) -> Column:
-        def one(d: Column, i: Column) -> Column:
-            low = F.element_at("starts", i + 1)
-            n = F.least(w["high"], low + F.element_at("room", i + 1)) - F.greatest(w["low"], low)
-            return F.struct(w["reason"].alias("reason"), d.alias("day"), F.greatest(zero, n).alias("n"))
-
-        return F.transform("days", one)
-
-    poured = F.filter(F.flatten(F.transform("wants", overlap)), lambda s: s["n"] > 0)
     fixed = F.transform(F.array_distinct(F.array("d1", "d2")), lambda d: F.struct(F.lit(RECENCY).alias("reason"), d.alias("day"), F.lit(1).cast("long").alias("n")))
-    return rows.withColumn("slots", F.concat(fixed, poured)).drop("room", "wanted", "starts", "wants")
+    slots = F.filter(F.flatten(F.transform("days", poured)), lambda s: s["n"] > 0)
+    return rows.withColumn("slots", F.concat(fixed, slots))
 
 
 def merged_slots(plans: DataFrame) -> DataFrame:

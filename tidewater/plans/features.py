@@ -67,8 +67,9 @@ def empty_source_scan(spark, sf):
 
 _SEEN = """WITH seen AS (SELECT b.target_id, b.reference_ts, w.event_type, w.event_ts FROM bnd b LEFT JOIN wit w
   ON w.target_id = b.target_id AND w.event_ts < b.reference_ts AND w.observation_ts <= b.reference_ts)"""
-_RECENCY = """SELECT target_id, reference_ts, min(event_ts) AS first_ts, max(event_ts) AS last_ts, CAST(date_diff('day', min(event_ts), reference_ts) AS DOUBLE) AS f1,
-  CAST(date_diff('day', max(event_ts), reference_ts) AS DOUBLE) AS f2 FROM seen GROUP BY target_id, reference_ts"""
+_PAID = "FILTER (WHERE event_type = 'EVT_ORDER_PAID')"
+_RECENCY = f"""SELECT target_id, reference_ts, min(event_ts) {_PAID} AS first_ts, max(event_ts) {_PAID} AS last_ts, CAST(date_diff('day', min(event_ts) {_PAID}, reference_ts) AS DOUBLE) AS f1,
+  CAST(date_diff('day', max(event_ts) {_PAID}, reference_ts) AS DOUBLE) AS f2 FROM seen GROUP BY target_id, reference_ts"""
 _COUNTS = """SELECT target_id, count(*) FILTER (WHERE event_type = 'EVT_F5' AND event_ts >= reference_ts - INTERVAL 365 DAY) AS n5,
   count(*) FILTER (WHERE event_type = 'EVT_F18' AND event_ts >= reference_ts - INTERVAL 365 DAY) AS n18 FROM seen GROUP BY target_id, reference_ts"""
 
