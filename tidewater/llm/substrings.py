@@ -6,8 +6,9 @@ content: the smallest hash among a window's 5-word grams names the window's key,
 windows with one key form a segment, and only segments whose key occurs more than once are read
 again. Segments are dealt out by key, and each task turns its sorted stream into shards of bounded
 size. A shard is a compressed FM-index (a wavelet matrix over the Burrows-Wheeler transform with
-packed bits and block counts); backward search extends all positions' matches together, drops those
-that match only themselves, and what reaches 20 words is looked up for its earliest occurrence.
+packed bits and block counts); backward search starts from a table of 16-word intervals, extends all
+positions' matches together and drops those that match only themselves; what reaches 20 words is
+looked up for its earliest occurrence.
 
 A key with more than ``HOT`` segments is a passage too common for one shard. Its windows are dealt
 out one by one, by their own hash and a salt, and need no index: in order, all but the first of
@@ -24,11 +25,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import map_batches, one_per_id, unzip, zipped
+from tidewater.llm.common import map_batches, one_per_id, text_dictionary, zipped, zipper
 from tidewater.llm.words import shingles, signed, spans, word_hashes
 
 WINDOW = 20
 GRAM = 5
+#: Words of a match that a table gives; backward search goes on from there.
+SEED = 16
 #: Words of a shard. A shard ends with a key, so it holds at most HOT segments more.
 SHARD_WORDS = 1 << 16
 #: Windows of a segment.
@@ -41,7 +44,8 @@ class FMIndex:
     """Counts and locates word sequences of up to 32 symbols in a text of symbol ids; 0 ends a segment."""
 
     def __init__(self, text: np.ndarray):
-        self.order = self._order(text)
+        self.order, self.seeds = self._order(text)
+        self.seed_first = np.concatenate(([0], np.cumsum(np.bincount(self.seeds))))
         bwt = text[self.order - 1]
         self.symbols = int(text.max()) + 1
         self.first = np.concatenate(([0], np.cumsum(np.bincount(text, minlength=self.symbols))))
@@ -56,15 +60,21 @@ class FMIndex:
             bwt = np.concatenate((bwt[~ones], bwt[ones]))
 
     @staticmethod
-    def _order(text: np.ndarray) -> np.ndarray:
-        """Suffixes sorted by their first 32 symbols, in text order where those agree."""
-        rank, span = text.astype(np.int64), 1
+    def _order(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Suffixes sorted by their first 32 symbols, in text order where those agree; each position's rank by SEED symbols."""
+        rank, span, seeds = text.astype(np.int64), 1, None
         while span < 32:
             after = np.zeros_like(rank)
             after[:-span] = rank[span:] + 1
             rank = np.unique(rank * (int(rank.max()) + 2) + after, return_inverse=True)[1]
             span *= 2
-        return np.argsort(rank, kind="stable")
+            if span == SEED:
+                seeds = rank
+        return np.argsort(rank, kind="stable"), seeds
+
+    def seeded(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Suffix intervals of the SEED symbols at each position, from a table."""
+        return self.seed_first[self.seeds[at]], self.seed_first[self.seeds[at] + 1]
 
     def _rank(self, symbol: np.ndarray, at: np.ndarray) -> np.ndarray:
         """How many ``symbol`` the transform holds before ``at``."""
@@ -93,18 +103,22 @@ class FMIndex:
 def repeated_starts(text: np.ndarray, window: int = WINDOW) -> np.ndarray:
     """Positions where a window starts that occurs earlier in ``text``, whose zeros end segments."""
     index = FMIndex(text)
-    end = np.flatnonzero(text) + 1
-    low, high = np.zeros(len(end), np.int64), np.full(len(end), len(text), np.int64)
-    for step in range(1, window + 1):
-        symbol = text[end - step]
-        low, high = index.extend(low, high, symbol)
-        # Beyond the text's begin negative positions would wrap round to its end, which is a zero.
-        alive = (symbol > 0) & (high - low > 1)
-        end, low, high = end[alive], low[alive], high[alive]
-        if not len(end):
-            return end
-    start = end - window
-    return start[index.earliest(low, high) < start]
+    ends = np.concatenate(([0], np.cumsum(text == 0)))
+    start = np.arange(len(text) - SEED + 1)
+    start = start[ends[start + SEED] == ends[start]]
+    low, high = index.seeded(start)
+    for _ in range(window - SEED):
+        alive = high - low > 1
+        start, low, high = start[alive] - 1, low[alive], high[alive]
+        symbol = text[start]  # a zero stands before every segment, the first included
+        inside = symbol > 0
+        start, low, high = start[inside], low[inside], high[inside]
+        if not len(start):
+            return start
+        low, high = index.extend(low, high, symbol[inside])
+    alive = high - low > 1
+    start, low, high = start[alive], low[alive], high[alive]
+    return np.sort(start[index.earliest(low, high) < start]) if len(start) else start
 
 
 def segments(docs: DataFrame) -> DataFrame:
@@ -150,14 +164,16 @@ def segments(docs: DataFrame) -> DataFrame:
     return map_batches(docs, ["doc_id", "text"], f"doc_id {kind}, key bigint, start int, n int, grams int", start)
 
 
-def _texts_of(joined: DataFrame) -> DataFrame:
-    """(part, salt, doc_id, start, n, words): the text of wanted segments; of hot ones window by window."""
+def _texts_of(joined: DataFrame, dictionary: bytes) -> DataFrame:
+    """(part, salt, doc_id, start, n, words): the compressed text of wanted segments; of hot ones window by window."""
 
     def start():
+        pack, unpack = zipper(dictionary)
+
         def step(ids, zs, runs):
             out = [[] for _ in range(6)]
             for i, z, wanted in zip(ids, zs, runs, strict=True):
-                raw = unzip(z)
+                raw = unpack(z)
                 if any(r["hot"] for r in wanted):
                     keys = signed(shingles(word_hashes(raw.decode("utf-8", "surrogatepass")), WINDOW))
                 begins, ends = spans(raw)
@@ -165,7 +181,7 @@ def _texts_of(joined: DataFrame) -> DataFrame:
                     for at in range(r["start"], r["start"] + r["n"]) if r["hot"] else [r["start"]]:
                         n = 1 if r["hot"] else r["n"]
                         row = (int(keys[at]) if r["hot"] else r["key"], 1 + zlib.crc32(str(i).encode()) % SALTS if r["hot"] else 0, i, at, n)
-                        for column, v in zip(out, (*row, raw[begins[at] : ends[at + n + WINDOW - 2]]), strict=True):
+                        for column, v in zip(out, (*row, pack(raw[begins[at] : ends[at + n + WINDOW - 2]])), strict=True):
                             column.append(v)
             return out
 
@@ -175,12 +191,13 @@ def _texts_of(joined: DataFrame) -> DataFrame:
     return map_batches(joined, ["doc_id", "z", "runs"], f"part bigint, salt int, doc_id {kind}, start int, n int, words binary", start)
 
 
-def _repeats(rows: DataFrame) -> DataFrame:
+def _repeats(rows: DataFrame, dictionary: bytes) -> DataFrame:
     """(doc_id, begin, end, part) from segments sorted by part, salt, doc_id and start.
 
     Words from begin to before end go; where part isn't null, only if this isn't the part's first row.
     """
     kind = rows.schema["doc_id"].dataType.simpleString()
+    unpack = None
 
     def shard(held: list[tuple]) -> tuple[list, list, list]:
         """Intervals of one shard: repeats of whole segments, then of windows of unlike segments."""
@@ -192,11 +209,12 @@ def _repeats(rows: DataFrame) -> DataFrame:
                 ids.append(doc), begins.append(start), ends.append(start + n + WINDOW - 1)
             else:
                 seen.add((part, words))
-                kept.append((part, doc, start, words.split()))
+                kept.append((part, doc, start, words))
         # Of a key with a single segment only a periodic one can repeat a window.
         unlike: dict = {}
         for k in kept:
             unlike[k[0]] = unlike.get(k[0], 0) + 1
+        kept = [(*k[:3], unpack(k[3]).split()) for k in kept]
         kept = [k for k in kept if unlike[k[0]] > 1 or len(set(k[3])) <= len(k[3]) - WINDOW]
         if kept:
             kept.sort(key=lambda k: (k[1], k[2]))  # text positions then follow the corpus's order
@@ -208,14 +226,20 @@ def _repeats(rows: DataFrame) -> DataFrame:
             for at, k in zip(offsets, kept, strict=False):
                 text[at : at + len(k[3])] = [names.setdefault(w, len(names) + 1) for w in k[3]]
             found = repeated_starts(text)
+            # Windows that follow one another are one interval; a segment's end always parts them.
+            new = np.flatnonzero(np.diff(found, prepend=-2) > 1)
+            lengths = np.diff(np.append(new, len(found)))
+            found = found[new]
             owner = np.searchsorted(offsets, found, "right") - 1
-            begin = found - offsets[owner] + np.array([k[2] for k in kept])[owner]
+            begin = found - offsets[owner] + np.array([k[2] for k in kept], np.int64)[owner]
             ids += [kept[o][1] for o in owner]
             begins += begin.tolist()
-            ends += (begin + WINDOW).tolist()
+            ends += (begin + lengths - 1 + WINDOW).tolist()
         return ids, begins, ends
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        nonlocal unpack
+        unpack = zipper(dictionary)[1]
         held, size, last = [], 0, None
         for batch in batches:
             ids, begins, ends, parts = [], [], [], []
@@ -243,17 +267,17 @@ def _repeats(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, fields)
 
 
-def repeats(docs: DataFrame, hot: int = HOT) -> tuple[DataFrame, DataFrame]:
+def repeats(docs: DataFrame, dictionary: bytes, hot: int = HOT) -> tuple[DataFrame, DataFrame]:
     """Compressed texts by document, and (doc_id, cuts): each document's repeated word intervals."""
     # Both are filtered as the joins would filter them, so that each is shuffled once and read twice.
-    texts = zipped(docs).where(F.col("doc_id").isNotNull()).repartition("doc_id")
+    texts = zipped(docs, dictionary).where(F.col("doc_id").isNotNull()).repartition("doc_id")
     runs = segments(docs).where(F.col("key").isNotNull() & F.col("doc_id").isNotNull()).repartition("key")
     # All columns are counted, so that Spark reads one shuffle for both sides of the join.
     counts = runs.groupBy("key").agg(F.sum("grams").alias("times"), F.max("doc_id").alias("_d"), F.max("start").alias("_s"), F.max("n").alias("_n"))
     wanted = runs.join(counts.where("times > 1").select("key", "times"), "key")
     by_doc = wanted.groupBy("doc_id").agg(F.collect_list(F.struct("key", "start", "n", "grams", (F.col("times") > hot).alias("hot"))).alias("runs"))
-    rows = _texts_of(by_doc.join(texts, "doc_id")).repartition("part", "salt").sortWithinPartitions("part", "salt", "doc_id", "start")
-    found = _repeats(rows)
+    rows = _texts_of(by_doc.join(texts, "doc_id"), dictionary).repartition("part", "salt").sortWithinPartitions("part", "salt", "doc_id", "start")
+    found = _repeats(rows, dictionary)
     # Of hot windows, which come in salted pieces, the first piece's first row stays.
     alone = F.xxhash64("doc_id", "begin", "end")
     piece = Window.partitionBy(F.coalesce("part", alone), F.col("part").isNull())
@@ -281,14 +305,17 @@ def deduplicate(docs: DataFrame, hot: int = HOT) -> DataFrame:
     a null one pass unchanged.
     """
     docs = one_per_id(docs)
-    texts, cuts = repeats(docs, hot)
-    nameless = zipped(docs.where(F.col("doc_id").isNull())).withColumn("cuts", F.lit(None).cast(cuts.schema["cuts"].dataType))
+    dictionary = text_dictionary(docs)
+    texts, cuts = repeats(docs, dictionary, hot)
+    nameless = zipped(docs.where(F.col("doc_id").isNull()), dictionary).withColumn("cuts", F.lit(None).cast(cuts.schema["cuts"].dataType))
 
     def start():
+        unpack = zipper(dictionary)[1]
+
         def step(ids, zs, cuts):
             out = [[], [], [], []]
             for i, z, c in zip(ids, zs, cuts, strict=True):
-                words = unzip(z).split()
+                words = unpack(z).split()
                 gone = removed(len(words), c)
                 left = [w for w, g in zip(words, gone, strict=True) if not g] if c else words
                 for column, v in zip(out, (i, len(words), int(gone.sum()), b" ".join(left).decode("utf-8", "surrogatepass")), strict=True):
