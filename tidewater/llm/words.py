@@ -63,22 +63,24 @@ def spans(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
     return edge[::2], edge[1::2]
 
 
-def word_hashes(text: str | None, lower: bool = False) -> np.ndarray:
-    """The hash of each word, in order; none for a null text."""
-    if not text:
-        return np.empty(0, np.uint64)
-    raw = text.encode("utf-8", "surrogatepass")
-    if lower:
-        raw = raw.translate(LOWER)
-    out = []
-    for _, piece in _pieces(raw):
+def located_hashes(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Where each word of ``raw`` starts, and its hash, in order."""
+    where, out = [np.empty(0, np.int64)], [np.empty(0, np.uint64)]
+    for at, piece in _pieces(raw):
         starts, ends = spans(piece)
         if len(starts):
             power, inverse = _powers(len(piece) + 1)
             total = np.zeros(len(piece) + 1, np.uint64)
             np.cumsum(_BYTE[np.frombuffer(piece, np.uint8)] * power[: len(piece)], out=total[1:])
+            where.append(starts + at)
             out.append(mix((total[ends] - total[starts]) * inverse[starts]))
-    return np.concatenate(out) if out else np.empty(0, np.uint64)
+    return np.concatenate(where), np.concatenate(out)
+
+
+def word_hashes(text: str | None, lower: bool = False) -> np.ndarray:
+    """The hash of each word, in order; none for a null text."""
+    raw = (text or "").encode("utf-8", "surrogatepass")
+    return located_hashes(raw.translate(LOWER) if lower else raw)[1]
 
 
 def shingles(words: np.ndarray, n: int) -> np.ndarray:
