@@ -19,7 +19,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import cut, first_rows, map_batches, one_per_id, unzip, zipped
+from tidewater.llm.common import cut, first_rows, map_batches, one_per_id, text_dictionary, zipped, zipper
 from tidewater.llm.grouping import link_groups
 from tidewater.llm.words import mix, shingles, signed, word_hashes
 
@@ -108,11 +108,12 @@ def sketches(docs: DataFrame) -> DataFrame:
     return map_batches(docs, ["doc_id", "text"], f"doc_id {kind}, n_shingles bigint, f1 bigint, f2 bigint, bands array<bigint>, sig array<bigint>", start)
 
 
-def _sets(texts: DataFrame) -> DataFrame:
+def _sets(texts: DataFrame, dictionary: bytes) -> DataFrame:
     """(id, payload): full shingle sets of compressed texts."""
 
     def start():
-        return lambda ids, zs: (ids, [signed(shingle_set(unzip(z).decode("utf-8", "surrogatepass"))) for z in zs])
+        unpack = zipper(dictionary)[1]
+        return lambda ids, zs: (ids, [signed(shingle_set(unpack(z).decode("utf-8", "surrogatepass"))) for z in zs])
 
     kind = texts.schema["doc_id"].dataType.simpleString()
     return map_batches(texts, ["doc_id", "z"], f"id {kind}, payload array<bigint>", start)
@@ -169,7 +170,8 @@ def groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         return lowest == F.col(f"{a}band")
 
     def fetch(ids):
-        return _sets(zipped(docs).join(ids.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi"))
+        dictionary = text_dictionary(docs)
+        return _sets(zipped(docs, dictionary).join(ids.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi"), dictionary)
 
     def verify(pairs):
         shared = F.size(F.array_intersect("x", "y"))
