@@ -18,7 +18,7 @@ equal windows are repeats.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -197,9 +197,7 @@ def _repeats(rows: DataFrame, dictionary: bytes) -> DataFrame:
     Words from begin to before end go; where part isn't null, only if this isn't the part's first row.
     """
     kind = rows.schema["doc_id"].dataType.simpleString()
-    unpack = None
-
-    def shard(held: list[tuple]) -> tuple[list, list, list]:
+    def shard(held: list[tuple], unpack: Callable) -> tuple[list, list, list]:
         """Intervals of one shard: repeats of whole segments, then of windows of unlike segments."""
         ids, begins, ends = [], [], []
         seen: set = set()
@@ -238,7 +236,6 @@ def _repeats(rows: DataFrame, dictionary: bytes) -> DataFrame:
         return ids, begins, ends
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        nonlocal unpack
         unpack = zipper(dictionary)[1]
         held, size, last = [], 0, None
         for batch in batches:
@@ -250,14 +247,14 @@ def _repeats(rows: DataFrame, dictionary: bytes) -> DataFrame:
                     last = (part, salt)
                     continue
                 if size >= SHARD_WORDS and part != held[-1][0]:
-                    for column, found in zip((ids, begins, ends), shard(held), strict=True):
+                    for column, found in zip((ids, begins, ends), shard(held, unpack), strict=True):
                         column += found
                     held, size = [], 0
                 held.append((part, doc, start, n, words))
                 size += n + WINDOW - 1
             parts += [None] * (len(ids) - len(parts))
             yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip((ids, begins, ends, parts), target, strict=True)], schema=target)
-        ids, begins, ends = shard(held)
+        ids, begins, ends = shard(held, unpack)
         yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip((ids, begins, ends, [None] * len(ids)), target, strict=True)], schema=target)
 
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -272,9 +269,10 @@ def repeats(docs: DataFrame, dictionary: bytes, hot: int = HOT) -> tuple[DataFra
     # Both are filtered as the joins would filter them, so that each is shuffled once and read twice.
     texts = zipped(docs, dictionary).where(F.col("doc_id").isNotNull()).repartition("doc_id")
     runs = segments(docs).where(F.col("key").isNotNull() & F.col("doc_id").isNotNull()).repartition("key")
-    # All columns are counted, so that Spark reads one shuffle for both sides of the join.
+    # The condition, true of every run, needs all columns: both sides of the join then read one shuffle.
     counts = runs.groupBy("key").agg(F.sum("grams").alias("times"), F.max("doc_id").alias("_d"), F.max("start").alias("_s"), F.max("n").alias("_n"))
-    wanted = runs.join(counts.where("times > 1").select("key", "times"), "key")
+    counts = counts.where("times > 1 AND _d IS NOT NULL AND _s >= 0 AND _n > 0")
+    wanted = runs.join(counts.select("key", "times"), "key")
     by_doc = wanted.groupBy("doc_id").agg(F.collect_list(F.struct("key", "start", "n", "grams", (F.col("times") > hot).alias("hot"))).alias("runs"))
     rows = _texts_of(by_doc.join(texts, "doc_id"), dictionary).repartition("part", "salt").sortWithinPartitions("part", "salt", "doc_id", "start")
     found = _repeats(rows, dictionary)
