@@ -470,7 +470,8 @@ _TAKEN = "SELECT event_id, 'U' || user_id AS user_id, event_type, ts AS event_ts
 
 
 def _stream_of(spark, sf, columns: str):
-    return stream.file_source(spark, f"{sf}/events.parquet", columns)
+    # As a pattern, since a stream's plain path must be a folder.
+    return stream.file_source(spark, f"{sf}/events.parquet*", columns)
 
 
 _RAW = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
