@@ -172,6 +172,15 @@ def test_repeated_passages_equal_brute_force(spark, hot):
     assert {i: (r.n_words, r.n_removed, r.kept) for i, r in got.items()} == brute_removal(docs)
 
 
+def test_hot_windows_stay_in_step_with_shards(spark, monkeypatch):
+    monkeypatch.setattr(substrings, "SHARD_WORDS", 1)
+    pairs = [words(300 + k // 2, 40) for k in range(24)]  # each passage twice: a shard of its own
+    common = words(9, 30)  # in every text: hot
+    docs = [(k, text(words(100 + k, 15), pairs[k], words(200 + k, 9), common)) for k in range(24)]
+    got = by_id(substrings.deduplicate(table(spark, docs), 2))
+    assert {i: (r.n_words, r.n_removed, r.kept) for i, r in got.items()} == brute_removal(docs)
+
+
 def test_backward_search_equals_a_scan():
     r = random.Random(4)
     for _ in range(40):
