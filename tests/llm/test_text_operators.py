@@ -121,6 +121,37 @@ def test_fuzzy_lines(spark):
     assert got[3].n_removed == int(int(a ^ b).bit_count() <= lines.DISTANCE if a ^ b >= 0 else int((a ^ b) + 2**64).bit_count() <= lines.DISTANCE)
 
 
+def test_near_lines_equal_brute_force(spark):
+    r = random.Random(8)
+    texts = []
+    for k in range(60):
+        base = words(400 + k, (5, 9, 14, 27, 50, 100)[k % 6], 40 if k % 4 == 0 else 2000)
+        texts.append(base)
+        for share in (0.05, 0.12, 0.2, 0.26):
+            copy = list(base)
+            for _ in range(max(1, round(share * len(base)))):
+                at = r.randrange(len(copy))
+                copy[at : at + r.choice([0, 1, 1])] = r.choice([[], [f"new{r.randrange(9999)}"]])
+            texts.append(copy if len(copy) >= lines.MIN_WORDS else base)
+    found = [text(t) for t in texts]
+    normal = [lines.normalise(t).split() for t in found]
+    root = list(range(len(found)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for b in range(len(found)):
+        for a in range(b):
+            if lines.edit_similar(normal[a], normal[b]):
+                x, y = sorted((find(a), find(b)))
+                root[y] = x
+    got = by_id(lines.deduplicate(table(spark, list(enumerate(found)))))
+    wrong = {k for k in range(len(found)) if got[k].n_removed != (find(k) != k)}
+    assert sum(find(k) != k for k in range(len(found))) > 100 and not wrong
+
+
 def test_edit_similarity_equals_the_plain_table():
     def distance(a, b):
         row = list(range(len(b) + 1))

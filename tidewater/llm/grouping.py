@@ -46,7 +46,7 @@ def link_groups(
     nodes: DataFrame,
     buckets: DataFrame,
     likely: Callable[[str, str], Column],
-    first: Callable[[str, str], Column],
+    first: Callable[[str, str], Column] | None,
     fetch: Callable[[DataFrame], DataFrame],
     verify: Callable[[DataFrame], DataFrame],
 ) -> DataFrame:
@@ -55,7 +55,7 @@ def link_groups(
     nodes: (id, further columns); buckets: (id, key, further columns). ``likely(l, r)`` is a cheap condition on the
     further columns of two nodes, given their column prefixes; it must hold for every link.
     ``first(l, r)`` holds in just one of the buckets two nodes share, given also ``l_key``; it
-    keeps a pair from being made once per bucket. ``fetch`` gives (id, payload) for the ids (id) that
+    keeps a pair from being compared once per bucket; without it pairs are made distinct. ``fetch`` gives (id, payload) for the ids (id) that
     can be compared at all; ``verify`` keeps the true links (a, b) of pairs (a, b, x, y), x and y
     being the payloads.
     """
@@ -91,10 +91,11 @@ def link_groups(
         (F.col("l_key") == F.col("r_key"))
         & (F.col("l_id") < F.col("r_id"))
         & (F.col("l_comp") != F.col("r_comp"))
-        & first("l_", "r_")
+        & (first("l_", "r_") if first else F.lit(True))
         & likely("l_", "r_"),
     )
-    more = verified(pairs.select(F.col("l_id").alias("a"), F.col("r_id").alias("b")))
+    pairs = pairs.select(F.col("l_id").alias("a"), F.col("r_id").alias("b"))
+    more = verified(pairs if first else pairs.distinct())
     # The groups found so far stand for their members.
     seen = comps.select(F.col("node").alias("a"), F.col("comp").alias("b"))
     return connected_components(seen.union(more))

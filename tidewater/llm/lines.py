@@ -1,17 +1,19 @@
 """Fuzzy line de-duplication.
 
 Lines are normalised (lower case, digits to 0, ASCII punctuation and white space to single blanks).
-Equal normalised lines are one line. Unlike ones get a 64-bit SimHash over their distinct words;
-two lines are compared if their SimHashes differ in at most ``DISTANCE`` bits, which the pigeonhole
-principle finds without loss: cut into DISTANCE + 2 blocks, two such hashes agree in two blocks at
-least, so equality on some pair of blocks is the join key. A pair is linked if the edit similarity
-of its words is at least ``SIMILARITY``; of all lines of a connected group the first stays.
+Equal normalised lines are one line. Of unlike ones a pair is linked if the edit similarity of its
+words is at least ``SIMILARITY``; of all lines of a connected group the first stays.
+
+Candidates follow from that rule without loss. An edit changes at most two of a line's pairs of
+neighbouring words, so a pair of lines that may be linked differs in a bounded number of them; if
+all lines sort theirs in one order, the first of them, one more than that number, have one in common,
+which is the join key. Rare ones come first in the order, so that keys tell lines apart. A candidate is
+compared if the lengths allow it and 64-bit SimHashes over the distinct words differ in at most
+``DISTANCE`` bits.
 """
 
 from __future__ import annotations
 
-from itertools import combinations
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -21,16 +23,13 @@ from tidewater.llm.common import cut, first_rows, map_batches, one_per_id, text_
 from tidewater.llm.grouping import link_groups
 from tidewater.llm.words import located_hashes, mix, signed
 
-DISTANCE = 2
+#: Words that differ by the fifth that SIMILARITY allows turn 13 of 64 bits, with a deviation of 3.2.
+DISTANCE = 26
 SIMILARITY = 0.8
 #: Shorter lines (headings, list items, braces) are never removed.
 MIN_WORDS = 5
-_BLOCKS = np.array_split(np.arange(64), DISTANCE + 2)
-#: A mask for each pair of blocks.
-_MASKS = [
-    int(np.array([sum(1 << int(b) for k in pair for b in _BLOCKS[k])], np.uint64).view(np.int64)[0])
-    for pair in combinations(range(DISTANCE + 2), 2)
-]
+#: Texts, first by hashed id, and their characters that tell common words from rare ones: this changes times, not results.
+SAMPLE_DOCS, SAMPLE_CHARS = 2000, 4096
 _NORMAL = bytes(
     ord("0") if 48 <= c <= 57 else c if c >= 128 or 97 <= c <= 122 else ord(" ") for c in range(256)
 )
@@ -92,40 +91,104 @@ def edit_similar(a: list[bytes], b: list[bytes], least: float = SIMILARITY) -> b
     return int(row[len(y) - len(x) + most]) <= most
 
 
-def hashed_lines(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Numbers, ids and SimHashes of a text's lines of MIN_WORDS words and more, all lines at once."""
+def _edits(n: np.ndarray) -> np.ndarray:
+    """The most words that may be edited if the longer line has ``n``."""
+    return ((1 - SIMILARITY) * n + 1e-9).astype(np.int64)
+
+
+def prefix_lengths(n: np.ndarray) -> np.ndarray:
+    """How many word pairs of a line of ``n`` words can't all be missing in a line it may be linked with.
+
+    As the longer line it loses two by each edit, as the shorter one by an added word just one.
+    """
+    most = 2 * _edits(n)
+    for more in range(1, 5):  # a fifth word more allows one edit more, which doesn't make up for five
+        most = np.maximum(most, 2 * _edits(n + more) - more)
+    return most + 1
+
+
+def common_words(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes, sorted, and counts of the words that a bounded sample of texts holds more than once."""
+    rows = docs.where(F.length("text") > 0).select(F.xxhash64(F.col("doc_id").cast("string")).alias("h"), F.substring("text", 1, SAMPLE_CHARS).alias("t"))
+    sample = [r.t.lower().encode("utf-8", "surrogatepass").translate(_NORMAL) for r in rows.orderBy("h", "t").limit(SAMPLE_DOCS).collect()]
+    names, counts = np.unique(np.concatenate([np.empty(0, np.uint64), *(located_hashes(t)[1] for t in sample)]), return_counts=True)
+    return names[counts > 1], counts[counts > 1]
+
+
+def line_keys(words: np.ndarray, count: np.ndarray, common: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Join keys of lines that hold ``count`` of the ``words`` each, and how many each line has."""
+    line = np.repeat(np.arange(len(count)), count)
+    inside = line[1:] == line[:-1]
+    pairs = mix(mix(words[:-1]) * np.uint64(0xD6E8FEB86659FD93) + words[1:])[inside]
+    often = np.zeros(len(words), np.float64)
+    if len(common[0]):
+        at = np.minimum(np.searchsorted(common[0], words), len(common[0]) - 1)
+        often = np.where(common[0][at] == words, np.log2(common[1][at]), 0)
+    rank = (often[:-1] + often[1:])[inside]
+    line = line[1:][inside]
+    order = np.lexsort((pairs, rank, line))
+    line, pairs = line[order], pairs[order]
+    new = np.append(True, (line[1:] != line[:-1]) | (pairs[1:] != pairs[:-1]))
+    line, pairs = line[new], pairs[new]
+    begin = np.searchsorted(line, np.arange(len(count)))
+    taken = np.arange(len(line)) - begin[line] < prefix_lengths(count)[line]
+    return signed(pairs[taken]), np.bincount(line[taken], minlength=len(count))
+
+
+#: Lines that a task remembers.
+SEEN = 100_000
+_NONE = (np.empty(0, np.uint64), np.empty(0, np.int64))
+
+
+def hashed_lines(text: str, common: tuple[np.ndarray, np.ndarray] = _NONE) -> tuple[np.ndarray, ...]:
+    """Numbers, ids, SimHashes and words of a text's lines of MIN_WORDS words and more, then their keys and how many each has, all lines at once."""
     raw = text.lower().encode("utf-8", "surrogatepass").translate(_NORMAL_LINES)
     starts, words = located_hashes(raw)
     line = np.searchsorted(np.flatnonzero(np.frombuffer(raw, np.uint8) == 10), starts)
     names, first, count = np.unique(line, return_index=True, return_counts=True)
     long = count >= MIN_WORDS
     if not long.any():
-        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
+        return tuple(np.empty(0, np.int64) for _ in range(6))
     inside = np.repeat(long, count)
     words, count, names = words[inside], count[long], names[long]
     begin = np.append(0, np.cumsum(count)[:-1])
     place = np.arange(1, len(words) + 1) - np.repeat(begin, count)
     sums = np.add.reduceat(mix(words + place.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), begin)
     ids = mix(sums + mix(count.astype(np.uint64)))
-    return names, signed(ids), simhashes(np.repeat(np.arange(len(count)), count), words, len(count))
+    return names, signed(ids), simhashes(np.repeat(np.arange(len(count)), count), words, len(count)), count, *line_keys(words, count, common)
 
 
 def lines(docs: DataFrame) -> DataFrame:
-    """(doc_id, line, id, sim): lines of MIN_WORDS words and more, ``id`` hashing the normalised line."""
+    """(doc_id, line, id, sim, n, keys): lines of MIN_WORDS words and more, ``id`` hashing the normalised line of n words.
+
+    A task gives a line's keys once, not for each equal line, as long as it remembers it.
+    """
+    common = common_words(docs)
 
     def start():
+        seen: set = set()
+
+        def unseen(names):
+            if len(seen) > SEEN:
+                seen.clear()
+            return np.array([not (n in seen or seen.add(n)) for n in names.tolist()], bool)
+
         def step(ids, texts):
-            found = [(i, *hashed_lines(t)) for i, t in zip(ids, texts, strict=True) if i is not None and t]
+            found = [(i, *hashed_lines(t, common)) for i, t in zip(ids, texts, strict=True) if i is not None and t]
             found = [f for f in found if len(f[1])]
             if not found:
-                return [[] for _ in range(4)]
+                return [[] for _ in range(6)]
             owner = pa.array(np.repeat(np.arange(len(found)), [len(f[1]) for f in found]))
-            return pa.array([f[0] for f in found]).take(owner), *(np.concatenate([f[k] for f in found]) for k in (1, 2, 3))
+            new = unseen(np.concatenate([f[2] for f in found]))
+            many = np.concatenate([f[6] for f in found])
+            values = np.concatenate([f[5] for f in found])[np.repeat(new, many)]
+            keys = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(many * new)), pa.int32()), pa.array(values))
+            return pa.array([f[0] for f in found]).take(owner), *(np.concatenate([f[k] for f in found]) for k in (1, 2, 3, 4)), keys
 
         return step
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return map_batches(docs, ["doc_id", "text"], f"doc_id {kind}, line int, id bigint, sim bigint", start)
+    return map_batches(docs, ["doc_id", "text"], f"doc_id {kind}, line int, id bigint, sim bigint, n int, keys array<bigint>", start)
 
 
 def _normalised(joined: DataFrame, dictionary: bytes) -> DataFrame:
@@ -163,23 +226,22 @@ def repeated_lines(docs: DataFrame, dictionary: bytes) -> DataFrame:
     """(doc_id, gone): the lines of each document that are not the first of their group, by number."""
     found = cut(lines(docs))
     # The smallest place stands for all equal lines.
-    distinct = cut(found.groupBy("id").agg(F.min("sim").alias("sim"), F.min(F.struct("doc_id", "line")).alias("at")))
-    bucket = F.explode(F.array(*(F.struct(F.lit(k).alias("mask"), F.col("sim").bitwiseAND(F.lit(m)).alias("part")) for k, m in enumerate(_MASKS))))
-    buckets = distinct.select("id", bucket.alias("b")).select("id", F.xxhash64("b.mask", "b.part").alias("key"), "b.mask")
+    distinct = cut(found.groupBy("id").agg(F.min("sim").alias("sim"), F.min("n").alias("n"), F.min(F.struct("doc_id", "line")).alias("at")))
+    # Filtered as the join would filter them, so that keys are shuffled once and read twice.
+    keys = found.select("id", F.explode("keys").alias("key")).where("id IS NOT NULL AND key IS NOT NULL").repartition("key")
+    several = keys.groupBy("key").agg(F.min("id").alias("x"), F.max("id").alias("y")).where("x <> y").select("key")
+    buckets = cut(keys.join(several, "key", "left_semi").select("id", "key").distinct())
 
     def likely(a, b):
-        return F.bit_count(F.col(f"{a}sim").bitwiseXOR(F.col(f"{b}sim"))) <= DISTANCE
-
-    def first(a, b):
-        # The first pair of blocks in which both agree.
-        differ = F.col(f"{a}sim").bitwiseXOR(F.col(f"{b}sim"))
-        return F.col(f"{a}mask") == F.coalesce(*(F.when(differ.bitwiseAND(F.lit(m)) == 0, F.lit(k)) for k, m in enumerate(_MASKS)))
+        longer = F.greatest(f"{a}n", f"{b}n")
+        apart = F.abs(F.col(f"{a}n") - F.col(f"{b}n")) <= F.floor((1 - SIMILARITY) * longer + 1e-9)
+        return apart & (F.bit_count(F.col(f"{a}sim").bitwiseXOR(F.col(f"{b}sim"))) <= DISTANCE)
 
     def fetch(ids):
         places = ids.join(distinct, "id").groupBy("at.doc_id").agg(F.collect_list(F.struct("id", "at.line")).alias("wanted"))
         return _normalised(zipped(docs, dictionary).join(places, "doc_id"), dictionary)
 
-    comps = link_groups(distinct.select("id", "sim"), buckets, likely, first, fetch, _verified)
+    comps = link_groups(distinct.select("id", "sim", "n"), buckets, likely, None, fetch, _verified)
     grouped = found.join(comps.withColumnRenamed("node", "id"), "id", "left").select("doc_id", "line", F.coalesce("comp", "id").alias("comp"))
     firsts = grouped.groupBy("comp").agg(F.min(F.struct("doc_id", "line")).alias("first"), F.count("*").alias("n")).where("n > 1")
     gone = grouped.join(firsts, "comp").where(F.col("first") != F.struct("doc_id", "line"))
