@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidewater.llm import decontam, langid, licenses, lines, minhash, mixing, neighbours, quality, secrets, substrings
+from tidewater.llm import decontam, langid, licenses, lines, minhash, mixing, neighbours, quality, queries, secrets, substrings
 from tidewater.llm.grouping import connected_components
 
 EDGE = [(1, None), (2, ""), (3, " \n\t "), (4, "one two"), (5, "é" * 50), (None, "a nameless row of some words"), (4, "one two"), (4, "another text with the same id"), (7, "x " * 3000)]
@@ -294,6 +294,15 @@ def test_mixing_reaches_targets(spark):
     assert mixing.mix(edge(spark).limit(0)).count() == 0
 
 
+def test_the_mixing_query_gives_positions_in_training_order(spark, tmp_path):
+    docs = table(spark, [(k, text(words(k, 5 + k % 9)), f"s{k % 4}") for k in range(200)], "doc_id long, text string, source string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries.op6_mixing(spark, str(tmp_path)).collect()
+    assert {r.doc_id: r.positions for r in got} == {r.doc_id: r.positions for r in mixing.mix(docs).collect()}
+    firsts = [r.positions[0] if r.taken else 2 for r in got]
+    assert firsts == sorted(firsts) and len(got) == 200
+
+
 def test_schedule_is_inverted(spark):
     for tilt in (-0.5, 0.0, 0.5):
         t = spark.range(1).select(mixing.position(F.lit(0.3), F.lit(tilt))).first()[0]

@@ -49,7 +49,10 @@ def op5_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+    """One row a document with the training positions of its occurrences, range-sorted by the first; unused ones come last."""
+    mixed = mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "positions")
+    order = (F.coalesce(F.try_element_at("positions", F.lit(1)), F.lit(2.0)).alias("first"), F.col("doc_id"))
+    return mixed.repartitionByRange(*order).sortWithinPartitions(*order)
 
 
 def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
