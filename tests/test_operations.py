@@ -148,3 +148,30 @@ def test_landing_a_batch_again_changes_nothing(spark, tmp_path):
     for _ in range(2):
         stream.land(raw, 0, str(tmp_path / "lake"), str(tmp_path / "dlq"))
     assert spark.read.parquet(str(tmp_path / "lake/*")).count() == spark.read.parquet(str(tmp_path / "dlq/*")).count() == 1
+
+
+def test_the_learner_query_cuts_no_folds_or_trees(monkeypatch):
+    import inspect
+
+    from tidewater.plans import operations
+
+    class Called(Exception):
+        pass
+
+    def spy(*args, **named):
+        bound = signature.bind(*args, **named)
+        bound.apply_defaults()
+        raise Called(*(bound.arguments[k] for k in ("n_folds", "trees", "depth")))
+
+    class Table:
+        def withColumn(self, *_):
+            return self
+
+    signature = inspect.signature(uplift.dr_learner)
+    monkeypatch.setattr(operations.uplift, "dr_learner", spy)
+    monkeypatch.setattr(operations.I, "trial", lambda *_: Table())
+    monkeypatch.setattr(operations, "F", type("F", (), {"__getattr__": lambda *_: lambda *a: Table()})())
+    monkeypatch.setattr(Table, "cast", lambda *_: None, raising=False)
+    with pytest.raises(Called) as called:
+        operations.dr_learner(None, None)
+    assert called.value.args == (5, 20, 4)

@@ -664,7 +664,7 @@ def stratified_folds(spark, sf):
 def dr_learner(spark, sf):
     """Cross-fitted learner on the trial; decisions by its effect."""
     t = I.trial(spark, sf).withColumn("noise", F.conv(F.substring(F.md5(F.concat(F.lit("n"), F.col("key"))), 1, 4), 16, 10).cast("double"))
-    model = uplift.dr_learner(t, ["score", "noise"], "key", n_folds=2, trees=3, depth=3)
+    model = uplift.dr_learner(t, ["score", "noise"], "key")
     scored = model.transform(uplift.assemble(t, ["score", "noise"]))
     decision, voucher = uplift.decide(F.col("cate"))
     return scored.select("key", "cate", decision.alias("decision"), voucher.alias("voucher"))
