@@ -22,14 +22,36 @@ def visible(boundary: DataFrame, events: DataFrame) -> DataFrame:
     return boundary.join(e, known, "left").drop("_t")
 
 
-def recency(seen: DataFrame, zero_fill: bool = False) -> DataFrame:
-    """Calendar days from the first and the last visible order to the reference time."""
+def _first_last() -> dict[str, Column]:
     order = F.when(F.col("event_type") == RECENCY_EVENT, F.col("event_ts"))
-    out = seen.groupBy("target_id", "reference_ts").agg(F.min(order).alias("first_ts"), F.max(order).alias("last_ts"))
+    return {"first_ts": F.min(order), "last_ts": F.max(order)}
+
+
+def _recency_columns(zero_fill: bool) -> dict[str, Column]:
     days = {"f1": F.datediff("reference_ts", "first_ts").cast("double"), "f2": F.datediff("reference_ts", "last_ts").cast("double")}
     names = {"f1": "days_since_first_signal", "f2": "days_since_last_signal"}
     filled = {names[k]: F.coalesce(v, F.lit(0.0)) for k, v in days.items()}
-    return out.select("target_id", "reference_ts", "first_ts", "last_ts", *((filled if zero_fill else days | filled)[k].alias(k) for k in (filled if zero_fill else days | filled)))
+    return filled if zero_fill else days | filled
+
+
+def _window_counts(window_days: int) -> dict[str, Column]:
+    inside = F.col("event_ts") >= F.col("reference_ts") - F.make_dt_interval(F.lit(window_days))
+    return {n: F.count_if((F.col("event_type") == kind) & inside) for n, kind in (("n5", "EVT_F5"), ("n18", "EVT_F18"))}
+
+
+def _counter_columns() -> dict[str, Column]:
+    f5, f18 = F.when(F.col("n5") >= 1, F.ln("n5")), _log10(F.col("n18"))
+    return {"f5": f5, "f18": f18, "browse_intensity_365d": F.coalesce(f5, F.lit(0.0)), "promo_touch_intensity_365d": F.coalesce(f18, F.lit(0.0))}
+
+
+def _per_target(seen: DataFrame, sums: dict[str, Column], features: dict[str, Column]) -> DataFrame:
+    out = seen.groupBy("target_id", "reference_ts").agg(*(v.alias(k) for k, v in sums.items()))
+    return out.select("*", *(v.alias(k) for k, v in features.items()))
+
+
+def recency(seen: DataFrame, zero_fill: bool = False) -> DataFrame:
+    """Calendar days from the first and the last visible order to the reference time."""
+    return _per_target(seen, _first_last(), _recency_columns(zero_fill))
 
 
 def _log10(n: Column) -> Column:
@@ -38,23 +60,13 @@ def _log10(n: Column) -> Column:
 
 def counters(seen: DataFrame, window_days: int = COUNTER_WINDOW_DAYS) -> DataFrame:
     """Event counts of the window by type, and their logarithms; null where nothing was counted."""
-    inside = F.col("event_ts") >= F.col("reference_ts") - F.make_dt_interval(F.lit(window_days))
-    n = lambda kind: F.count_if((F.col("event_type") == kind) & inside)
-    out = seen.groupBy("target_id", "reference_ts").agg(n("EVT_F5").alias("n5"), n("EVT_F18").alias("n18"))
-    f5, f18 = F.when(F.col("n5") >= 1, F.ln("n5")), _log10(F.col("n18"))
-    return out.select(
-        "*",
-        f5.alias("f5"),
-        f18.alias("f18"),
-        F.coalesce(f5, F.lit(0.0)).alias("browse_intensity_365d"),
-        F.coalesce(f18, F.lit(0.0)).alias("promo_touch_intensity_365d"),
-    )
+    return _per_target(seen, _window_counts(window_days), _counter_columns())
 
 
 def pit_features(boundary: DataFrame, events: DataFrame) -> DataFrame:
-    """Recency and counters of one pass over the joined events."""
-    seen = visible(boundary, events)
-    return recency(seen).join(counters(seen).drop("reference_ts"), "target_id")
+    """Recency and counters in one pass over the joined events."""
+    sums = _first_last() | _window_counts(COUNTER_WINDOW_DAYS)
+    return _per_target(visible(boundary, events), sums, _recency_columns(False) | _counter_columns())
 
 
 def in_hour(snapshot: DataFrame, events: DataFrame) -> DataFrame:

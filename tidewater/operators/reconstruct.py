@@ -36,7 +36,7 @@ def decode(targets: DataFrame) -> DataFrame:
     n = {"n5": natural("f5"), "n11": natural("f11"), "n18": decimal("f18"), "n19": decimal("f19"), "n30": decimal("f30")}
     rows = targets.withColumns(n | {"d1": F.bround("f1").cast("int"), "d2": F.bround(last).cast("int")})
     forced = F.array_distinct(F.filter(F.array("d1", "d2"), lambda d: d < WINDOW_DAYS))
-    rows = rows.withColumn("forced", F.array_sort(forced)).withColumn("n_forced", F.size("forced").cast("long"))
+    rows = rows.withColumn("forced", F.sort_array(forced)).withColumn("n_forced", F.size("forced").cast("long"))
     small = [F.coalesce(F.col(c) < 1, F.lit(False)) for c in n]
     reason = (
         F.when(F.col("n5").isNull() | F.col("d1").isNull(), "missing_value")
@@ -48,6 +48,11 @@ def decode(targets: DataFrame) -> DataFrame:
     return rows.withColumn("reason", reason)
 
 
+def _settled(rows: DataFrame) -> DataFrame:
+    """``rows`` with all columns computed once: a generator keeps the optimiser from writing them out again wherever they are used."""
+    return rows.select(F.inline(F.array(F.struct(*rows.columns))))
+
+
 def solvable(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rows to solve, and those set aside with their reason."""
     return decoded.where(F.col("reason").isNull()), decoded.where(F.col("reason").isNotNull())
@@ -72,12 +77,14 @@ def plan(decoded: DataFrame, seed: int, track: str = TRACK) -> DataFrame:
     Counters, then free events, are poured into the days' room: slot sizes are the overlaps of the
     running sums of both, which have a closed form.
     """
-    rows = bound(decoded)
+    # A plan costs far more than its row weighs, so rows are dealt out by number and not by size; events keep that partitioning.
+    parts = int(decoded.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = _settled(bound(decoded.repartition(parts, "target_id")))
     pool = F.filter(F.sequence(F.lit(0), F.lit(WINDOW_DAYS - 1)), lambda d: ~F.array_contains("forced", d))
     keyed = F.transform(pool, lambda d: F.struct(F.sha2(F.concat_ws("\u001f", "target_id", F.lit(str(seed)), F.lit(track), F.concat(F.lit("day"), d.cast("string"))), 256).alias("h"), d.alias("d")))
     need = (F.col("n_days") - F.col("n_forced")).cast("int")
-    picked = F.transform(F.slice(F.array_sort(keyed), 1, need), lambda s: s["d"])
-    rows = rows.withColumn("days", F.array_sort(F.concat("forced", picked)))
+    picked = F.transform(F.slice(F.sort_array(keyed), 1, need), lambda s: s["d"])
+    rows = _settled(rows.withColumn("days", F.sort_array(F.concat("forced", picked))))
     zero = F.lit(0).cast("long")
     rest = F.greatest(zero, F.col("n_inside") - F.col("n_days"))
     most = F.lit(CAPACITY - 1)
@@ -97,7 +104,7 @@ def plan(decoded: DataFrame, seed: int, track: str = TRACK) -> DataFrame:
 
     fixed = F.transform(F.array_distinct(F.array("d1", "d2")), lambda d: F.struct(F.lit(RECENCY).alias("reason"), d.alias("day"), F.lit(1).cast("long").alias("n")))
     slots = F.filter(F.flatten(F.transform("days", poured)), lambda s: s["n"] > 0)
-    return rows.withColumn("slots", F.concat(fixed, slots))
+    return _settled(rows.withColumn("slots", F.concat(fixed, slots)))
 
 
 def merged_slots(plans: DataFrame) -> DataFrame:
