@@ -29,6 +29,10 @@ def scratch(spark: SparkSession) -> str:
     return f"{root}/tidewater-{spark.sparkContext.applicationId}"
 
 
+#: Folders of the tables that ``cut`` has written and nobody has dropped yet, in order.
+_written: list[str] = []
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
 
@@ -38,9 +42,25 @@ def cut(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{scratch(spark)}/{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
+    _written.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def written() -> int:
+    """A mark for ``drop_written``: how many tables are there now."""
+    return len(_written)
+
+
+def drop_written(spark: SparkSession, begin: int, keep: int = 0) -> None:
+    """Delete the tables written since the mark ``begin``, but for the last ``keep``; no frame in use may read them."""
+    end = max(begin, len(_written) - keep)
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    for path in _written[begin:end]:
+        at = hadoop(path)
+        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+    del _written[begin:end]
+
+
 def fold(doc_id: str | Column, parts: int) -> Column:
     """crc32 of the id as text, modulo ``parts``."""
     return F.crc32(F.col(doc_id).cast("string") if isinstance(doc_id, str) else doc_id.cast("string")) % parts
@@ -51,6 +71,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession) -> None:
+    """Texts may be long: Arrow batches of this session hold ``BATCH_ROWS`` rows from now on, as Spark reads the setting when a query runs."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
@@ -107,10 +128,20 @@ def first_rows(docs: DataFrame) -> DataFrame:
 DICTIONARY_DOCS, DICTIONARY_CHARS, DICTIONARY_BYTES = 1000, 1024, 65_536
 
 
+def sampled_texts(docs: DataFrame, number: int, chars: int) -> list[str]:
+    """The beginnings of about ``number`` texts (all, if they are fewer), drawn at random in the tasks, so that no more than these travel."""
+    share = number / max(1, docs.count())
+    drawn = docs.where((F.length("text") > 0) & (F.rand(20240229) < share)).select(F.substring("text", 1, chars).alias("t"))
+    return [r.t for r in drawn.collect()]
+
+
 def text_dictionary(docs: DataFrame) -> bytes:
-    """A zstandard dictionary for these texts from a bounded sample, empty if there is too little; it changes sizes, not results."""
-    rows = docs.where(F.length("text") > 0).select(F.xxhash64(F.col("doc_id").cast("string")).alias("h"), F.substring("text", 1, DICTIONARY_CHARS).alias("t"))
-    sample = [r.t.encode("utf-8", "surrogatepass") for r in rows.orderBy("h", "t").limit(DICTIONARY_DOCS).collect()]
+    """A zstandard dictionary for these texts, empty if there is too little; it changes sizes, not results.
+
+    It is built from a random sample: of some ``DICTIONARY_DOCS`` texts, whatever the size of the
+    corpus, the first ``DICTIONARY_CHARS`` characters come to the driver.
+    """
+    sample = [t.encode("utf-8", "surrogatepass") for t in sampled_texts(docs, DICTIONARY_DOCS, DICTIONARY_CHARS)]
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, sample).as_bytes() if len(sample) > 20 else b""
     except zstandard.ZstdError:

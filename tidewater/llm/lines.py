@@ -8,8 +8,8 @@ Candidates follow from that rule without loss. An edit changes at most two of a
 neighbouring words, so a pair of lines that may be linked differs in a bounded number of them; if
 all lines sort theirs in one order, the first of them, one more than that number, have one in common,
 which is the join key. Rare ones come first in the order, so that keys tell lines apart. A candidate is
-compared if the lengths allow it and 64-bit SimHashes over the distinct words differ in at most
-``DISTANCE`` bits.
+compared if the lengths allow it and SimHashes over the words, four of 64 bits, differ in at most
+``DISTANCE`` bits in the first and ``DISTANCE_OF_ALL`` in all.
 """
 
 from __future__ import annotations
@@ -19,12 +19,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import cut, first_rows, map_batches, one_per_id, text_dictionary, zipped, zipper
-from tidewater.llm.grouping import link_groups
+from tidewater.llm.common import cut, first_rows, map_batches, one_per_id, sampled_texts, text_dictionary, zipped, zipper
+from tidewater.llm.grouping import link_groups, shared_buckets
 from tidewater.llm.words import located_hashes, mix, signed
 
 #: Words that differ by the fifth that SIMILARITY allows turn 13 of 64 bits, with a deviation of 3.2.
 DISTANCE = 26
+#: And of 256 bits 52, with a deviation of 6.5; unlike lines differ in some 128.
+DISTANCE_OF_ALL = 84
+SIMHASHES = 4
 SIMILARITY = 0.8
 #: Shorter lines (headings, list items, braces) are never removed.
 MIN_WORDS = 5
@@ -43,52 +46,101 @@ def normalise(line: str) -> bytes:
     return b" ".join(line.lower().encode("utf-8", "surrogatepass").translate(_NORMAL).split())
 
 
-def simhashes(line: np.ndarray, words: np.ndarray, lines: int) -> np.ndarray:
-    """A SimHash for each of ``lines`` lines: bit b is the majority of bit b over its distinct words; a tie gives 0."""
-    order = np.lexsort((words, line))
-    line, words = line[order], words[order]
-    new = np.append(True, (line[1:] != line[:-1]) | (words[1:] != words[:-1]))
-    line, words = line[new], words[new]
-    bits = np.unpackbits(words[:, None].view(np.uint8), axis=1)
-    begin = np.searchsorted(line, np.arange(lines))
-    ones = np.add.reduceat(bits, begin, axis=0, dtype=np.int32)
-    many = np.diff(np.append(begin, len(line)))
-    return np.packbits(2 * ones > many[:, None], axis=1).view(np.int64).ravel()
-
-
-def edit_similar(a: list[bytes], b: list[bytes], least: float = SIMILARITY) -> bool:
-    """Whether 1 - (word edit distance) / (words of the longer) is at least ``least``."""
-    longer = max(len(a), len(b))
-    most = int((1 - least) * longer + 1e-9)
-    if abs(len(a) - len(b)) > most:
-        return False
-    begin = 0
-    while begin < min(len(a), len(b)) and a[begin] == b[begin]:
-        begin += 1
-    a, b = a[begin:], b[begin:]
-    while a and b and a[-1] == b[-1]:
-        a, b = a[:-1], b[:-1]
-    if not a or not b:
-        return max(len(a), len(b)) <= most
+#: Words whose bits a byte can count.
+_COUNTABLE = 255
+
+
+def simhashes(begin: np.ndarray, count: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """SIMHASHES SimHashes for each line of ``count`` words from ``begin`` on: bit b is the majority of bit b over its words; a tie gives 0.
+
+    Eight bits of a word are added at once, each in a byte of its own; lines of more words than a
+    byte can count are added up from parts.
+    """
+    parts = -(-count // _COUNTABLE)
+    nth = np.cumsum(parts) - parts
+    owner = np.repeat(np.arange(len(count)), parts)
+    starts = begin[owner] + _COUNTABLE * (np.arange(len(owner)) - nth[owner])
+    out = np.zeros((len(count), SIMHASHES), np.uint64)
+    shifts = 8 * np.arange(8, dtype=np.uint64)
+    for k in range(SIMHASHES):
+        if k:
+            words = mix(words)
+        for bit in range(8):
+            ones = np.add.reduceat(words >> np.uint64(bit) & np.uint64(0x0101010101010101), starts).view(np.uint8).reshape(-1, 8)
+            if len(owner) > len(count):
+                ones = np.add.reduceat(ones, nth, axis=0, dtype=np.int64)
+            most = 2 * ones.astype(np.int64) > count[:, None]
+            out[:, k] |= (most.astype(np.uint64) << (shifts + np.uint64(bit))).sum(axis=1, dtype=np.uint64)
+    return signed(out)
+
+
+#: Cells of the distance tables that are filled at once.
+_CELLS = 1 << 20
+
+
+def edit_similar(a: list[bytes], b: list[bytes]) -> bool:
+    """Whether 1 - (word edit distance) / (words of the longer) is at least ``SIMILARITY``."""
     names: dict = {}
-    x = np.array([names.setdefault(w, len(names)) for w in a])
-    y = np.array([names.setdefault(w, len(names)) for w in b])
-    # Rows of the distance table within ``most`` of the diagonal; a cell beyond holds a large value.
-    far = longer + most + 1
-    row = np.where(np.arange(-most, most + 1) >= 0, np.arange(-most, most + 1), far)
-    step = np.arange(2 * most + 1)
-    for i in range(1, len(x) + 1):
-        at = i + np.arange(-most, most + 1)
-        inside = (at >= 1) & (at <= len(y))
-        same = np.zeros(len(at), bool)
-        same[inside] = y[at[inside] - 1] == x[i - 1]
-        new = np.minimum(row + ~same, np.append(row[1:], far) + 1)
-        new = np.where(inside, new, np.where(at == 0, i, far))
-        row = np.minimum(np.minimum.accumulate(new - step) + step, far)
-        row = np.where((at >= 0) & (at <= len(y)), row, far)
-        if row.min() > most:
-            return False
-    return int(row[len(y) - len(x) + most]) <= most
+    x, y = (np.array([names.setdefault(w, len(names)) for w in t], np.uint64) for t in (a, b))
+    return bool(similar_pairs([x], [y])[0])
+
+
+def similar_pairs(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """``edit_similar`` of many pairs of word hashes, about equally long ones at once."""
+    n = np.array([(len(x), len(y)) for x, y in zip(left, right, strict=True)], np.int64).reshape(-1, 2)
+    short, long = n.min(axis=1), n.max(axis=1)
+    most = _edits(long)
+    good = np.zeros(len(n), bool)
+    # What one bag of words lacks of the other can't be mended by fewer edits.
+    todo = np.flatnonzero(_in_common(left, right, n) >= long - most)
+    todo = todo[np.argsort(long[todo])]
+    while len(todo):
+        longest = int(long[todo[-1]])
+        # As many as the cells allow, and none much shorter: all rows of a step are as wide as the widest.
+        size = min(max(1, _CELLS // (2 * longest + 1)), int((long[todo] >= 0.8 * longest).sum()))
+        part, todo = todo[-size:], todo[:-size]
+        both = [sorted((left[k], right[k]), key=len) for k in part]
+        good[part] = _distances([x for x, _ in both], [y for _, y in both], int(most[part].max())) <= most[part]
+    return good
+
+
+def _in_common(left: list[np.ndarray], right: list[np.ndarray], n: np.ndarray) -> np.ndarray:
+    """How many words each pair has in common, repeats counted."""
+    if not n.sum():
+        return np.zeros(len(n), np.int64)
+    words = np.concatenate((*left, *right))
+    pair = np.concatenate((np.repeat(np.arange(len(n)), n[:, 0]), np.repeat(np.arange(len(n)), n[:, 1])))
+    mine = np.arange(len(words)) < n[:, 0].sum()
+    order = np.lexsort((words, pair))
+    words, pair, mine = words[order], pair[order], mine[order]
+    runs = np.flatnonzero(np.append(True, (words[1:] != words[:-1]) | (pair[1:] != pair[:-1])))
+    x, y = (np.add.reduceat(side, runs, dtype=np.int64) for side in (mine, ~mine))
+    return np.bincount(pair[runs], weights=np.minimum(x, y), minlength=len(n)).astype(np.int64)
+
+
+def _distances(short: list[np.ndarray], long: list[np.ndarray], width: int) -> np.ndarray:
+    """Edit distances of pairs, exact where they are at most ``width``: rows of all tables in step, each within ``width`` of the diagonal."""
+    ns, nl = np.array([len(x) for x in short]), np.array([len(y) for y in long])
+    a, b = (np.zeros((len(t), int(n.max()) + more), np.uint64) for t, n, more in ((short, ns, 0), (long, nl, 2 * width + 1)))
+    for k, (x, y) in enumerate(zip(short, long, strict=True)):
+        a[k, : len(x)], b[k, width : width + len(y)] = x, y
+    off = np.arange(-width, width + 1)
+    far = int(nl.max()) + width + 1
+    row = np.where((off >= 0) & (off <= nl[:, None]), off, far).astype(np.int32)
+    step = np.arange(len(off), dtype=np.int32)
+    out = row[np.arange(len(ns)), nl - ns + width].copy()  # of empty ones
+    for i in range(1, int(ns.max()) + 1):
+        at = i + off
+        new = row + (b[:, i - 1 : i + 2 * width] != a[:, i - 1 : i])
+        new[:, :-1] = np.minimum(new[:, :-1], row[:, 1:] + 1)
+        new[:, at == 0] = i
+        new[:, at < 0] = far
+        row = np.minimum(np.minimum.accumulate(new - step, axis=1) + step, far)
+        row[at[None, :] > nl[:, None]] = far
+        row[:, at < 0] = far
+        done = ns == i
+        out[done] = row[done, (nl - ns + width)[done]]
+    return out
 
 
 def _edits(n: np.ndarray) -> np.ndarray:
@@ -109,25 +161,35 @@ def prefix_lengths(n: np.ndarray) -> np.ndarray:
 
 def common_words(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Hashes, sorted, and counts of the words that a bounded sample of texts holds more than once."""
-    rows = docs.where(F.length("text") > 0).select(F.xxhash64(F.col("doc_id").cast("string")).alias("h"), F.substring("text", 1, SAMPLE_CHARS).alias("t"))
-    sample = [r.t.lower().encode("utf-8", "surrogatepass").translate(_NORMAL) for r in rows.orderBy("h", "t").limit(SAMPLE_DOCS).collect()]
+    sample = [t.lower().encode("utf-8", "surrogatepass").translate(_NORMAL) for t in sampled_texts(docs, SAMPLE_DOCS, SAMPLE_CHARS)]
     names, counts = np.unique(np.concatenate([np.empty(0, np.uint64), *(located_hashes(t)[1] for t in sample)]), return_counts=True)
     return names[counts > 1], counts[counts > 1]
 
 
-def line_keys(words: np.ndarray, count: np.ndarray, common: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+_NONE = (np.empty(0, np.uint64), np.empty(0, np.int64))
+#: Lines whose word pairs are sorted at once: their number within takes 16 bits of the sort's key.
+_SORTED = 1 << 16
+
+
+def line_keys(words: np.ndarray, count: np.ndarray, common: tuple[np.ndarray, np.ndarray] = _NONE) -> tuple[np.ndarray, np.ndarray]:
     """Join keys of lines that hold ``count`` of the ``words`` each, and how many each line has."""
-    line = np.repeat(np.arange(len(count)), count)
+    if len(count) > _SORTED:
+        half = len(count) // 2
+        cut_at = int(count[:half].sum())
+        parts = [line_keys(words[:cut_at], count[:half], common), line_keys(words[cut_at:], count[half:], common)]
+        return tuple(np.concatenate(p) for p in zip(*parts, strict=True))
+    line = np.repeat(np.arange(len(count), dtype=np.uint64), count)
     inside = line[1:] == line[:-1]
-    pairs = mix(mix(words[:-1]) * np.uint64(0xD6E8FEB86659FD93) + words[1:])[inside]
-    often = np.zeros(len(words), np.float64)
+    often = np.zeros(len(words), np.float32)
     if len(common[0]):
         at = np.minimum(np.searchsorted(common[0], words), len(common[0]) - 1)
-        often = np.where(common[0][at] == words, np.log2(common[1][at]), 0)
-    rank = (often[:-1] + often[1:])[inside]
+        often = np.where(common[0][at] == words, np.log2(common[1][at]), 0).astype(np.float32)
+    rank = np.minimum(often[:-1] + often[1:], 63)[inside].astype(np.uint64)
+    pairs = mix(words[:-1] * np.uint64(0xD6E8FEB86659FD93) + words[1:])[inside]
     line = line[1:][inside]
-    order = np.lexsort((pairs, rank, line))
-    line, pairs = line[order], pairs[order]
+    # Line, then how common the words are, then the pair's hash: one number, one sort.
+    order = np.argsort(line << np.uint64(48) | rank << np.uint64(42) | pairs >> np.uint64(22))
+    line, pairs = line[order].astype(np.int64), pairs[order]
     new = np.append(True, (line[1:] != line[:-1]) | (pairs[1:] != pairs[:-1]))
     line, pairs = line[new], pairs[new]
     begin = np.searchsorted(line, np.arange(len(count)))
@@ -135,31 +197,48 @@ def line_keys(words: np.ndarray, count: np.ndarray, common: tuple[np.ndarray, np
     return signed(pairs[taken]), np.bincount(line[taken], minlength=len(count))
 
 
+_SIMS = [f"s{k}" for k in range(SIMHASHES)]
 #: Lines that a task remembers.
-SEEN = 100_000
-_NONE = (np.empty(0, np.uint64), np.empty(0, np.int64))
+SEEN = 500_000
 
 
-def hashed_lines(text: str, common: tuple[np.ndarray, np.ndarray] = _NONE) -> tuple[np.ndarray, ...]:
-    """Numbers, ids, SimHashes and words of a text's lines of MIN_WORDS words and more, then their keys and how many each has, all lines at once."""
-    raw = text.lower().encode("utf-8", "surrogatepass").translate(_NORMAL_LINES)
+def parted(texts: list[str | None]) -> tuple[np.ndarray, ...]:
+    """Text, line, words, id and first word of the lines of MIN_WORDS words and more of ``texts``, and those lines' words' hashes."""
+    raws = [(t or "").lower().encode("utf-8", "surrogatepass") for t in texts]
+    first = np.cumsum([0] + [r.count(b"\n") + 1 for r in raws])
+    raw = b"\n".join(raws).translate(_NORMAL_LINES)
     starts, words = located_hashes(raw)
-    line = np.searchsorted(np.flatnonzero(np.frombuffer(raw, np.uint8) == 10), starts)
-    names, first, count = np.unique(line, return_index=True, return_counts=True)
-    long = count >= MIN_WORDS
-    if not long.any():
-        return tuple(np.empty(0, np.int64) for _ in range(6))
-    inside = np.repeat(long, count)
-    words, count, names = words[inside], count[long], names[long]
-    begin = np.append(0, np.cumsum(count)[:-1])
+    bounds = np.searchsorted(starts, np.flatnonzero(np.frombuffer(raw, np.uint8) == 10))
+    count = np.diff(np.concatenate(([0], bounds, [len(starts)])))
+    line = np.flatnonzero(count >= MIN_WORDS)
+    words = words[np.repeat(count >= MIN_WORDS, count)]
+    count = count[line]
+    begin = np.cumsum(count) - count
     place = np.arange(1, len(words) + 1) - np.repeat(begin, count)
-    sums = np.add.reduceat(mix(words + place.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), begin)
-    ids = mix(sums + mix(count.astype(np.uint64)))
-    return names, signed(ids), simhashes(np.repeat(np.arange(len(count)), count), words, len(count)), count, *line_keys(words, count, common)
+    sums = np.add.reduceat(mix(words + place.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), begin) if len(line) else words[:0]
+    ids = signed(mix(sums + mix(count.astype(np.uint64))))
+    owner = np.searchsorted(first, line, "right") - 1
+    return owner, line - first[owner], count, ids, begin, words
+
+
+def sketched(count: np.ndarray, begin: np.ndarray, words: np.ndarray, common: tuple[np.ndarray, np.ndarray], wanted: np.ndarray) -> tuple[np.ndarray, ...]:
+    """SimHashes of all lines; join keys of the wanted ones, and how many each line has."""
+    many = np.zeros(len(count), np.int64)
+    keys, many[wanted] = line_keys(words[np.repeat(wanted, count)], count[wanted], common)
+    return simhashes(begin, count, words), keys, many
+
+
+def hashed_lines(text: str, common: tuple[np.ndarray, np.ndarray] = _NONE) -> tuple[np.ndarray, ...]:
+    """Numbers, ids, SimHashes and words of a text's lines of MIN_WORDS words and more, then their keys and how many each has."""
+    _, line, count, ids, begin, words = parted([text])
+    if not len(line):
+        return tuple(np.empty(0, np.int64) for _ in range(6))
+    sims, keys, many = sketched(count, begin, words, common, np.ones(len(line), bool))
+    return line, ids, sims[:, 0], count, keys, many
 
 
 def lines(docs: DataFrame) -> DataFrame:
-    """(doc_id, line, id, sim, n, keys): lines of MIN_WORDS words and more, ``id`` hashing the normalised line of n words.
+    """(doc_id, line, id, n, s0 to s3, keys): lines of MIN_WORDS words and more, ``id`` hashing the normalised line of n words.
 
     A task gives a line's keys once, not for each equal line, as long as it remembers it.
     """
@@ -174,21 +253,17 @@ def lines(docs: DataFrame) -> DataFrame:
             return np.array([not (n in seen or seen.add(n)) for n in names.tolist()], bool)
 
         def step(ids, texts):
-            found = [(i, *hashed_lines(t, common)) for i, t in zip(ids, texts, strict=True) if i is not None and t]
-            found = [f for f in found if len(f[1])]
-            if not found:
-                return [[] for _ in range(6)]
-            owner = pa.array(np.repeat(np.arange(len(found)), [len(f[1]) for f in found]))
-            new = unseen(np.concatenate([f[2] for f in found]))
-            many = np.concatenate([f[6] for f in found])
-            values = np.concatenate([f[5] for f in found])[np.repeat(new, many)]
-            keys = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(many * new)), pa.int32()), pa.array(values))
-            return pa.array([f[0] for f in found]).take(owner), *(np.concatenate([f[k] for f in found]) for k in (1, 2, 3, 4)), keys
+            owner, line, count, names, begin, words = parted([t if i is not None else None for i, t in zip(ids, texts, strict=True)])
+            if not len(line):
+                return [[] for _ in range(5 + SIMHASHES)]
+            sims, keys, many = sketched(count, begin, words, common, unseen(names))
+            lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(many)), pa.int32()), pa.array(keys))
+            return pa.array(ids).take(pa.array(owner)), line, names, count, *sims.T, lists
 
         return step
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return map_batches(docs, ["doc_id", "text"], f"doc_id {kind}, line int, id bigint, sim bigint, n int, keys array<bigint>", start)
+    return map_batches(docs, ["doc_id", "text"], f"doc_id {kind}, line int, id bigint, n int, {', '.join(f'{c} bigint' for c in _SIMS)}, keys array<bigint>", start)
 
 
 def _normalised(joined: DataFrame, dictionary: bytes) -> DataFrame:
@@ -213,9 +288,14 @@ def _normalised(joined: DataFrame, dictionary: bytes) -> DataFrame:
 
 def _verified(pairs: DataFrame) -> DataFrame:
     def start():
+        def hashes(texts):
+            starts, words = located_hashes(b"\n".join(texts))
+            lengths = np.cumsum([0] + [len(t) + 1 for t in texts])
+            return np.split(words, np.searchsorted(starts, lengths[1:-1]))
+
         def step(a, b, x, y):
-            good = [k for k in range(len(a)) if edit_similar(x[k].split(), y[k].split())]
-            return [a[k] for k in good], [b[k] for k in good]
+            good = np.flatnonzero(similar_pairs(hashes(x), hashes(y)))
+            return np.array(a, np.int64)[good], np.array(b, np.int64)[good]
 
         return step
 
@@ -226,58 +306,56 @@ def repeated_lines(docs: DataFrame, dictionary: bytes) -> DataFrame:
     """(doc_id, gone): the lines of each document that are not the first of their group, by number."""
     found = cut(lines(docs))
     # The smallest place stands for all equal lines.
-    distinct = cut(found.groupBy("id").agg(F.min("sim").alias("sim"), F.min("n").alias("n"), F.min(F.struct("doc_id", "line")).alias("at")))
-    # Filtered as the join would filter them, so that keys are shuffled once and read twice.
-    keys = found.select("id", F.explode("keys").alias("key")).where("id IS NOT NULL AND key IS NOT NULL").repartition("key")
+    distinct = cut(found.groupBy("id").agg(*(F.min(c).alias(c) for c in ("n", *_SIMS)), F.min(F.struct("doc_id", "line")).alias("at")))
+    keys = found.select("id", F.explode("keys").alias("key"))
+    # Most pairs of words occur in one line only: few keys are left after the first aggregation.
     several = keys.groupBy("key").agg(F.min("id").alias("x"), F.max("id").alias("y")).where("x <> y").select("key")
-    buckets = cut(keys.join(several, "key", "left_semi").select("id", "key").distinct())
+    buckets = cut(keys.join(several, "key", "left_semi").distinct())
 
     def likely(a, b):
         longer = F.greatest(f"{a}n", f"{b}n")
         apart = F.abs(F.col(f"{a}n") - F.col(f"{b}n")) <= F.floor((1 - SIMILARITY) * longer + 1e-9)
-        return apart & (F.bit_count(F.col(f"{a}sim").bitwiseXOR(F.col(f"{b}sim"))) <= DISTANCE)
+        bits = [F.bit_count(F.col(f"{a}{c}").bitwiseXOR(F.col(f"{b}{c}"))) for c in _SIMS]
+        return apart & (bits[0] <= DISTANCE) & (sum(bits[1:], bits[0]) <= DISTANCE_OF_ALL)
 
     def fetch(ids):
         places = ids.join(distinct, "id").groupBy("at.doc_id").agg(F.collect_list(F.struct("id", "at.line")).alias("wanted"))
-        return _normalised(zipped(docs, dictionary).join(places, "doc_id"), dictionary)
+        wanted = docs.join(places.select("doc_id"), "doc_id", "left_semi")
+        return _normalised(zipped(wanted, dictionary).join(places, "doc_id"), dictionary)
 
-    comps = link_groups(distinct.select("id", "sim", "n"), buckets, likely, None, fetch, _verified)
+    comps = link_groups(distinct.select("id", "n", *_SIMS), shared_buckets(buckets), likely, None, fetch, _verified)
     grouped = found.join(comps.withColumnRenamed("node", "id"), "id", "left").select("doc_id", "line", F.coalesce("comp", "id").alias("comp"))
     firsts = grouped.groupBy("comp").agg(F.min(F.struct("doc_id", "line")).alias("first"), F.count("*").alias("n")).where("n > 1")
     gone = grouped.join(firsts, "comp").where(F.col("first") != F.struct("doc_id", "line"))
     return gone.groupBy("doc_id").agg(F.collect_list("line").alias("gone"))
 
 
+def _with_lines_left(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """``docs`` with ``_tidewater_gone``, the numbers of its repeated lines (null: none), and ``_tidewater_text`` without them."""
+    gone = gone.select(F.col("doc_id").alias("_tidewater_id"), F.col("gone").alias("_tidewater_gone"))
+    rows = docs.join(gone, docs["doc_id"] == gone["_tidewater_id"], "left").drop("_tidewater_id")
+    parts = F.split("text", "\n", -1)
+    kept = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("_tidewater_gone"))
+    left = F.array_join(F.transform(kept, lambda k: F.element_at(F.col("_tidewater_parts"), k + 1)), "\n")
+    lost = F.col("_tidewater_gone").isNotNull()
+    # Split once, and only where a line goes.
+    rows = rows.withColumn("_tidewater_parts", F.when(lost, parts))
+    return rows.withColumn("_tidewater_text", F.when(lost, left).otherwise(F.col("text")))
+
+
 def deduplicate(docs: DataFrame) -> DataFrame:
     """(doc_id, n_lines, n_removed, text): each text without lines whose group has an earlier one.
 
     Lines end at line feeds and order is by doc_id, then line. A null text stays null with 0 lines,
     an empty one has one empty line; lines under MIN_WORDS normalised words stay. Rows that repeat a
-    doc_id count once, with their smallest text; rows with a null one pass unchanged.
+    doc_id count once, with their smallest text; rows with a null one pass unchanged. Texts and lines
+    may be of any length.
     """
     docs = one_per_id(docs)
-    dictionary = text_dictionary(docs)
-    joined = zipped(docs, dictionary).join(repeated_lines(docs, dictionary), "doc_id", "left")
-
-    def start():
-        unpack = zipper(dictionary)[1]
-
-        def step(ids, zs, gones):
-            out = [[], [], [], []]
-            for i, z, gone in zip(ids, zs, gones, strict=True):
-                text = None if z is None else unpack(z).decode("utf-8", "surrogatepass")
-                parts = [] if text is None else text.split("\n")
-                if gone:
-                    drop = set(gone)
-                    text = "\n".join(p for k, p in enumerate(parts) if k not in drop)
-                for column, v in zip(out, (i, len(parts), len(gone or ()), text), strict=True):
-                    column.append(v)
-            return out
-
-        return step
-
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return map_batches(joined, ["doc_id", "z", "gone"], f"doc_id {kind}, n_lines bigint, n_removed bigint, text string", start)
+    rows = _with_lines_left(docs, repeated_lines(docs, text_dictionary(docs)))
+    n_lines = F.coalesce(F.length("text") - F.length(F.replace("text", F.lit("\n"))) + 1, F.lit(0)).cast("long")
+    n_removed = F.coalesce(F.when(F.col("_tidewater_gone").isNotNull(), F.size("_tidewater_gone")), F.lit(0)).cast("long")
+    return rows.select("doc_id", n_lines.alias("n_lines"), n_removed.alias("n_removed"), F.col("_tidewater_text").alias("text"))
 
 
 def cleaned(docs: DataFrame) -> DataFrame:
@@ -287,14 +365,11 @@ def cleaned(docs: DataFrame) -> DataFrame:
     repeat a doc_id the one with the smallest text stays.
     """
     docs = first_rows(docs)
-    gone = repeated_lines(docs.select("doc_id", "text"), text_dictionary(docs)).select(F.col("doc_id").alias("_tidewater_id"), F.col("gone").alias("_tidewater_gone"))
-    rows = docs.join(gone, docs["doc_id"] == gone["_tidewater_id"], "left")
-    lost = F.col("_tidewater_gone")
-    left = F.array_join(F.filter(F.split("text", "\n", -1), lambda line, k: ~F.array_contains(lost, k)), "\n")
-    rows = rows.withColumn("_tidewater_text", F.when(lost.isNull(), F.col("text")).otherwise(left))
-    rows = rows.where(lost.isNull() | F.col("_tidewater_text").rlike(r"[^\x20\x09-\x0D]"))
+    rows = _with_lines_left(docs, repeated_lines(docs.select("doc_id", "text"), text_dictionary(docs)))
+    lost = F.col("_tidewater_gone").isNotNull()
+    rows = rows.where(~lost | F.col("_tidewater_text").rlike(r"[^\x20\x09-\x0D]"))
     new = {"text": F.col("_tidewater_text")}
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
-        new["n_chars"] = F.when(lost.isNull(), F.col("n_chars")).otherwise(F.length("_tidewater_text").cast(kind))
+        new["n_chars"] = F.when(lost, F.length("_tidewater_text").cast(kind)).otherwise(F.col("n_chars"))
     return rows.select(*(new[c].alias(c) if c in new else docs[c] for c in docs.columns))
