@@ -12,6 +12,7 @@ neither the driver nor a task holds more of a benchmark than ``BLOCK_CHARS``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 from functools import reduce
 
@@ -24,7 +25,7 @@ from tidewater.llm.common import cut, map_batches, small_batches
 
 WINDOW = 10
 #: Characters of benchmark text that one pass over the documents searches for.
-BLOCK_CHARS = 32_000_000
+BLOCK_CHARS = 8_000_000
 #: Lower-case letters, digits and all beyond ASCII stand for themselves; the rest parts words.
 _WORD = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256))
 
@@ -33,6 +34,17 @@ def words(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").translate(_WORD).split() if text else []
 
 
+#: The last matcher that this worker has built, by the name of its block: tasks that follow use it again.
+_built: dict[str, tuple] = {}
+
+
+def _prepared(name: str, make: Callable[[], tuple]) -> tuple:
+    if name not in _built:
+        _built.clear()
+        _built[name] = make()
+    return _built[name]
+
+
 class Matcher:
     """Wu-Manber tables of word sequences; of each sequence the numbers of the items that hold it."""
 
@@ -94,10 +106,10 @@ def _search(docs: DataFrame, items: list[tuple]) -> DataFrame:
     """(doc_id, h, n_words, spans, items) of one block of items; h hashes the text."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     shared = docs.sparkSession.sparkContext.broadcast(items)
+    block = uuid.uuid4().hex
 
     def start():
-        names = [None if i is None else str(i) for i, _ in shared.value]
-        matcher = Matcher([words(t) for _, t in shared.value])
+        names, matcher = _prepared(block, lambda: ([None if i is None else str(i) for i, _ in shared.value], Matcher([words(t) for _, t in shared.value])))
 
         def step(ids, hashes, texts):
             out = [ids, hashes, [], [], []]
@@ -132,17 +144,20 @@ def contamination(docs: DataFrame, benchmark: DataFrame, block_chars: int = BLOC
     A word is hit if it lies in an occurrence of a window of ``benchmark`` (item_id, text); spans are
     the hit intervals by word number; items those with occurring windows, as their ids' text,
     sorted. Null and empty texts have no words, nothing found gives the hash of the empty string.
-    An item with a null id hits words and isn't listed. One row a row of ``docs``; where a benchmark
-    needs several blocks, rows that agree in doc_id and text give one.
+    An item with a null id hits words and isn't listed. Rows that agree in doc_id and text give as many
+    rows as they are, however many blocks a benchmark needs; texts may be of any length.
     """
     docs = docs.select("doc_id", "text")
     found = [_search(docs, items) for items in _blocks(benchmark, block_chars)]
     if len(found) > 1:
-        rows = reduce(DataFrame.union, found).groupBy("doc_id", "h")
-        merged = rows.agg(F.max("n_words").alias("n_words"), F.flatten(F.collect_list("spans")).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+        # Equal rows have equal results: their number comes back as copies of one.
+        rows = reduce(DataFrame.union, [f.withColumn("block", F.lit(k)) for k, f in enumerate(found)]).groupBy("doc_id", "h")
+        copies = F.count_if(F.col("block") == 0).alias("copies")
+        merged = rows.agg(copies, F.max("n_words").alias("n_words"), F.flatten(F.collect_list("spans")).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
         # Blocks' intervals may overlap: the hit words of a document are counted once.
         words_of = F.transform("spans", lambda s: F.sequence(s["begin"], s["end"] - 1))
         hit = F.size(F.array_distinct(F.flatten(words_of)))
+        merged = merged.withColumn("_", F.explode(F.sequence(F.lit(1), F.col("copies"))))
     else:
         merged = found[0]
         hit = F.aggregate("spans", F.lit(0), lambda n, s: n + s["end"] - s["begin"])
@@ -158,9 +173,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame, block_chars: int = BLOC
 
 
 def _clean_text(shared: Broadcast) -> Callable[[Column], Column]:
+    block = uuid.uuid4().hex
+
     @F.pandas_udf("boolean")
     def clean_text(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        matcher = Matcher([words(t) for t in shared.value])
+        (matcher,) = _prepared(block, lambda: (Matcher([words(t) for t in shared.value]),))
         for texts in batches:
             yield pd.Series([not (isinstance(t, str) and matcher.search(words(t))[0]) for t in texts], dtype=bool)
 

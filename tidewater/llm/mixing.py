@@ -16,14 +16,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewater.llm.common import cut, first_rows
+
 #: Fixed weights of the sources in code-point order, over and over.
 WEIGHTS = (5, 2, 1)
 BUDGET = 1.5
 REPEATS = 2
 #: How far the schedule of each of those weights tilts to the start of training (negative: to its end).
 TILTS = (-0.5, 0.0, 0.5)
-#: Hex digits of the hashed id that name a bucket of a source.
-BUCKET_DIGITS = 3
+#: Documents of a bucket, about.
+BUCKET_DOCS = 4096
 _WORDS = r"[^\x20\x09-\x0D]+"
 
 
@@ -67,7 +69,22 @@ def targets(sized: DataFrame) -> DataFrame:
 def position(share: Column, tilt: Column) -> Column:
     """When a source's demand reaches ``share`` of its target: the integral (1 + k) t - k t**2 inverted."""
     root = F.sqrt(F.greatest((1 + tilt) * (1 + tilt) - 4 * tilt * share, F.lit(0.0)))
-    return F.when(tilt == 0, share).otherwise((1 + tilt - root) / (2 * tilt))
+    return F.when(tilt == 0, share).otherwise((1 + tilt - root) / (2 * tilt) + 0.0)
+
+
+#: Buckets whose sums one task adds up.
+GROUP_DIGITS = 3
+
+
+def _offsets(sums: DataFrame) -> DataFrame:
+    """(s, b, offset): words of a source in buckets before ``b``; groups of buckets are added up first, then buckets within each."""
+    sums = sums.withColumn("g", F.expr(f"substring(bucket, 1, greatest(0, length(bucket) - {GROUP_DIGITS}))"))
+    groups = sums.groupBy("source", "g").agg(F.sum("n").alias("n"))
+    earlier = lambda *by: Window.partitionBy(*by[:-1]).orderBy(by[-1]).rowsBetween(Window.unboundedPreceding, -1)
+    groups = groups.select(F.col("source").alias("s"), F.col("g").alias("h"), F.coalesce(F.sum("n").over(earlier("source", "g")), F.lit(0)).alias("before"))
+    inner = sums.withColumn("within", F.coalesce(F.sum("n").over(earlier("source", "g", "bucket")), F.lit(0)))
+    both = inner.join(groups, F.col("source").eqNullSafe(F.col("s")) & (F.col("g") == F.col("h")))
+    return both.select("s", F.col("bucket").alias("b"), (F.col("before") + F.col("within")).alias("offset"))
 
 
 def mix(docs: DataFrame) -> DataFrame:
@@ -79,14 +96,19 @@ def mix(docs: DataFrame) -> DataFrame:
     Rows are kept as they are: repeated ids are further documents, null sources a source of their
     own, null and empty texts have size 0 and take nothing. Without any words all targets are 0.
     """
-    sized = sizes(docs)
-    bucket = F.substring("h", 1, BUCKET_DIGITS)
+    # Texts are read once; all else works on the small table of sizes.
+    sized = cut(sizes(docs))
+    # As many buckets a source as keep all of them small, however large the largest source is: a power of 16, so that buckets sort as hashes do.
+    most = sized.groupBy("source").count().agg(F.max("count")).first()[0] or 1
+    digits = 1
+    while 16**digits * BUCKET_DOCS < most:
+        digits += 1
+    bucket = F.substring("h", 1, digits)
     # Rows that agree in all of these are interchangeable.
     inside = Window.partitionBy("source", "bucket").orderBy("h", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
     rows = sized.withColumn("bucket", bucket).withColumn("inner", F.coalesce(F.sum("size").over(inside), F.lit(0)))
-    sums = sized.withColumn("bucket", bucket).groupBy("source", "bucket").agg(F.sum("size").alias("n"))
-    running = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sums.select(F.col("source").alias("s"), F.col("bucket").alias("b"), F.coalesce(F.sum("n").over(running), F.lit(0)).alias("offset"))
+    sums = cut(sized.groupBy("source", bucket.alias("bucket")).agg(F.sum("size").alias("n")))
+    offsets = _offsets(sums)
     goals = targets(sized).withColumnRenamed("source", "g")
     placed = rows.join(offsets, F.col("source").eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("b")))
     placed = placed.join(goals, F.col("source").eqNullSafe(F.col("g")))
@@ -106,12 +128,19 @@ def curriculum(docs: DataFrame) -> DataFrame:
     """``docs`` in training order: one row an occurrence, with ``taken`` and ``position``, range-sorted by position.
 
     ``taken`` is the document's words over all its occurrences. A document that isn't taken goes;
-    of rows that repeat a doc_id the one with the smallest text counts.
+    of rows that repeat a doc_id the one with the smallest text counts. Rows with a null doc_id all
+    count, each for itself: it is told from others by its place in the order of its columns' hash.
     """
-    from tidewater.llm.common import first_rows
-
     docs = first_rows(docs)
-    plan = mix(docs).where("taken > 0").select(F.col("doc_id").alias("_tidewater_id"), "taken", F.explode("positions").alias("position"))
-    plain = docs.select(*(c for c in docs.columns if c not in ("taken", "position")))
-    out = plain.join(plan, plain["doc_id"].eqNullSafe(plan["_tidewater_id"])).drop("_tidewater_id")
+    # Nulls get a number each, so that no two of them meet in the join.
+    columns = [F.col(c).cast("string") for c in ("text", "source") if c in docs.columns]
+    nameless = docs.where(F.col("doc_id").isNull()).withColumn("_tidewater_key", F.xxhash64(*columns))
+    same = Window.partitionBy("_tidewater_key").orderBy(*columns)
+    nameless = nameless.withColumn("_tidewater_key", F.concat_ws(":", F.lit("null"), "_tidewater_key", F.row_number().over(same)))
+    named = docs.where(F.col("doc_id").isNotNull()).withColumn("_tidewater_key", F.col("doc_id").cast("string"))
+    keyed = cut(named.unionByName(nameless))
+    plan = mix(keyed.select(F.col("_tidewater_key").alias("doc_id"), "text", "source")).where("taken > 0")
+    plan = plan.select(F.col("doc_id").alias("_tidewater_key"), "taken", F.explode("positions").alias("position"))
+    plain = keyed.select("_tidewater_key", *(c for c in docs.columns if c not in ("taken", "position")))
+    out = plain.join(plan, "_tidewater_key").drop("_tidewater_key")
     return out.repartitionByRange("position").sortWithinPartitions("position", "doc_id")

@@ -74,46 +74,56 @@ def _base(text: Column, kind: str) -> Column:
     return F.when(text.rlike(pattern), spans).otherwise(F.array().cast(_SPAN))
 
 
-#: n * log2(n) for n from 0 to WIDTH.
-_PLOGP = [0.0] + [n * math.log2(n) for n in range(1, WIDTH + 1)]
+#: Fixed value: the characters of a candidate, each numbered by its place.
+_ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
+#: n * log2(n) for n from 0 to WIDTH, in units of 2**-30, so that sums are the same in any order.
+_UNIT = 1 << 30
+_PLOGP = [0] + [round(n * math.log2(n) * _UNIT) for n in range(1, WIDTH + 1)]
 
 
 def _plogp(n: Column) -> Column:
-    return F.element_at(F.array(*map(F.lit, _PLOGP)), n + 1)
-
-
-def _count(window: Column, char: Column) -> Column:
-    return F.length(window) - F.length(F.replace(window, char, F.lit("")))
+    return F.element_at(F.array(*(F.lit(v).cast("bigint") for v in _PLOGP)), n + 1)
 
 
 def _stretch(token: Column, threshold: Column) -> Column:
     """(first, last) start of the windows above ``threshold``, from 0; nulls if there is none.
 
-    Entropy is log2(WIDTH) - sum(n log2 n) / WIDTH over the counts n of a window's characters.
+    Entropy is log2(WIDTH) - sum(n log2 n) / WIDTH over the counts n of a window's characters. One
+    fold over the characters keeps the counts and that sum: a step takes the character that leaves
+    from them and adds the one that enters, so time is linear in the token's length.
     """
-    most = (math.log2(WIDTH) - threshold) * WIDTH
-    head = F.substring(token, 1, WIDTH)
-    s = F.aggregate(F.array_distinct(F.split(head, "")), F.lit(0.0), lambda s, c: s + F.when(c == "", 0.0).otherwise(_plogp(_count(head, c))))
+    most = (math.log2(WIDTH) - threshold) * WIDTH * _UNIT
+    codes = F.transform(F.filter(F.split(token, ""), lambda c: c != ""), lambda c: F.instr(F.lit(_ALPHABET), c))
+    leaving = F.concat(F.array_repeat(F.lit(0), WIDTH), F.slice(codes, F.lit(1), F.size(codes) - WIDTH))
+    steps = F.zip_with(codes, leaving, lambda e, o: F.struct(e.alias("enters"), o.alias("leaves")))
     null = F.lit(None).cast("int")
+    # A letter for each character of the alphabet: A stands for a count of 0, B for 1, and so on.
+    start = F.struct(
+        F.lit("A" * len(_ALPHABET)).alias("counts"),
+        F.lit(0).cast("bigint").alias("sum"), F.lit(-WIDTH).alias("at"), null.alias("first"), null.alias("last"), most.alias("most"),
+    )
 
-    def marked(s, at, first, last):
-        above = s <= most
-        return F.struct(
-            s.alias("s"),
-            F.when(above & first.isNull(), at).otherwise(first).alias("first"),
-            F.when(above, at).otherwise(last).alias("last"),
-        )
+    def marked(state):
+        """first and last with the window that the last step has completed."""
+        above = (state["at"] >= 0) & (state["sum"] <= state["most"])
+        return F.when(above & state["first"].isNull(), state["at"]).otherwise(state["first"]), F.when(above, state["at"]).otherwise(state["last"])
+
+    def slide(state, step):
+        enters, leaves = step["enters"], step["leaves"]
+        count = lambda at: F.ascii(F.substr(state["counts"], at, F.lit(1))) - ord("A")
+        out = F.when(leaves > 0, count(leaves)).otherwise(1)
+        into = count(enters) - (enters == leaves).cast("int")
+        less = F.when(leaves > 0, F.overlay(state["counts"], F.char(out + (ord("A") - 1)), leaves, F.lit(1))).otherwise(state["counts"])
+        counts = F.overlay(less, F.char(into + (ord("A") + 1)), enters, F.lit(1))
+        total = state["sum"] - _plogp(out) + _plogp(out - 1) + _plogp(into + 1) - _plogp(into)
+        first, last = marked(state)
+        return F.struct(counts.alias("counts"), total.alias("sum"), (state["at"] + 1).alias("at"), first.alias("first"), last.alias("last"), state["most"].alias("most"))
 
-    def slide(state, at):
-        window, core = F.substr(token, at, F.lit(WIDTH)), F.substr(token, at + 1, F.lit(WIDTH - 1))
-        leaves, enters = F.substr(token, at, F.lit(1)), F.substr(token, at + WIDTH, F.lit(1))
-        out, into = _count(window, leaves), _count(core, enters)
-        s = state["s"] - _plogp(out) + _plogp(out - 1) + _plogp(into + 1) - _plogp(into)
-        return marked(s, at, state["first"], state["last"])
+    def ended(state):
+        first, last = marked(state)
+        return F.struct(first.alias("first"), last.alias("last"))
 
-    steps = F.when(F.length(token) > WIDTH, F.sequence(F.lit(1), F.length(token) - WIDTH)).otherwise(F.array().cast("array<int>"))
-    begin = F.transform(F.array(s), lambda v: marked(v, F.lit(0), null, null))[0]
-    return F.aggregate(steps, begin, slide)
+    return F.aggregate(steps, start, slide, ended)
 
 
 def _entropy(text: Column, base: Column) -> Column:
@@ -142,7 +152,8 @@ def scan(docs: DataFrame) -> DataFrame:
 
     spans lists kind:start:end by start, then kind in the order of ``KINDS``, comma-joined; starts
     and ends are code points, end exclusive; base_sha256 hashes that list of the base rules' alone.
-    A null text counts as empty: no spans, and the hash of the empty string.
+    A null text counts as empty: no spans, and the hash of the empty string. Repeated rows and ids are
+    scanned each for itself; time is linear in a text's and a token's length, whatever that is.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     found = docs.select("doc_id", text.alias("text"))
