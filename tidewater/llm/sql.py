@@ -81,13 +81,16 @@ FROM d LEFT JOIN n ON d.doc_id = n.doc_id LEFT JOIN kept ON d.doc_id = kept.doc_
 """
 
 _weights = f"list_value({', '.join(map(str, mixing.WEIGHTS))})"
+_tilts = "[" + ", ".join(f"CAST({t} AS DOUBLE)" for t in mixing.TILTS) + "]"
+
 MIXING = rf"""
 WITH z AS (
   SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
     md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents
 ), t AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
-    {_weights}[1 + (row_number() OVER (ORDER BY source IS NULL, source) - 1) % {len(mixing.WEIGHTS)}] AS weight
+    {_weights}[1 + (row_number() OVER (ORDER BY source IS NULL, source) - 1) % {len(mixing.WEIGHTS)}] AS weight,
+    {_tilts}[1 + (row_number() OVER (ORDER BY source IS NULL, source) - 1) % {len(mixing.TILTS)}] AS tilt
   FROM z GROUP BY source
 ), l AS (
   SELECT *, source_size * {mixing.REPEATS} AS lim,
@@ -95,14 +98,21 @@ WITH z AS (
       / CAST(sum(weight) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS DOUBLE) AS level
   FROM t WINDOW o AS (ORDER BY CAST(source_size * {mixing.REPEATS} AS DOUBLE) / weight, source IS NULL, source)
 ), g AS (
-  SELECT source, source_size, least(CAST(lim AS DOUBLE), coalesce(weight * max(level) FILTER (WHERE level * weight <= lim) OVER (), CAST(lim AS DOUBLE))) AS target FROM l
+  SELECT source, source_size, tilt, least(CAST(lim AS DOUBLE), coalesce(weight * max(level) FILTER (WHERE level * weight <= lim) OVER (), CAST(lim AS DOUBLE))) AS target FROM l
 ), c AS (
   SELECT z.doc_id, z.size, z.source, CAST(coalesce(sum(size) OVER (PARTITION BY source ORDER BY h, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS beg FROM z
+), u AS (
+  SELECT c.doc_id, c.size, g.source_size, g.target, tilt, beg, CAST(round(target) AS BIGINT) AS goal,
+    CASE WHEN g.source_size > 0 THEN CAST(round(target) AS BIGINT) // g.source_size ELSE 0 END AS epochs
+  FROM c JOIN g ON c.source IS NOT DISTINCT FROM g.source
+), v AS (
+  SELECT *, greatest(0, least(size, goal - epochs * source_size - beg)) AS rest FROM u
+), x AS (
+  SELECT *, list_transform(range(0, CASE WHEN size = 0 THEN 0 ELSE epochs + CAST(rest > 0 AS BIGINT) END), lambda k: (k * source_size + beg) / CAST(goal AS DOUBLE)) AS shares FROM v
 )
-SELECT c.doc_id, c.size, g.source_size, g.target,
-  CAST(CASE WHEN g.source_size > 0 THEN (CAST(round(target) AS BIGINT) // g.source_size) * c.size
-    + greatest(0, least(c.size, CAST(round(target) AS BIGINT) % g.source_size - beg)) ELSE 0 END AS BIGINT) AS taken
-FROM c JOIN g ON c.source IS NOT DISTINCT FROM g.source
+SELECT doc_id, size, source_size, target, CAST(epochs * size + rest AS BIGINT) AS taken,
+  list_transform(shares, lambda s: CASE WHEN tilt = 0 THEN s ELSE (1 + tilt - sqrt(greatest((1 + tilt) * (1 + tilt) - 4 * tilt * s, 0))) / (2 * tilt) + 0.0 END) AS positions
+FROM x
 """
 
 MINHASH = rf"""
