@@ -25,8 +25,8 @@ from tidewater.llm.words import located_hashes, mix, signed
 
 #: Words that differ by the fifth that SIMILARITY allows turn 13 of 64 bits, with a deviation of 3.2.
 DISTANCE = 26
-#: And of 256 bits 52, with a deviation of 6.5; unlike lines differ in some 128.
-DISTANCE_OF_ALL = 84
+#: And of 256 bits 52, with a deviation of 6.5, so that one in ten thousand of the least similar links is missed; unlike lines differ in some 128.
+DISTANCE_OF_ALL = 76
 SIMHASHES = 4
 SIMILARITY = 0.8
 #: Shorter lines (headings, list items, braces) are never removed.

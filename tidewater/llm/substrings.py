@@ -5,10 +5,12 @@ earlier. Equal windows must meet, and unlike ones need not, so the corpus is spl
 content: the smallest hash among a window's 5-word grams names the window's key, neighbouring
 windows with one key form a segment, and only segments whose key occurs more than once are read
 again. Segments are dealt out by key, and each task turns its sorted stream into shards of bounded
-size. A shard is a compressed FM-index (a wavelet matrix over the Burrows-Wheeler transform with
-packed bits and block counts); backward search starts from a table of 16-word intervals, extends all
-positions' matches together and drops those that match only themselves; what reaches 20 words is
-looked up for its earliest occurrence.
+size. A shard is a compressed FM-index: a wavelet matrix over the Burrows-Wheeler transform with
+packed bits and block counts, and the first row of each symbol; no suffix positions are kept. The
+shard's segments are streamed through it backwards, all positions in step: matching statistics grow
+by a word a step for as long as the interval of rows holds another place than the position's own,
+from a table of 8-word intervals on. Positions whose match reaches 20 words and that end in the same
+interval hold the same window; all but the first of them are repeats.
 
 A key with more than ``HOT`` segments is a passage too common for one shard. Its windows are dealt
 out one by one, by their own hash and a salt, and need no index: in order, all but the first of
@@ -30,8 +32,8 @@ from tidewater.llm.words import shingles, signed, spans, word_hashes
 
 WINDOW = 20
 GRAM = 5
-#: Words of a match that a table gives; backward search goes on from there.
-SEED = 16
+#: Words of a match that a table gives, a power of two; backward search goes on from there.
+SEED = 8
 #: Words of a shard. A shard ends with a key, so it holds at most HOT segments more.
 SHARD_WORDS = 1 << 16
 #: Windows of a segment.
@@ -41,27 +43,30 @@ SALTS = 32
 
 
 class FMIndex:
-    """Counts and locates word sequences of up to 32 symbols in a text of symbol ids; 0 ends a segment."""
+    """Intervals of the sorted suffixes of a text of symbol ids; 0 ends a segment. Suffixes count up to 32 symbols."""
 
     def __init__(self, text: np.ndarray):
-        self.order, self.seeds = self._order(text)
-        self.seed_first = np.concatenate(([0], np.cumsum(np.bincount(self.seeds))))
-        bwt = text[self.order - 1]
+        order, self.seeds = self._order(text)
+        self.seed_first = np.concatenate(([0], np.cumsum(np.bincount(self.seeds)))).astype(np.int32)
+        bwt = text[order - 1].astype(np.int32)
         self.symbols = int(text.max()) + 1
-        self.first = np.concatenate(([0], np.cumsum(np.bincount(text, minlength=self.symbols))))
+        self.first = np.concatenate(([0], np.cumsum(np.bincount(text, minlength=self.symbols)))).astype(np.int32)
         self.levels = []
         for bit in range(max(1, int(self.symbols - 1).bit_length()))[::-1]:
             ones = (bwt >> bit & 1).astype(bool)
             padded = np.zeros(len(ones) // 64 * 64 + 64, bool)
             padded[: len(ones)] = ones
             blocks = np.packbits(padded, bitorder="little").view(np.uint64)
-            counts = np.concatenate(([0], np.cumsum(np.bitwise_count(blocks), dtype=np.int64)))
-            self.levels.append((bit, blocks, counts, len(ones) - int(ones.sum())))
+            counts = np.concatenate(([0], np.cumsum(np.bitwise_count(blocks), dtype=np.int64))).astype(np.int32)
+            self.levels.append((bit, blocks, counts, np.int32(len(ones) - int(ones.sum()))))
             bwt = np.concatenate((bwt[~ones], bwt[ones]))
+        # From a row on the last level to one of the sorted suffixes that begin with a symbol.
+        every = np.arange(self.symbols, dtype=np.int32)
+        self.shift = self.first[:-1] - self._descend(every, np.zeros(self.symbols, np.int32))
 
     @staticmethod
     def _order(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Suffixes sorted by their first 32 symbols, in text order where those agree; each position's rank by SEED symbols."""
+        """Suffixes sorted by their first 32 symbols, in text order where those agree; the name of the SEED symbols at each position."""
         rank, span, seeds = text.astype(np.int64), 1, None
         while span < 32:
             after = np.zeros_like(rank)
@@ -69,56 +74,62 @@ class FMIndex:
             rank = np.unique(rank * (int(rank.max()) + 2) + after, return_inverse=True)[1]
             span *= 2
             if span == SEED:
-                seeds = rank
+                seeds = rank.astype(np.int32)
         return np.argsort(rank, kind="stable"), seeds
 
     def seeded(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Suffix intervals of the SEED symbols at each position, from a table."""
         return self.seed_first[self.seeds[at]], self.seed_first[self.seeds[at] + 1]
 
-    def _rank(self, symbol: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """How many ``symbol`` the transform holds before ``at``."""
-        begin = np.zeros_like(at)
+    def _descend(self, symbol: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Where row ``at`` of the transform lies among the rows of ``symbol`` on the last level."""
         for bit, blocks, counts, zeros in self.levels:
-            one = (symbol >> bit & 1).astype(bool)
-            for x in (begin, at):
-                block = x >> 6
-                below = blocks[block] & ((np.uint64(1) << (x & 63).astype(np.uint64)) - np.uint64(1))
-                ones = counts[block] + np.bitwise_count(below)
-                np.copyto(x, np.where(one, zeros + ones, x - ones))
-        return at - begin
+            block = at >> 6
+            below = blocks[block] & ((np.uint64(1) << (at & 63).astype(np.uint64)) - np.uint64(1))
+            ones = counts[block] + np.bitwise_count(below)
+            at = np.where(symbol >> bit & 1, zeros + ones, at - ones)
+        return at
 
     def extend(self, low: np.ndarray, high: np.ndarray, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Suffix intervals of sequences after ``symbol`` is put before them."""
-        return self.first[symbol] + self._rank(symbol, low.copy()), self.first[symbol] + self._rank(symbol, high.copy())
+        both = self._descend(np.concatenate((symbol, symbol)), np.concatenate((low, high))) + np.tile(self.shift[symbol], 2)
+        return both[: len(low)], both[len(low) :]
 
-    def earliest(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
-        """The first text position in each interval."""
-        lows, where = np.unique(low, return_index=True)
-        bounds = np.column_stack((lows, high[where])).ravel()
-        padded = np.append(self.order, len(self.order))
-        return np.minimum.reduceat(padded, bounds)[::2][np.searchsorted(lows, low)]
 
+def matching_statistics(text: np.ndarray, most: int = WINDOW) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(lengths, starts, rows) of a text whose zeros end segments, streamed backwards over its own index.
 
-def repeated_starts(text: np.ndarray, window: int = WINDOW) -> np.ndarray:
-    """Positions where a window starts that occurs earlier in ``text``, whose zeros end segments."""
+    ``lengths`` has for each position how many words that end there, up to ``most``, also stand
+    elsewhere; what is shorter than SEED counts as 0. ``starts`` are the places where such a match of
+    ``most`` words begins, ``rows`` the first row of its interval: equal for equal windows only.
+    """
     index = FMIndex(text)
+    lengths = np.zeros(len(text), np.int8)
     ends = np.concatenate(([0], np.cumsum(text == 0)))
     start = np.arange(len(text) - SEED + 1)
     start = start[ends[start + SEED] == ends[start]]
     low, high = index.seeded(start)
-    for _ in range(window - SEED):
+    for length in range(SEED, most + 1):
         alive = high - low > 1
-        start, low, high = start[alive] - 1, low[alive], high[alive]
+        start, low, high = start[alive], low[alive], high[alive]
+        lengths[start + length - 1] = length
+        if length == most or not len(start):
+            break
+        start = start - 1
         symbol = text[start]  # a zero stands before every segment, the first included
         inside = symbol > 0
         start, low, high = start[inside], low[inside], high[inside]
-        if not len(start):
-            return start
-        low, high = index.extend(low, high, symbol[inside])
-    alive = high - low > 1
-    start, low, high = start[alive], low[alive], high[alive]
-    return np.sort(start[index.earliest(low, high) < start]) if len(start) else start
+        if len(start):
+            low, high = index.extend(low, high, symbol[inside].astype(np.int32))
+    return lengths, start, low
+
+
+def repeated_starts(text: np.ndarray, window: int = WINDOW) -> np.ndarray:
+    """Positions where a window starts that occurs earlier in ``text``, whose zeros end segments."""
+    _, starts, rows = matching_statistics(text, window)
+    order = np.lexsort((starts, rows))
+    starts, rows = starts[order], rows[order]
+    return np.sort(starts[1:][rows[1:] == rows[:-1]])
 
 
 def segments(docs: DataFrame) -> DataFrame:
