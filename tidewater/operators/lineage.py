@@ -13,6 +13,8 @@ def walk(spark: SparkSession, runs: DataFrame, max_depth: int = MAX_DEPTH) -> Da
 
     A way that comes back to a run it has seen is flagged and goes no further.
     """
+    # Ways are as many as runs times depth: no fixed number of rows is right.
+    spark.conf.set("spark.sql.cteRecursionRowLimit", "-1")
     runs.select("run_id", "parent_run_id", "source_type", "root_run_id").createOrReplaceTempView("_tidewater_runs")
     return spark.sql(f"""
         WITH RECURSIVE up(start_run, run, parent, depth, path, is_cycle, source_type, root) MAX RECURSION LEVEL {max_depth + 2} AS (

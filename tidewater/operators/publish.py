@@ -6,7 +6,7 @@ overwritten last, so they see all of one version or all of another.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewater.functions.scalars import hash_shard
@@ -95,6 +95,18 @@ def audit_state(log: DataFrame, keys: list[str]) -> DataFrame:
     return latest(log, keys, [F.desc("updated_at")]).join(tries, keys)
 
 
+def recent(log: DataFrame, n: int, *order: Column) -> DataFrame:
+    """The last ``n`` rows of a log by ``order``."""
+    return log.orderBy(*order).limit(n)
+
+
+def latest_sync_shards(syncs: DataFrame, shards: DataFrame, order: str = "started_at") -> DataFrame:
+    """The current state of the shards of the sync that is last by ``order``; its row is the only one broadcast."""
+    last = syncs.agg(F.max_by("feature_version", F.struct(order, "feature_version")).alias("feature_version"))
+    now = latest(shards, ["feature_version", "shard_id"], [F.desc("updated_at"), F.desc("attempt")])
+    return now.join(F.broadcast(last), "feature_version")
+
+
 def latest_partition(rows: DataFrame, asked: str) -> DataFrame:
     """The asked day if it has rows, or else the latest day there is."""
     day = F.to_date(F.lit(asked))

@@ -133,6 +133,23 @@ def checksum(rows: DataFrame, columns: list[str]) -> DataFrame:
     return rows.agg(F.count("*").alias("n_rows"), F.substring(F.sha2(F.concat_ws("|", F.count("*").cast("string"), exact.cast("string")), 256), 1, 16).alias("checksum"))
 
 
+def same_checksum(before: DataFrame, after: DataFrame) -> DataFrame:
+    """(n_rows, stable) of the checksums of one table at two times."""
+    then = before.select(F.col("n_rows").alias("n_before"), F.col("checksum").alias("before"))
+    return after.crossJoin(then).select("n_rows", ((F.col("checksum") == F.col("before")) & (F.col("n_rows") == F.col("n_before"))).alias("stable"))
+
+
+def tally(counters: dict[str, tuple[DataFrame, Column]]) -> DataFrame:
+    """(counter, label, n): rows of each counter by its label; nulls aren't counted."""
+    parts = [rows.select(F.lit(name).alias("counter"), label.alias("label")).where("label IS NOT NULL").groupBy("counter", "label").agg(F.count("*").alias("n")) for name, (rows, label) in counters.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def violations(rules: dict[str, DataFrame]) -> DataFrame:
+    """(rule, n): rows that break each rule, none being right."""
+    return reduce(DataFrame.unionByName, [bad.agg(F.lit(rule).alias("rule"), F.count("*").alias("n")) for rule, bad in rules.items()])
+
+
 def contaminated(train: DataFrame, synthetic: DataFrame, key: str) -> DataFrame:
     """Training users who have synthetic events; none are allowed."""
     return train.select(key).distinct().join(synthetic.select(key).distinct(), key, "left_semi")

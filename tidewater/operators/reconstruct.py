@@ -6,6 +6,8 @@ counters fill them. Nothing is shuffled until slots become events.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -230,3 +232,34 @@ def tampered(rows: DataFrame, identity: list[str], columns: list[str]) -> DataFr
 def feature_report(gated: DataFrame, aliases: DataFrame) -> DataFrame:
     """Expected and actual values with business name, tier and regime."""
     return gated.join(aliases, "feature", "left")
+
+
+def tier_summary(report: DataFrame) -> DataFrame:
+    """Passes of gate A by tier."""
+    return report.groupBy("tier").agg(F.count("*").alias("n"), F.count_if("ok").alias("n_ok"))
+
+
+def emit(plans: DataFrame, set_aside: DataFrame, attributes: DataFrame, passthrough: list[str], root: str, seed: int) -> DataFrame:
+    """Write the tables of a reconstruction, a folder each under ``root``; the manifest (table_name, n_rows) of what can be read back.
+
+    Plans are written first, and events, boundary, targets and pass-through columns follow from that
+    table, so that no plan is made twice.
+    """
+    spark = plans.sparkSession
+    plans.write.mode("overwrite").parquet(f"{root}/plans")
+    made = spark.read.parquet(f"{root}/plans")
+    tables = {
+        "events": materialise(made, seed),
+        "boundary": made.select("target_id", "reference_ts"),
+        "targets": made.select("target_id", *(c for c in ("n5", "n11", "n18", "n19", "n30", "d1", "d2") if c in made.columns)),
+        "passthrough_source": made.select("target_id", *passthrough),
+        "objective": made.select("target_id", "free_min", "sessions_min"),
+        "customer_attribute": attributes,
+        "quarantine": set_aside.select("target_id", "reason"),
+    }
+    for name, rows in tables.items():
+        rows.write.mode("overwrite").parquet(f"{root}/{name}")
+    counts = [spark.read.parquet(f"{root}/{name}").agg(F.lit(name).alias("table_name"), F.count("*").alias("n_rows")) for name in ("plans", *tables)]
+    manifest = reduce(DataFrame.unionByName, counts)
+    manifest.coalesce(1).write.mode("overwrite").parquet(f"{root}/manifest")
+    return spark.read.parquet(f"{root}/manifest")

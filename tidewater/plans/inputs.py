@@ -5,6 +5,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,6 +39,16 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder that all executors share, under ``spark.checkpoint.dir``; a local session may go without that setting."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if root:
+        return f"{root}/{name}-{uuid.uuid4().hex}"
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return tempfile.mkdtemp(prefix=f"spark-{name}-", dir="/tmp")
+
+
 def landed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw events as they landed: every seventh a second time, later and at another price, every 97th without a user."""
     e = read(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
@@ -106,8 +119,8 @@ def snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def event_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Feature times for the realtime window: each user's event numbered 0 by id modulo 20, one second later."""
-    e = events(spark, sf_dir).where(F.col("event_id").cast("long") % 20 == 0)
+    """Feature times for the realtime window: a second and a half after each event."""
+    e = events(spark, sf_dir)
     at = F.col("event_ts") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(1.5))
     return e.select("user_id", F.to_date(at).alias("dt"), at.alias("feature_ts")).distinct()
 
@@ -151,7 +164,7 @@ SELECT DISTINCT 't' || user_id AS target_id, CASE WHEN user_id % 10 = 3 THEN TIM
     "snap": f"""
 {_head}, CAST(DATE '{DAY}' - CAST(c_custkey % 3 * 20 AS INTEGER) AS TIMESTAMP) + INTERVAL 12 HOUR AS feature_ts, CAST(c_custkey % 7 = 0 AS INTEGER) AS label, CAST(c_custkey % 2 AS INTEGER) AS is_treat, {_features} FROM customer""",
     "esnap": """
-SELECT DISTINCT user_id, CAST(event_ts + to_microseconds(1500000) AS DATE) AS dt, event_ts + to_microseconds(1500000) AS feature_ts FROM ev WHERE CAST(event_id AS BIGINT) % 20 = 0""",
+SELECT DISTINCT user_id, CAST(event_ts + to_microseconds(1500000) AS DATE) AS dt, event_ts + to_microseconds(1500000) AS feature_ts FROM ev""",
     "draws": f"""
 SELECT o_orderkey, CAST(({_part.format('w')}) < 0.5 AS INTEGER) AS w, floor(({_part.format('s')}) * 1000) / 1000 AS score, {_part.format('y')} AS u FROM orders""",
     "trial": """

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import functions as F
 
 from tidewater.functions import scalars as S
@@ -143,7 +141,7 @@ def hash_shards(spark, sf):
 @query("""SELECT user_id, f0, f1 FROM snap""")
 def publish_version(spark, sf):
     """Written by shard, twice (a retry overwrites), and read back."""
-    root = tempfile.mkdtemp(prefix="spark-publish-", dir="/tmp") if spark.conf.get("spark.checkpoint.dir", None) is None else f"{spark.conf.get('spark.checkpoint.dir')}/publish-{spark.sparkContext.applicationId}-{abs(hash(sf))}"
+    root = I.scratch(spark, "publish")
     rows = I.snapshot(spark, sf).select("user_id", "f0", "f1")
     publish.publish(rows, root, "v20240130", "user_id", 8)
     return publish.publish(rows, root, "v20240130", "user_id", 8).select("user_id", "f0", "f1")
@@ -186,10 +184,10 @@ now AS (SELECT * FROM shard QUALIFY row_number() OVER (PARTITION BY feature_vers
 tot AS (SELECT feature_version, count(*) FILTER (WHERE status = 'success') AS completed_shards, CAST(coalesce(sum(rows_written) FILTER (WHERE status = 'success'), 0) AS BIGINT) AS written_rows FROM now GROUP BY feature_version)"""
 
 
-@query(f"""{_SYNC} SELECT feature_version, CAST(s.shard_id AS INTEGER) AS shard_id FROM (SELECT DISTINCT feature_version, unnest(range(0, 24)) AS shard_id FROM sync) s
+@query(f"""{_SYNC} SELECT feature_version, CAST(s.shard_id AS INTEGER) AS shard_id FROM (SELECT DISTINCT feature_version, unnest(range(0, 25)) AS shard_id FROM sync) s
  WHERE NOT EXISTS (SELECT 1 FROM shard d WHERE d.feature_version = s.feature_version AND d.shard_id = s.shard_id AND d.status = 'success')""")
 def pending_shards(spark, sf):
-    planned = _syncs(spark, sf).select("feature_version", F.explode(F.sequence(F.lit(0), F.lit(23))).alias("shard_id"))
+    planned = _syncs(spark, sf).select("feature_version", F.explode(F.sequence(F.lit(0), F.lit(24))).alias("shard_id"))
     return publish.pending_shards(planned, _shards(spark, sf))
 
 
@@ -414,9 +412,18 @@ def gate_a(spark, sf):
     return reconstruct.gate_summary(_gated(spark, sf)[2])
 
 
-@query(f"{_TARGETS} SELECT target_id, true AS before_reference, true AS feasible, true AS provenance, true AS no_label, true AS sane_volume FROM ok")
+_NTH = "CAST(substr(target_id, 2) AS BIGINT)"
+
+
+@query(f"{_TARGETS} SELECT target_id, {_NTH} % 7 <> 0 AS before_reference, {_NTH} % 13 <> 0 AS feasible, {_NTH} % 11 <> 0 AS provenance, true AS no_label, true AS sane_volume FROM ok")
 def gates_b_to_f(spark, sf):
+    """Some plans lose their first slot, some events come too late or from elsewhere: the gates must say so."""
     plans, made, _ = _gated(spark, sf)
+    nth = F.substring("target_id", 2, 20).cast("long")
+    plans = plans.withColumn("slots", F.when(nth % 13 == 0, F.slice("slots", F.lit(2), F.size("slots"))).otherwise(F.col("slots")))
+    late = (nth % 7 == 0) & (F.col("gen_reason") == "f5") & (F.col("occurrence") == 0)
+    made = made.withColumn("event_ts", F.when(late, F.col("event_ts") + F.make_dt_interval(F.lit(400))).otherwise(F.col("event_ts")))
+    made = made.withColumn("source_type", F.when(nth % 11 == 0, "imported").otherwise(F.col("source_type")))
     return reconstruct.gates_b_to_f(plans, made)
 
 
@@ -462,8 +469,7 @@ def stream_routing(spark, sf):
 
 
 def _scratch(spark) -> str:
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    return f"{root}/stream-{spark.sparkContext.applicationId}-{F.rand()._jc.hashCode()}" if root else tempfile.mkdtemp(prefix="spark-stream-", dir="/tmp")
+    return I.scratch(spark, "stream")
 
 
 _TAKEN = "SELECT event_id, 'U' || user_id AS user_id, event_type, ts AS event_ts, value AS price FROM events WHERE event_id % 20 > 4"
@@ -522,22 +528,17 @@ def stream_bucket_5m(spark, sf):
     """Five-minute counters in update mode: the last state of each bucket, by a sink that upserts."""
     root = _scratch(spark)
     counted = stream.buckets(_streamed_events(spark, sf).withWatermark("event_ts", stream.WATERMARK))
-    state: list = []
-
-    def upsert(batch, batch_id):
-        rows = batch if not state else stream.merge_latest(state[-1].withColumn("k", F.xxhash64("user_id", "bucket")), batch.withColumn("k", F.xxhash64("user_id", "bucket")), "k", "events").drop("k")
-        rows.write.mode("overwrite").parquet(f"{root}/overlay-{batch_id}")
-        state[:] = [spark.read.parquet(f"{root}/overlay-{batch_id}")]
-
-    run = counted.writeStream.outputMode("update").foreachBatch(upsert).option("checkpointLocation", f"{root}/state").trigger(availableNow=True).start()
+    run = counted.writeStream.outputMode("update").foreachBatch(lambda b, i: stream.upsert(b, i, f"{root}/overlay", ["user_id", "bucket"], "events"))
+    run = run.option("checkpointLocation", f"{root}/state").trigger(availableNow=True).start()
     run.awaitTermination()
-    return state[-1].select("user_id", F.unix_seconds("bucket").alias("bucket"), "events", "page_view", F.round("gmv", 4).alias("gmv"))
+    rows = stream.last_state(spark, f"{root}/overlay")
+    return rows.select("user_id", F.unix_seconds("bucket").alias("bucket"), "events", "page_view", F.round("gmv", 4).alias("gmv"))
 
 
-def _overlay(spark, sf):
+def _overlay(spark, sf, now=None):
     e = I.read(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
     rows = e.select(F.concat(F.lit("U"), F.col("user_id")).alias("user_id"), I._when("event_type", I.KINDS).alias("event_type"), F.col("ts").alias("event_ts"), F.col("value").alias("price"), F.lit(1).alias("quantity"))
-    now = S.epoch_seconds(F.lit(_NOW).cast("timestamp"))
+    now = S.epoch_seconds(F.lit(_NOW).cast("timestamp")) if now is None else now
     return stream.overlay(stream.buckets(rows), now), now
 
 
@@ -551,9 +552,11 @@ def overlay_1h(spark, sf):
     return o.select("user_id", "rt_events_1h", "rt_page_view_1h", "rt_page_view_5m", F.round("rt_gmv_1h", 4).alias("rt_gmv_1h"), F.unix_micros("last_event_ts").alias("last_us"))
 
 
-@query(f"{_OVER} SELECT user_id FROM o WHERE epoch(last_ts) >= epoch(TIMESTAMP '{_NOW}') - 300")
+@query(f"{_OVER.replace(f"epoch(TIMESTAMP '{_NOW}')", '(SELECT floor(epoch(max(ts)) / 300) * 300 FROM events)')} SELECT user_id FROM o WHERE epoch_us(last_ts) >= (SELECT epoch_us(max(ts)) FROM events) - 300000000")
 def active_users_5m(spark, sf):
-    o, now = _overlay(spark, sf)
+    """Users active in the five minutes before the last event there is."""
+    last = I.read(spark, sf, "events").agg(S.epoch_seconds(F.max("ts").cast("timestamp")).alias("s")).first().s
+    o, now = _overlay(spark, sf, F.lit(last))
     return stream.active_users(stream.unexpired(o, now), now).select("user_id")
 
 
@@ -579,7 +582,7 @@ def session_latest(spark, sf):
 def session_state(spark, sf):
     """The same by keyed state on a stream."""
     root = _scratch(spark)
-    state = stream.session_state(_streamed_events(spark, sf))
+    state = stream.session_state(_streamed_events(spark, sf).withWatermark("event_ts", stream.WATERMARK))
 
     def land(batch, batch_id):
         batch.withColumn("batch", F.lit(batch_id)).write.mode("overwrite").parquet(f"{root}/out/b={batch_id}")

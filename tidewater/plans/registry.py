@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidewater.plans import features, operations
+from tidewater.plans import features, operations, records
 
-QUERIES = features.QUERIES | operations.QUERIES
-ORACLE_SQL = features.ORACLE_SQL | operations.ORACLE_SQL
+QUERIES = features.QUERIES | operations.QUERIES | records.QUERIES
+ORACLE_SQL = features.ORACLE_SQL | operations.ORACLE_SQL | records.ORACLE_SQL

@@ -66,6 +66,26 @@ def shard(rows: DataFrame, key: str, shard_id: int, shards: int, columns: list[s
     return rows.where(hash_shard(F.col(key), shards) == shard_id).select(*columns)
 
 
+def members(rows: DataFrame, ids: DataFrame, key: str, day: str | None = None) -> DataFrame:
+    """Rows of the keys that ``ids`` lists, of one partition day if it is given."""
+    rows = rows if day is None else rows.where(F.col("dt") == F.to_date(F.lit(day)))
+    return rows.join(ids.select(key).distinct(), key, "left_semi")
+
+
+def append(rows: DataFrame, path: str) -> None:
+    """Add rows to a log; what is there stays."""
+    rows.write.mode("append").parquet(path)
+
+
+def land_counted(rows: DataFrame, root: str, by: list[str]) -> int:
+    """Write to a root of its own and count what can be read back; fails if that isn't what was given."""
+    write_partitions(rows, root, by)
+    given, there = rows.count(), rows.sparkSession.read.parquet(root).join(rows.select(*by).distinct(), by, "left_semi").count()
+    if given != there:
+        raise ValueError(f"{root}: {given} rows given, {there} landed")
+    return there
+
+
 def write_partitions(rows: DataFrame, path: str, by: list[str]) -> None:
     """Overwrite just the partitions that ``rows`` holds; other partitions stay."""
     rows.repartition(*by).write.partitionBy(*by).option("partitionOverwriteMode", "dynamic").option("compression", "snappy").mode("overwrite").parquet(path)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tidewater.functions.scalars import BUCKET_SECONDS, bucket_start, epoch_seconds, window_cutoff
+from tidewater.sources.lake import offset_conflicts
 
 #: Event types, required fields and what each type counts towards.
 EVENT_TYPES = ("app_open", "page_view", "search", "add_to_cart", "checkout", "order", "voucher_view", "voucher_claim")
@@ -23,6 +24,8 @@ FUTURE_SKEW_SECONDS = 300
 ALLOWED_LATENESS_SECONDS = 600
 DEDUP_MEMORY = "24 hours"
 WATERMARK = "1 hour"
+SESSION_TTL_SECONDS = 3600
+TRIGGER_SECONDS = 30
 PAYLOAD = "event_id string, user_id string, event_type string, event_ts string, session_id string, platform string, item_id string, category_id string, price double, quantity int, schema_version int"
 
 
@@ -120,6 +123,9 @@ SESSION = "user_id string, session_id string, session_start double, session_end
 
 def _session_step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
     """A user's latest session: another one takes over only if it isn't older; the same one grows at both ends."""
+    if state.hasTimedOut:
+        state.remove()
+        return
     session, begin, end = state.get if state.exists else (None, 0.0, 0.0)
     rows = pd.concat(list(batches)).sort_values(["event_s", "session_id"])
     for name, at in zip(rows["session_id"], rows["event_s"], strict=True):
@@ -131,13 +137,17 @@ def _session_step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState
             session, begin, end = name, at, at
     if session is not None:
         state.update((session, begin, end))
+        state.setTimeoutTimestamp(max(int(end * 1000) + SESSION_TTL_SECONDS * 1000, state.getCurrentWatermarkMs() + 1))
         yield pd.DataFrame({"user_id": [key[0]], "session_id": [session], "session_start": [begin], "session_end": [end], "session_len": [end - begin]})
 
 
 def session_state(events: DataFrame) -> DataFrame:
-    """The latest session of each user, a row whenever events of the user arrive."""
-    rows = events.select("user_id", "session_id", epoch_seconds(F.col("event_ts")).alias("event_s"))
-    return rows.groupBy("user_id").applyInPandasWithState(_session_step, SESSION, "session_id string, begin double, end double", "update", GroupStateTimeout.NoTimeout)
+    """The latest session of each user, a row whenever events of the user arrive.
+
+    ``events`` need a watermark: a user's state goes once that is SESSION_TTL_SECONDS past the user's last event.
+    """
+    rows = events.select("event_ts", "user_id", "session_id", epoch_seconds(F.col("event_ts")).alias("event_s"))
+    return rows.groupBy("user_id").applyInPandasWithState(_session_step, SESSION, "session_id string, begin double, end double", "update", GroupStateTimeout.EventTimeTimeout)
 
 
 def latest_sessions(events: DataFrame) -> DataFrame:
@@ -148,18 +158,89 @@ def latest_sessions(events: DataFrame) -> DataFrame:
     return last.select("user_id", "s.session_id", a.alias("session_start"), b.alias("session_end"), (b - a).alias("session_len"))
 
 
+class OffsetConflict(ValueError):
+    """A place in the log came again with another payload."""
+
+
+def _landed(spark: SparkSession, lake: str) -> DataFrame | None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(lake)
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        return None
+    return spark.read.option("basePath", lake).parquet(f"{lake}/batch=*")
+
+
 def land(batch: DataFrame, batch_id: int, lake: str, dlq: str) -> None:
-    """One micro-batch: valid rows to the lake by day and hour, others to the dead letters.
+    """One micro-batch: valid rows to the lake by day and hour, in order of the log, others to the dead letters.
 
-    Both go to folders named by the batch, so a replay after a crash overwrites what it wrote.
+    Both go to folders named by the batch, so a replay after a crash overwrites what it wrote. A
+    place in the log that has landed with another payload fails the batch before anything is written;
+    of what has landed only the batch's own range of offsets is read for that.
     """
     decoded = decode(batch).persist()
     rows = accepted(decoded).withColumns({"dt": F.to_date("event_ts"), "hour": F.hour("event_ts")})
+    low, high = rows.agg(F.min("kafka_offset"), F.max("kafka_offset")).first()
+    before = _landed(batch.sparkSession, lake) if low is not None else None
+    if before is not None:
+        near = before.where(F.col("kafka_offset").between(low, high)).select(*rows.columns)
+        if not offset_conflicts(near, rows).isEmpty():
+            decoded.unpersist()
+            raise OffsetConflict(f"batch {batch_id}: offsets {low} to {high} have landed with another payload")
+    rows = rows.repartition("dt", "hour").sortWithinPartitions("dt", "hour", "kafka_partition", "kafka_offset")
     rows.write.partitionBy("dt", "hour").mode("overwrite").parquet(f"{lake}/batch={batch_id}")
     rejected(decoded).write.mode("overwrite").parquet(f"{dlq}/batch={batch_id}")
     decoded.unpersist()
 
 
+def start_landing(messages: DataFrame, lake: str, dlq: str, checkpoint: str, once: bool = False):
+    """The running query that lands ``messages``, a batch every TRIGGER_SECONDS; with ``once`` it ends when all there is has landed."""
+    trigger = {"availableNow": True} if once else {"processingTime": f"{TRIGGER_SECONDS} seconds"}
+    writer = messages.writeStream.foreachBatch(lambda b, i: land(b, i, lake, dlq)).option("checkpointLocation", checkpoint)
+    return writer.trigger(**trigger).start()
+
+
+def observed_lag(events: DataFrame, now: Column, name: str = "lag") -> DataFrame:
+    """``events``, of which each batch reports how many seconds they took (n, p50_s, p95_s, max_s) as an observed metric."""
+    seconds = epoch_seconds(now) - epoch_seconds(F.col("event_ts"))
+    quantile = lambda q: F.percentile_approx(seconds, q, 10_000)
+    return events.observe(name, F.count("*").alias("n"), quantile(0.5).alias("p50_s"), quantile(0.95).alias("p95_s"), F.max(seconds).alias("max_s"))
+
+
+def _states(spark: SparkSession, root: str) -> list[int]:
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [f.getPath().getName() for f in files.listStatus(path)] if files.exists(path) else []
+    done = [int(n.removeprefix("state=")) for n in names if n.startswith("state=")]
+    return sorted(d for d in done if files.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{root}/state={d}/_SUCCESS")))
+
+
+def last_state(spark: SparkSession, root: str, before: int | None = None) -> DataFrame | None:
+    """The newest whole state under ``root``, of batches before ``before`` if that is given; None if there is none."""
+    done = [d for d in _states(spark, root) if before is None or d < before]
+    return spark.read.parquet(f"{root}/state={done[-1]}") if done else None
+
+
+def upsert(batch: DataFrame, batch_id: int, root: str, keys: list[str], order: str, ttl: int | None = None) -> None:
+    """The state of all keys after a batch, as a folder named by it; a batch that comes again overwrites its own.
+
+    The state before is what lies on disk, so a restart goes on from there; rows whose last event is
+    ``ttl`` seconds older than the newest one are let go, and states before the last but one deleted.
+    """
+    from tidewater.operators.staging import keep_first
+
+    spark = batch.sparkSession
+    old, rows = last_state(spark, root, batch_id), batch.withColumn("_new", F.lit(1))
+    if old is not None:
+        rows = old.withColumn("_new", F.lit(0)).unionByName(rows)
+    rows = keep_first(rows, keys, [F.desc(order), F.desc("_new")]).drop("_new")
+    if ttl is not None:
+        newest = rows.agg(F.max("last_event_ts")).first()[0]
+        rows = rows.where(F.col("last_event_ts") >= F.lit(newest) - F.make_dt_interval(secs=F.lit(ttl)))
+    rows.write.mode("overwrite").parquet(f"{root}/state={batch_id}")
+    for stale in [d for d in _states(spark, root) if d < batch_id][:-1]:
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/state={stale}")
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def merge_latest(old: DataFrame, new: DataFrame, key: str, order: str) -> DataFrame:
     """Overlay upsert: of each key the row that is last by ``order``, the new one if equal."""
     from tidewater.operators.staging import keep_first
