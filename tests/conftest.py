@@ -37,9 +37,7 @@ def _lost(session: SparkSession) -> bool:
 _current: list[SparkSession] = []
 
 
-@pytest.fixture
-def spark():
-    """One session for all tests; a test that follows a lost one gets a new one."""
+def _alive() -> SparkSession:
     if _current and _lost(_current[0]):
         _current.clear()
         with contextlib.suppress(Exception):
@@ -51,6 +49,18 @@ def spark():
     return _current[0]
 
 
+class _Restarting:
+    """The one session of all tests; where it has been lost, the test that follows gets a new one."""
+
+    def __getattr__(self, name: str):
+        return getattr(_alive(), name)
+
+
+@pytest.fixture(scope="session")
+def spark():
+    return _Restarting()
+
+
 def pytest_sessionfinish():
     if _current and not _lost(_current[0]):
         _current[0].stop()
