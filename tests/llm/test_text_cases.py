@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tidewater.llm import decontam, grouping, langid, lines, mixing, neighbours, quality, secrets, substrings
+from tidewater.llm import decontam, grouping, langid, licenses, lines, mixing, neighbours, quality, secrets, substrings
 from test_text_operators import EDGE, EDGE_SCHEMA, brute_groups, by_id, edge, table, text, words
 
 
@@ -157,3 +157,13 @@ def test_pipeline_stages_on_odd_rows(spark, tmp_path):
     edge(spark).write.parquet(f"{root}/documents.parquet")
     assert "position" in corpus_pipeline.run(spark, root).columns
     assert EDGE_SCHEMA.startswith("doc_id") and brute_groups([(1, "a")], 85) == {1: (1, 1)}
+
+
+def test_licence_files_as_they_are_published(spark):
+    s = licenses.SENTENCES
+    mit = f"MIT License\n\nCopyright (c) 2020 Some One\n\n{s['mit-grant']}:\n\n{s['mit-notice']}.\n\n{s['mit-warranty']}. {s['mit-liability']}.\n"
+    bsd = f"Copyright 2020 Some One\n\n{s['bsd-grant']}:\n\n1. {s['bsd-source']}.\n\n2. {s['bsd-binary']}.\n"
+    apache = f"Copyright 2020 Some One\n\n{s['apache-terms']};\n{s['apache-may-not']}.\n{s['apache-copy-at']}\n\n    http://www.apache.org/licenses/LICENSE-2.0\n\n{s['apache-warranty']}.\n{s['apache-see']}.\n"
+    got = by_id(licenses.scan(table(spark, [(1, mit), (2, bsd), (3, apache), (4, mit.replace("of this software", "of\n    this software"))])))
+    assert got[1].rules == "mit-grant,mit-text,mit-title-short" and got[2].rules == "bsd-text"
+    assert got[3].rules == "apache-notice-file,apache-terms" and "mit-text" in got[4].rules

@@ -2,7 +2,8 @@
 
 A text is cut into sentences; each is normalised and, if it is a known licence sentence, named. The
 names in order, with a mark for every unknown sentence, are held against rules, ordered sequences
-of names: a rule is met where its names stand next to each other.
+of names: a rule is met where its names follow each other with at most ``GAP`` unknown sentences
+between two of them, such as numbers of clauses, addresses and copyright lines.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ SENTENCES = {
     "mit-ref": "Released under the MIT License",
     "mit-ref-licensed": "Licensed under the MIT License",
     "mit-title": "The MIT License (MIT)",
+    "mit-title-short": "MIT License",
     "mit-grant": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions",
     "mit-notice": "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software",
     "mit-warranty": "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT",
@@ -48,9 +50,11 @@ RULES = (
     ("mit-text", "MIT", ("mit-grant", "mit-notice", "mit-warranty", "mit-liability")),
     ("mit-grant", "MIT", ("mit-grant",)),
     ("mit-title", "MIT", ("mit-title",)),
+    ("mit-title-short", "MIT", ("mit-title-short",)),
     ("mit-ref", "MIT", ("mit-ref",)),
     ("mit-ref-licensed", "MIT", ("mit-ref-licensed",)),
     ("apache-notice", "Apache-2.0", ("apache-terms", "apache-may-not", "apache-copy", "apache-warranty", "apache-see")),
+    ("apache-notice-file", "Apache-2.0", ("apache-terms", "apache-may-not", "apache-copy-at", "apache-warranty", "apache-see")),
     ("apache-terms", "Apache-2.0", ("apache-terms", "apache-may-not")),
     ("apache-ref", "Apache-2.0", ("apache-ref",)),
     ("gpl3-ref", "GPL-3.0", ("gpl3-ref",)),
@@ -66,7 +70,8 @@ RULES = (
 )
 #: Every known sentence holds one of these, so a text without them needs no sentences.
 KEYWORDS = r"(?i)licen|permi|redistribut|copyright|warrant"
-END = r"[.;:!?]+([\x20\x09-\x0D]|\z)"
+END = r"[.;:!?]+([\x20\x09-\x0D]|\z)|\n[\x20\x09*#/-]*\n"
+GAP = 3
 UNKNOWN = "?"
 
 
@@ -86,13 +91,14 @@ def _parts(sentence: str) -> list[str]:
 
 
 def _table() -> tuple[dict[str, str], list[tuple[str, str, str]]]:
-    """Names by normalised sentence, and rules with their sequence as text."""
+    """Names by normalised sentence, and rules with their sequence as a pattern."""
     names: dict[str, str] = {}
     whole: dict[str, list[str]] = {}
     for name, sentence in SENTENCES.items():
         parts = _parts(sentence)
         whole[name] = [names.setdefault(p, name if len(parts) == 1 else f"{name}-{k}") for k, p in enumerate(parts)]
-    rules = [(rule, licence, "," + ",".join(n for s in sequence for n in whole[s]) + ",") for rule, licence, sequence in RULES]
+    between = rf",(\?,){{0,{GAP}}}"
+    rules = [(rule, licence, "," + between.join(n for s in sequence for n in whole[s]) + ",") for rule, licence, sequence in RULES]
     return names, rules
 
 
@@ -104,8 +110,9 @@ def scan(docs: DataFrame) -> DataFrame:
 
     n_known counts sentences that are known, sentence_ids lists them in order, rules those that
     match and licences theirs, sorted, each once; all lists are comma-joined. A sentence ends with
-    . ; : ! or ? before white space or the text's end; one that isn't known as a whole is tried by
-    its last line. Null and empty texts have none: 0 and empty strings.
+    . ; : ! or ? before white space or the text's end, or at a blank line; one that isn't known as a whole is tried by
+    its last line. Null and empty texts have none: 0 and empty strings; repeated rows and ids each
+    count for themselves, and a text may be of any length.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     sentences = F.split(F.regexp_replace(text, END, "\u0001$1"), "\u0001", -1)
@@ -121,7 +128,7 @@ def scan(docs: DataFrame) -> DataFrame:
     found = docs.select("doc_id", named.alias("named"))
     found = found.withColumn("sequence", F.concat(F.lit(","), F.concat_ws(",", "named"), F.lit(",")))
     ids = F.filter("named", lambda n: n != UNKNOWN)
-    met = [F.when(F.contains("sequence", F.lit(sequence)), F.lit(k)) for k, (_, _, sequence) in enumerate(SEQUENCES)]
+    met = [F.when(F.col("sequence").rlike(sequence), F.lit(k)) for k, (_, _, sequence) in enumerate(SEQUENCES)]
     found = found.select("doc_id", ids.alias("ids"), F.array_compact(F.array(*met)).alias("met"))
     rule_names, licences = (F.array(*(F.lit(r[k]) for r in SEQUENCES)) for k in (0, 1))
     pick = lambda names: F.concat_ws(",", F.array_sort(F.array_distinct(F.transform("met", lambda k: F.element_at(names, k + 1)))))

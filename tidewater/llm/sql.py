@@ -56,7 +56,7 @@ s AS (
   FROM n GROUP BY doc_id
 ), m AS (
   SELECT doc_id, list_sort(list_distinct(list(rule))) AS rules, list_sort(list_distinct(list(licence))) AS licences
-  FROM q JOIN rules ON contains(q.seq, rules.seq) GROUP BY doc_id
+  FROM q JOIN rules ON regexp_matches(q.seq, rules.seq) GROUP BY doc_id
 )
 SELECT d.doc_id, CAST(coalesce(n_known, 0) AS BIGINT) AS n_known, coalesce(ids, '') AS sentence_ids,
   coalesce(array_to_string(rules, ','), '') AS rules, coalesce(array_to_string(licences, ','), '') AS licences
