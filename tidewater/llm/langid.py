@@ -66,7 +66,8 @@ def predict(docs: DataFrame, model: dict[str, bytes]) -> DataFrame:
     """(doc_id, lang_pred, score, rejected) of every whole text.
 
     A null text, one without a letter, or a model without languages gives ``und`` with score 0 and
-    rejected; equal sizes go to the language that sorts first.
+    rejected; equal sizes go to the language that sorts first. One row a row of ``docs``, repeated or
+    not; a text of any length is compressed block by block.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
 

@@ -108,7 +108,10 @@ def fit(docs: DataFrame, labels: DataFrame) -> dict:
 
 
 def scorer(spark: SparkSession, model: dict) -> Callable[[Column], Column]:
-    """A function from a text column to the score of each whole text; null and empty texts get the curve's middle."""
+    """A function from a text column to the score of each whole text; null and empty texts get the curve's middle.
+
+    Equal texts get equal scores; a text of any length is compressed block by block.
+    """
     small_batches(spark)
     slope, intercept = model["slope"], model["intercept"]
 
