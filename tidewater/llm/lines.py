@@ -8,26 +8,29 @@ Candidates follow from that rule without loss. An edit changes at most two of a
 neighbouring words, so a pair of lines that may be linked differs in a bounded number of them; if
 all lines sort theirs in one order, the first of them, one more than that number, have one in common,
 which is the join key. Rare ones come first in the order, so that keys tell lines apart. A candidate is
-compared if the lengths allow it and SimHashes over the words, four of 64 bits, differ in at most
-``DISTANCE`` bits in the first and ``DISTANCE_OF_ALL`` in all.
+compared if the lengths allow it and SimHashes over the pairs of neighbouring words, four of 64 bits,
+differ in at most ``DISTANCE`` bits in the first and ``most_bits`` in all. Pairs of words tell lines of
+a common vocabulary apart, which single words don't.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.llm.common import cut, first_rows, map_batches, one_per_id, sampled_texts, text_dictionary, zipped, zipper
 from tidewater.llm.grouping import link_groups, shared_buckets
 from tidewater.llm.words import located_hashes, mix, signed
 
-#: Words that differ by the fifth that SIMILARITY allows turn 13 of 64 bits, with a deviation of 3.2.
-DISTANCE = 26
-#: And of 256 bits 52, with a deviation of 6.5; unlike lines differ in some 128.
-DISTANCE_OF_ALL = 84
+#: Word pairs that differ by half turn 21 of 64 bits, with a deviation of 3.8; unlike lines differ in some 32.
+DISTANCE = 36
 SIMHASHES = 4
+#: Bits beyond the expected number, in all SimHashes, that a pair may differ in: four deviations.
+SLACK = 30
 SIMILARITY = 0.8
 #: Shorter lines (headings, list items, braces) are never removed.
 MIN_WORDS = 5
@@ -46,14 +49,14 @@ def normalise(line: str) -> bytes:
     return b" ".join(line.lower().encode("utf-8", "surrogatepass").translate(_NORMAL).split())
 
 
-#: Words whose bits a byte can count.
+#: Features whose bits a byte can count.
 _COUNTABLE = 255
 
 
 def simhashes(begin: np.ndarray, count: np.ndarray, words: np.ndarray) -> np.ndarray:
-    """SIMHASHES SimHashes for each line of ``count`` words from ``begin`` on: bit b is the majority of bit b over its words; a tie gives 0.
+    """SIMHASHES SimHashes for each line of ``count`` features from ``begin`` on: bit b is the majority of bit b over them; a tie gives 0.
 
-    Eight bits of a word are added at once, each in a byte of its own; lines of more words than a
+    Eight bits of a feature are added at once, each in a byte of its own; lines of more than a
     byte can count are added up from parts.
     """
     parts = -(-count // _COUNTABLE)
@@ -159,6 +162,15 @@ def prefix_lengths(n: np.ndarray) -> np.ndarray:
     return most + 1
 
 
+def most_bits(n: Column) -> Column:
+    """The most bits of all SimHashes that a line of ``n`` words may differ in from a shorter one it is linked with.
+
+    An edit changes two word pairs of n - 1 at most, which bounds the cosine and so the expected bits.
+    """
+    cosine = 1 - 2 * F.floor((1 - SIMILARITY) * n + 1e-9) / (n - 1)
+    return F.acos(cosine) * (64 * SIMHASHES / math.pi) + SLACK
+
+
 def common_words(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Hashes, sorted, and counts of the words that a bounded sample of texts holds more than once."""
     sample = [t.lower().encode("utf-8", "surrogatepass").translate(_NORMAL) for t in sampled_texts(docs, SAMPLE_DOCS, SAMPLE_CHARS)]
@@ -166,6 +178,11 @@ def common_words(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return names[counts > 1], counts[counts > 1]
 
 
+def word_pairs(words: np.ndarray) -> np.ndarray:
+    """A hash of each word with the next."""
+    return mix(words[:-1] * np.uint64(0xD6E8FEB86659FD93) + words[1:])
+
+
 _NONE = (np.empty(0, np.uint64), np.empty(0, np.int64))
 #: Lines whose word pairs are sorted at once: their number within takes 16 bits of the sort's key.
 _SORTED = 1 << 16
@@ -180,12 +197,12 @@ def line_keys(words: np.ndarray, count: np.ndarray, common: tuple[np.ndarray, np
         return tuple(np.concatenate(p) for p in zip(*parts, strict=True))
     line = np.repeat(np.arange(len(count), dtype=np.uint64), count)
     inside = line[1:] == line[:-1]
+    pairs = word_pairs(words)[inside]
     often = np.zeros(len(words), np.float32)
     if len(common[0]):
         at = np.minimum(np.searchsorted(common[0], words), len(common[0]) - 1)
         often = np.where(common[0][at] == words, np.log2(common[1][at]), 0).astype(np.float32)
     rank = np.minimum(often[:-1] + often[1:], 63)[inside].astype(np.uint64)
-    pairs = mix(words[:-1] * np.uint64(0xD6E8FEB86659FD93) + words[1:])[inside]
     line = line[1:][inside]
     # Line, then how common the words are, then the pair's hash: one number, one sort.
     order = np.argsort(line << np.uint64(48) | rank << np.uint64(42) | pairs >> np.uint64(22))
@@ -203,7 +220,7 @@ SEEN = 500_000
 
 
 def parted(texts: list[str | None]) -> tuple[np.ndarray, ...]:
-    """Text, line, words, id and first word of the lines of MIN_WORDS words and more of ``texts``, and those lines' words' hashes."""
+    """Text, line, words and id of the lines of MIN_WORDS words and more of ``texts``, and those lines' words' hashes."""
     raws = [(t or "").lower().encode("utf-8", "surrogatepass") for t in texts]
     first = np.cumsum([0] + [r.count(b"\n") + 1 for r in raws])
     raw = b"\n".join(raws).translate(_NORMAL_LINES)
@@ -218,29 +235,41 @@ def parted(texts: list[str | None]) -> tuple[np.ndarray, ...]:
     sums = np.add.reduceat(mix(words + place.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), begin) if len(line) else words[:0]
     ids = signed(mix(sums + mix(count.astype(np.uint64))))
     owner = np.searchsorted(first, line, "right") - 1
-    return owner, line - first[owner], count, ids, begin, words
+    return owner, line - first[owner], count, ids, words
 
 
-def sketched(count: np.ndarray, begin: np.ndarray, words: np.ndarray, common: tuple[np.ndarray, np.ndarray], wanted: np.ndarray) -> tuple[np.ndarray, ...]:
-    """SimHashes of all lines; join keys of the wanted ones, and how many each line has."""
-    many = np.zeros(len(count), np.int64)
-    keys, many[wanted] = line_keys(words[np.repeat(wanted, count)], count[wanted], common)
-    return simhashes(begin, count, words), keys, many
+def sketched(count: np.ndarray, words: np.ndarray, common: tuple[np.ndarray, np.ndarray], wanted: np.ndarray) -> tuple[np.ndarray, ...]:
+    """SimHashes and join keys of the wanted lines, and how many keys each line has; the others' SimHashes are 0.
+
+    A line's last word forms no pair, so a line of n words has n - 1 features.
+    """
+    many, sims = np.zeros(len(count), np.int64), np.zeros((len(count), SIMHASHES), np.int64)
+    words, count = words[np.repeat(wanted, count)], count[wanted]
+    if len(count):
+        keys, many[wanted] = line_keys(words, count, common)
+        last = np.cumsum(count) - 1
+        pairs = word_pairs(words)
+        inside = np.ones(len(words), bool)
+        inside[last] = False
+        sims[wanted] = simhashes(last + 1 - count - np.arange(len(count)), count - 1, pairs[inside[:-1]])
+        return sims, keys, many
+    return sims, np.empty(0, np.int64), many
 
 
 def hashed_lines(text: str, common: tuple[np.ndarray, np.ndarray] = _NONE) -> tuple[np.ndarray, ...]:
     """Numbers, ids, SimHashes and words of a text's lines of MIN_WORDS words and more, then their keys and how many each has."""
-    _, line, count, ids, begin, words = parted([text])
+    _, line, count, ids, words = parted([text])
     if not len(line):
         return tuple(np.empty(0, np.int64) for _ in range(6))
-    sims, keys, many = sketched(count, begin, words, common, np.ones(len(line), bool))
+    sims, keys, many = sketched(count, words, common, np.ones(len(line), bool))
     return line, ids, sims[:, 0], count, keys, many
 
 
 def lines(docs: DataFrame) -> DataFrame:
     """(doc_id, line, id, n, s0 to s3, keys): lines of MIN_WORDS words and more, ``id`` hashing the normalised line of n words.
 
-    A task gives a line's keys once, not for each equal line, as long as it remembers it.
+    A task gives a line's keys and SimHashes once, not for each equal line, as long as it remembers it;
+    rows without keys have none.
     """
     common = common_words(docs)
 
@@ -253,10 +282,10 @@ def lines(docs: DataFrame) -> DataFrame:
             return np.array([not (n in seen or seen.add(n)) for n in names.tolist()], bool)
 
         def step(ids, texts):
-            owner, line, count, names, begin, words = parted([t if i is not None else None for i, t in zip(ids, texts, strict=True)])
+            owner, line, count, names, words = parted([t if i is not None else None for i, t in zip(ids, texts, strict=True)])
             if not len(line):
                 return [[] for _ in range(5 + SIMHASHES)]
-            sims, keys, many = sketched(count, begin, words, common, unseen(names))
+            sims, keys, many = sketched(count, words, common, unseen(names))
             lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(many)), pa.int32()), pa.array(keys))
             return pa.array(ids).take(pa.array(owner)), line, names, count, *sims.T, lists
 
@@ -306,7 +335,8 @@ def repeated_lines(docs: DataFrame, dictionary: bytes) -> DataFrame:
     """(doc_id, gone): the lines of each document that are not the first of their group, by number."""
     found = cut(lines(docs))
     # The smallest place stands for all equal lines.
-    distinct = cut(found.groupBy("id").agg(*(F.min(c).alias(c) for c in ("n", *_SIMS)), F.min(F.struct("doc_id", "line")).alias("at")))
+    sims = (F.max(F.when(F.size("keys") > 0, F.col(c))).alias(c) for c in _SIMS)
+    distinct = cut(found.groupBy("id").agg(F.min("n").alias("n"), *sims, F.min(F.struct("doc_id", "line")).alias("at")))
     keys = found.select("id", F.explode("keys").alias("key"))
     # Most pairs of words occur in one line only: few keys are left after the first aggregation.
     several = keys.groupBy("key").agg(F.min("id").alias("x"), F.max("id").alias("y")).where("x <> y").select("key")
@@ -316,7 +346,7 @@ def repeated_lines(docs: DataFrame, dictionary: bytes) -> DataFrame:
         longer = F.greatest(f"{a}n", f"{b}n")
         apart = F.abs(F.col(f"{a}n") - F.col(f"{b}n")) <= F.floor((1 - SIMILARITY) * longer + 1e-9)
         bits = [F.bit_count(F.col(f"{a}{c}").bitwiseXOR(F.col(f"{b}{c}"))) for c in _SIMS]
-        return apart & (bits[0] <= DISTANCE) & (sum(bits[1:], bits[0]) <= DISTANCE_OF_ALL)
+        return apart & (bits[0] <= DISTANCE) & (sum(bits[1:], bits[0]) <= most_bits(longer))
 
     def fetch(ids):
         places = ids.join(distinct, "id").groupBy("at.doc_id").agg(F.collect_list(F.struct("id", "at.line")).alias("wanted"))
