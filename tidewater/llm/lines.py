@@ -364,13 +364,11 @@ def _with_lines_left(docs: DataFrame, gone: DataFrame) -> DataFrame:
     """``docs`` with ``_tidewater_gone``, the numbers of its repeated lines (null: none), and ``_tidewater_text`` without them."""
     gone = gone.select(F.col("doc_id").alias("_tidewater_id"), F.col("gone").alias("_tidewater_gone"))
     rows = docs.join(gone, docs["doc_id"] == gone["_tidewater_id"], "left").drop("_tidewater_id")
-    parts = F.split("text", "\n", -1)
-    kept = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("_tidewater_gone"))
-    left = F.array_join(F.transform(kept, lambda k: F.element_at(F.col("_tidewater_parts"), k + 1)), "\n")
-    lost = F.col("_tidewater_gone").isNotNull()
-    # Split once, and only where a line goes.
-    rows = rows.withColumn("_tidewater_parts", F.when(lost, parts))
-    return rows.withColumn("_tidewater_text", F.when(lost, left).otherwise(F.col("text")))
+    kept = lambda parts: F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("_tidewater_gone"))
+    left = lambda parts: F.array_join(F.transform(kept(parts), lambda k: F.element_at(parts, k + 1)), "\n")
+    # As the variable of an outer transform, the text's lines are split once and not for each line kept.
+    text = F.transform(F.array(F.split("text", "\n", -1)), left)[0]
+    return rows.withColumn("_tidewater_text", F.when(F.col("_tidewater_gone").isNotNull(), text).otherwise(F.col("text")))
 
 
 def deduplicate(docs: DataFrame) -> DataFrame:
