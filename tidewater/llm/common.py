@@ -15,17 +15,21 @@ from pyspark.sql import functions as F
 BATCH_ROWS = 256
 
 
+#: The folder of a local session without that setting, once there is one.
+_own: str | None = None
+
+
 def scratch(spark: SparkSession) -> str:
     """The shared folder for intermediate tables, as ``spark.checkpoint.dir`` names it.
 
     Only a local session may go without that setting; it then gets a temporary folder of its own.
     """
+    global _own
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = "file://" + tempfile.mkdtemp(prefix="spark-tidewater-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _own = _own or "file://" + tempfile.mkdtemp(prefix="spark-tidewater-", dir="/tmp")
     return f"{root}/tidewater-{spark.sparkContext.applicationId}"
 
 

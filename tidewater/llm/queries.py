@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import decontam, langid, licenses, lines, minhash, mixing, neighbours, quality, secrets, substrings
+from tidewater.llm import decontam, langid, licenses, lines, minhash, mixing, negatives, neighbours, quality, secrets, substrings
 from tidewater.llm.common import fold, table
 from tidewater.llm.sql import ORACLE_SQL  # noqa: F401
 
@@ -63,6 +63,12 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents"))
 
 
+def op11_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(vectors.withColumn("label", label), F.col("vec_id") % 100 == 0)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -76,5 +82,6 @@ QUERIES = {
         op8_neighbours,
         op9_minhash,
         op10_secrets,
+        op11_negatives,
     )
 }

@@ -169,6 +169,22 @@ SELECT d.doc_id, CAST(coalesce(a, 0) AS BIGINT) AS n_assign, CAST(coalesce(k, 0)
 FROM documents d LEFT JOIN a ON a.doc_id = d.doc_id
 """
 
+NEGATIVES = """
+WITH r AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.vec_id AS anchor_id, r.vec_id AS other_id, a.label = r.label AS alike, CAST(list_dot_product(a.v, r.v) AS BIGINT) AS score
+  FROM r AS a JOIN r ON a.vec_id <> r.vec_id WHERE a.vec_id % 100 = 0
+), p AS (
+  SELECT anchor_id, other_id AS positive_id, score FROM s WHERE alike QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5
+)
+SELECT p.anchor_id, p.positive_id, CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.other_id) AS INTEGER) AS rank,
+  s.other_id AS negative_id, p.score AS positive_score, s.score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.alike AND 30 * p.score <= 100 * s.score AND 100 * s.score <= 90 * p.score
+QUALIFY row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.other_id) <= 10
+"""
+
 ORACLE_SQL = {
     "op3_decontamination": DECONTAMINATION,
     "op4_licenses": LICENSES,
@@ -176,4 +192,5 @@ ORACLE_SQL = {
     "op6_mixing": MIXING,
     "op9_minhash": MINHASH,
     "op10_secrets": SECRETS,
+    "op11_negatives": NEGATIVES,
 }
