@@ -41,14 +41,14 @@ def result(df):
     return set(map(tuple, rows))
 
 
-@pytest.mark.parametrize("size", [1.0, 5e4, 4e6])
+@pytest.mark.parametrize("size", [1.0, 5e4, 1.5e6])
 def test_scores_are_exact(size):
     r = np.random.default_rng(3)
     x, a = (np.floor(r.standard_normal((n, 7)) * size * 256).astype(np.int64) for n in (2500, 3))
     packed = negatives.Packed(x, a)
     for row in a:
         assert packed.scores(row).tolist() == [sum(int(p) * int(q) for p, q in zip(v, row, strict=True)) for v in x]
-    assert packed.width == {1.0: 4, 5e4: 8, 4e6: 16}[size]
+    assert packed.width == {1.0: 4, 5e4: 8, 1.5e6: 16}[size]
 
 
 def test_odd_rows_ties_and_repeats(spark):
