@@ -54,7 +54,7 @@ def test_scores_are_exact(size):
 def test_odd_rows_ties_and_repeats(spark):
     r = random.Random(5)
     rows = [(i, [r.choice([-0.5, 0.0, 0.25, 0.5, 1.0]) for _ in range(6)], r.randrange(3)) for i in range(300)]
-    rows += [(10, rows[10][1], 9), (7000, None, 1), (7007, [0.5, None, 0, 0, 0, 0], 1), (7014, [float("nan")] * 6, 1), (7021, [float("inf")] * 6, 1)]
+    rows += [(10, rows[10][1], 9), (7000, None, 1), (7007, [0.5, None, 0.0, 0.0, 0.0, 0.0], 1), (7014, [float("nan")] * 6, 1), (7021, [float("inf")] * 6, 1)]
     rows += [(None, [1.0] * 6, 1), (7028, [1.0] * 6, None), (7035, [0.0] * 6, 2)]
     other = [(7042, [1.0] * 5, 1), (7049, [], 1), (7056, [1e30] * 6, 1)]  # another length, and too long for scores that fit
     assert result(negatives.mine(table(spark, rows + other), F.col("vec_id") % 7 == 0)) == brute(rows, 7)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import decontam, langid, licenses, lines, minhash, mixing, negatives, neighbours, quality, secrets, substrings
+from tidewater.llm import decontam, langid, licenses, lines, minhash, mixing, negatives, neighbours, periods, quality, secrets, substrings
 from tidewater.llm.common import fold, table
 from tidewater.llm.sql import ORACLE_SQL  # noqa: F401
 
@@ -69,6 +69,30 @@ def op11_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return negatives.mine(vectors.withColumn("label", label), F.col("vec_id") % 100 == 0)
 
 
+def op13_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    # One document in ten is made periodic from some word on.
+    h = F.crc32(F.col("doc_id").cast("string"))
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    docs = docs.withColumn("h", h).withColumn("w", F.when((h % 10 == 0), words))
+    n, g = F.size("w").cast("long"), F.floor(F.col("h") / 10)
+    a = g % n
+    p = 1 + F.floor((n - a) / (3 + g % 8))
+    times = F.ceil((n - a) / p)
+    part = lambda begin, length: F.slice("w", (begin + 1).cast("int"), length.cast("int"))
+    planted = F.slice(F.concat(part(F.lit(0), a), F.flatten(F.array_repeat(part(a, p), times.cast("int")))), 1, n.cast("int"))
+    docs = docs.select("doc_id", F.when(n > 0, F.array_join(planted, " ")).otherwise(F.col("text")).alias("text"))
+    found = periods.repetitions(docs)
+    runs = F.col("runs")
+    best = F.array_min(F.transform(runs, lambda r: F.struct((-r["length"]).alias("l"), r["start"].alias("start"), r["period"].alias("period"))))
+    lines = F.transform(runs, lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), best["start"].alias("start"), (-best["l"]).alias("length"), best["period"].alias("period"),
+        F.floor(-1000 * best["l"] / best["period"]).alias("exponent_milli"),
+        F.sha2(F.concat(F.array_join(lines, "\n"), F.when(F.size("runs") > 0, "\n").otherwise("")), 256).alias("runs_sha256"), "collapsed_sha256",
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -83,5 +107,6 @@ QUERIES = {
         op9_minhash,
         op10_secrets,
         op11_negatives,
+        op13_periods,
     )
 }
