@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import decontam, langid, licenses, lines, minhash, mixing, negatives, neighbours, periods, quality, secrets, substrings
+from tidewater.llm import decontam, graph, langid, licenses, lines, minhash, mixing, negatives, neighbours, periods, quality, secrets, substrings
 from tidewater.llm.common import fold, table
 from tidewater.llm.sql import ORACLE_SQL  # noqa: F401
 
@@ -69,6 +69,10 @@ def op11_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return negatives.mine(vectors.withColumn("label", label), F.col("vec_id") % 100 == 0)
 
 
+def op12_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return graph.links(table(spark, sf_dir, "embeddings"))
+
+
 def op13_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     # One document in ten is made periodic from some word on.
@@ -107,6 +111,7 @@ QUERIES = {
         op9_minhash,
         op10_secrets,
         op11_negatives,
+        op12_near_vectors,
         op13_periods,
     )
 }

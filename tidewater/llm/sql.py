@@ -185,6 +185,20 @@ FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.alike AND 30 * p.score <= 1
 QUALIFY row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.other_id) <= 10
 """
 
+NEAR_VECTORS = """
+WITH RECURSIVE r AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), l AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM r AS a JOIN r AS b ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.v, b.v) >= 0.9
+), reach AS (
+  SELECT a AS vec_id, a AS seen FROM l UNION SELECT reach.vec_id, l.b FROM reach JOIN l ON l.a = reach.seen
+), c AS (SELECT vec_id, min(seen) AS component_id FROM reach GROUP BY vec_id),
+n AS (SELECT a AS vec_id, count(*) AS n_links FROM l GROUP BY a)
+SELECT e.vec_id, CAST(coalesce(n_links, 0) AS BIGINT) AS n_links, coalesce(component_id, e.vec_id) AS component_id, coalesce(component_id, e.vec_id) = e.vec_id AS kept
+FROM embeddings e LEFT JOIN n ON n.vec_id = e.vec_id LEFT JOIN c ON c.vec_id = e.vec_id
+"""
+
 ORACLE_SQL = {
     "op3_decontamination": DECONTAMINATION,
     "op4_licenses": LICENSES,
@@ -193,4 +207,5 @@ ORACLE_SQL = {
     "op9_minhash": MINHASH,
     "op10_secrets": SECRETS,
     "op11_negatives": NEGATIVES,
+    "op12_near_vectors": NEAR_VECTORS,
 }
