@@ -1,25 +1,23 @@
 """Uplift learning and its metrics.
 
-Metrics need running sums over one global order. That order is cut into buckets by the score's own
-quantiles; each bucket is summed inside its task and begins at the sum of the buckets before it, so
-no task sorts the whole population.
+Metrics need running sums over one global order, which ``operators.order`` gives without a task that
+sorts the whole population, whatever the scores look like. All rankings of a table go through in one pass.
 """
 
 from __future__ import annotations
 
-import math
 from statistics import NormalDist
 
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.functions.scalars import clip
+from tidewater.operators import order
 
-BUCKETS = 64
 #: Fixed value: bounds of the propensity.
 PROPENSITY = (0.071, 0.929)
 DEFAULT_THRESHOLD = 0.0070347543
@@ -30,30 +28,22 @@ def oracle(y: Column, w: Column) -> Column:
     return F.when(w == 1, y).otherwise(-y).cast("double")
 
 
-def running(rows: DataFrame, score: str = "score", tie: str = "tie", buckets: int = BUCKETS) -> DataFrame:
-    """Rows (y, w, score, tie) with i, nt, nc, yt, yc: counts and outcomes up to each row by falling score, then tie."""
-    cuts = sorted(set(rows.agg(F.percentile_approx(score, [k / buckets for k in range(1, buckets)], 10_000)).first()[0] or []))
-    place = F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c > F.col(score))) if cuts else F.lit(0)
-    rows = rows.withColumn("_b", place)
+def running(rows: DataFrame, score: str = "score", tie: str = "tie", by: tuple[str, ...] = (), buckets: int | None = None) -> DataFrame:
+    """Rows (y, w, score, tie) with i, nt, nc, yt, yc: counts and outcomes up to each row by falling score, then tie, in each group of ``by``."""
     parts = {"i": F.lit(1), "nt": F.col("w"), "nc": 1 - F.col("w"), "yt": F.col("y") * F.col("w"), "yc": F.col("y") * (1 - F.col("w"))}
-    sums = rows.groupBy("_b").agg(*(F.sum(v.cast("long")).alias(f"_{k}") for k, v in parts.items()))
-    before = Window.orderBy(F.desc("_b")).rowsBetween(1, Window.unboundedFollowing)  # at most BUCKETS rows
-    offsets = sums.select("_b", *(F.coalesce(F.sum(f"_{k}").over(before), F.lit(0)).alias(f"_{k}") for k in parts))
-    within = Window.partitionBy("_b").orderBy(F.desc(score), tie).rowsBetween(Window.unboundedPreceding, 0)
-    out = rows.join(F.broadcast(offsets), "_b")
-    out = out.withColumns({k: F.col(f"_{k}") + F.sum(v.cast("long")).over(within) for k, v in parts.items()})
-    return out.drop("_b", *(f"_{k}" for k in parts))
+    return order.running(rows, [F.desc(score), F.col(tie)], parts, by, buckets)
 
 
 def _ratio(a: str, b: str) -> Column:
     return F.when(F.col(b) > 0, F.col(a) / F.col(b)).otherwise(0.0)
 
 
-def curves(rows: DataFrame, score: str = "score") -> DataFrame:
-    """The qini and the cumulative gain curve: x, qini and gain after each row."""
-    n = rows.count()
-    r = running(rows, score)
+def curves(rows: DataFrame, score: str = "score", by: tuple[str, ...] = (), n: int | None = None) -> DataFrame:
+    """The qini and the cumulative gain curve of each group of ``by``, of ``n`` rows: x, qini and gain after each row."""
+    n = rows.count() if n is None else n
+    r = running(rows, score, by=by)
     return r.select(
+        *by,
         "i",
         (F.col("i") / n).alias("x"),
         ((F.col("yt") - F.col("yc") * _ratio("nt", "nc")) / n).alias("qini"),
@@ -61,7 +51,7 @@ def curves(rows: DataFrame, score: str = "score") -> DataFrame:
     )
 
 
-def areas(points: DataFrame) -> DataFrame:
+def areas(points: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """(qini, gain): area under each curve less the triangle below its end.
 
     The curve's trapezoids all are 1/n wide: their area is the sum of heights less half of the first
@@ -71,23 +61,38 @@ def areas(points: DataFrame) -> DataFrame:
         first, last = F.min_by(c, "i"), F.max_by(c, "i")
         return (F.sum(c) - (first + last) / 2) / F.count("*") - last / 2
 
-    return points.agg(area("qini").alias("qini"), area("gain").alias("gain"))
+    return points.groupBy(*by).agg(area("qini").alias("qini"), area("gain").alias("gain"))
 
 
-def scores(rows: DataFrame, score: str = "score") -> DataFrame:
-    """(qini, auuc): areas relative to those of the ranking that knows the outcomes; null where that has none."""
-    best = areas(curves(rows.withColumn("_oracle", oracle(F.col("y"), F.col("w"))), "_oracle")).toDF("best_qini", "best_gain")
-    own = areas(curves(rows, score))
+def rankings(rows: DataFrame, by_score: dict[str, Column]) -> DataFrame:
+    """(ranking, qini, auuc) of several scorings of the same rows (y, w, tie), in one pass.
+
+    Areas are relative to those of the ranking that knows the outcomes; null where that has none.
+    """
+    best = "\u0000best"
+    ways = F.array(*(F.struct(F.lit(k).alias("ranking"), v.cast("double").alias("_score")) for k, v in {**by_score, best: oracle(F.col("y"), F.col("w"))}.items()))
+    long = rows.select("y", "w", "tie", F.explode(ways).alias("r")).select("y", "w", "tie", "r.*")
+    got = areas(curves(long, "_score", ("ranking",), rows.count()), ("ranking",))
+    whole = got.groupBy().agg(*(F.max(F.when(F.col("ranking") == best, F.col(c))).alias(f"best_{c}") for c in ("qini", "gain")))
     norm = lambda a, b: F.when(F.col(b) > 0, F.col(a) / F.col(b))
-    return own.crossJoin(best).select(norm("qini", "best_qini").alias("qini"), norm("gain", "best_gain").alias("auuc"))
+    # One row a ranking: a side of a few rows.
+    return got.where(F.col("ranking") != best).crossJoin(whole).select("ranking", norm("qini", "best_qini").alias("qini"), norm("gain", "best_gain").alias("auuc"))
+
+
+def scores(rows: DataFrame, score: str = "score") -> DataFrame:
+    """(qini, auuc) of one scoring, relative to the ranking that knows the outcomes."""
+    return rankings(rows, {score: F.col(score)}).select("qini", "auuc")
 
 
-def uplift_at(rows: DataFrame, share: float, score: str = "score", tie: str = "tie") -> DataFrame:
-    """(n, uplift): difference of the arms' mean outcomes among the best ``share``; null if an arm is empty."""
+def uplift_at(rows: DataFrame, shares: float | list[float], score: str = "score", tie: str = "tie") -> DataFrame:
+    """(share, n, uplift) for each of ``shares``: difference of the arms' mean outcomes among the best; null if an arm is empty."""
+    shares = [shares] if isinstance(shares, float) else shares
     n = rows.count()
-    top = running(rows, score, tie).where(F.col("i") <= max(1, round(share * n)))
-    arm = lambda w: F.avg(F.when(F.col("w") == w, F.col("y")))
-    return top.agg(F.count("*").alias("n"), (arm(1) - arm(0)).alias("uplift"))
+    r = running(rows, score, tie)
+    arm = lambda top, w: F.avg(F.when(top & (F.col("w") == w), F.col("y")))
+    tops = [(share, F.col("i") <= max(1, round(share * n))) for share in shares]
+    one = r.agg(F.array(*(F.struct(F.lit(s).alias("share"), F.count_if(t).alias("n"), (arm(t, 1) - arm(t, 0)).alias("uplift")) for s, t in tops)).alias("a"))
+    return one.select(F.inline("a"))
 
 
 def average_effect(rows: DataFrame, alpha: float = 0.05) -> DataFrame:
@@ -106,9 +111,9 @@ def pseudo_outcome(e: Column, mu0: Column, mu1: Column, y: Column, w: Column, bo
 
 
 def folds(rows: DataFrame, key: str, n: int, seed: int) -> DataFrame:
-    """Rows with ``fold``: within each stratum of treatment and outcome, by hashed key in turn."""
-    order = Window.partitionBy("w", "y").orderBy(F.sha2(F.concat_ws("|", F.lit(str(seed)), F.col(key).cast("string")), 256))
-    return rows.withColumn("fold", ((F.row_number().over(order) - 1) % n).cast("int"))
+    """Rows with ``fold``: within each stratum of treatment and outcome, by hashed key in turn, so that a stratum's folds differ by one row at most."""
+    hashed = rows.withColumn("_h", F.sha2(F.concat_ws("|", F.lit(str(seed)), F.col(key).cast("string")), 256))
+    return order.ranked(hashed, ["w", "y"], [F.col("_h")], "_nth").withColumn("fold", ((F.col("_nth") - 1) % n).cast("int")).drop("_h", "_nth")
 
 
 def assemble(rows: DataFrame, features: list[str]) -> DataFrame:
@@ -136,17 +141,23 @@ def dr_learner(rows: DataFrame, features: list[str], key: str, n_folds: int = 5,
     return GBTRegressor(labelCol="dr", featuresCol="features", predictionCol="cate", maxIter=trees, maxDepth=depth, stepSize=0.02, seed=seed, minInstancesPerNode=30).fit(target)
 
 
-def sanity(rows: DataFrame, seed: int = 42) -> DataFrame:
-    """(random_near_zero, oracle_beats_random, oracle_is_one, noise_lowers) of the metric on these outcomes."""
-    draw = lambda salt: F.conv(F.substring(F.sha2(F.concat_ws("|", F.lit(f"{seed}{salt}"), "tie"), 256), 1, 8), 16, 10).cast("double") / float(2**32)
-    spread = rows.agg(F.stddev_pop("score")).first()[0] or 0.0
+def drawn(salt: str, key: str = "tie") -> Column:
+    """A number from 0 to 1 that hangs on key and salt alone."""
+    return F.conv(F.substring(F.sha2(F.concat_ws("|", F.lit(salt), F.col(key)), 256), 1, 8), 16, 10).cast("double") / float(2**32)
+
+
+def sanity(rows: DataFrame, seed: int = 42, score: str = "score") -> DataFrame:
+    """(random_near_zero, oracle_beats_random, oracle_is_one, noise_lowers, better_than_random) of the metric on these outcomes and this score."""
+    spread = rows.agg(F.stddev_pop(score)).first()[0] or 0.0
     # A sum of three uniforms, scaled to five standard deviations of the score.
-    noise = (draw("a") + draw("b") + draw("c") - 1.5) * (2 * spread * 5)
-    rows = rows.withColumns({"_random": draw("r"), "_noisy": F.col("score") + noise, "_oracle": oracle(F.col("y"), F.col("w"))})
-    got = {k: scores(rows, k).first().qini for k in ("score", "_random", "_noisy", "_oracle")}
-    ok = (abs(got["_random"]) < 0.05, got["_oracle"] > got["_random"], math.isclose(got["_oracle"], 1, abs_tol=1e-9), got["_noisy"] < got["score"] + 1e-9)
-    names = "random_near_zero boolean, oracle_beats_random boolean, oracle_is_one boolean, noise_lowers boolean"
-    return rows.sparkSession.createDataFrame([tuple(map(bool, ok))], names)
+    noise = (drawn(f"{seed}a") + drawn(f"{seed}b") + drawn(f"{seed}c") - 1.5) * (2 * spread * 5)
+    ways = {"own": F.col(score), "random": drawn(f"{seed}r"), "noisy": F.col(score) + noise, "oracle": oracle(F.col("y"), F.col("w"))}
+    # One row a ranking: four.
+    got = rankings(rows, ways).groupBy().agg(*(F.max(F.when(F.col("ranking") == k, F.col("qini"))).alias(k) for k in ways))
+    return got.select(
+        (F.abs("random") < 0.05).alias("random_near_zero"), (F.col("oracle") > F.col("random")).alias("oracle_beats_random"), (F.abs(F.col("oracle") - 1) < 1e-9).alias("oracle_is_one"),
+        (F.col("noisy") < F.col("own") + 1e-9).alias("noise_lowers"), (F.col("own") > F.col("random")).alias("better_than_random"),
+    )
 
 
 def decide(score: Column, threshold: float = DEFAULT_THRESHOLD) -> tuple[Column, Column]:

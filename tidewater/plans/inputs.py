@@ -5,16 +5,13 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.functions.scalars import derived_user_id, epoch_seconds
 from tidewater.operators.behaviour import sessions
 from tidewater.operators.staging import app_events, user_snapshot, witness_events
-from tidewater.sources.lake import FEATURES
+from tidewater.sources.lake import FEATURES, scratch  # noqa: F401
 
 AS_OF = "2024-01-31 00:00:00"
 DAY = "2024-01-30"
@@ -39,16 +36,6 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder that all executors share, under ``spark.checkpoint.dir``; a local session may go without that setting."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return f"{root}/{name}-{uuid.uuid4().hex}"
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return tempfile.mkdtemp(prefix=f"spark-{name}-", dir="/tmp")
-
-
 def landed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw events as they landed: every seventh a second time, later and at another price, every 97th without a user."""
     e = read(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))

@@ -300,17 +300,18 @@ def lineage_walk(spark, sf):
 
 @query(f"WITH {_RUNS} SELECT DISTINCT start_run FROM up WHERE is_cycle", True)
 def lineage_cycles(spark, sf):
-    return lineage.cycles(lineage.walk(spark, _runs(spark, sf)))
+    return lineage.cycles(lineage.ends(_runs(spark, sf)))
 
 
 @query(f"""WITH {_RUNS} SELECT t.start_run, r.root, t.top FROM (SELECT start_run, arg_max(run, depth) AS top, bool_or(is_cycle) AS c FROM up GROUP BY start_run) t JOIN runs r ON r.run_id = t.start_run WHERE NOT c AND r.root IS DISTINCT FROM t.top""", True)
 def single_root(spark, sf):
-    return lineage.wrong_roots(lineage.walk(spark, _runs(spark, sf)))
+    runs = _runs(spark, sf)
+    return lineage.wrong_roots(runs, lineage.ends(runs))
 
 
 @query(f"""WITH {_RUNS} SELECT start_run, max(depth) AS depth FROM up GROUP BY start_run HAVING bool_and(source_type = 'real')""", True)
 def real_roots(spark, sf):
-    return lineage.real_roots(lineage.walk(spark, _runs(spark, sf)))
+    return lineage.real_roots(lineage.ends(_runs(spark, sf)))
 
 
 @query(f"""WITH {_RUNS} SELECT r.run_id, CASE WHEN r.run_id = r.parent_run_id THEN 'self_parent' ELSE 'real_from_synthetic' END AS reason FROM runs r LEFT JOIN runs p ON p.run_id = r.parent_run_id
@@ -635,9 +636,7 @@ _TOP = "SELECT {0} AS share, count(*) AS n, round(avg(y) FILTER (WHERE w = 1) -
 
 @query(" UNION ALL ".join(_TOP.format(k) for k in ("0.1", "0.2", "0.3")))
 def uplift_at_k(spark, sf):
-    t = I.trial(spark, sf)
-    rows = [uplift.uplift_at(t, k).select(F.lit(k).alias("share"), "n", F.round("uplift", 9).alias("uplift")) for k in (0.1, 0.2, 0.3)]
-    return rows[0].union(rows[1]).union(rows[2])
+    return uplift.uplift_at(I.trial(spark, sf), [0.1, 0.2, 0.3]).withColumn("uplift", F.round("uplift", 9))
 
 
 @query("""SELECT n_treat, n_control, round(p1 - p0, 9) AS ate, round(sqrt(p1 * (1 - p1) / n_treat + p0 * (1 - p0) / n_control), 9) AS se, round(p1 - p0 - 1.959963984540054 * sqrt(p1 * (1 - p1) / n_treat + p0 * (1 - p0) / n_control), 9) AS ci_low,
@@ -653,9 +652,26 @@ def dr_pseudo_outcome(spark, sf):
     return I.trial(spark, sf).select("key", F.round(dr, 9).alias("dr"))
 
 
-@query("SELECT true AS random_near_zero, true AS oracle_beats_random, true AS oracle_is_one, true AS noise_lowers")
+_DRAW = "CAST(('0x' || substr(sha256('42{0}|' || tie), 1, 8)) AS BIGINT) / 4294967296.0"
+_BROKEN = "-score"
+
+
+def _sane(name: str, score: str) -> tuple[str, str]:
+    """The four curves of a score, and the five flags from them."""
+    ways = {"own": score, "rnd": _DRAW.format("r"), "noi": f"{score} + ({_DRAW.format('a')} + {_DRAW.format('b')} + {_DRAW.format('c')} - 1.5) * (2 * (SELECT stddev_pop({score}) FROM trial) * 5)", "ora": "best"}
+    q = {k: f"({_area(name + k, 'qini')} / {_area(name + 'ora', 'qini')})" for k in ways}
+    head = ", ".join(_curve(name + k, v) for k, v in ways.items())
+    return head, f"SELECT '{name}' AS score, abs({q['rnd']}) < 0.05 AS random_near_zero, {q['ora']} > {q['rnd']} AS oracle_beats_random, abs({q['ora']} - 1) < 1e-9 AS oracle_is_one, {q['noi']} < {q['own']} + 1e-9 AS noise_lowers, {q['own']} > {q['rnd']} AS better_than_random"
+
+
+_SANE, _TURNED = _sane("right", "score"), _sane("broken", _BROKEN)
+
+
+@query(f"{_CUM}, {_SANE[0]}, {_TURNED[0]} {_SANE[1]} UNION ALL {_TURNED[1]}")
 def metric_sanity(spark, sf):
-    return uplift.sanity(I.trial(spark, sf))
+    """The metric on the trial's score, and on one turned upside down, which must fail it."""
+    t = I.trial(spark, sf).withColumn("broken", -F.col("score"))
+    return uplift.sanity(t).withColumn("score", F.lit("right")).unionByName(uplift.sanity(t, score="broken").withColumn("score", F.lit("broken")))
 
 
 @query("""WITH f AS (SELECT key, y, w, (row_number() OVER (PARTITION BY w, y ORDER BY sha256('42|' || key)) - 1) % 5 AS fold FROM trial) SELECT CAST(fold AS INTEGER) AS fold, w, y, count(*) AS n FROM f GROUP BY ALL""")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -20,6 +22,23 @@ EVENT_SCHEMA = (
 CSV_SCHEMA = "data_id string, label int, is_treat int, " + ", ".join(f"{f} double" for f in FEATURES)
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder that all executors share, under ``spark.checkpoint.dir``; a local session may go without that setting."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if root:
+        return f"{root}/{name}-{uuid.uuid4().hex}"
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return tempfile.mkdtemp(prefix=f"spark-{name}-", dir="/tmp")
+
+
+def written(rows: DataFrame, name: str) -> DataFrame:
+    """``rows`` as a table in a scratch folder: what follows reads it and doesn't compute them again, whatever is lost."""
+    path = scratch(rows.sparkSession, name)
+    rows.write.mode("overwrite").parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def read_csv_split(spark: SparkSession, path: str, split: str, dt: str, row_limit: int | None = None) -> DataFrame:
     """One CSV split with header, as snapshot rows: derived user id, split, partition date and feature time."""
     rows = spark.read.csv(path, header=True, schema=CSV_SCHEMA)
