@@ -495,7 +495,7 @@ def _streamed_events(spark, sf):
 
 @query(f"SELECT {_REASON} AS reason, CAST(event_id AS VARCHAR) AS event_id FROM events WHERE event_id % 20 < 5")
 def stream_dlq(spark, sf):
-    """Micro-batches landed by batch id; the dead letters read back."""
+    """Micro-batches landed by their place in the log; the dead letters read back."""
     root = _scratch(spark)
     raw = _stream_of(spark, sf, _RAW).withColumn("ts", F.col("ts").cast("timestamp"))
     n = F.col("event_id") % 20
@@ -506,7 +506,7 @@ def stream_dlq(spark, sf):
     messages = raw.select(F.when(n == 0, "{broken").otherwise(F.to_json(body)).alias("value"), (F.col("event_id") % 3).cast("int").alias("partition"), F.col("event_id").alias("offset"), F.col("ts").alias("timestamp"))
     run = messages.writeStream.foreachBatch(lambda b, i: stream.land(b, i, f"{root}/lake", f"{root}/dlq")).option("checkpointLocation", f"{root}/state").trigger(availableNow=True).start()
     run.awaitTermination()
-    dead = spark.read.parquet(f"{root}/dlq/*")
+    dead = stream.dead_letters(spark, f"{root}/dlq")
     return dead.select("reason", F.col("offset").cast("string").alias("event_id"))
 
 

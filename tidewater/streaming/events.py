@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tidewater.functions.scalars import BUCKET_SECONDS, bucket_start, epoch_seconds, window_cutoff
-from tidewater.sources.lake import offset_conflicts
+from tidewater.streaming.state import last_state, upsert  # noqa: F401
 
 #: Event types, required fields and what each type counts towards.
 EVENT_TYPES = ("app_open", "page_view", "search", "add_to_cart", "checkout", "order", "voucher_view", "voucher_claim")
@@ -162,33 +162,81 @@ class OffsetConflict(ValueError):
     """A place in the log came again with another payload."""
 
 
-def _landed(spark: SparkSession, lake: str) -> DataFrame | None:
-    path = spark._jvm.org.apache.hadoop.fs.Path(lake)
-    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
-        return None
-    return spark.read.option("basePath", lake).parquet(f"{lake}/batch=*")
+#: Folders of the lake and of the dead letters: objects are named by where they lie in the log.
+LAKE_NAMES = ["dt", "hour", "kafka_partition", "first_offset", "last_offset"]
+DEAD_NAMES = ["partition", "first_offset", "last_offset"]
 
 
-def land(batch: DataFrame, batch_id: int, lake: str, dlq: str) -> None:
-    """One micro-batch: valid rows to the lake by day and hour, in order of the log, others to the dead letters.
+def _there(spark: SparkSession, paths: list[str]) -> list[str]:
+    make, conf = spark._jvm.org.apache.hadoop.fs.Path, spark._jsc.hadoopConfiguration()
+    return [p for p in paths if make(p).getFileSystem(conf).exists(make(p))]
 
-    Both go to folders named by the batch, so a replay after a crash overwrites what it wrote. A
-    place in the log that has landed with another payload fails the batch before anything is written;
-    of what has landed only the batch's own range of offsets is read for that.
+
+def landed(spark: SparkSession, lake: str, days: list[str] | None = None) -> DataFrame | None:
+    """What has landed, of all days or some; only their folders are listed. None if nothing has."""
+    paths = _there(spark, [lake] if days is None else [f"{lake}/dt={d}" for d in days])
+    return spark.read.option("basePath", lake).parquet(*paths) if paths else None
+
+
+def dead_letters(spark: SparkSession, dlq: str) -> DataFrame | None:
+    return spark.read.parquet(dlq) if _there(spark, [dlq]) else None
+
+
+def _unlanded(rows: DataFrame, before: DataFrame | None, place: list[str], names: list[str]) -> DataFrame:
+    """``rows`` whose place in the log hasn't landed, each place once, with the range of offsets that names their folder.
+
+    Ranges are read off folder names first: of what has landed, only folders that overlap the rows' are opened.
     """
-    decoded = decode(batch).persist()
-    rows = accepted(decoded).withColumns({"dt": F.to_date("event_ts"), "hour": F.hour("event_ts")})
-    low, high = rows.agg(F.min("kafka_offset"), F.max("kafka_offset")).first()
-    before = _landed(batch.sparkSession, lake) if low is not None else None
+    rows = rows.dropDuplicates(place)
     if before is not None:
-        near = before.where(F.col("kafka_offset").between(low, high)).select(*rows.columns)
-        if not offset_conflicts(near, rows).isEmpty():
-            decoded.unpersist()
-            raise OffsetConflict(f"batch {batch_id}: offsets {low} to {high} have landed with another payload")
-    rows = rows.repartition("dt", "hour").sortWithinPartitions("dt", "hour", "kafka_partition", "kafka_offset")
-    rows.write.partitionBy("dt", "hour").mode("overwrite").parquet(f"{lake}/batch={batch_id}")
-    rejected(decoded).write.mode("overwrite").parquet(f"{dlq}/batch={batch_id}")
-    decoded.unpersist()
+        low, high = rows.agg(F.min(place[1]), F.max(place[1])).first()
+        if low is None:
+            return rows.withColumns({"first_offset": F.lit(0).cast("long"), "last_offset": F.lit(0).cast("long")})
+        near = before.where((F.col("first_offset") <= high) & (F.col("last_offset") >= low)).select(*(F.col(c).cast(rows.schema[c].dataType) for c in place))
+        rows = rows.join(near, place, "left_anti")
+    by = names[:-2]
+    # A row an object that will be written.
+    ranges = rows.groupBy(*by).agg(F.min(place[1]).alias("first_offset"), F.max(place[1]).alias("last_offset"))
+    return rows.join(ranges, by)
+
+
+def land(batch: DataFrame, batch_id: int, lake: str, dlq: str) -> dict[str, int]:
+    """One micro-batch: valid rows to the lake, others to the dead letters; the number of each that is new.
+
+    Objects are named by day, hour, log partition and first and last offset, and a place in the log lands
+    once, whatever batch it comes in: after a crash, with a lost checkpoint or with other batch sizes, what
+    has landed is left out and only the rest is added. So nothing is ever overwritten, and it doesn't matter
+    which of the two sinks a crash left behind. A place that has landed on the same day, or stands in the
+    batch, with another payload fails the batch before anything is written.
+    """
+    spark = batch.sparkSession
+    decoded = decode(batch).persist()
+    try:
+        rows = accepted(decoded).withColumns({"dt": F.to_date("event_ts"), "hour": F.hour("event_ts")})
+        place = ["kafka_partition", "kafka_offset"]
+        about = rows.agg(F.min("kafka_offset").alias("low"), F.max("kafka_offset").alias("high"), F.collect_set(F.col("dt").cast("string")).alias("days")).first()
+        before = landed(spark, lake, sorted(about.days)) if about.days else None
+        payload = [c for c in rows.columns if c not in (*place, "ingested_at", "dt", "hour")]
+        hashed = rows.select(*place, F.xxhash64(*payload).alias("h"))
+        if before is not None:
+            near = before.where((F.col("first_offset") <= about.high) & (F.col("last_offset") >= about.low))
+            hashed = hashed.unionByName(near.select(*(F.col(c).cast(rows.schema[c].dataType) for c in place), F.xxhash64(*payload).alias("h")))
+        if not hashed.groupBy(*place).agg(F.min("h").alias("a"), F.max("h").alias("b")).where("a <> b").isEmpty():
+            raise OffsetConflict(f"batch {batch_id}: offsets {about.low} to {about.high} have landed with another payload")
+        fresh = _unlanded(rows, before, place, LAKE_NAMES).persist()
+        dead = _unlanded(rejected(decoded), dead_letters(spark, dlq), ["partition", "offset"], DEAD_NAMES).persist()
+        try:
+            counts = {"landed": fresh.count(), "dead": dead.count()}
+            if counts["landed"]:
+                fresh.repartition(*LAKE_NAMES).sortWithinPartitions(*LAKE_NAMES, "kafka_offset").write.partitionBy(*LAKE_NAMES).mode("append").parquet(lake)
+            if counts["dead"]:
+                dead.repartition(*DEAD_NAMES).write.partitionBy(*DEAD_NAMES).mode("append").parquet(dlq)
+            return counts
+        finally:
+            fresh.unpersist()
+            dead.unpersist()
+    finally:
+        decoded.unpersist()
 
 
 def start_landing(messages: DataFrame, lake: str, dlq: str, checkpoint: str, once: bool = False):
@@ -205,42 +253,6 @@ def observed_lag(events: DataFrame, now: Column, name: str = "lag") -> DataFrame
     return events.observe(name, F.count("*").alias("n"), quantile(0.5).alias("p50_s"), quantile(0.95).alias("p95_s"), F.max(seconds).alias("max_s"))
 
 
-def _states(spark: SparkSession, root: str) -> list[int]:
-    path = spark._jvm.org.apache.hadoop.fs.Path(root)
-    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    names = [f.getPath().getName() for f in files.listStatus(path)] if files.exists(path) else []
-    done = [int(n.removeprefix("state=")) for n in names if n.startswith("state=")]
-    return sorted(d for d in done if files.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{root}/state={d}/_SUCCESS")))
-
-
-def last_state(spark: SparkSession, root: str, before: int | None = None) -> DataFrame | None:
-    """The newest whole state under ``root``, of batches before ``before`` if that is given; None if there is none."""
-    done = [d for d in _states(spark, root) if before is None or d < before]
-    return spark.read.parquet(f"{root}/state={done[-1]}") if done else None
-
-
-def upsert(batch: DataFrame, batch_id: int, root: str, keys: list[str], order: str, ttl: int | None = None) -> None:
-    """The state of all keys after a batch, as a folder named by it; a batch that comes again overwrites its own.
-
-    The state before is what lies on disk, so a restart goes on from there; rows whose last event is
-    ``ttl`` seconds older than the newest one are let go, and states before the last but one deleted.
-    """
-    from tidewater.operators.staging import keep_first
-
-    spark = batch.sparkSession
-    old, rows = last_state(spark, root, batch_id), batch.withColumn("_new", F.lit(1))
-    if old is not None:
-        rows = old.withColumn("_new", F.lit(0)).unionByName(rows)
-    rows = keep_first(rows, keys, [F.desc(order), F.desc("_new")]).drop("_new")
-    if ttl is not None:
-        newest = rows.agg(F.max("last_event_ts")).first()[0]
-        rows = rows.where(F.col("last_event_ts") >= F.lit(newest) - F.make_dt_interval(secs=F.lit(ttl)))
-    rows.write.mode("overwrite").parquet(f"{root}/state={batch_id}")
-    for stale in [d for d in _states(spark, root) if d < batch_id][:-1]:
-        path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/state={stale}")
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def merge_latest(old: DataFrame, new: DataFrame, key: str, order: str) -> DataFrame:
     """Overlay upsert: of each key the row that is last by ``order``, the new one if equal."""
     from tidewater.operators.staging import keep_first

@@ -1,7 +1,7 @@
 """Keyed state on disk: small changes per batch, merged when read, compacted bucket by bucket.
 
 Keys are hashed to buckets. A batch writes a change file only in the buckets that its keys fall into:
-``root/bucket=<k>/batch=<id>/kind=change``. A reader merges a bucket's last base with the changes after it.
+``root/state_bucket=<k>/state_batch=<id>/state_kind=change``. A reader merges a bucket's last base with the changes after it.
 Where a bucket has gathered enough changes, the batch also writes its base, all its keys' rows, and marks it
 as whole with an empty file; only marked bases are read. A batch that comes again after a crash writes the
 same folders over. Names and marks are all there is: a restart needs nothing in memory.
@@ -47,11 +47,11 @@ def layout(spark: SparkSession, root: str, before: int | None = None) -> Layout:
     files, path = _files(spark, root)
     changes, bases, cutoffs = defaultdict(list), defaultdict(list), []
     early = lambda batch: before is None or batch < before
-    for bucket in (n for n in _names(files, path(root)) if n.startswith("bucket=")):
-        k = int(bucket.removeprefix("bucket="))
+    for bucket in (n for n in _names(files, path(root)) if n.startswith("state_bucket=")):
+        k = int(bucket.removeprefix("state_bucket="))
         for name in _names(files, path(f"{root}/{bucket}")):
-            batch = int(name.removeprefix("batch="))
-            if early(batch) and files.exists(path(f"{root}/{bucket}/{name}/kind=change")):
+            batch = int(name.removeprefix("state_batch="))
+            if early(batch) and files.exists(path(f"{root}/{bucket}/{name}/state_kind=change")):
                 changes[k].append(batch)
     for mark in _names(files, path(f"{root}/_whole")):
         k, batch = map(int, mark.split("."))
@@ -71,12 +71,12 @@ def _merged(spark: SparkSession, root: str, there: Layout, keys: list[str], orde
     paths = []
     for k in sorted(there.changes.keys() | there.bases.keys()) if buckets is None else buckets:
         base = there.bases.get(k, [-1])[-1]
-        paths += [f"{root}/bucket={k}/batch={base}/kind=base"] * (base >= 0)
-        paths += [f"{root}/bucket={k}/batch={b}/kind=change" for b in there.changes.get(k, []) if b > base]
+        paths += [f"{root}/state_bucket={k}/state_batch={base}/state_kind=base"] * (base >= 0)
+        paths += [f"{root}/state_bucket={k}/state_batch={b}/state_kind=change" for b in there.changes.get(k, []) if b > base]
     if not paths:
         return None
     rows = spark.read.option("basePath", root).parquet(*paths)
-    rows = keep_first(rows, ["bucket", *keys], [F.desc(order), F.desc("batch")])
+    rows = keep_first(rows, ["state_bucket", *keys], [F.desc(order), F.desc("state_batch")])
     return rows if there.cutoff is None else rows.where(F.unix_micros("last_event_ts") >= there.cutoff)
 
 
@@ -92,7 +92,7 @@ def last_state(spark: SparkSession, root: str, keys: list[str] | None = None, or
             return None
         keys, order = names[0].split(".")[:-1], names[0].split(".")[-1]
     rows = _merged(spark, root, layout(spark, root, before), keys, order)
-    return None if rows is None else rows.drop("bucket", "batch", "kind")
+    return None if rows is None else rows.drop("state_bucket", "state_batch", "state_kind")
 
 
 def upsert(batch: DataFrame, batch_id: int, root: str, keys: list[str], order: str, ttl: int | None = None, buckets: int = BUCKETS, changes: int = CHANGES) -> None:
@@ -104,14 +104,14 @@ def upsert(batch: DataFrame, batch_id: int, root: str, keys: list[str], order: s
     from tidewater.operators.staging import keep_first
 
     spark = batch.sparkSession
-    rows = batch.withColumns({"bucket": F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"), "batch": F.lit(batch_id), "kind": F.lit("change")})
-    rows = keep_first(rows, ["bucket", *keys], [F.desc(order)]).persist()
+    rows = batch.withColumns({"state_bucket": F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"), "state_batch": F.lit(batch_id), "state_kind": F.lit("change")})
+    rows = keep_first(rows, ["state_bucket", *keys], [F.desc(order)]).persist()
     try:
-        about = rows.agg(F.collect_set("bucket").alias("touched"), *([F.max(F.unix_micros("last_event_ts")).alias("newest")] if ttl is not None else [])).first()
+        about = rows.agg(F.collect_set("state_bucket").alias("touched"), *([F.max(F.unix_micros("last_event_ts")).alias("newest")] if ttl is not None else [])).first()
         if not about.touched:
             return
         _touch(spark, f"{root}/_keys/{'.'.join((*keys, order))}")
-        write = lambda d: d.repartition("bucket").write.partitionBy("bucket", "batch", "kind").option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(root)
+        write = lambda d: d.repartition("state_bucket").write.partitionBy("state_bucket", "state_batch", "state_kind").option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(root)
         write(rows)
         if ttl is not None and about.newest is not None:
             _touch(spark, f"{root}/_cutoff/{batch_id}.{about.newest - ttl * 1_000_000}")
@@ -120,7 +120,7 @@ def upsert(batch: DataFrame, batch_id: int, root: str, keys: list[str], order: s
     there = layout(spark, root, batch_id + 1)
     full = [k for k in about.touched if len([b for b in there.changes.get(k, []) if b > there.bases.get(k, [-1])[-1]]) >= changes]
     if full:
-        write(_merged(spark, root, there, keys, order, full).withColumns({"batch": F.lit(batch_id), "kind": F.lit("base")}))
+        write(_merged(spark, root, there, keys, order, full).withColumns({"state_batch": F.lit(batch_id), "state_kind": F.lit("base")}))
         for k in full:
             _touch(spark, f"{root}/_whole/{k}.{batch_id}")
         _clean(spark, root, there, full)
@@ -134,4 +134,4 @@ def _clean(spark: SparkSession, root: str, there: Layout, buckets: list[int]) ->
         for batch in sorted({*there.changes.get(k, []), *there.bases.get(k, [])}):
             if batch < kept:
                 files.delete(path(f"{root}/_whole/{k}.{batch}"), False)
-                files.delete(path(f"{root}/bucket={k}/batch={batch}"), True)
+                files.delete(path(f"{root}/state_bucket={k}/state_batch={batch}"), True)
