@@ -450,8 +450,11 @@ _NOW = "2024-01-20 12:00:00"
 
 
 def _messages(spark, sf):
+    return messages(I.read(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp")))
+
+
+def messages(e):
     """Events as JSON messages, some of them broken in one way or another."""
-    e = I.read(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
     n = F.col("event_id") % 20
     body = F.struct(
         F.col("event_id").cast("string").alias("event_id"), F.when(n == 1, F.lit(None)).otherwise(F.concat(F.when(n == 2, "X").otherwise("U"), F.col("user_id"))).alias("user_id"),
@@ -497,14 +500,9 @@ def _streamed_events(spark, sf):
 def stream_dlq(spark, sf):
     """Micro-batches landed by their place in the log; the dead letters read back."""
     root = _scratch(spark)
-    raw = _stream_of(spark, sf, _RAW).withColumn("ts", F.col("ts").cast("timestamp"))
-    n = F.col("event_id") % 20
-    body = F.struct(
-        F.col("event_id").cast("string").alias("event_id"), F.when(n == 1, F.lit(None)).otherwise(F.concat(F.when(n == 2, "X").otherwise("U"), F.col("user_id"))).alias("user_id"),
-        F.when(n == 3, "teleport").otherwise(I._when("event_type", I.KINDS)).alias("event_type"), F.when(n == 4, F.lit("soon")).otherwise(S.epoch_seconds(F.col("ts")).cast("decimal(20,6)").cast("string")).alias("event_ts"),
-    )
-    messages = raw.select(F.when(n == 0, "{broken").otherwise(F.to_json(body)).alias("value"), (F.col("event_id") % 3).cast("int").alias("partition"), F.col("event_id").alias("offset"), F.col("ts").alias("timestamp"))
-    run = messages.writeStream.foreachBatch(lambda b, i: stream.land(b, i, f"{root}/lake", f"{root}/dlq")).option("checkpointLocation", f"{root}/state").trigger(availableNow=True).start()
+    raw = _stream_of(spark, sf, _RAW).withColumn("ts", F.date_trunc("day", F.col("ts").cast("timestamp")))
+    messages_in = messages(raw)
+    run = messages_in.writeStream.foreachBatch(lambda b, i: stream.land(b, i, f"{root}/lake", f"{root}/dlq")).option("checkpointLocation", f"{root}/state").trigger(availableNow=True).start()
     run.awaitTermination()
     dead = stream.dead_letters(spark, f"{root}/dlq")
     return dead.select("reason", F.col("offset").cast("string").alias("event_id"))

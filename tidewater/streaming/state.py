@@ -68,10 +68,12 @@ def _merged(spark: SparkSession, root: str, there: Layout, keys: list[str], orde
     """Each key's last row by ``order``, of equal ones the newer batch's, of all buckets or some."""
     from tidewater.operators.staging import keep_first
 
+    files, path = _files(spark, root)
     paths = []
     for k in sorted(there.changes.keys() | there.bases.keys()) if buckets is None else buckets:
         base = there.bases.get(k, [-1])[-1]
-        paths += [f"{root}/state_bucket={k}/state_batch={base}/state_kind=base"] * (base >= 0)
+        whole = f"{root}/state_bucket={k}/state_batch={base}/state_kind=base"
+        paths += [whole] * (base >= 0 and files.exists(path(whole)))  # all its rows may have expired
         paths += [f"{root}/state_bucket={k}/state_batch={b}/state_kind=change" for b in there.changes.get(k, []) if b > base]
     if not paths:
         return None
