@@ -6,11 +6,14 @@ overwritten last, so they see all of one version or all of another.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewater.functions.scalars import hash_shard
 from tidewater.operators.quality import latest
+from tidewater.sources.lake import read_or_empty
 
 
 def with_shards(rows: DataFrame, key: str, shards: int) -> DataFrame:
@@ -30,6 +33,54 @@ def pending_shards(planned: DataFrame, done: DataFrame) -> DataFrame:
     return planned.join(finished, ["feature_version", "shard_id"], "left_anti")
 
 
+SHARD_LOG = "status string, rows_written long, attempt int, updated_at timestamp, feature_version string, shard_id int"
+
+
+def shard_log(spark: SparkSession, path: str) -> DataFrame:
+    """The log of shard attempts; each attempt is a file in its shard's own folder, and that file is the shard's commit."""
+    return read_or_empty(spark, path, SHARD_LOG)
+
+
+def resume(rows: DataFrame, root: str, log: str, version: str, key: str, shards: int, at_once: int = 16, after: Callable[[list[int]], None] | None = None) -> list[int]:
+    """Publish the shards of a version that the log doesn't have as done, ``at_once`` in a job; the numbers of those written.
+
+    A job overwrites its shards' folders whole, then a log row a shard commits them, so a run that dies
+    costs the shards of one job: the next one goes on with what is pending and counts their attempt up.
+    ``rows`` should be a table, as each job reads it. ``after`` is called when a job's shards are
+    committed.
+    """
+    spark = rows.sparkSession
+    planned = spark.range(shards).select(F.lit(version).alias("feature_version"), F.col("id").cast("int").alias("shard_id"))
+    pending = sorted(r.shard_id for r in pending_shards(planned, shard_log(spark, log)).collect())
+    written: list[int] = []
+    for begin in range(0, len(pending), at_once):
+        now = pending[begin : begin + at_once]
+        ours = spark.createDataFrame([(version, k) for k in now], "feature_version string, shard_id int")
+        tries = shard_log(spark, log).groupBy("feature_version", "shard_id").agg(F.max("attempt").alias("tried"))
+        started = ours.join(tries, ["feature_version", "shard_id"], "left").withColumn("attempt", F.coalesce("tried", F.lit(0)) + 1).drop("tried")
+        started = spark.createDataFrame(started.collect(), "feature_version string, shard_id int, attempt int")  # at_once rows
+        _log_shards(started.withColumns({"status": F.lit("started"), "rows_written": F.lit(None).cast("long")}), log)
+        part = with_shards(rows, key, shards).where(F.col("shard_id").isin(now)).withColumn("feature_version", F.lit(version))
+        part.repartition("shard_id").write.partitionBy("feature_version", "shard_id").option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(root)
+        there = spark.read.parquet(root).where((F.col("feature_version") == version) & F.col("shard_id").isin(now)).groupBy("shard_id").agg(F.count("*").alias("rows_written"))
+        _log_shards(started.join(there, "shard_id", "left").withColumns({"status": F.lit("success"), "rows_written": F.coalesce("rows_written", F.lit(0).cast("long"))}), log)
+        written += now
+        if after:
+            after(now)
+    return written
+
+
+def _log_shards(rows: DataFrame, log: str) -> None:
+    rows = rows.withColumn("updated_at", F.current_timestamp()).select("status", "rows_written", "attempt", "updated_at", "feature_version", "shard_id")
+    rows.repartition("shard_id").write.partitionBy("feature_version", "shard_id").mode("append").parquet(log)
+
+
+def record(log: str, kind: str, keys: DataFrame, status: str, at: Column | None = None) -> None:
+    """Append (kind, key, status, updated_at) rows of runs, syncs or shards to an audit log; ``audit_state`` tells where each stands."""
+    rows = keys.select(F.lit(kind).alias("kind"), F.col(keys.columns[0]).cast("string").alias("key"), F.lit(status).alias("status"), (F.current_timestamp() if at is None else at).alias("updated_at"))
+    rows.write.mode("append").parquet(log)
+
+
 def activatable(syncs: DataFrame) -> DataFrame:
     """Versions that are validated and whole."""
     return latest(syncs, ["feature_version"], [F.desc("finished_at")]).where("status = 'validated' AND completed_shards = total_shards")

@@ -17,7 +17,9 @@ from tidewater.operators.pit import pit_features
 #: Names that ids are derived from, and each reason's event type.
 COUNTERS = ("f5", "f18", "f11", "f19")
 RECENCY, FREE = "recency", "FREE"
-EVENT_TYPES = {"f5": "EVT_F5", "f11": "EVT_F11", "f18": "EVT_F18", "f19": "EVT_F19", RECENCY: "EVT_ORDER_PAID", FREE: "EVT_SESSION_STARTED"}
+#: What f30 counts: active days of the window, to be filled by free events, or events of its own, at most 30 of them and no free ones.
+DAYS, OWN = "days", "own"
+EVENT_TYPES = {"f5": "EVT_F5", "f11": "EVT_F11", "f18": "EVT_F18", "f19": "EVT_F19", "f30": "EVT_F30", RECENCY: "EVT_ORDER_PAID", FREE: "EVT_SESSION_STARTED"}
 WINDOW_DAYS = 30
 CAPACITY = 5
 TRACK = "A"
@@ -50,6 +52,16 @@ def decode(targets: DataFrame) -> DataFrame:
     return rows.withColumn("reason", reason)
 
 
+def counters(branch: str) -> tuple[str, ...]:
+    return COUNTERS if branch == DAYS else (*COUNTERS, "f30")
+
+
+def own_counter(decoded: DataFrame) -> DataFrame:
+    """``decoded`` for the branch in which f30 counts its own events: days put no bound on it, but 30 does."""
+    reason = F.when(F.col("n30") > WINDOW_DAYS, "above_cap").when(~F.col("reason").isin("forced_days", "window_too_short"), F.col("reason"))
+    return decoded.withColumn("reason", reason)
+
+
 def _settled(rows: DataFrame) -> DataFrame:
     """``rows`` with all columns computed once: a generator keeps the optimiser from writing them out again wherever they are used."""
     return rows.select(F.inline(F.array(F.struct(*rows.columns))))
@@ -60,18 +72,23 @@ def solvable(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
     return decoded.where(F.col("reason").isNull()), decoded.where(F.col("reason").isNotNull())
 
 
-def bound(decoded: DataFrame) -> DataFrame:
-    """The least free events and sessions that any plan needs: free_min, sessions_min, and total events inside the window."""
-    demand = total([F.coalesce(F.col(f"n{c[1:]}"), F.lit(0).cast("long")) for c in COUNTERS])
-    days = F.coalesce("n30", F.greatest("n_forced", F.lit(1).cast("long")))
-    free = F.when(F.col("n30").isNull(), F.lit(0).cast("long")).otherwise(F.greatest(F.lit(0).cast("long"), days - F.col("n_forced") - demand))
+def bound(decoded: DataFrame, branch: str = DAYS) -> DataFrame:
+    """The least free events, active days and sessions that any plan needs: free_min, days_min, sessions_min, and total events inside the window.
+
+    Where f30 counts its own events, these need no days beyond the forced ones, or a single day if none
+    is forced, and sessions are the fewest on so few days.
+    """
+    demand = total([F.coalesce(F.col(f"n{c[1:]}"), F.lit(0).cast("long")) for c in counters(branch)])
+    fewest = F.greatest("n_forced", F.lit(1).cast("long"))
+    days = F.coalesce("n30", fewest) if branch == DAYS else fewest
+    free = F.when(F.col("n30").isNull() | F.lit(branch == OWN), F.lit(0).cast("long")).otherwise(F.greatest(F.lit(0).cast("long"), days - F.col("n_forced") - demand))
     outside = F.size(F.array_distinct(F.array("d1", "d2"))) - F.col("n_forced")
     rows = decoded.withColumns({"demand": demand, "n_days": days, "free_min": free}).withColumn("n_inside", F.col("demand") + F.col("n_forced") + F.col("free_min"))
     least = outside + F.greatest("n_days", F.ceil(F.col("n_inside") / CAPACITY))
-    return rows.withColumn("sessions_min", least.cast("long"))
+    return rows.withColumns({"sessions_min": least.cast("long"), "days_min": (outside + F.col("n_days")).cast("long")})
 
 
-def plan(decoded: DataFrame, seed: int, track: str = TRACK) -> DataFrame:
+def plan(decoded: DataFrame, seed: int, track: str = TRACK, branch: str = DAYS) -> DataFrame:
     """Targets with ``slots``, an array of (reason, day, n), one optimal plan each.
 
     Days: the forced ones and, of the others, those whose keyed digests come first. Every day gets
@@ -81,7 +98,7 @@ def plan(decoded: DataFrame, seed: int, track: str = TRACK) -> DataFrame:
     """
     # A plan costs far more than its row weighs, so rows are dealt out by number and not by size; events keep that partitioning.
     parts = int(decoded.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = _settled(bound(decoded.repartition(parts, "target_id")))
+    rows = _settled(bound(decoded.repartition(parts, "target_id"), branch))
     pool = F.filter(F.sequence(F.lit(0), F.lit(WINDOW_DAYS - 1)), lambda d: ~F.array_contains("forced", d))
     keyed = F.transform(pool, lambda d: F.struct(F.sha2(F.concat_ws("\u001f", "target_id", F.lit(str(seed)), F.lit(track), F.concat(F.lit("day"), d.cast("string"))), 256).alias("h"), d.alias("d")))
     need = (F.col("n_days") - F.col("n_forced")).cast("int")
@@ -91,14 +108,14 @@ def plan(decoded: DataFrame, seed: int, track: str = TRACK) -> DataFrame:
     rest = F.greatest(zero, F.col("n_inside") - F.col("n_days"))
     most = F.lit(CAPACITY - 1)
     over = F.greatest(zero, rest - most * F.col("n_days"))
-    counts = [F.coalesce(F.col(f"n{c[1:]}"), zero) for c in COUNTERS] + [F.col("free_min")]
+    counts = [F.coalesce(F.col(f"n{c[1:]}"), zero) for c in counters(branch)] + [F.col("free_min")]
 
     def poured(day: Column, i: Column) -> Column:
         # Room before this day, and in it: one event a day, the rest in order, the excess first; forced days hold one already.
         low = i + F.least(rest, most * i) + F.when(i > 0, over).otherwise(zero) - F.size(F.filter("forced", lambda f: f < day))
         here = 1 + F.greatest(zero, F.least(most.cast("long"), rest - most * i)) + F.when(i == 0, over).otherwise(zero) - F.array_contains("forced", day).cast("long")
         parts, begin = [], zero
-        for reason, n in zip((*COUNTERS, FREE), counts, strict=True):
+        for reason, n in zip((*counters(branch), FREE), counts, strict=True):
             share = F.least(begin + n, low + here) - F.greatest(begin, low)
             parts.append(F.struct(F.lit(reason).alias("reason"), day.alias("day"), F.greatest(zero, share).alias("n")))
             begin = begin + n
@@ -174,6 +191,17 @@ def feasible(plans: DataFrame) -> DataFrame:
     return rows.select("target_id", (F.col("counts_ok") & days & best).alias("feasible"))
 
 
+def feasible_own(plans: DataFrame) -> DataFrame:
+    """(target_id, feasible) where f30 counts its own events: all counts are the target's, nothing is free, and active days, then sessions, are the fewest."""
+    count = lambda reason: F.aggregate(F.filter("slots", lambda s: s["reason"] == reason), F.lit(0).cast("long"), lambda a, s: a + s["n"])
+    same = [count(c) == F.coalesce(F.col(f"n{c[1:]}"), F.lit(0)) for c in counters(OWN)]
+    recent = count(RECENCY) == F.size(F.array_distinct(F.array("d1", "d2")))
+    covered = F.size(F.array_except("forced", F.transform("slots", lambda s: s["day"]))) == 0
+    right = reduce(lambda a, b: a & b, (*same, recent, covered, count(FREE) == 0))
+    rows = plans.select("target_id", "days_min", "sessions_min", right.alias("right")).join(metrics(plans), "target_id")
+    return rows.select("target_id", (F.col("right") & (F.col("active_days") == F.col("days_min")) & (F.col("sessions") == F.col("sessions_min"))).alias("feasible"))
+
+
 #: How each feature is compared: exactly, or with a relative tolerance.
 REGIMES = {"f1": ("exact", 0.0), "f2": ("exact", 0.0), "f5": ("relative", 1e-15), "f18": ("exact", 0.0)}
 

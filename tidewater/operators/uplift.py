@@ -6,17 +6,20 @@ sorts the whole population, whatever the scores look like. All rankings of a tab
 
 from __future__ import annotations
 
+from functools import reduce
 from statistics import NormalDist
+from typing import NamedTuple
 
-from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.functions.scalars import clip
 from tidewater.operators import order
+from tidewater.sources.lake import written
 
 #: Fixed value: bounds of the propensity.
 PROPENSITY = (0.071, 0.929)
@@ -120,25 +123,83 @@ def assemble(rows: DataFrame, features: list[str]) -> DataFrame:
     return VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep").transform(rows)
 
 
-def fit_nuisance(rows: DataFrame, n_folds: int, seed: int, trees: int = 20, depth: int = 5) -> DataFrame:
-    """Rows with e, mu0 and mu1, each predicted by models that haven't seen the row's fold."""
-    rows = rows.cache()
-    out = None
-    for k in range(n_folds):
-        train, held = rows.where(F.col("fold") != k), rows.where(F.col("fold") == k)
-        for name, part, label in (("e", train, "w"), ("mu0", train.where("w = 0"), "y"), ("mu1", train.where("w = 1"), "y")):
-            model = GBTClassifier(labelCol=label, featuresCol="features", maxIter=trees, maxDepth=depth, stepSize=0.05, seed=seed, minInstancesPerNode=50).fit(part)
-            held = model.transform(held).withColumn(name, vector_to_array("probability")[1]).drop("rawPrediction", "probability", "prediction")
-        out = held if out is None else out.union(held)
-    return out
+class Learner(NamedTuple):
+    """A fitted doubly robust learner: the models of each fold, which haven't seen it, and the final one."""
+
+    nuisance: dict[tuple[int, str], GBTClassificationModel]
+    final: GBTRegressionModel
+    features: list[str]
+
+
+NUISANCE = ("e", "mu0", "mu1")
+
+
+def others(rows: DataFrame, fold: int) -> DataFrame:
+    """The rows that a fold's models are fitted on: those of all other folds."""
+    return rows.where(F.col("fold") != fold)
+
+
+def fit_fold(rows: DataFrame, fold: int, seed: int, trees: int, depth: int) -> dict[tuple[int, str], GBTClassificationModel]:
+    """Propensity and outcome models of a fold, fitted on all the others."""
+    train = others(rows, fold)
+    parts = {"e": (train, "w"), "mu0": (train.where("w = 0"), "y"), "mu1": (train.where("w = 1"), "y")}
+    fit = lambda part, label: GBTClassifier(labelCol=label, featuresCol="features", maxIter=trees, maxDepth=depth, stepSize=0.05, seed=seed, minInstancesPerNode=50).fit(part)
+    return {(fold, name): fit(*of) for name, of in parts.items()}
+
+
+def out_of_fold(rows: DataFrame, nuisance: dict[tuple[int, str], GBTClassificationModel]) -> DataFrame:
+    """Rows with e, mu0 and mu1, each predicted by the models of the row's own fold."""
+    out = []
+    for k in sorted({fold for fold, _ in nuisance}):
+        held = rows.where(F.col("fold") == k)
+        for name in NUISANCE:
+            held = nuisance[k, name].transform(held).withColumn(name, vector_to_array("probability")[1]).drop("rawPrediction", "probability", "prediction")
+        out.append(held)
+    return reduce(DataFrame.union, out)
+
+
+def dr_fit(rows: DataFrame, features: list[str], key: str, n_folds: int = 5, seed: int = 42, trees: int = 20, depth: int = 4) -> Learner:
+    """Cross-fitted learner on rows (key, y, w, features). Folds are written once and read by each of the fits."""
+    ready = assemble(written(folds(rows, key, n_folds, seed).select(key, "y", "w", "fold", *features), "folds"), features)
+    nuisance = {name: model for k in range(n_folds) for name, model in fit_fold(ready, k, seed, trees, 5).items()}
+    target = out_of_fold(ready, nuisance).withColumn("dr", pseudo_outcome(F.col("e"), F.col("mu0"), F.col("mu1"), F.col("y"), F.col("w")))
+    target = assemble(written(target.select(*features, "dr"), "outcomes"), features)
+    final = GBTRegressor(labelCol="dr", featuresCol="features", predictionCol="cate", maxIter=trees, maxDepth=depth, stepSize=0.02, seed=seed, minInstancesPerNode=30).fit(target)
+    return Learner(nuisance, final, list(features))
 
 
 def dr_learner(rows: DataFrame, features: list[str], key: str, n_folds: int = 5, seed: int = 42, trees: int = 20, depth: int = 4):
     """The fitted regression of the pseudo-outcome on the features; its transform() predicts the effect of treatment."""
-    ready = assemble(folds(rows, key, n_folds, seed), features)
-    nuisance = fit_nuisance(ready, n_folds, seed, trees)
-    target = nuisance.withColumn("dr", pseudo_outcome(F.col("e"), F.col("mu0"), F.col("mu1"), F.col("y"), F.col("w")))
-    return GBTRegressor(labelCol="dr", featuresCol="features", predictionCol="cate", maxIter=trees, maxDepth=depth, stepSize=0.02, seed=seed, minInstancesPerNode=30).fit(target)
+    return dr_fit(rows, features, key, n_folds, seed, trees, depth).final
+
+
+def save(learner: Learner, path: str) -> None:
+    """All models under ``path``, a folder each, and the order of the features."""
+    for (fold, name), model in learner.nuisance.items():
+        model.write().overwrite().save(f"{path}/nuisance/{fold}-{name}")
+    learner.final.write().overwrite().save(f"{path}/final")
+    spark = SparkSession.active()
+    about = [(learner.features, sorted({k for k, _ in learner.nuisance}))]
+    spark.createDataFrame(about, "features array<string>, folds array<int>").coalesce(1).write.mode("overwrite").parquet(f"{path}/about")
+
+
+def load(spark: SparkSession, path: str) -> Learner:
+    about = spark.read.parquet(f"{path}/about").first()
+    nuisance = {(k, name): GBTClassificationModel.load(f"{path}/nuisance/{k}-{name}") for k in about.folds for name in NUISANCE}
+    return Learner(nuisance, GBTRegressionModel.load(f"{path}/final"), list(about.features))
+
+
+def effects(learner: Learner, rows: DataFrame) -> DataFrame:
+    """``rows`` with cate, the effect that the final model predicts from the features in their order."""
+    return learner.final.transform(assemble(rows, learner.features)).drop("features")
+
+
+def decide_rows(learner: Learner, rows: DataFrame, threshold: float = DEFAULT_THRESHOLD) -> DataFrame:
+    """``rows`` with cate, decision and voucher; rows without any feature get no decision."""
+    known = reduce(lambda a, b: a | b, (F.col(f).isNotNull() for f in learner.features))
+    scored = effects(learner, rows).withColumn("cate", F.when(known, F.col("cate")))
+    decision, voucher = decide(F.col("cate"), threshold)
+    return scored.withColumns({"decision": decision, "voucher": voucher})
 
 
 def drawn(salt: str, key: str = "tie") -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidewater.plans import features, operations, records, streams
+from tidewater.plans import features, jobs, operations, records, streams
 
-QUERIES = features.QUERIES | operations.QUERIES | records.QUERIES | streams.QUERIES
-ORACLE_SQL = features.ORACLE_SQL | operations.ORACLE_SQL | records.ORACLE_SQL | streams.ORACLE_SQL
+QUERIES = features.QUERIES | operations.QUERIES | records.QUERIES | streams.QUERIES | jobs.QUERIES
+ORACLE_SQL = features.ORACLE_SQL | operations.ORACLE_SQL | records.ORACLE_SQL | streams.ORACLE_SQL | jobs.ORACLE_SQL
