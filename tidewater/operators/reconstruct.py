@@ -267,27 +267,35 @@ def tier_summary(report: DataFrame) -> DataFrame:
     return report.groupBy("tier").agg(F.count("*").alias("n"), F.count_if("ok").alias("n_ok"))
 
 
-def emit(plans: DataFrame, set_aside: DataFrame, attributes: DataFrame, passthrough: list[str], root: str, seed: int) -> DataFrame:
+#: Columns that say how an event was made; they go to the audit table only.
+GENERATOR = ("gen_reason", "day_offset", "sub_index", "occurrence")
+
+
+def emit(plans: DataFrame, set_aside: DataFrame, attributes: DataFrame, passthrough: list[str], root: str, seed: int, encodings: DataFrame, layout: DataFrame, track: str = TRACK) -> DataFrame:
     """Write the tables of a reconstruction, a folder each under ``root``; the manifest (table_name, n_rows) of what can be read back.
 
-    Plans are written first, and events, boundary, targets and pass-through columns follow from that
-    table, so that no plan is made twice.
+    Plans are written first, and boundary, targets and pass-through columns follow from that table, so
+    that no plan is made twice. Events are made once, into the audit table, which says of each what it
+    stands for; the event table is read off it and doesn't.
     """
     spark = plans.sparkSession
     plans.write.mode("overwrite").parquet(f"{root}/plans")
     made = spark.read.parquet(f"{root}/plans")
+    materialise(made, seed, track).withColumn("track", F.lit(track)).write.mode("overwrite").parquet(f"{root}/audit")
     tables = {
-        "events": materialise(made, seed),
+        "events": spark.read.parquet(f"{root}/audit").drop("track", *GENERATOR),
         "boundary": made.select("target_id", "reference_ts"),
         "targets": made.select("target_id", *(c for c in ("n5", "n11", "n18", "n19", "n30", "d1", "d2") if c in made.columns)),
         "passthrough_source": made.select("target_id", *passthrough),
         "objective": made.select("target_id", "free_min", "sessions_min"),
         "customer_attribute": attributes,
+        "encoding_map": encodings,
+        "onehot_layout": layout,
         "quarantine": set_aside.select("target_id", "reason"),
     }
     for name, rows in tables.items():
         rows.write.mode("overwrite").parquet(f"{root}/{name}")
-    counts = [spark.read.parquet(f"{root}/{name}").agg(F.lit(name).alias("table_name"), F.count("*").alias("n_rows")) for name in ("plans", *tables)]
+    counts = [spark.read.parquet(f"{root}/{name}").agg(F.lit(name).alias("table_name"), F.count("*").alias("n_rows")) for name in ("plans", "audit", *tables)]
     manifest = reduce(DataFrame.unionByName, counts)
     manifest.coalesce(1).write.mode("overwrite").parquet(f"{root}/manifest")
     return spark.read.parquet(f"{root}/manifest")

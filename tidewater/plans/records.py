@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.functions import scalars as S
-from tidewater.operators import marts, publish, quality, reconstruct, uplift
+from tidewater.operators import encoding, marts, publish, quality, reconstruct, uplift
 from tidewater.plans import inputs as I
 from tidewater.plans import operations as O
 from tidewater.plans.inputs import sql
@@ -31,8 +31,8 @@ def query(oracle: str):
 
 @query("SELECT user_id, f0, f1 FROM snap")
 def shard_scan(spark, sf):
-    """All eight hashed shards, read one by one: together they are the table, each row once."""
-    s = I.snapshot(spark, sf)
+    """All eight hashed shards, laid out once, each read by itself and from its own folder: together they are the table."""
+    s = lake.by_shard(I.snapshot(spark, sf).select("user_id", "f0", "f1"), "user_id", 8)
     parts = [lake.shard(s, "user_id", k, 8, ["user_id", "f0", "f1"]) for k in range(8)]
     out = parts[0]
     for p in parts[1:]:
@@ -182,14 +182,18 @@ def gate_by_tier(spark, sf):
 
 @query(f"""{O._EVENTS} SELECT 'plans' AS table_name, count(*) AS n_rows FROM ok UNION ALL SELECT 'events', count(*) FROM made UNION ALL SELECT 'boundary', count(*) FROM ok UNION ALL SELECT 'targets', count(*) FROM ok
 UNION ALL SELECT 'passthrough_source', count(*) FROM ok UNION ALL SELECT 'objective', count(*) FROM ok UNION ALL SELECT 'customer_attribute', count(*) FROM ok
-UNION ALL SELECT 'quarantine', count(*) FROM dec WHERE reason IS NOT NULL UNION ALL SELECT 'landed', count(*) FROM made""")
+UNION ALL SELECT 'quarantine', count(*) FROM dec WHERE reason IS NOT NULL UNION ALL SELECT 'landed', count(*) FROM made UNION ALL SELECT 'audit', count(*) FROM made
+UNION ALL SELECT 'encoding_map', 2 * count(*) FROM (SELECT DISTINCT n5, n18 FROM ok) UNION ALL SELECT 'onehot_layout', count(DISTINCT {O._NTH} % 5) FROM ok""")
 def reconstruction_manifest(spark, sf):
     """The tables of a reconstruction, written and counted, and its events landed in a root of their own."""
     root = I.scratch(spark, "reconstruction")
     ready, aside = reconstruct.solvable(O._decoded(spark, sf))
     plans = reconstruct.plan(ready, O.SEED).withColumn("reference_ts", F.lit(O.REFERENCE).cast("timestamp"))
     levels = ready.select("target_id", F.lit("segment").alias("attr_name"), (F.substring("target_id", 2, 20).cast("int") % 5).alias("level_id"))
-    manifest = reconstruct.emit(plans, aside, levels, ["f1", "f2"], root, O.SEED)
+    pairs = encoding.encoding_map(encoding.value_dictionary(ready, ["n5", "n18"]), I.ENCODING, "counts", ["n5", "n18"])
+    names = F.concat(F.lit("segment_"), F.col("level_id")).alias("column_name")
+    layout = levels.select(F.lit(I.ENCODING).alias("encoding_version"), "attr_name", F.col("level_id").alias("level_index"), names).distinct()
+    manifest = reconstruct.emit(plans, aside, levels, ["f1", "f2"], root, O.SEED, pairs, layout)
     events = spark.read.parquet(f"{root}/events").withColumn("dt", F.to_date("event_ts"))
     landed = lake.land_counted(events, f"{root}/lake-synthetic", ["dt"])
     return manifest.unionByName(spark.createDataFrame([("landed", landed)], "table_name string, n_rows long"))

@@ -80,9 +80,17 @@ def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
+def by_shard(rows: DataFrame, key: str, shards: int) -> DataFrame:
+    """``rows`` written with a folder a shard, in ``_shard``, so that a shard's reader opens no other."""
+    path = scratch(rows.sparkSession, "shards")
+    rows.withColumn("_shard", hash_shard(F.col(key), shards)).repartition("_shard").write.partitionBy("_shard").parquet(path)
+    return rows.sparkSession.read.parquet(path)
+
+
 def shard(rows: DataFrame, key: str, shard_id: int, shards: int, columns: list[str]) -> DataFrame:
-    """One of ``shards`` disjoint parts by hashed key, with only the columns asked for."""
-    return rows.where(hash_shard(F.col(key), shards) == shard_id).select(*columns)
+    """One of ``shards`` disjoint parts by hashed key, with only the columns asked for; of a table from ``by_shard``, its folder alone."""
+    own = F.col("_shard") if "_shard" in rows.columns else hash_shard(F.col(key), shards)
+    return rows.where(own == shard_id).select(*columns)
 
 
 def members(rows: DataFrame, ids: DataFrame, key: str, day: str | None = None) -> DataFrame:
