@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from tidewater.llm import graph
+from tidewater.llm import graph, neighbours
 
 SCHEMA = "vec_id long, embedding array<float>, cell string, copies int, n int"
 
@@ -110,3 +111,15 @@ def test_all_nodes_can_be_reached():
         seen |= new
         stack += new
     assert len(seen) == len(x)
+
+
+def test_a_leaf_gives_ties_by_id():
+    """Thousands of equal products in one leaf, in the order of anything but their ids: the smallest ids come first."""
+    r = np.random.default_rng(8)
+    n = 3000
+    x = np.column_stack((np.full(n, 0.5), r.standard_normal((n, 7))))
+    rows = [*({"level": None, "string": int(r.integers(1 << 40)), "vec_id": int(i), "v": v.tolist()} for i, v in zip(r.permutation(n) + 1, x, strict=True))]
+    rows.append({"level": 0, "string": 5, "vec_id": 100_000, "v": [1.0] + [0.0] * 7})
+    schema = pa.schema([("level", pa.int32()), ("string", pa.int64()), ("vec_id", pa.int64()), ("v", pa.list_(pa.float64()))])
+    search, _ = neighbours._leaf_search(20, "bigint", np.zeros(9), float((x * x).sum(axis=1).max()))
+    assert search(pa.Table.from_pylist(rows, schema=schema))["vec_id"].to_pylist() == list(range(1, 21))
