@@ -113,8 +113,9 @@ def test_all_nodes_can_be_reached():
     assert len(seen) == len(x)
 
 
-def test_a_leaf_gives_ties_by_id():
+def test_a_leaf_gives_ties_by_id(spark):
     """Thousands of equal products in one leaf, in the order of anything but their ids: the smallest ids come first."""
+    spark.range(1).count()  # schemas are parsed by a session
     r = np.random.default_rng(8)
     n = 3000
     x = np.column_stack((np.full(n, 0.5), r.standard_normal((n, 7))))
