@@ -4,13 +4,15 @@ Lines are normalised (lower case, digits to 0, ASCII punctuation and white space
 Equal normalised lines are one line. Of unlike ones a pair is linked if the edit similarity of its
 words is at least ``SIMILARITY``; of all lines of a connected group the first stays.
 
-Candidates follow from that rule without loss. An edit changes at most two of a line's pairs of
+Keys follow from that rule without loss. An edit changes at most two of a line's pairs of
 neighbouring words, so a pair of lines that may be linked differs in a bounded number of them; if
 all lines sort theirs in one order, the first of them, one more than that number, have one in common,
 which is the join key. Rare ones come first in the order, so that keys tell lines apart. A candidate is
-compared if the lengths allow it and SimHashes over the pairs of neighbouring words, four of 64 bits,
-differ in at most ``DISTANCE`` bits in the first and ``most_bits`` in all. Pairs of words tell lines of
-a common vocabulary apart, which single words don't.
+compared if the lengths allow it and SimHashes over the distinct pairs of neighbouring words, four of 64
+bits, don't differ in more bits than the edits explain, and four deviations; that loses a link at
+the very bound about once in 15,000 times, others more rarely. Pairs count once however often a line
+repeats them, so an edit that turns many equal ones changes one. Pairs of words tell lines of a common
+vocabulary apart, which single words don't.
 """
 
 from __future__ import annotations
@@ -26,11 +28,11 @@ from tidewater.llm.common import cut, first_rows, map_batches, one_per_id, sampl
 from tidewater.llm.grouping import link_groups, shared_buckets
 from tidewater.llm.words import located_hashes, mix, signed
 
-#: Word pairs that differ by half turn 21 of 64 bits, with a deviation of 3.8; unlike lines differ in some 32.
+#: Word pairs that differ by half turn 21 of 64 bits, with a deviation of 3.8; unlike lines differ in some 32. So many may always differ.
 DISTANCE = 36
 SIMHASHES = 4
-#: Bits beyond the expected number, in all SimHashes, that a pair may differ in: four deviations.
-SLACK = 30
+#: Bits beyond the expected number, in the first and in all SimHashes, that a pair may differ in: four deviations.
+SLACK_ONE, SLACK = 16, 32
 SIMILARITY = 0.8
 #: Shorter lines (headings, list items, braces) are never removed.
 MIN_WORDS = 5
@@ -162,13 +164,17 @@ def prefix_lengths(n: np.ndarray) -> np.ndarray:
     return most + 1
 
 
-def most_bits(n: Column) -> Column:
-    """The most bits of all SimHashes that a line of ``n`` words may differ in from a shorter one it is linked with.
+def least_cosine(n: Column, d: Column) -> Column:
+    """The least cosine of the sets of distinct word pairs of two linked lines: ``n`` words in the longer line, ``d`` distinct pairs in the richer one.
 
-    An edit changes two word pairs of n - 1 at most, which bounds the cosine and so the expected bits.
+    An edit takes two pairs out of a set at most; a line of few distinct pairs may lose them all.
     """
-    cosine = 1 - 2 * F.floor((1 - SIMILARITY) * n + 1e-9) / (n - 1)
-    return F.acos(cosine) * (64 * SIMHASHES / math.pi) + SLACK
+    return F.greatest(F.lit(0.0), 1 - 2 * F.floor((1 - SIMILARITY) * n + 1e-9) / d)
+
+
+def most_bits(cosine: Column, hashes: int, slack: int) -> Column:
+    """The most bits of so many SimHashes that sets of this cosine may differ in."""
+    return F.acos(cosine) * (64 * hashes / math.pi) + slack
 
 
 def common_words(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -188,12 +194,12 @@ _NONE = (np.empty(0, np.uint64), np.empty(0, np.int64))
 _SORTED = 1 << 16
 
 
-def line_keys(words: np.ndarray, count: np.ndarray, common: tuple[np.ndarray, np.ndarray] = _NONE) -> tuple[np.ndarray, np.ndarray]:
-    """Join keys of lines that hold ``count`` of the ``words`` each, and how many each line has."""
+def distinct_pairs(words: np.ndarray, count: np.ndarray, common: tuple[np.ndarray, np.ndarray] = _NONE) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct word pairs of lines that hold ``count`` of the ``words`` each, a line's rare ones first, and how many each line has."""
     if len(count) > _SORTED:
         half = len(count) // 2
         cut_at = int(count[:half].sum())
-        parts = [line_keys(words[:cut_at], count[:half], common), line_keys(words[cut_at:], count[half:], common)]
+        parts = [distinct_pairs(words[:cut_at], count[:half], common), distinct_pairs(words[cut_at:], count[half:], common)]
         return tuple(np.concatenate(p) for p in zip(*parts, strict=True))
     line = np.repeat(np.arange(len(count), dtype=np.uint64), count)
     inside = line[1:] == line[:-1]
@@ -208,10 +214,14 @@ def line_keys(words: np.ndarray, count: np.ndarray, common: tuple[np.ndarray, np
     order = np.argsort(line << np.uint64(48) | rank << np.uint64(42) | pairs >> np.uint64(22))
     line, pairs = line[order].astype(np.int64), pairs[order]
     new = np.append(True, (line[1:] != line[:-1]) | (pairs[1:] != pairs[:-1]))
-    line, pairs = line[new], pairs[new]
-    begin = np.searchsorted(line, np.arange(len(count)))
-    taken = np.arange(len(line)) - begin[line] < prefix_lengths(count)[line]
-    return signed(pairs[taken]), np.bincount(line[taken], minlength=len(count))
+    return pairs[new], np.bincount(line[new], minlength=len(count))
+
+
+def line_keys(pairs: np.ndarray, many: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Join keys of lines of ``count`` words that have ``many`` of the distinct ``pairs`` each, and how many keys each line has."""
+    line = np.repeat(np.arange(len(many)), many)
+    taken = np.arange(len(line)) - np.repeat(np.cumsum(many) - many, many) < prefix_lengths(count)[line]
+    return signed(pairs[taken]), np.bincount(line[taken], minlength=len(many))
 
 
 _SIMS = [f"s{k}" for k in range(SIMHASHES)]
@@ -239,21 +249,16 @@ def parted(texts: list[str | None]) -> tuple[np.ndarray, ...]:
 
 
 def sketched(count: np.ndarray, words: np.ndarray, common: tuple[np.ndarray, np.ndarray], wanted: np.ndarray) -> tuple[np.ndarray, ...]:
-    """SimHashes and join keys of the wanted lines, and how many keys each line has; the others' SimHashes are 0.
-
-    A line's last word forms no pair, so a line of n words has n - 1 features.
-    """
-    many, sims = np.zeros(len(count), np.int64), np.zeros((len(count), SIMHASHES), np.int64)
+    """SimHashes, numbers of distinct word pairs and join keys of the wanted lines, and how many keys each line has; the others' are 0."""
+    many, rich, sims = np.zeros(len(count), np.int64), np.zeros(len(count), np.int64), np.zeros((len(count), SIMHASHES), np.int64)
     words, count = words[np.repeat(wanted, count)], count[wanted]
     if len(count):
-        keys, many[wanted] = line_keys(words, count, common)
-        last = np.cumsum(count) - 1
-        pairs = word_pairs(words)
-        inside = np.ones(len(words), bool)
-        inside[last] = False
-        sims[wanted] = simhashes(last + 1 - count - np.arange(len(count)), count - 1, pairs[inside[:-1]])
-        return sims, keys, many
-    return sims, np.empty(0, np.int64), many
+        pairs, own = distinct_pairs(words, count, common)
+        rich[wanted] = own
+        keys, many[wanted] = line_keys(pairs, own, count)
+        sims[wanted] = simhashes(np.cumsum(own) - own, own, pairs)
+        return sims, rich, keys, many
+    return sims, rich, np.empty(0, np.int64), many
 
 
 def hashed_lines(text: str, common: tuple[np.ndarray, np.ndarray] = _NONE) -> tuple[np.ndarray, ...]:
@@ -261,12 +266,12 @@ def hashed_lines(text: str, common: tuple[np.ndarray, np.ndarray] = _NONE) -> tu
     _, line, count, ids, words = parted([text])
     if not len(line):
         return tuple(np.empty(0, np.int64) for _ in range(6))
-    sims, keys, many = sketched(count, words, common, np.ones(len(line), bool))
+    sims, _, keys, many = sketched(count, words, common, np.ones(len(line), bool))
     return line, ids, sims[:, 0], count, keys, many
 
 
 def lines(docs: DataFrame) -> DataFrame:
-    """(doc_id, line, id, n, s0 to s3, keys): lines of MIN_WORDS words and more, ``id`` hashing the normalised line of n words.
+    """(doc_id, line, id, n, d, s0 to s3, keys): lines of MIN_WORDS words and more, ``id`` hashing the normalised line of n words, d distinct pairs.
 
     A task gives a line's keys and SimHashes once, not for each equal line, as long as it remembers it;
     rows without keys have none.
@@ -284,15 +289,15 @@ def lines(docs: DataFrame) -> DataFrame:
         def step(ids, texts):
             owner, line, count, names, words = parted([t if i is not None else None for i, t in zip(ids, texts, strict=True)])
             if not len(line):
-                return [[] for _ in range(5 + SIMHASHES)]
-            sims, keys, many = sketched(count, words, common, unseen(names))
+                return [[] for _ in range(6 + SIMHASHES)]
+            sims, rich, keys, many = sketched(count, words, common, unseen(names))
             lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(many)), pa.int32()), pa.array(keys))
-            return pa.array(ids).take(pa.array(owner)), line, names, count, *sims.T, lists
+            return pa.array(ids).take(pa.array(owner)), line, names, count, rich, *sims.T, lists
 
         return step
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return map_batches(docs, ["doc_id", "text"], f"doc_id {kind}, line int, id bigint, n int, {', '.join(f'{c} bigint' for c in _SIMS)}, keys array<bigint>", start)
+    return map_batches(docs, ["doc_id", "text"], f"doc_id {kind}, line int, id bigint, n int, d int, {', '.join(f'{c} bigint' for c in _SIMS)}, keys array<bigint>", start)
 
 
 def _normalised(joined: DataFrame, dictionary: bytes) -> DataFrame:
@@ -335,7 +340,7 @@ def repeated_lines(docs: DataFrame, dictionary: bytes) -> DataFrame:
     """(doc_id, gone): the lines of each document that are not the first of their group, by number."""
     found = cut(lines(docs))
     # The smallest place stands for all equal lines.
-    sims = (F.max(F.when(F.size("keys") > 0, F.col(c))).alias(c) for c in _SIMS)
+    sims = (F.max(F.when(F.size("keys") > 0, F.col(c))).alias(c) for c in ("d", *_SIMS))
     distinct = cut(found.groupBy("id").agg(F.min("n").alias("n"), *sims, F.min(F.struct("doc_id", "line")).alias("at")))
     keys = found.select("id", F.explode("keys").alias("key"))
     # Most pairs of words occur in one line only: few keys are left after the first aggregation.
@@ -346,14 +351,16 @@ def repeated_lines(docs: DataFrame, dictionary: bytes) -> DataFrame:
         longer = F.greatest(f"{a}n", f"{b}n")
         apart = F.abs(F.col(f"{a}n") - F.col(f"{b}n")) <= F.floor((1 - SIMILARITY) * longer + 1e-9)
         bits = [F.bit_count(F.col(f"{a}{c}").bitwiseXOR(F.col(f"{b}{c}"))) for c in _SIMS]
-        return apart & (bits[0] <= DISTANCE) & (sum(bits[1:], bits[0]) <= most_bits(longer))
+        cosine = least_cosine(longer, F.greatest(f"{a}d", f"{b}d"))
+        first = bits[0] <= F.greatest(F.lit(DISTANCE), most_bits(cosine, 1, SLACK_ONE))
+        return apart & first & (sum(bits[1:], bits[0]) <= most_bits(cosine, SIMHASHES, SLACK))
 
     def fetch(ids):
         places = ids.join(distinct, "id").groupBy("at.doc_id").agg(F.collect_list(F.struct("id", "at.line")).alias("wanted"))
         wanted = docs.join(places.select("doc_id"), "doc_id", "left_semi")
         return _normalised(zipped(wanted, dictionary).join(places, "doc_id"), dictionary)
 
-    comps = link_groups(distinct.select("id", "n", *_SIMS), shared_buckets(buckets), likely, None, fetch, _verified)
+    comps = link_groups(distinct.select("id", "n", "d", *_SIMS), shared_buckets(buckets), likely, None, fetch, _verified)
     grouped = found.join(comps.withColumnRenamed("node", "id"), "id", "left").select("doc_id", "line", F.coalesce("comp", "id").alias("comp"))
     firsts = grouped.groupBy("comp").agg(F.min(F.struct("doc_id", "line")).alias("first"), F.count("*").alias("n")).where("n > 1")
     gone = grouped.join(firsts, "comp").where(F.col("first") != F.struct("doc_id", "line"))
