@@ -12,6 +12,7 @@ A match's place is the length of all that a split by the same expression leaves
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -39,6 +40,11 @@ _BLOCK = 256
 _SPAN = "array<struct<start:bigint,kind:int,end:bigint>>"
 
 
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` evaluated once a row, however often ``use`` names it or a function within calls for it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _running(values: Column) -> Column:
     """Sums of all earlier elements, in blocks so that many matches in one text don't cost their square."""
 
@@ -48,23 +54,25 @@ def _running(values: Column) -> Column:
             a, zero, lambda s, x: F.struct((s["sum"] + x).alias("sum"), F.concat(s["out"], F.array(s["sum"])).alias("out")), lambda s: s["out"]
         )
 
-    blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(values) - 1) / _BLOCK).cast("int")), lambda b: F.slice(values, b * _BLOCK + 1, _BLOCK))
     total = lambda a: F.aggregate(a, F.lit(0).cast("bigint"), lambda s, x: s + x)
-    offsets = short(F.transform(blocks, total))
-    return F.flatten(F.zip_with(blocks, offsets, lambda b, o: F.transform(short(b), lambda x: x + o)))
+    blocks = lambda a: F.transform(F.sequence(F.lit(0), F.floor((F.size(a) - 1) / _BLOCK).cast("int")), lambda b: F.slice(a, b * _BLOCK + 1, _BLOCK))
+    joined = lambda cut: F.flatten(F.zip_with(cut, short(F.transform(cut, total)), lambda b, o: F.transform(short(b), lambda x: x + o)))
+    return _bound(values, lambda a: _bound(blocks(a), joined))
 
 
 def _matches(text: Column, pattern: str, group: int = 0) -> Column:
     """Array of (start, end, text, group's text) of leftmost non-overlapping matches, in code points."""
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    counted = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else found
-    between = F.slice(F.split(text, pattern, -1), 1, F.size(found))
-    both = F.zip_with(between, found, lambda b, m: (F.length(b) + F.length(m)).cast("bigint"))
-    starts = F.zip_with(_running(both), between, lambda s, b: s + F.length(b))
-    named = F.arrays_zip(starts.alias("start"), found.alias("text"), counted.alias("group"))
-    return F.transform(
-        named, lambda m: F.struct(m["start"].alias("start"), (m["start"] + F.length(m["text"])).alias("end"), m["text"].alias("text"), m["group"].alias("group"))
-    )
+    extract = lambda g: F.regexp_extract_all(text, F.lit(pattern), F.lit(g))
+
+    def placed(found, between):
+        both = F.zip_with(between, found, lambda b, m: (F.length(b) + F.length(m)).cast("bigint"))
+        starts = F.zip_with(_running(both), between, lambda s, b: s + F.length(b))
+        spans = F.zip_with(starts, found, lambda s, m: F.struct(s.alias("start"), (s + F.length(m)).alias("end"), m.alias("text")))
+        counted = extract(group) if group else found
+        return F.zip_with(spans, counted, lambda m, g: F.struct(m["start"].alias("start"), m["end"].alias("end"), m["text"].alias("text"), g.alias("group")))
+
+    between = lambda found: F.slice(F.split(text, pattern, -1), F.lit(1), F.size(found))
+    return _bound(extract(0), lambda found: _bound(between(found), lambda b: placed(found, b)))
 
 
 def _base(text: Column, kind: str) -> Column:
@@ -126,9 +134,16 @@ def _stretch(token: Column, threshold: Column) -> Column:
     return F.aggregate(steps, start, slide, ended)
 
 
-def _entropy(text: Column, base: Column) -> Column:
+def _covered(match: Column, spans: Column) -> Column:
+    """Whether one of ``spans``, which follow each other and don't overlap, holds ``match``: the last that starts no later, by bisection."""
+    steps = F.filter(F.array(*(F.lit(1 << k) for k in range(30, -1, -1))), lambda step: step <= F.size(spans))
+    last = F.aggregate(steps, F.lit(0), lambda n, step: F.when(F.get(spans, n + step - 1)["start"] <= match["start"], n + step).otherwise(n))
+    return F.coalesce(F.get(spans, last - 1)["end"] >= match["end"], F.lit(False))
+
+
+def _entropy(text: Column, base: list[Column]) -> Column:
     tokens = F.filter(_matches(text, CANDIDATE), lambda m: ~m["text"].rlike(ALLOWED))
-    new = F.filter(tokens, lambda m: ~F.exists(base, lambda b: (b["start"] <= m["start"]) & (m["end"] <= b["end"])))
+    new = F.filter(tokens, lambda m: ~reduce(lambda a, b: a | b, (_covered(m, spans) for spans in base)))
 
     def threshold(token):
         return reduce(lambda rest, c: F.when(token.rlike(c[1]), c[2]).otherwise(rest), CLASSES[::-1], F.lit(99.0))
@@ -153,13 +168,14 @@ def scan(docs: DataFrame) -> DataFrame:
     spans lists kind:start:end by start, then kind in the order of ``KINDS``, comma-joined; starts
     and ends are code points, end exclusive; base_sha256 hashes that list of the base rules' alone.
     A null text counts as empty: no spans, and the hash of the empty string. Repeated rows and ids are
-    scanned each for itself; time is linear in a text's and a token's length, whatever that is.
+    scanned each for itself; time is linear in a text's and a token's length, but for sorting the spans and
+    looking each token up among its text's base spans by bisection.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     found = docs.select("doc_id", text.alias("text"))
     found = found.select("doc_id", "text", *(_base(F.col("text"), k).alias(k) for k in BASE_RULES))
     found = found.withColumn("base", F.concat(*BASE_RULES))
-    found = found.withColumn("entropy", _entropy(F.col("text"), F.col("base")))
+    found = found.withColumn("entropy", _entropy(F.col("text"), [F.col(k) for k in BASE_RULES]))
     return found.select(
         "doc_id",
         *(F.size(k).cast("long").alias(f"n_{k}") for k in KINDS),
