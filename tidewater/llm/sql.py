@@ -37,8 +37,11 @@ FROM d LEFT JOIN hw ON d.doc_id = hw.doc_id LEFT JOIN hi ON d.doc_id = hi.doc_id
 _names = ", ".join(f"({_quote(k)}, {_quote(v)})" for k, v in licenses.NAMES.items())
 _rules = ", ".join(f"({_quote(a)}, {_quote(b)}, {_quote(c)})" for a, b, c in licenses.SEQUENCES)
 _normal = "trim(regexp_replace(" + _LOWER.format("{}") + ", '[^a-z0-9]+', ' ', 'g'))"
+for _pattern, _fill in licenses.FILLS:
+    _normal = f"regexp_replace({_normal}, {_quote(_pattern)}, {_quote(_fill)}, 'g')"
+_licences = ", ".join(f"({_quote(k)}, {_quote(v)})" for k, v in licenses.LICENCES.items())
 LICENSES = rf"""
-WITH known(sentence, name) AS (VALUES {_names}), rules(rule, licence, seq) AS (VALUES {_rules}),
+WITH known(sentence, name) AS (VALUES {_names}), rules(rule, licence, seq) AS (VALUES {_rules}), whole(stretch, licence) AS (VALUES {_licences}),
 s AS (
   SELECT doc_id, k, part[k] AS sentence FROM (
     SELECT doc_id, string_split(regexp_replace(text, '{licenses.END}', chr(1) || '\1', 'g'), chr(1)) AS part
@@ -50,17 +53,20 @@ s AS (
   FROM s LEFT JOIN known a ON a.sentence = {_normal.format('s.sentence')}
   LEFT JOIN known b ON b.sentence = {_normal.format("string_split(s.sentence, chr(10))[-1]")}
 ), q AS (
-  SELECT doc_id, ',' || string_agg(name, ',' ORDER BY k) || ',' AS seq,
+  SELECT doc_id, ',' || string_agg(name, ',' ORDER BY k) || ',' AS seq, '<' || string_agg(name, '><' ORDER BY k) || '>' AS marks,
     count(*) FILTER (WHERE name <> '{licenses.UNKNOWN}') AS n_known,
     string_agg(name, ',' ORDER BY k) FILTER (WHERE name <> '{licenses.UNKNOWN}') AS ids
   FROM n GROUP BY doc_id
 ), m AS (
-  SELECT doc_id, list_sort(list_distinct(list(rule))) AS rules, list_sort(list_distinct(list(licence))) AS licences
+  SELECT doc_id, list_sort(list_distinct(list(rule))) AS rules
   FROM q JOIN rules ON regexp_matches(q.seq, rules.seq) GROUP BY doc_id
+), x AS (
+  SELECT doc_id, list_sort(list_distinct(list(licence))) AS licences
+  FROM (SELECT doc_id, replace(unnest(regexp_extract_all(marks, {_quote(licenses.STRETCH)})), '<{licenses.UNKNOWN}>', '') AS stretch FROM q) JOIN whole USING (stretch) GROUP BY doc_id
 )
 SELECT d.doc_id, CAST(coalesce(n_known, 0) AS BIGINT) AS n_known, coalesce(ids, '') AS sentence_ids,
   coalesce(array_to_string(rules, ','), '') AS rules, coalesce(array_to_string(licences, ','), '') AS licences
-FROM documents d LEFT JOIN q ON d.doc_id = q.doc_id LEFT JOIN m ON d.doc_id = m.doc_id
+FROM documents d LEFT JOIN q ON d.doc_id = q.doc_id LEFT JOIN m ON d.doc_id = m.doc_id LEFT JOIN x ON d.doc_id = x.doc_id
 """
 
 SUBSTRINGS = r"""
