@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -33,36 +34,51 @@ def scratch(spark: SparkSession) -> str:
     return f"{root}/tidewater-{spark.sparkContext.applicationId}"
 
 
-#: Folders of the tables that ``cut`` has written and nobody has dropped yet, in order.
-_written: list[str] = []
+class _Written(threading.local):
+    """Folders of the tables that ``cut`` has written in this thread and nobody has dropped yet, in order."""
+
+    def __init__(self):
+        self.paths: list[str] = []
+
+
+_here = _Written()
+
+
+def _store(spark: SparkSession, path: str):
+    """A folder and the file system that it is in."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
 def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
 
     What follows depends on that table alone: a lost executor costs a file read, not the whole
-    history, and Spark knows the table's true size when it plans joins.
+    history, and Spark knows the table's true size when it plans joins. Tables that nobody drops
+    before are deleted as the application ends.
     """
     spark = df.sparkSession
     path = f"{scratch(spark)}/{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    _written.append(path)
+    _here.paths.append(path)
+    folder, store = _store(spark, scratch(spark))
+    store.deleteOnExit(folder)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def written() -> int:
-    """A mark for ``drop_written``: how many tables are there now."""
-    return len(_written)
+    """A mark for ``drop_written``: how many tables this thread has now; queries in other threads keep theirs."""
+    return len(_here.paths)
 
 
 def drop_written(spark: SparkSession, begin: int, keep: int = 0) -> None:
-    """Delete the tables written since the mark ``begin``, but for the last ``keep``; no frame in use may read them."""
-    end = max(begin, len(_written) - keep)
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    for path in _written[begin:end]:
-        at = hadoop(path)
-        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
-    del _written[begin:end]
+    """Delete the tables that this thread has written since its mark ``begin``, but for the last ``keep``; no frame in use may read them."""
+    paths = _here.paths
+    end = max(begin, len(paths) - keep)
+    for path in paths[begin:end]:
+        at, store = _store(spark, path)
+        store.delete(at, True)
+    del paths[begin:end]
 
 
 def fold(doc_id: str | Column, parts: int) -> Column:

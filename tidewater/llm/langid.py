@@ -17,12 +17,10 @@ from tidewater.llm.common import map_batches
 
 BLOCK = 2048
 LEVEL = 6
-#: Bounds of the fit: documents of a language, characters of each, bytes of a dictionary and the
-#: most languages; of more, those with most documents are learned.
+#: Bounds of the fit: documents of a language, characters of each and bytes of a dictionary. All languages are learned.
 FIT_DOCS = 64
 FIT_CHARS = 1024
 DICTIONARY_BYTES = 65_536
-MOST_LANGUAGES = 256
 MARGIN = 0.01
 SHARPNESS = 40.0
 
@@ -34,12 +32,10 @@ def fit(docs: DataFrame) -> dict[str, bytes]:
     without letters or without lang are left out. The ids are chosen before the texts are read.
     """
     known = docs.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    top = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).select("lang")
     order = F.xxhash64(F.col("doc_id").cast("string"))
     first = Window.partitionBy("lang").orderBy("h", "doc_id")
     ids = (
         known.select("lang", "doc_id", order.alias("h"))
-        .join(F.broadcast(top), "lang")
         .withColumn("n", F.row_number().over(first))
         .where(F.col("n") <= FIT_DOCS)
         .select("doc_id", "lang", "h")

@@ -15,14 +15,14 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     learn = table(spark, sf_dir, "labels").where(fold("doc_id", 5) != 0)
     score = quality.scorer(spark, quality.fit(docs, learn))
     scored = docs.select("doc_id", score("text").alias("score"))
-    return scored.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", quality.predicted().alias("predicted"))
+    return scored.select("doc_id", F.coalesce(fold("doc_id", 5) == 0, F.lit(False)).alias("held_out"), "score", quality.predicted().alias("predicted"))
 
 
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = langid.fit(docs.where(fold("doc_id", 4) != 2))
     found = langid.predict(docs, model)
-    return found.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score", "rejected")
+    return found.select("doc_id", F.coalesce(fold("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score", "rejected")
 
 
 def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
