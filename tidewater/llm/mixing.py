@@ -127,7 +127,8 @@ def mix(docs: DataFrame) -> DataFrame:
 def curriculum(docs: DataFrame) -> DataFrame:
     """``docs`` in training order: one row an occurrence, with ``taken`` and ``position``, range-sorted by position.
 
-    ``taken`` is the document's words over all its occurrences. A document that isn't taken goes;
+    ``taken`` is the document's words over all its occurrences; columns of ``docs`` that are named
+    ``taken`` or ``position`` are replaced. A document that isn't taken goes;
     of rows that repeat a doc_id the one with the smallest text counts. Rows with a null doc_id all
     count, each for itself: it is told from others by its place in the order of its columns' hash.
     """
