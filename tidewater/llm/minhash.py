@@ -33,48 +33,74 @@ DEVIATIONS = 4.5
 _LANES = REGISTERS // 32
 
 
-def signature(items: np.ndarray, registers: int = REGISTERS) -> np.ndarray:
-    """The registers' minima over distinct 64-bit items; rank in the upper bits, fraction in the lower 48."""
-    low = np.full(registers, np.uint64(1) << np.uint64(63), np.uint64)
-    n = len(items)
+#: Shingles that advance together, and ranks up to which their swaps are followed back; from then on permutations are held.
+TOGETHER, SWAPS = 1 << 14, 16
+
+
+def signatures(items: np.ndarray, count: np.ndarray, registers: int = REGISTERS) -> np.ndarray:
+    """For each document of ``count`` distinct 64-bit items the registers' minima, a row each; rank in the upper bits, fraction in the lower 48."""
+    low = np.full((len(count), registers), np.uint64(1) << np.uint64(63), np.uint64)
+    owner = np.repeat(np.arange(len(count)), count)
+    for begin in range(0, len(items), TOGETHER):
+        part = slice(begin, begin + TOGETHER)
+        _lower(low, items[part], owner[part])
+    return low
+
+
+def _lower(low: np.ndarray, items: np.ndarray, owner: np.ndarray) -> None:
+    """Lower the registers of the items' documents, rank by rank, until no document has one that a later rank could reach."""
+    registers = low.shape[1]
     fraction = np.uint64((1 << 48) - 1)
-    for begin in range(0, n, 4096):  # a bound on the permutations held at once
-        part = items[begin : begin + 4096]
-        rows = np.arange(len(part))
-        order = np.tile(np.arange(registers, dtype=np.uint16), (len(part), 1)) if n < 4 * registers else None
-        moved: list[tuple[np.ndarray, np.ndarray]] = []
-        for rank in range(registers):
-            if int(low.max() >> np.uint64(48)) < rank:
-                break
-            draw = mix(part + np.uint64((rank + 1) * 0x9E3779B97F4A7C15 % 2**64))
-            at = rank + ((draw >> np.uint64(48)) * np.uint64(registers - rank) >> np.uint64(16)).astype(np.int64)
-            if order is not None:
-                here = order[rows, at]
-                order[rows, at] = order[:, rank]
-            else:  # few ranks will do: follow the swaps back instead of holding permutations
-                here = at.astype(np.uint16)
-                for earlier, (chosen, value) in enumerate(moved):
-                    here = np.where(at == chosen, value, here)
-                mine = np.full(len(part), rank, np.uint16)
+    moved: list[tuple[np.ndarray, np.ndarray]] = []
+    order = None
+    for rank in range(registers):
+        if rank < SWAPS or rank % 8 == 0:
+            first, last = owner[0], owner[-1] + 1
+            going = ((low[first:last].max(axis=1) >> np.uint64(48)) >= rank)[owner - first]
+            left = int(going.sum())
+            if not left:
+                return
+            if left < 0.75 * len(items):
+                items, owner = items[going], owner[going]
+                moved = [(chosen[going], value[going]) for chosen, value in moved]
+                order = None if order is None else order[going]
+        draw = mix(items + np.uint64((rank + 1) * 0x9E3779B97F4A7C15 % 2**64))
+        at = (rank + ((draw >> np.uint64(48)) * np.uint64(registers - rank) >> np.uint64(16))).astype(np.uint16)
+        if rank < SWAPS:
+            here, mine = at.copy(), np.full(len(items), rank, np.uint16)
+            for chosen, value in moved:
+                np.copyto(here, value, where=at == chosen)
+                np.copyto(mine, value, where=chosen == rank)
+            moved.append((at, mine))
+        else:
+            rows = np.arange(len(items))
+            if order is None:
+                order = np.tile(np.arange(registers, dtype=np.uint16), (len(items), 1))
                 for chosen, value in moved:
-                    mine = np.where(chosen == rank, value, mine)
-                moved.append((at, mine))
-            np.minimum.at(low, here, (draw & fraction) | np.uint64(rank << 48))
-    return low
+                    order[rows, chosen] = value
+                moved = []
+            here = order[rows, at]
+            order[rows, at] = order[:, rank]
+        np.minimum.at(low.reshape(-1), owner * registers + here, (draw & fraction) | np.uint64(rank << 48))
+
+
+def signature(items: np.ndarray, registers: int = REGISTERS) -> np.ndarray:
+    """The registers' minima over one document's items."""
+    return signatures(items, np.array([len(items)]), registers)[0]
 
 
-def packed(sig: np.ndarray) -> np.ndarray:
-    """Two bits of each register, 32 registers a long."""
-    two = (mix(sig) & np.uint64(3)).reshape(_LANES, 32)
-    return (two << (np.arange(32, dtype=np.uint64) * np.uint64(2))).sum(axis=1, dtype=np.uint64)
+def packed(sigs: np.ndarray) -> np.ndarray:
+    """Two bits of each register, 32 registers a long; a row each."""
+    two = (mix(sigs) & np.uint64(3)).reshape(len(sigs), _LANES, 32)
+    return (two << (np.arange(32, dtype=np.uint64) * np.uint64(2))).sum(axis=2, dtype=np.uint64)
 
 
-def bands(sig: np.ndarray) -> np.ndarray:
-    """A hash for each band of registers."""
-    rows = sig[: BANDS * ROWS].reshape(BANDS, ROWS)
-    out = np.arange(BANDS, dtype=np.uint64)
+def bands(sigs: np.ndarray) -> np.ndarray:
+    """A hash for each band of registers; a row each."""
+    rows = sigs[:, : BANDS * ROWS].reshape(len(sigs), BANDS, ROWS)
+    out = np.tile(np.arange(BANDS, dtype=np.uint64), (len(sigs), 1))
     for j in range(ROWS):
-        out = mix(out * np.uint64(0xD6E8FEB86659FD93) + rows[:, j])
+        out = mix(out * np.uint64(0xD6E8FEB86659FD93) + rows[:, :, j])
     return out
 
 
@@ -92,15 +118,19 @@ def sketches(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, f1, f2, bands, sig): two sums identify a shingle set."""
 
     def start():
-        def one(text):
-            items = shingle_set(text)
-            if not len(items):
-                return 0, 0, 0, None, None
-            sig = signature(items)
-            return len(items), *_sums(items), signed(bands(sig)), signed(packed(sig))
-
         def step(ids, texts):
-            return ids, *zip(*map(one, texts), strict=True)
+            sets = [shingle_set(t) for t in texts]
+            n = np.array([len(s) for s in sets])
+            sums = [_sums(s) if len(s) else (0, 0) for s in sets]
+            # Sets of like sizes end at like ranks, so they go side by side.
+            filled = np.flatnonzero(n)
+            filled = filled[np.argsort(n[filled], kind="stable")]
+            keys, two = [None] * len(sets), [None] * len(sets)
+            if len(filled):
+                sigs = signatures(np.concatenate([sets[k] for k in filled]), n[filled])
+                for k, x, y in zip(filled, signed(bands(sigs)), signed(packed(sigs)), strict=True):
+                    keys[k], two[k] = x, y
+            return ids, n, *zip(*sums, strict=True), keys, two
 
         return step
 
@@ -169,8 +199,9 @@ def groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         lowest = F.coalesce(*(F.when(c, F.lit(k)) for k, c in enumerate(shared)))
         return lowest == F.col(f"{a}band")
 
+    dictionary = text_dictionary(docs)
+
     def fetch(ids):
-        dictionary = text_dictionary(docs)
         return _sets(zipped(docs, dictionary).join(ids.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi"), dictionary)
 
     def verify(pairs):
