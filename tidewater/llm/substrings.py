@@ -20,7 +20,9 @@ equal windows are repeats.
 from __future__ import annotations
 
 import zlib
+from collections import defaultdict
 from collections.abc import Callable, Iterator
+from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
@@ -42,8 +44,23 @@ HOT = 20_000
 SALTS = 32
 
 
+def _fit(names: np.ndarray, times: int) -> bool:
+    """Whether so many names in a row are one long."""
+    return (int(names.max()) + 2) ** times < 1 << 63
+
+
+def _in_a_row(names: np.ndarray, span: int, times: int) -> np.ndarray:
+    """Numbers that sort as ``times`` names, each of ``span`` symbols, one after the other from each position; past the end sorts first."""
+    out, base = names, int(names.max()) + 2
+    for k in range(1, times):
+        after = np.zeros_like(names)
+        after[: max(0, len(names) - k * span)] = names[k * span :] + 1
+        out = out * base + after
+    return out
+
+
 class FMIndex:
-    """Intervals of the sorted suffixes of a text of symbol ids; 0 ends a segment. Suffixes count up to 32 symbols."""
+    """Intervals of the sorted suffixes of a text of symbol ids; 0 ends a segment. Suffixes count up to 24 symbols, which a window doesn't reach."""
 
     def __init__(self, text: np.ndarray):
         order, self.seeds = self._order(text)
@@ -66,16 +83,15 @@ class FMIndex:
 
     @staticmethod
     def _order(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Suffixes sorted by their first 32 symbols, in text order where those agree; the name of the SEED symbols at each position."""
-        rank, span, seeds = text.astype(np.int64), 1, None
-        while span < 32:
-            after = np.zeros_like(rank)
-            after[:-span] = rank[span:] + 1
-            rank = np.unique(rank * (int(rank.max()) + 2) + after, return_inverse=True)[1]
-            span *= 2
-            if span == SEED:
-                seeds = rank.astype(np.int32)
-        return np.argsort(rank, kind="stable"), seeds
+        """Suffixes sorted by their first 24 symbols or more, in text order where those agree; the name of the SEED symbols at each position."""
+        rank, span = text.astype(np.int64), 1
+        while span < SEED:
+            times = 4 if 4 * span <= SEED and _fit(rank, 4) else 2
+            rank, span = np.unique(_in_a_row(rank, span, times), return_inverse=True)[1], span * times
+        seeds = rank.astype(np.int32)
+        if not _fit(rank, 3):
+            rank, span = np.unique(_in_a_row(rank, span, 2), return_inverse=True)[1], span * 2
+        return np.argsort(_in_a_row(rank, span, 3 if span == SEED else 2), kind="stable"), seeds
 
     def seeded(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Suffix intervals of the SEED symbols at each position, from a table."""
@@ -227,13 +243,13 @@ def _repeats(rows: DataFrame, dictionary: bytes) -> DataFrame:
         kept = [k for k in kept if unlike[k[0]] > 1 or len(set(k[3])) <= len(k[3]) - WINDOW]
         if kept:
             kept.sort(key=lambda k: (k[1], k[2]))  # text positions then follow the corpus's order
-            names: dict = {}
             lengths = np.array([len(k[3]) for k in kept])
             # Before and after each segment a zero, so that no search leaves it.
             offsets = np.concatenate(([1], 1 + np.cumsum(lengths + 1)))
+            names: defaultdict = defaultdict(count(1).__next__)
+            words = np.fromiter(map(names.__getitem__, chain.from_iterable(k[3] for k in kept)), np.int64, lengths.sum())
             text = np.zeros(offsets[-1], np.int64)
-            for at, k in zip(offsets, kept, strict=False):
-                text[at : at + len(k[3])] = [names.setdefault(w, len(names) + 1) for w in k[3]]
+            text[np.arange(len(words)) + np.repeat(np.arange(len(kept)) + 1, lengths)] = words
             found = repeated_starts(text)
             # Windows that follow one another are one interval; a segment's end always parts them.
             new = np.flatnonzero(np.diff(found, prepend=-2) > 1)
