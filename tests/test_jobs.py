@@ -9,6 +9,7 @@ import math
 import random
 
 import pytest
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from tidewater.operators import checks, publish, reconstruct, uplift
@@ -147,3 +148,21 @@ def test_health_checks(spark, tmp_path):
     log = spark.createDataFrame([("q", 0, 5, 1.0, 299.0, 400.0)], health.LAG_ROW)
     made = health.health([health.new_files(there, F.lit("2000-01-01").cast("timestamp")), health.new_files(there, F.lit("2100-01-01").cast("timestamp")), health.lag_below(log), health.overlay_age(there, now), health.overlay_age(there, now, keys=0)])
     assert [(r.check_name, r.passed) for r in made.collect()] == [("new_files", True), ("new_files", False), ("p95_lag", True), ("overlay_age", False), ("overlay_age", False)]
+
+
+def test_fits_read_cells_that_stand_for_all_rows(spark):
+    t = spark.range(6000).select((F.col("id") % 5).cast("int").alias("fold"), (F.col("id") % 2).cast("int").alias("w"), (F.col("id") % 3 == 0).cast("int").alias("y"), (F.col("id") % 1999 / 7.0).alias("x"), (F.col("id") % 11).cast("double").alias("z"))
+    t = t.withColumn("z", F.when(F.col("z") != 4, F.col("z")))
+    small = uplift.cells(t, ["x", "z"])
+    assert small.agg(F.sum("n")).first()[0] == 6000 and small.count() < 6000
+    assert small.select("x").distinct().count() == uplift.BINS and {r.z for r in small.select("z").distinct().collect()} == {0, 1, 2, 3, 5, 6, 7, 8, 9, 10}
+    # A model of cells cuts only half way between bins, so that rows and their cells are predicted alike.
+    model = uplift.fit_fold(uplift.assemble(small, ["x", "z"]), 0, 42, 3, 3)[0, "e"]
+    both = [[r.p for r in model.transform(uplift.assemble(rows, ["x", "z"])).select("id", F.round(vector_to_array("probability")[1], 12).alias("p")).orderBy("id").collect()] for rows in (t.withColumn("id", F.hash("fold", "w", "y", "x", "z")), uplift.snapped(t.withColumn("id", F.hash("fold", "w", "y", "x", "z")), ["x", "z"]))]
+    assert sorted(both[0]) == sorted(both[1])
+
+
+def test_a_node_of_weighted_cells_needs_as_many_rows(spark):
+    cell = spark.createDataFrame([(0, 60.0), (1, 60.0)], "x int, n double")
+    assert uplift._least(cell, 3, 50)["maxDepth"] == 3 and uplift._least(cell, 3, 61) == {"maxDepth": 0, "weightCol": "n"}
+    assert uplift._least(cell.drop("n"), 3, 50) == {"minInstancesPerNode": 50, "maxDepth": 3}

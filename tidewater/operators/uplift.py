@@ -7,6 +7,7 @@ sorts the whole population, whatever the scores look like. All rankings of a tab
 from __future__ import annotations
 
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 from statistics import NormalDist
 from typing import NamedTuple
 
@@ -14,6 +15,7 @@ from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -132,6 +134,47 @@ class Learner(NamedTuple):
 
 
 NUISANCE = ("e", "mu0", "mu1")
+#: Most values of a feature that a tree tells apart (MLlib's maxBins).
+BINS = 32
+#: Share of the rows by which a bin's place in the order may be off.
+BIN_ERROR = 0.001
+#: Column of a cell's number of rows.
+WEIGHT = "n"
+
+
+def snapped(rows: DataFrame, features: list[str], bins: int = BINS) -> DataFrame:
+    """``rows`` with each feature at the nearest of its ``bins`` quantiles over all rows, so that trees cut half way between two of them.
+
+    Null and NaN stand at the greatest: trees send them to the right everywhere, as they do when they predict.
+    """
+    clean = rows.select(*(F.when(~F.isnan(F.col(f).cast("double")), F.col(f).cast("double")).alias(f) for f in features))
+    found = clean.approxQuantile(features, [(i + 0.5) / bins for i in range(bins)], BIN_ERROR)
+    out = {}
+    for f, at in zip(features, found, strict=True):
+        at = sorted(set(at)) or [0.0]
+        middles = [(a + b) / 2 for a, b in zip(at, at[1:], strict=False)]
+        x = F.col(f).cast("double")
+        nth = F.lit(0)
+        for m in middles:
+            nth = nth + (x > m).cast("int")
+        out[f] = F.when(x.isNull() | F.isnan(x), F.lit(at[-1])).otherwise(F.element_at(F.array(*map(F.lit, at)), nth + 1))
+    return rows.withColumns(out)
+
+
+def cells(rows: DataFrame, features: list[str], by: tuple[str, ...] = ("fold", "w", "y")) -> DataFrame:
+    """The distinct ``snapped`` rows with their number: all that a tree learns from, as it tells no more values apart."""
+    return snapped(rows, features).groupBy(*by, *features).agg(F.count("*").cast("double").alias(WEIGHT))
+
+
+def _least(part: DataFrame, depth: int, rows_per_node: int) -> dict:
+    """MLlib's settings for at least so many rows in a node; where rows have weights, a node's weight is what counts."""
+    if WEIGHT not in part.columns:
+        return {"minInstancesPerNode": rows_per_node, "maxDepth": depth}
+    whole = part.agg(F.sum(WEIGHT)).first()[0] or 0.0
+    if whole < 2 * rows_per_node:
+        return {"maxDepth": 0, "weightCol": WEIGHT}
+    # Half a row less, so that rounding never forbids a node of just enough rows.
+    return {"minWeightFractionPerNode": (rows_per_node - 0.5) / whole, "maxDepth": depth, "weightCol": WEIGHT}
 
 
 def others(rows: DataFrame, fold: int) -> DataFrame:
@@ -140,10 +183,10 @@ def others(rows: DataFrame, fold: int) -> DataFrame:
 
 
 def fit_fold(rows: DataFrame, fold: int, seed: int, trees: int, depth: int) -> dict[tuple[int, str], GBTClassificationModel]:
-    """Propensity and outcome models of a fold, fitted on all the others."""
+    """Propensity and outcome models of a fold, fitted on all the others; ``rows`` may be cells, whose numbers weigh them."""
     train = others(rows, fold)
     parts = {"e": (train, "w"), "mu0": (train.where("w = 0"), "y"), "mu1": (train.where("w = 1"), "y")}
-    fit = lambda part, label: GBTClassifier(labelCol=label, featuresCol="features", maxIter=trees, maxDepth=depth, stepSize=0.05, seed=seed, minInstancesPerNode=50).fit(part)
+    fit = lambda part, label: GBTClassifier(labelCol=label, featuresCol="features", maxIter=trees, stepSize=0.05, seed=seed, maxBins=BINS, **_least(part, depth, 50)).fit(part)
     return {(fold, name): fit(*of) for name, of in parts.items()}
 
 
@@ -159,12 +202,20 @@ def out_of_fold(rows: DataFrame, nuisance: dict[tuple[int, str], GBTClassificati
 
 
 def dr_fit(rows: DataFrame, features: list[str], key: str, n_folds: int = 5, seed: int = 42, trees: int = 20, depth: int = 4) -> Learner:
-    """Cross-fitted learner on rows (key, y, w, features). Folds are written once and read by each of the fits."""
-    ready = assemble(written(folds(rows, key, n_folds, seed).select(key, "y", "w", "fold", *features), "folds"), features)
-    nuisance = {name: model for k in range(n_folds) for name, model in fit_fold(ready, k, seed, trees, 5).items()}
+    """Cross-fitted learner on rows (key, y, w, features).
+
+    Folds are written once and counted into cells, which stand for every row: the fits, which go over
+    their table hundreds of times, read no more than there are cells, at most 32 values a feature.
+    """
+    ready = written(folds(rows, key, n_folds, seed).select("y", "w", "fold", *features), "folds")
+    ready = assemble(written(cells(ready, features), "cells"), features)
+    # Folds are fitted side by side; their tables are small, so that most of a fit is waiting.
+    with ThreadPool(n_folds) as pool:
+        fits = pool.map(inheritable_thread_target(lambda k: fit_fold(ready, k, seed, trees, 5)), range(n_folds))
+    nuisance = {name: model for fit in fits for name, model in fit.items()}
     target = out_of_fold(ready, nuisance).withColumn("dr", pseudo_outcome(F.col("e"), F.col("mu0"), F.col("mu1"), F.col("y"), F.col("w")))
-    target = assemble(written(target.select(*features, "dr"), "outcomes"), features)
-    final = GBTRegressor(labelCol="dr", featuresCol="features", predictionCol="cate", maxIter=trees, maxDepth=depth, stepSize=0.02, seed=seed, minInstancesPerNode=30).fit(target)
+    target = assemble(written(target.select(*features, WEIGHT, "dr"), "outcomes"), features)
+    final = GBTRegressor(labelCol="dr", featuresCol="features", predictionCol="cate", maxIter=trees, stepSize=0.02, seed=seed, maxBins=BINS, **_least(target, depth, 30)).fit(target)
     return Learner(nuisance, final, list(features))
 
 
