@@ -175,3 +175,27 @@ def test_the_learner_query_cuts_no_folds_or_trees(monkeypatch):
     with pytest.raises(Called) as called:
         operations.dr_learner(None, None)
     assert called.value.args == (5, 20, 4)
+
+
+def test_occurrences_count_on_over_slots_without_ordering_events(spark):
+    from tidewater.operators import reconstruct
+
+    slots = [("f5", 3, 2), ("f18", 3, 1), ("f5", 7, 3), ("recency", 3, 1), ("f5", 1, 1)]
+    plans = spark.createDataFrame([("r1", slots)], "target_id string, slots array<struct<reason:string,day:int,n:bigint>>").withColumn("reference_ts", F.lit("2024-01-30 23:59:59").cast("timestamp"))
+    made = reconstruct.materialise(plans, 7)
+    got = sorted((r.gen_reason, r.day_offset, r.sub_index, r.occurrence) for r in made.collect())
+    assert [g[3] for g in got if g[0] == "f5"] == [0, 1, 2, 3, 4, 5] and len({r.event_id for r in made.collect()}) == 8
+    # Only slots are sorted, before they become events.
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert "sub_index" not in next(line for line in plan.splitlines() if "Window" in line)
+
+
+def test_gates_read_plans_that_were_made_once(spark, monkeypatch):
+    from tidewater.operators import reconstruct
+    from tidewater.plans import operations
+
+    read = []
+    monkeypatch.setattr(operations.lake, "written", lambda rows, name, real=operations.lake.written: read.append(name) or real(rows, name))
+    state = operations.handoff_state(spark, "/root/testdata/sf0.001")
+    assert read == ["plans"] and "sha2" not in reconstruct.metrics(operations._kept_plans(spark, "/root/testdata/sf0.001"))._jdf.queryExecution().optimizedPlan().toString()
+    assert state.count() > 0

@@ -110,20 +110,31 @@ def plan(decoded: DataFrame, seed: int, track: str = TRACK, branch: str = DAYS)
     over = F.greatest(zero, rest - most * F.col("n_days"))
     counts = [F.coalesce(F.col(f"n{c[1:]}"), zero) for c in counters(branch)] + [F.col("free_min")]
 
-    def poured(day: Column, i: Column) -> Column:
+    # What days share is computed once a target, and a day's room once a day: inside a lambda nothing is shared.
+    ends, end = {}, zero
+    for k, n in enumerate(counts):
+        end = end + n
+        ends[f"_end{k}"] = end
+    rows = rows.withColumns({"_rest": rest, "_over": over} | ends)
+
+    def room(day: Column, i: Column) -> Column:
         # Room before this day, and in it: one event a day, the rest in order, the excess first; forced days hold one already.
-        low = i + F.least(rest, most * i) + F.when(i > 0, over).otherwise(zero) - F.size(F.filter("forced", lambda f: f < day))
-        here = 1 + F.greatest(zero, F.least(most.cast("long"), rest - most * i)) + F.when(i == 0, over).otherwise(zero) - F.array_contains("forced", day).cast("long")
+        low = i + F.least(F.col("_rest"), most * i) + F.when(i > 0, F.col("_over")).otherwise(zero) - F.size(F.filter("forced", lambda f: f < day))
+        here = 1 + F.greatest(zero, F.least(most.cast("long"), F.col("_rest") - most * i)) + F.when(i == 0, F.col("_over")).otherwise(zero) - F.array_contains("forced", day).cast("long")
+        return F.struct(day.alias("day"), low.alias("low"), here.alias("here"))
+
+    def poured(r: Column) -> Column:
         parts, begin = [], zero
-        for reason, n in zip((*counters(branch), FREE), counts, strict=True):
-            share = F.least(begin + n, low + here) - F.greatest(begin, low)
-            parts.append(F.struct(F.lit(reason).alias("reason"), day.alias("day"), F.greatest(zero, share).alias("n")))
-            begin = begin + n
+        for k, reason in enumerate((*counters(branch), FREE)):
+            share = F.least(F.col(f"_end{k}"), r["low"] + r["here"]) - F.greatest(begin, r["low"])
+            parts.append(F.struct(F.lit(reason).alias("reason"), r["day"].alias("day"), F.greatest(zero, share).alias("n")))
+            begin = F.col(f"_end{k}")
         return F.array(*parts)
 
     fixed = F.transform(F.array_distinct(F.array("d1", "d2")), lambda d: F.struct(F.lit(RECENCY).alias("reason"), d.alias("day"), F.lit(1).cast("long").alias("n")))
-    slots = F.filter(F.flatten(F.transform("days", poured)), lambda s: s["n"] > 0)
-    return _settled(rows.withColumn("slots", F.concat(fixed, slots)))
+    rows = _settled(rows.withColumn("_rooms", F.transform("days", room)))
+    slots = F.filter(F.flatten(F.transform("_rooms", poured)), lambda s: s["n"] > 0)
+    return _settled(rows.withColumn("slots", F.concat(fixed, slots)).drop("_rest", "_over", "_rooms", *ends))
 
 
 def merged_slots(plans: DataFrame) -> DataFrame:
@@ -139,9 +150,11 @@ def materialise(plans: DataFrame, seed: int, track: str = TRACK) -> DataFrame:
     time; if that is midnight it goes to the day before.
     """
     slot = plans.select("target_id", "reference_ts", F.explode("slots").alias("s")).select("target_id", "reference_ts", "s.*")
-    each = slot.select("target_id", "reference_ts", "reason", "day", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("sub_index"))
-    nth = Window.partitionBy("target_id", "reason").orderBy("day", "sub_index")
-    each = each.withColumn("occurrence", F.row_number().over(nth) - 1)
+    # Occurrences are numbered by slot, of which there are fewer than events.
+    before = Window.partitionBy("target_id", "reason").orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
+    slot = slot.withColumn("_before", F.coalesce(F.sum("n").over(before), F.lit(0).cast("long")))
+    each = slot.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("sub_index"))
+    each = each.withColumn("occurrence", (F.col("_before") + F.col("sub_index")).cast("int"))
     start = F.unix_seconds(F.date_trunc("day", "reference_ts")) - F.col("day") * SECONDS_PER_DAY
     room = F.when(F.col("day") == 0, F.unix_seconds("reference_ts") - start).otherwise(SECONDS_PER_DAY)
     begin = F.when(room > 0, start).otherwise(start - SECONDS_PER_DAY)

@@ -345,6 +345,12 @@ def _plans(spark, sf):
     return reconstruct.plan(ready, SEED).withColumn("reference_ts", F.lit(REFERENCE).cast("timestamp"))
 
 
+def _kept_plans(spark, sf):
+    """Plans for queries that need them more than once: made once and read by target, so that what is joined to them stays where it is."""
+    made = lake.written(_plans(spark, sf), "plans")
+    return made.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "target_id")
+
+
 _TARGETS = """WITH t AS (SELECT 'r' || c_custkey AS target_id, c_custkey % 23 + 1 AS n5, c_custkey % 11 + 1 AS n18, CAST(CASE WHEN c_custkey % 41 = 7 THEN -1 ELSE c_custkey % 45 END AS INTEGER) AS d1, CAST(c_custkey % 45 % 7 AS INTEGER) AS d2, c_custkey % 29 + 1 AS n30 FROM customer),
 u AS (SELECT *, list_sort(list_distinct(list_filter([d1, d2], lambda d: d < 30))) AS forced FROM t),
 dec AS (SELECT *, CAST(len(forced) AS BIGINT) AS nf, CASE WHEN d1 < d2 THEN 'first_after_last' WHEN n30 < len(forced) THEN 'forced_days' END AS reason FROM u),
@@ -403,7 +409,7 @@ def witness_metrics(spark, sf):
 
 
 def _gated(spark, sf):
-    plans = _plans(spark, sf)
+    plans = _kept_plans(spark, sf)
     made = reconstruct.materialise(plans, SEED)
     return plans, made, reconstruct.gate_a(plans.select("target_id", "f1", "f2", "f5", "f18"), plans.select("target_id", "reference_ts"), made)
 
