@@ -166,3 +166,46 @@ def test_a_node_of_weighted_cells_needs_as_many_rows(spark):
     cell = spark.createDataFrame([(0, 60.0), (1, 60.0)], "x int, n double")
     assert uplift._least(cell, 3, 50)["maxDepth"] == 3 and uplift._least(cell, 3, 61) == {"maxDepth": 0, "weightCol": "n"}
     assert uplift._least(cell.drop("n"), 3, 50) == {"minInstancesPerNode": 50, "maxDepth": 3}
+
+
+def test_users_of_a_group_share_an_access_to_state_and_expire_one_by_one():
+    from types import SimpleNamespace
+
+    class Handle:
+        def __init__(self):
+            self.state, self.timers, self.updates = None, set(), 0
+
+        def getValueState(self, *_):
+            return self
+
+        def get(self):
+            return self.state
+
+        def update(self, state):
+            self.state, self.updates = state, self.updates + 1
+
+        def clear(self):
+            self.state = None
+
+        def registerTimer(self, at):
+            self.timers.add(at)
+
+        def deleteTimer(self, at):
+            self.timers.remove(at)
+
+    from pyspark.sql import Row
+
+    handle, hours = Handle(), decisions.LastHour()
+    hours.init(handle)
+    row = lambda user, at: Row(user_id=user, arrival_s=at, event_id=f"{user}{at}", event_s=at, event_type="order", amount=2.0)
+    at = lambda ms: SimpleNamespace(getCurrentWatermarkInMs=lambda: ms)
+    out = list(hours.handleInputRows((1,), iter([row("a", 300.0), row(None, 6000.0), row("a", 310.0)]), at(0)))
+    assert [(r.user_id, r.rt_events_1h, r.rt_gmv_1h, r.applied) for r in out] == [("a", 2, 4.0, 2), (None, 1, 2.0, 1)]
+    assert handle.updates == 1 and handle.timers == {3_900_000}
+    handle.timers.clear()
+    assert list(hours.handleExpiredTimer((1,), at(3_900_000), None)) == [] and handle.timers == {9_600_000}
+    again = list(hours.handleInputRows((1,), iter([row(None, 6001.0)]), at(3_900_000)))
+    assert [(r.user_id, r.rt_events_1h) for r in again] == [(None, 2)]
+    handle.timers.clear()
+    hours.handleExpiredTimer((1,), at(9_600_000), None)
+    assert handle.state is None and not handle.timers

@@ -2,7 +2,8 @@
 
 A user's state holds the last hour's five-minute buckets, the event ids counted in them and the latest
 arrival, which is the user's clock. An id needs no remembering longer than its bucket: after that its
-event is late. State goes by a timer once the watermark is an hour past the user's last bucket.
+event is late. Users' state is kept by groups of them and goes by a timer once the watermark is an hour
+past the user's last bucket.
 """
 
 from __future__ import annotations
@@ -10,8 +11,7 @@ from __future__ import annotations
 import json
 from collections.abc import Callable, Iterator
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
 
@@ -26,6 +26,8 @@ VALUES = ("events", *COUNTERS.values(), "gmv")
 OVERLAY = ", ".join(
     ["user_id string", "as_of double", "last_event_s double", *(f"rt_{v}_1h double" for v in VALUES), *(f"{a} long" for a in ACTIONS)]
 )
+#: Groups of users with a state each.
+USER_GROUPS = 1024
 PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -69,47 +71,70 @@ def hour(state: dict) -> tuple[float | None, list[float]]:
     return max((b["last"] for b in live), default=None), [sum(b["values"][v] for b in live) for v in VALUES]
 
 
+def expiry_ms(state: dict) -> int:
+    """When a user's state may go: an hour past the last bucket."""
+    newest = max(map(int, state["buckets"]), default=bucket_of(state["clock"]))
+    return int((newest + WINDOW_SECONDS) * 1000)
+
+
 class LastHour(StatefulProcessor):
-    """One row a user and batch: the last hour as of the latest arrival, and what became of the batch's events."""
+    """One row a user and batch: the last hour as of the latest arrival, and what became of the batch's events.
+
+    State is held by group of users, as each access to it from Python costs more than a user's batch of
+    events. A group's timer stands at the first of its users' expiries.
+    """
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.value = handle.getValueState("hour", "state string")
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        state = json.loads(self.value.get()[0]) if self.value.exists() else {"clock": 0.0, "buckets": {}}
-        counts = dict.fromkeys(ACTIONS, 0)
-        columns = ["arrival_s", "event_id", "event_s", "event_type", "amount"]
-        apply(state, [r for part in rows for r in zip(*(part[c] for c in columns), strict=True)], counts)
-        self.value.update((json.dumps(state),))
-        last, values = hour(state)
-        for timer in list(self.handle.listTimers()):
-            self.handle.deleteTimer(timer)
-        newest = max(map(int, state["buckets"]), default=bucket_of(state["clock"]))
-        expiry = int((newest + WINDOW_SECONDS) * 1000)
-        self.handle.registerTimer(max(expiry, timerValues.getCurrentWatermarkInMs() + 1))
-        row = {"user_id": key[0], "as_of": state["clock"], "last_event_s": last} | {f"rt_{v}_1h": x for v, x in zip(VALUES, values, strict=True)} | counts
-        yield pd.DataFrame([row]).astype({"last_event_s": float})
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.value.clear()
+        self.value = handle.getValueState("hours", "state string")
+
+    def _keep(self, users: dict, timer: int | None, watermark: int) -> None:
+        expiry = max(min(map(expiry_ms, users.values())), watermark + 1)
+        if timer != expiry:
+            if timer is not None:
+                self.handle.deleteTimer(timer)
+            self.handle.registerTimer(expiry)
+        self.value.update((json.dumps({"timer": expiry, "users": list(users.items())}),))
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        kept = self.value.get()
+        held = json.loads(kept[0]) if kept else {"timer": None, "users": []}
+        users, came, out = dict(held["users"]), {}, []
+        for r in rows:
+            came.setdefault(r.user_id, []).append((r.arrival_s, r.event_id, r.event_s, r.event_type, r.amount))
+        for user, own in came.items():
+            state, counts = users.setdefault(user, {"clock": 0.0, "buckets": {}}), dict.fromkeys(ACTIONS, 0)
+            apply(state, own, counts)
+            last, values = hour(state)
+            out.append(Row(user_id=user, as_of=state["clock"], last_event_s=last, **{f"rt_{v}_1h": x for v, x in zip(VALUES, values, strict=True)}, **counts))
+        self._keep(users, held["timer"], timerValues.getCurrentWatermarkInMs())
+        return iter(out)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        now, kept = timerValues.getCurrentWatermarkInMs(), self.value.get()
+        users = {user: state for user, state in (json.loads(kept[0])["users"] if kept else ()) if expiry_ms(state) > now}
+        if users:
+            self._keep(users, None, now)
+        else:
+            self.value.clear()
         return iter([])
 
     def close(self) -> None:
         pass
 
 
-def last_hour(events: DataFrame) -> DataFrame:
+def last_hour(events: DataFrame, groups: int = USER_GROUPS) -> DataFrame:
     """The overlay of each user that a batch brings events of, with counts of applied, repeated, late and future ones.
 
     ``events`` is a stream with event_id, user_id, event_type, event_ts, ingested_at, price, quantity and a
     watermark on event_ts. An event counts by its arrival: more than five minutes ahead of the user's clock it
     is dropped, as it is from before the hour's first bucket; over ten minutes old it is accepted as late.
+    ``groups`` of users have a state each; it stays as it is for as long as a checkpoint is used.
     """
     events.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", PROVIDER)
     amount = F.coalesce(F.col("price") * F.col("quantity"), F.lit(0.0)).alias("amount")
-    rows = events.select("event_ts", "event_id", "user_id", "event_type", epoch_seconds(F.col("event_ts")).alias("event_s"), epoch_seconds(F.col("ingested_at")).alias("arrival_s"), amount)
-    return rows.groupBy("user_id").transformWithStateInPandas(LastHour(), OVERLAY, "Update", "EventTime")
+    rows = events.select("event_ts", "event_id", "user_id", "event_type", epoch_seconds(F.col("event_ts")).alias("event_s"), epoch_seconds(F.col("ingested_at")).alias("arrival_s"), amount).withColumn("user_group", F.pmod(F.hash("user_id"), F.lit(groups)))
+    return rows.groupBy("user_group").transformWithState(LastHour(), OVERLAY, "Update", "EventTime")
 
 
 def decide_active(overlay: DataFrame, pointer: DataFrame, published: DataFrame, features: dict[str, float], score: Callable[[DataFrame], DataFrame], threshold: float = DEFAULT_THRESHOLD) -> DataFrame:
