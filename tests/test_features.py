@@ -127,3 +127,12 @@ def test_marts(spark):
         marts.single_version(base.withColumn("holdout_version", F.col("user_id")))
     vector = spark.createDataFrame([(float("nan"), 4.0)], "f1 double, f2 double").select(marts.model_vector([("f1", "stored"), ("f2", "stored"), ("f3", "fixed")], {"f1": 0.25, "f3": 3.0}))
     assert vector.first()[0] == [0.25, 4.0, 3.0]
+
+
+def test_the_snapshot_is_widened_by_as_many_tasks_as_a_shuffle_has(spark):
+    from tidewater.plans import inputs
+
+    raw = inputs.snapshot_raw(spark, "/root/testdata/sf0.001")
+    # Two branches, the rows and their older copies.
+    assert raw.rdd.getNumPartitions() == 2 * max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    assert raw.count() == raw.select("user_id", "feature_ts").distinct().count()

@@ -36,6 +36,12 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def dealt(rows: DataFrame, key: str) -> DataFrame:
+    """``rows`` dealt out over as many tasks as a shuffle has: a table of few, narrow columns is a small file, which one task would read and widen."""
+    spark = rows.sparkSession
+    return rows.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism), key)
+
+
 def landed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw events as they landed: every seventh a second time, later and at another price, every 97th without a user."""
     e = read(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
@@ -86,7 +92,7 @@ def boundary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def snapshot_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers as snapshot rows with 83 features, one in ten with an older second row, some values missing."""
-    c = read(spark, sf_dir, "customer")
+    c = dealt(read(spark, sf_dir, "customer").select("c_custkey"), "c_custkey")
     key = F.col("c_custkey")
     split = F.when(key % 5 == 0, "test").otherwise("train")
     data_id = F.concat_ws("_", split, key)
