@@ -140,8 +140,12 @@ def same_checksum(before: DataFrame, after: DataFrame) -> DataFrame:
 
 
 def tally(counters: dict[str, tuple[DataFrame, Column]]) -> DataFrame:
-    """(counter, label, n): rows of each counter by its label; nulls aren't counted."""
-    parts = [rows.select(F.lit(name).alias("counter"), label.alias("label")).where("label IS NOT NULL").groupBy("counter", "label").agg(F.count("*").alias("n")) for name, (rows, label) in counters.items()]
+    """(counter, label, n): rows of each counter by its label; nulls aren't counted.
+
+    They go by their count of none: a filter on the label would be pushed down to the rows and compute it
+    again there, with all that it is made of once for each mention.
+    """
+    parts = [rows.select(F.lit(name).alias("counter"), label.alias("label")).groupBy("counter", "label").agg(F.count("label").alias("n")).where("n > 0") for name, (rows, label) in counters.items()]
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -456,7 +456,7 @@ _NOW = "2024-01-20 12:00:00"
 
 
 def _messages(spark, sf):
-    return messages(I.read(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp")))
+    return messages(I.dealt(I.read(spark, sf, "events"), "event_id").withColumn("ts", F.col("ts").cast("timestamp")))
 
 
 def messages(e):
