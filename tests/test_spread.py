@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidewater.operators import quality
 from tidewater.plans import operations as O
+from tidewater.plans import streams
 from tidewater.streaming import events as stream
 
 SF = "/root/testdata/sf0.001"
@@ -22,3 +23,14 @@ def test_a_counted_message_is_parsed_once(spark):
 def test_messages_are_built_in_many_tasks(spark):
     """The table is one file of one row group."""
     assert sum(1 for n in O._messages(spark, SF).rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect() if n) > 1
+
+
+def test_a_delivery_is_written_by_many_tasks(spark, tmp_path):
+    """And a stream takes it as one batch all the same."""
+    rows = spark.range(0, 400, numPartitions=4)
+    for k in streams._delivered(rows, f"{tmp_path}/in", F.col("id") % 2, range(2)):
+        assert len(spark.read.parquet(f"{tmp_path}/in").inputFiles()) == 4 * (k + 1)
+        seen = stream.file_source(spark, f"{tmp_path}/in", "id long", None)
+        assert stream.run_to_table(seen, f"{tmp_path}/out", f"{tmp_path}/checkpoint").count() == 200 * (k + 1)
+    batches = [p for p in (tmp_path / "checkpoint" / "commits").iterdir() if p.name.isdigit()]
+    assert len(batches) == 2

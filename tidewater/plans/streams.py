@@ -25,10 +25,11 @@ def query(oracle: str):
     return register
 
 
-def _deliver(rows, path: str, part, parts: range) -> None:
-    """Rows of each part as a file of its own, one after another: as many batches of a stream."""
+def _delivered(rows, path: str, part, parts: range):
+    """Rows of each part written as one delivery, of as many files as tasks make it; after each its number, for a stream to take it as a batch."""
     for k in parts:
-        rows.where(part == k).coalesce(1).write.mode("append").parquet(path)
+        rows.where(part == k).write.mode("append").parquet(path)
+        yield k
 
 
 _MESSAGE = "value string, partition int, offset long, timestamp timestamp"
@@ -37,19 +38,25 @@ _MESSAGE = "value string, partition int, offset long, timestamp timestamp"
 @query("""SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, CAST(hour(ts) // 12 * 12 AS INTEGER) AS hour, CAST(event_id % 3 AS INTEGER) AS kafka_partition, count(*) AS n_rows, min(event_id) AS low, max(event_id) AS high
 FROM events WHERE event_id % 20 > 4 GROUP BY ALL""")
 def landing_restart(spark, sf):
-    """Messages in four files: two landed file by file, then all four with an empty checkpoint, three files a batch. Each lands once.
+    """Messages in four deliveries: two landed one by one, then all four with an empty checkpoint, three in the first batch. Each lands once.
 
     Event times are cut to half days, as every object of an hour is a file.
     """
     root = I.scratch(spark, "landing")
-    e = I.read(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    e = I.dealt(I.read(spark, sf, "events"), "event_id").withColumn("ts", F.col("ts").cast("timestamp"))
     rows = O.messages(e.withColumn("ts", F.timestamp_seconds(F.floor(F.unix_seconds("ts") / 43_200) * 43_200)))
-    last = rows.agg(F.max("offset")).first()[0]
+    last = e.agg(F.max("event_id")).first()[0]
     part = F.floor(F.col("offset") * 4 / (last + 1))
-    for parts, files in ((range(2), 1), (range(2, 4), 3)):
-        _deliver(rows, f"{root}/in", part, parts)
+
+    def land(checkpoint: str, files: int | None = None) -> None:
         messages = stream.file_source(spark, f"{root}/in", _MESSAGE, files)
-        stream.start_landing(messages, f"{root}/lake", f"{root}/dlq", f"{root}/checkpoint-{files}", once=True).awaitTermination()
+        stream.start_landing(messages, f"{root}/lake", f"{root}/dlq", f"{root}/{checkpoint}", once=True).awaitTermination()
+
+    for k in _delivered(rows, f"{root}/in", part, range(4)):
+        if k < 2:
+            land("checkpoint-1")
+    files = len(spark.read.schema(_MESSAGE).parquet(f"{root}/in").inputFiles())
+    land("checkpoint-3", -(-files * 3 // 4))
     there = stream.landed(spark, f"{root}/lake")
     return there.groupBy(F.col("dt").cast("string").alias("day"), "hour", "kafka_partition").agg(F.count("*").alias("n_rows"), F.min("kafka_offset").alias("low"), F.max("kafka_offset").alias("high"))
 
@@ -91,19 +98,18 @@ hour AS (SELECT c.user_id, as_of, count(k.user_id) AS n, max(t) AS last_s FROM c
 
 
 def _decided(spark, sf):
-    """The stream of arrivals in four batches with a restart half way: folders of overlays and decisions."""
+    """The stream of arrivals in four batches with a restart after each: folders of overlays and decisions."""
     root = I.scratch(spark, "decisions")
     rows = _arrivals(spark, sf)
-    # Files by arrival, cut at whole seconds, so that what comes together stays together.
+    # Deliveries by arrival, cut at whole seconds, so that what comes together stays together.
     low, high = rows.agg(F.min(F.unix_seconds("ingested_at")), F.max(F.unix_seconds("ingested_at"))).first()
     part = F.floor((F.unix_seconds("ingested_at") - low) * 4 / (high - low + 1))
     s = I.snapshot(spark, sf).select("user_id", "f1")
     two = O._syncs(spark, sf).orderBy(F.desc("activated_at"), "feature_version").limit(2).select("feature_version")
     published, pointer = s.crossJoin(F.broadcast(two)), O._pointer(spark, sf)
     effect = decisions.constant(spark, F.col("f1") + 0.01 * F.col("rt_events_1h") - 0.5)
-    for parts in (range(2), range(2, 4)):
-        _deliver(rows, f"{root}/in", part, parts)
-        arriving = stream.file_source(spark, f"{root}/in", _ARRIVED).withWatermark("event_ts", "3 hours")
+    for _ in _delivered(rows, f"{root}/in", part, range(4)):
+        arriving = stream.file_source(spark, f"{root}/in", _ARRIVED, None).withWatermark("event_ts", "3 hours")
         decided = lambda batch: decisions.decide_active(batch, pointer, published, {"f1": 0.25, "rt_events_1h": 0.0}, effect)
         decisions.start_deciding(arriving, root, f"{root}/checkpoint", decided, once=True).awaitTermination()
     return spark.read.parquet(f"{root}/overlay"), spark.read.parquet(f"{root}/decisions")
@@ -136,9 +142,9 @@ def _lagged(spark, sf):
     log = health.LagLog(spark, f"{root}/log")
     spark.streams.addListener(log)
     try:
-        _deliver(first, f"{root}/in", F.col("event_id").cast("long") % 3, range(3))
-        seen = stream.observed_lag(stream.file_source(spark, f"{root}/in", _ARRIVED), F.col("ingested_at"))
-        stream.run_to_table(seen, f"{root}/out", f"{root}/checkpoint")
+        for _ in _delivered(first, f"{root}/in", F.col("event_id").cast("long") % 3, range(3)):
+            seen = stream.observed_lag(stream.file_source(spark, f"{root}/in", _ARRIVED, None), F.col("ingested_at"))
+            stream.run_to_table(seen, f"{root}/out", f"{root}/checkpoint")
         spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
     finally:
         spark.streams.removeListener(log)

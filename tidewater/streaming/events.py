@@ -36,8 +36,10 @@ def kafka_source(spark: SparkSession, servers: str, topic: str, max_offsets: int
     return rows.select(F.col("value").cast("string"), "partition", "offset", "timestamp")
 
 
-def file_source(spark: SparkSession, path: str, schema: str, max_files: int = 1) -> DataFrame:
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(path)
+def file_source(spark: SparkSession, path: str, schema: str, max_files: int | None = 1) -> DataFrame:
+    """Files as they come, so many a batch; with None all there are."""
+    rows = spark.readStream.schema(schema)
+    return (rows if max_files is None else rows.option("maxFilesPerTrigger", max_files)).parquet(path)
 
 
 def decode(raw: DataFrame) -> DataFrame:
