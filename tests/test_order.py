@@ -51,3 +51,23 @@ def test_walks_stop_where_a_run_comes_again(spark):
         ("a", 0, "a", False), ("a", 1, "a/b", False), ("a", 2, "a/b/a", True), ("b", 0, "b", False), ("b", 1, "b/a", False), ("b", 2, "b/a/b", True),
         ("s", 0, "s", False), ("s", 1, "s/s", True), ("t", 0, "t", False), ("t", 1, "t/a", False), ("t", 2, "t/a/b", False), ("t", 3, "t/a/b/a", True),
     ]
+
+
+def test_running_sums_need_one_shuffle_of_the_rows(spark):
+    """Only the sums of whole partitions go through a window; groups may begin and end within a partition, and values may be null."""
+    rows = spark.createDataFrame([(None if i % 7 == 0 else i % 3, (i * 7919) % 1009, None if i % 11 == 0 else i % 5) for i in range(1000)], "g int, v int, x int")
+    assert order.running(rows, [F.col("v")], {"s": F.col("x")})._jdf.queryExecution().optimizedPlan().toString().count("Window [") == 1
+    got = order.running(rows, [F.desc("v")], {"i": F.lit(1), "s": F.col("x")}, ("g",), 5, keep=("v", "x")).collect()
+    assert len(got) == 1000
+    for g in (None, 0, 1, 2):
+        own, total = sorted((r for r in got if r.g == g), key=lambda r: -r.v), 0
+        for i, r in enumerate(own, 1):
+            total += r.x or 0
+            assert (r.i, r.s) == (i, total)
+
+
+def test_scores_are_judged_together(spark):
+    rows = spark.range(3000).select(F.col("id").cast("string").alias("tie"), (F.col("id") % 2).cast("int").alias("w"), (F.col("id") % 7 / 7).alias("score"), (F.col("id") % 7 + F.col("id") % 2 > 5).cast("int").alias("y")).withColumn("broken", -F.col("score"))
+    got = {r.score: tuple(r)[1:] for r in uplift.sanity_of(rows, {"right": "score", "wrong": "broken"}).collect()}
+    assert got == {"right": tuple(uplift.sanity(rows).first()), "wrong": tuple(uplift.sanity(rows, score="broken").first())}
+    assert got["right"][-1] and not got["wrong"][-1]

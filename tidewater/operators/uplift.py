@@ -33,20 +33,20 @@ def oracle(y: Column, w: Column) -> Column:
     return F.when(w == 1, y).otherwise(-y).cast("double")
 
 
-def running(rows: DataFrame, score: str = "score", tie: str = "tie", by: tuple[str, ...] = (), buckets: int | None = None) -> DataFrame:
+def running(rows: DataFrame, score: str = "score", tie: str = "tie", by: tuple[str, ...] = (), buckets: int | None = None, keep: tuple[str, ...] | None = None) -> DataFrame:
     """Rows (y, w, score, tie) with i, nt, nc, yt, yc: counts and outcomes up to each row by falling score, then tie, in each group of ``by``."""
     parts = {"i": F.lit(1), "nt": F.col("w"), "nc": 1 - F.col("w"), "yt": F.col("y") * F.col("w"), "yc": F.col("y") * (1 - F.col("w"))}
-    return order.running(rows, [F.desc(score), F.col(tie)], parts, by, buckets)
+    return order.running(rows, [F.desc(score), F.col(tie)], parts, by, buckets, keep)
 
 
 def _ratio(a: str, b: str) -> Column:
     return F.when(F.col(b) > 0, F.col(a) / F.col(b)).otherwise(0.0)
 
 
-def curves(rows: DataFrame, score: str = "score", by: tuple[str, ...] = (), n: int | None = None) -> DataFrame:
-    """The qini and the cumulative gain curve of each group of ``by``, of ``n`` rows: x, qini and gain after each row."""
+def curves(rows: DataFrame, score: str = "score", by: tuple[str, ...] = (), n: int | None = None, groups: int = 1) -> DataFrame:
+    """The qini and the cumulative gain curve of each of the ``groups`` of ``by``, of ``n`` rows: x, qini and gain after each row."""
     n = rows.count() if n is None else n
-    r = running(rows, score, by=by)
+    r = running(rows, score, by=by, buckets=order.parts_of(rows.sparkSession, n * groups), keep=())
     return r.select(
         *by,
         "i",
@@ -69,19 +69,21 @@ def areas(points: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     return points.groupBy(*by).agg(area("qini").alias("qini"), area("gain").alias("gain"))
 
 
-def rankings(rows: DataFrame, by_score: dict[str, Column]) -> DataFrame:
+def rankings(rows: DataFrame, by_score: dict[str, Column], knowing: str | None = None) -> DataFrame:
     """(ranking, qini, auuc) of several scorings of the same rows (y, w, tie), in one pass.
 
-    Areas are relative to those of the ranking that knows the outcomes; null where that has none.
+    Areas are relative to those of the ranking that knows the outcomes, which one of the scorings may be
+    (``knowing``) and is returned then too; null where that has none.
     """
-    best = "\u0000best"
-    ways = F.array(*(F.struct(F.lit(k).alias("ranking"), v.cast("double").alias("_score")) for k, v in {**by_score, best: oracle(F.col("y"), F.col("w"))}.items()))
+    best = knowing or "\u0000best"
+    scorings = {**by_score, best: oracle(F.col("y"), F.col("w"))}
+    ways = F.array(*(F.struct(F.lit(k).alias("ranking"), v.cast("double").alias("_score")) for k, v in scorings.items()))
     long = rows.select("y", "w", "tie", F.explode(ways).alias("r")).select("y", "w", "tie", "r.*")
-    got = areas(curves(long, "_score", ("ranking",), rows.count()), ("ranking",))
+    got = areas(curves(long, "_score", ("ranking",), rows.count(), len(scorings)), ("ranking",))
     whole = got.groupBy().agg(*(F.max(F.when(F.col("ranking") == best, F.col(c))).alias(f"best_{c}") for c in ("qini", "gain")))
     norm = lambda a, b: F.when(F.col(b) > 0, F.col(a) / F.col(b))
     # One row a ranking: a side of a few rows.
-    return got.where(F.col("ranking") != best).crossJoin(whole).select("ranking", norm("qini", "best_qini").alias("qini"), norm("gain", "best_gain").alias("auuc"))
+    return (got if knowing else got.where(F.col("ranking") != best)).crossJoin(whole).select("ranking", norm("qini", "best_qini").alias("qini"), norm("gain", "best_gain").alias("auuc"))
 
 
 def scores(rows: DataFrame, score: str = "score") -> DataFrame:
@@ -93,7 +95,7 @@ def uplift_at(rows: DataFrame, shares: float | list[float], score: str = "score"
     """(share, n, uplift) for each of ``shares``: difference of the arms' mean outcomes among the best; null if an arm is empty."""
     shares = [shares] if isinstance(shares, float) else shares
     n = rows.count()
-    r = running(rows, score, tie)
+    r = running(rows, score, tie, buckets=order.parts_of(rows.sparkSession, n), keep=("y", "w"))
     arm = lambda top, w: F.avg(F.when(top & (F.col("w") == w), F.col("y")))
     tops = [(share, F.col("i") <= max(1, round(share * n))) for share in shares]
     one = r.agg(F.array(*(F.struct(F.lit(s).alias("share"), F.count_if(t).alias("n"), (arm(t, 1) - arm(t, 0)).alias("uplift")) for s, t in tops)).alias("a"))
@@ -258,18 +260,29 @@ def drawn(salt: str, key: str = "tie") -> Column:
     return F.conv(F.substring(F.sha2(F.concat_ws("|", F.lit(salt), F.col(key)), 256), 1, 8), 16, 10).cast("double") / float(2**32)
 
 
-def sanity(rows: DataFrame, seed: int = 42, score: str = "score") -> DataFrame:
-    """(random_near_zero, oracle_beats_random, oracle_is_one, noise_lowers, better_than_random) of the metric on these outcomes and this score."""
-    spread = rows.agg(F.stddev_pop(score)).first()[0] or 0.0
+def sanity_of(rows: DataFrame, scores: dict[str, str], seed: int = 42) -> DataFrame:
+    """(score, random_near_zero, oracle_beats_random, oracle_is_one, noise_lowers, better_than_random) of the metric on these outcomes, a row for each named column of scores.
+
+    All rankings go through in one pass; the drawn one and the one that knows the outcomes are those of every score.
+    """
+    spreads = rows.agg(*(F.stddev_pop(c) for c in scores.values())).first()
     # A sum of three uniforms, scaled to five standard deviations of the score.
-    noise = (drawn(f"{seed}a") + drawn(f"{seed}b") + drawn(f"{seed}c") - 1.5) * (2 * spread * 5)
-    ways = {"own": F.col(score), "random": drawn(f"{seed}r"), "noisy": F.col(score) + noise, "oracle": oracle(F.col("y"), F.col("w"))}
-    # One row a ranking: four.
-    got = rankings(rows, ways).groupBy().agg(*(F.max(F.when(F.col("ranking") == k, F.col("qini"))).alias(k) for k in ways))
-    return got.select(
+    draw = drawn(f"{seed}a") + drawn(f"{seed}b") + drawn(f"{seed}c") - 1.5
+    ways = {"random": drawn(f"{seed}r"), "oracle": oracle(F.col("y"), F.col("w"))}
+    for k, (c, spread) in enumerate(zip(scores.values(), spreads, strict=True)):
+        ways |= {f"own{k}": F.col(c), f"noisy{k}": F.col(c) + draw * (2 * (spread or 0.0) * 5)}
+    # One row a ranking.
+    got = rankings(rows, ways, "oracle").groupBy().agg(*(F.max(F.when(F.col("ranking") == k, F.col("qini"))).alias(k) for k in ways))
+    flags = lambda own, noisy: (
         (F.abs("random") < 0.05).alias("random_near_zero"), (F.col("oracle") > F.col("random")).alias("oracle_beats_random"), (F.abs(F.col("oracle") - 1) < 1e-9).alias("oracle_is_one"),
-        (F.col("noisy") < F.col("own") + 1e-9).alias("noise_lowers"), (F.col("own") > F.col("random")).alias("better_than_random"),
+        (F.col(noisy) < F.col(own) + 1e-9).alias("noise_lowers"), (F.col(own) > F.col("random")).alias("better_than_random"),
     )
+    return got.select(F.inline(F.array(*(F.struct(F.lit(name).alias("score"), *flags(f"own{k}", f"noisy{k}")) for k, name in enumerate(scores)))))
+
+
+def sanity(rows: DataFrame, seed: int = 42, score: str = "score") -> DataFrame:
+    """(random_near_zero, oracle_beats_random, oracle_is_one, noise_lowers, better_than_random) of the metric on these outcomes and this score."""
+    return sanity_of(rows, {score: score}, seed).drop("score")
 
 
 def decide(score: Column, threshold: float = DEFAULT_THRESHOLD) -> tuple[Column, Column]:

@@ -120,7 +120,7 @@ def event_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def trial(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A randomised trial: orders, treated by hashed key, with an effect that grows with the score; (key, y, w, score, tie)."""
-    o = read(spark, sf_dir, "orders")
+    o = dealt(read(spark, sf_dir, "orders").select("o_orderkey"), "o_orderkey")
     key = F.col("o_orderkey")
     part = lambda salt: F.conv(F.substring(F.md5(F.concat(F.lit(salt), key.cast("string"))), 1, 6), 16, 10).cast("double") / 16777216.0
     w = (part("w") < 0.5).cast("int")

@@ -675,7 +675,7 @@ _SANE, _TURNED = _sane("right", "score"), _sane("broken", _BROKEN)
 def metric_sanity(spark, sf):
     """The metric on the trial's score, and on one turned upside down, which must fail it."""
     t = I.trial(spark, sf).withColumn("broken", -F.col("score"))
-    return uplift.sanity(t).withColumn("score", F.lit("right")).unionByName(uplift.sanity(t, score="broken").withColumn("score", F.lit("broken")))
+    return uplift.sanity_of(t, {"right": "score", "broken": "broken"})
 
 
 @query("""WITH f AS (SELECT key, y, w, (row_number() OVER (PARTITION BY w, y ORDER BY sha256('42|' || key)) - 1) % 5 AS fold FROM trial) SELECT CAST(fold AS INTEGER) AS fold, w, y, count(*) AS n FROM f GROUP BY ALL""")
