@@ -343,8 +343,8 @@ def repeated_lines(docs: DataFrame, dictionary: bytes) -> DataFrame:
     sims = (F.max(F.when(F.size("keys") > 0, F.col(c))).alias(c) for c in ("d", *_SIMS))
     distinct = cut(found.groupBy("id").agg(F.min("n").alias("n"), *sims, F.min(F.struct("doc_id", "line")).alias("at")))
     keys = found.select("id", F.explode("keys").alias("key"))
-    # Most pairs of words occur in one line only: few keys are left after the first aggregation.
-    several = keys.groupBy("key").agg(F.min("id").alias("x"), F.max("id").alias("y")).where("x <> y").select("key")
+    # Most pairs of words occur in one line only: few keys are left after the first aggregation. Its shuffle is gone before the next one of all keys.
+    several = cut(keys.groupBy("key").agg(F.min("id").alias("x"), F.max("id").alias("y")).where("x <> y").select("key"))
     buckets = cut(keys.join(several, "key", "left_semi").distinct())
 
     def likely(a, b):
