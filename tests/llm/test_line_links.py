@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import pytest
 
 from tidewater.llm import lines
+from tidewater.llm.common import written
 
 
 def line(r, n, vocabulary):
@@ -46,3 +48,38 @@ def test_every_link_is_found(spark, vocabulary):
     got = {x.doc_id: x.n_removed for x in lines.deduplicate(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     lost = [p for p in pairs if not got[p[1]]]
     assert not lost, lost
+
+
+def test_shared_keys_come_once_each_with_one_centre():
+    rng = np.random.default_rng(8)
+    keys, ids = rng.integers(0, 400, 3000).astype(np.uint64), rng.integers(0, 300, 3000)
+    keys[::5] = 7  # one key of many lines
+    known, rows = lines.Shared(), []
+    for k in range(0, 3000, 250):
+        rows += zip(*(c.tolist() for c in known.add(keys[k : k + 250], ids[k : k + 250])), strict=True)
+    owners: dict = {}
+    for k, i in zip(keys.tolist(), ids.tolist(), strict=True):
+        owners.setdefault(k, set()).add(i)
+    assert {(i, k) for i, k, _, _ in rows} == {(i, k) for k, own in owners.items() if len(own) > 1 for i in own}
+    centres = {(k, c) for _, k, _, c in rows}
+    assert len(centres) == len({k for k, _ in centres}) and all(c in owners[k] for k, c in centres)
+    assert sum(i == c for i, _, _, c in rows) == len(centres)
+    assert len(known.keys) == len(owners)
+
+
+def test_shared_keys_of_small_blocks(spark):
+    rows = [(i, [k for k in range(1, 40) if i % k == 0]) for i in range(1, 300)]
+    found = lines.shared_keys(spark.createDataFrame(rows, "id bigint, keys array<bigint>"), parts=5, held=50).collect()
+    groups: dict = {}
+    for r in found:
+        groups.setdefault(r.key, []).append(r.id)
+    assert sorted(sorted(g) for g in groups.values()) == sorted([i for i in range(1, 300) if i % k == 0] for k in range(1, 40))
+
+
+def test_lines_leave_one_table(spark):
+    text = "one two three four five six seven\nsome other words stand here now\n"
+    docs = spark.createDataFrame([(k, text + f"line {k} " * 4) for k in range(20)], "doc_id long, text string")
+    mark = written()
+    got = lines.deduplicate(docs).collect()
+    assert sum(r.n_removed for r in got) > 30
+    assert written() - mark == 1

@@ -80,14 +80,15 @@ def link_groups(
 ) -> DataFrame:
     """(node, comp) of all nodes that some link touches.
 
-    nodes: (id, further columns); shared: (id, key, n, centre, further columns), as ``shared_buckets`` gives it.
+    nodes: (id, further columns); shared: (id, key, n, centre, further columns), as ``shared_buckets`` gives it, a table.
+    Tables made on the way are deleted as soon as nothing reads them.
     ``likely(l, r)`` is a cheap condition on the further columns of two nodes, given their column
     prefixes; it must hold for every link. ``first(l, r)`` holds in just one of the buckets two nodes
     share, given also ``l_key``; it keeps a pair from being compared once per bucket; without it pairs
     are made distinct. ``fetch`` gives (id, payload) for the ids (id) that can be compared at all;
     ``verify`` keeps the true links (a, b) of pairs (a, b, x, y), x and y being the payloads.
     """
-    shared = cut(shared)
+    spark = nodes.sparkSession
     nodes = cut(nodes.join(shared.select("id").distinct(), "id", "left_semi"))
     left = nodes.select(*(F.col(c).alias(f"l_{c}") for c in nodes.columns))
     right = nodes.select(*(F.col(c).alias(f"r_{c}") for c in nodes.columns))
@@ -98,19 +99,25 @@ def link_groups(
     copies = copies.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
     members = star.join(left, star["id"] == F.col("l_id")).withColumn("_s", F.pmod(F.xxhash64("id"), salts).cast("int"))
     star = members.join(copies, (F.col("centre") == F.col("_c")) & (F.col("_s") == F.col("_salt"))).where(likely("l_", "r_"))
+    mark = written()
     star = cut(star.select(F.col("l_id").alias("a"), F.col("r_id").alias("b")))
 
     def verified(pairs: DataFrame) -> DataFrame:
         ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
+        mark = written()
         payload = cut(fetch(ids))
         pairs = pairs.join(payload.select(F.col("id").alias("a"), F.col("payload").alias("x")), "a")
-        return cut(verify(pairs.join(payload.select(F.col("id").alias("b"), F.col("payload").alias("y")), "b")))
+        links = cut(verify(pairs.join(payload.select(F.col("id").alias("b"), F.col("payload").alias("y")), "b")))
+        drop_written(spark, mark, keep=1)
+        return links
 
     comps = cut(connected_components(verified(star)))
+    drop_written(spark, mark, keep=1)
 
     grouped = shared.drop("n", "centre").join(comps.withColumnRenamed("node", "id"), "id", "left")
     grouped = grouped.withColumn("comp", F.coalesce("comp", "id"))
     mixed = grouped.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("key")
+    mark = written()
     open_rows = cut(_paired(grouped.join(mixed, "key")).join(nodes, "id"))
     left = open_rows.select(*(F.col(c).alias(f"l_{c}") for c in open_rows.columns))
     right = open_rows.select(*(F.col(c).alias(f"r_{c}") for c in open_rows.columns))
@@ -127,7 +134,9 @@ def link_groups(
         & likely("l_", "r_"),
     )
     pairs = pairs.select(F.col("l_id").alias("a"), F.col("r_id").alias("b"))
-    more = verified(cut(pairs if first else pairs.distinct()))
+    pairs = cut(pairs if first else pairs.distinct())
+    drop_written(spark, mark, keep=1)
+    more = verified(pairs)
     # The groups found so far stand for their members.
     seen = comps.select(F.col("node").alias("a"), F.col("comp").alias("b"))
     return connected_components(seen.union(more))

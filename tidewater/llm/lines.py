@@ -18,14 +18,15 @@ vocabulary apart, which single words don't.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import cut, first_rows, map_batches, one_per_id, sampled_texts, text_dictionary, zipped, zipper
-from tidewater.llm.grouping import link_groups, shared_buckets
+from tidewater.llm.common import cut, drop_written, first_rows, map_batches, one_per_id, sampled_texts, text_dictionary, written, zipped, zipper
+from tidewater.llm.grouping import link_groups
 from tidewater.llm.words import located_hashes, mix, signed
 
 #: Word pairs that differ by half turn 21 of 64 bits, with a deviation of 3.8; unlike lines differ in some 32. So many may always differ.
@@ -300,6 +301,108 @@ def lines(docs: DataFrame) -> DataFrame:
     return map_batches(docs, ["doc_id", "text"], f"doc_id {kind}, line int, id bigint, n int, d int, {', '.join(f'{c} bigint' for c in _SIMS)}, keys array<bigint>", start)
 
 
+#: Keys that a task holds before it deals them out, or sorts them.
+HELD = 1 << 20
+#: Parts that keys are dealt out in: as many at least, and no more than so many keys in one on average.
+PARTS, PART_KEYS = 1024, 1 << 21
+
+
+def _dealt(sketches: DataFrame, parts: int, held: int) -> DataFrame:
+    """(part, keys, ids): the join keys of many lines and the lines they are of, a row a part; a key is 32 bits of its part."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def blocks(ids, keys):
+            ids, keys = np.concatenate(ids), np.concatenate(keys).view(np.uint64)
+            part = (keys % np.uint64(parts)).astype(np.int32)
+            order = np.argsort(part.astype(np.uint16) if parts <= 1 << 16 else part, kind="stable")
+            keys = (keys // np.uint64(parts)).astype(np.uint32).view(np.int32)[order]
+            n = np.bincount(part, minlength=parts)
+            some = np.flatnonzero(n)
+            ends = pa.array(np.append(0, np.cumsum(n[some])), pa.int32())
+            lists = (pa.ListArray.from_arrays(ends, pa.array(v)) for v in (keys, ids[order]))
+            return pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), *lists], names=["part", "keys", "ids"])
+
+        ids, keys, size = [], [], 0
+        for batch in batches:
+            lists = batch.column(1)
+            ids.append(np.repeat(batch.column(0).to_numpy(zero_copy_only=False), np.diff(lists.offsets.to_numpy())))
+            keys.append(lists.flatten().to_numpy(zero_copy_only=False))
+            size += len(ids[-1])
+            if size >= held:
+                yield blocks(ids, keys)
+                ids, keys, size = [], [], 0
+        if size:
+            yield blocks(ids, keys)
+
+    return sketches.mapInArrow(run, "part int, keys array<int>, ids array<bigint>")
+
+
+class Shared:
+    """Which of the keys that come in, part by part, more than one line has: ``add`` gives those lines' rows.
+
+    Of a key only the line that came first is remembered, as the centre of those that follow, so that
+    memory follows the number of distinct keys and a key may have any number of lines.
+    """
+
+    def __init__(self):
+        self.keys, self.ids = np.empty(0, np.uint64), np.empty(0, np.int64)
+        #: Lines of each key so far; those that came twice count twice.
+        self.n = np.empty(0, np.int64)
+
+    def add(self, keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, ...]:
+        """(id, key, n, centre) of lines whose key others have too; n is the number of the key's lines so far. A line may come again."""
+        times = np.concatenate((self.n, np.ones(len(keys), np.int64)))
+        keys, ids = np.concatenate((self.keys, keys)), np.concatenate((self.ids, ids))
+        order = np.argsort(keys, kind="stable")  # a centre comes before new lines
+        keys, ids, times = keys[order], ids[order], times[order]
+        first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[: len(keys)])
+        owner = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(keys))))
+        centre = ids[first][owner]
+        other = ids != centre
+        shared = np.bincount(owner[other], minlength=len(first)) > 0
+        # The centre's own row goes out with the first other line.
+        new = other.copy()
+        new[first] = shared & (times[first] == 1)
+        times[~other & (np.arange(len(keys)) != first[owner])] = 0
+        self.keys, self.ids, self.n = keys[first], ids[first], np.add.reduceat(times, first) if len(first) else times
+        return ids[new], keys[new].view(np.int64), self.n[owner[new]], centre[new]
+
+
+def _met(dealt: DataFrame, held: int) -> DataFrame:
+    """(id, key, n, centre): ``Shared`` rows of each part."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, keys, ids, size = Shared(), [], [], 0
+
+        def found():
+            rows = known.add(np.concatenate(keys), np.concatenate(ids))
+            return pa.RecordBatch.from_arrays([pa.array(r) for r in rows], names=["id", "key", "n", "centre"])
+
+        for batch in batches:
+            parts, lists, lines_ = batch.columns
+            part = np.repeat(parts.to_numpy(zero_copy_only=False), np.diff(lists.offsets.to_numpy())).astype(np.uint64)
+            keys.append(part << np.uint64(32) | lists.flatten().to_numpy(zero_copy_only=False).view(np.uint32))
+            ids.append(lines_.flatten().to_numpy(zero_copy_only=False))
+            size += len(part)
+            if size >= held:
+                yield found()
+                keys, ids, size = [], [], 0
+        if size:
+            yield found()
+
+    return dealt.mapInArrow(run, "id bigint, key bigint, n bigint, centre bigint")
+
+
+def shared_keys(sketches: DataFrame, parts: int = PARTS, held: int = HELD) -> DataFrame:
+    """(id, key, n, centre) of the lines of ``sketches`` (id, keys) whose key other lines have too, each once.
+
+    As ``shared_buckets``, but that keys travel in blocks, all are shuffled once and sorted by the task they come to,
+    the centre is any line of the key and n is how many it had as the line came.
+    """
+    met = _met(_dealt(sketches, parts, held).repartition("part"), held)
+    return met.groupBy("id", "key").agg(F.max("n").alias("n"), F.min("centre").alias("centre"))
+
+
 def _normalised(joined: DataFrame, dictionary: bytes) -> DataFrame:
     """(id, payload): wanted lines, normalised."""
 
@@ -338,14 +441,15 @@ def _verified(pairs: DataFrame) -> DataFrame:
 
 def repeated_lines(docs: DataFrame, dictionary: bytes) -> DataFrame:
     """(doc_id, gone): the lines of each document that are not the first of their group, by number."""
-    found = cut(lines(docs))
+    spark, mark = docs.sparkSession, written()
+    sketched = cut(lines(docs))
+    many = sketched.agg(F.sum(F.size("keys"))).first()[0] or 0
+    found = cut(sketched.withColumn("own", F.size("keys") > 0).drop("keys"))
+    shared = cut(shared_keys(sketched.where(F.size("keys") > 0).select("id", "keys"), max(PARTS, many // PART_KEYS)))
+    drop_written(spark, mark, keep=2)
     # The smallest place stands for all equal lines.
-    sims = (F.max(F.when(F.size("keys") > 0, F.col(c))).alias(c) for c in ("d", *_SIMS))
+    sims = (F.max(F.when(F.col("own"), F.col(c))).alias(c) for c in ("d", *_SIMS))
     distinct = cut(found.groupBy("id").agg(F.min("n").alias("n"), *sims, F.min(F.struct("doc_id", "line")).alias("at")))
-    keys = found.select("id", F.explode("keys").alias("key"))
-    # Most pairs of words occur in one line only: few keys are left after the first aggregation. Its shuffle is gone before the next one of all keys.
-    several = cut(keys.groupBy("key").agg(F.min("id").alias("x"), F.max("id").alias("y")).where("x <> y").select("key"))
-    buckets = cut(keys.join(several, "key", "left_semi").distinct())
 
     def likely(a, b):
         longer = F.greatest(f"{a}n", f"{b}n")
@@ -360,11 +464,13 @@ def repeated_lines(docs: DataFrame, dictionary: bytes) -> DataFrame:
         wanted = docs.join(places.select("doc_id"), "doc_id", "left_semi")
         return _normalised(zipped(wanted, dictionary).join(places, "doc_id"), dictionary)
 
-    comps = link_groups(distinct.select("id", "n", "d", *_SIMS), shared_buckets(buckets), likely, None, fetch, _verified)
+    comps = link_groups(distinct.select("id", "n", "d", *_SIMS), shared, likely, None, fetch, _verified)
     grouped = found.join(comps.withColumnRenamed("node", "id"), "id", "left").select("doc_id", "line", F.coalesce("comp", "id").alias("comp"))
     firsts = grouped.groupBy("comp").agg(F.min(F.struct("doc_id", "line")).alias("first"), F.count("*").alias("n")).where("n > 1")
     gone = grouped.join(firsts, "comp").where(F.col("first") != F.struct("doc_id", "line"))
-    return gone.groupBy("doc_id").agg(F.collect_list("line").alias("gone"))
+    gone = cut(gone.groupBy("doc_id").agg(F.collect_list("line").alias("gone")))
+    drop_written(spark, mark, keep=1)
+    return gone
 
 
 def _with_lines_left(docs: DataFrame, gone: DataFrame) -> DataFrame:

@@ -208,7 +208,7 @@ def groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         shared = F.size(F.array_intersect("x", "y"))
         return pairs.where(shared * 100 >= (F.size("x") + F.size("y") - shared) * percent).select("a", "b")
 
-    comps = link_groups(nodes, shared_buckets(buckets), likely, first, fetch, verify)
+    comps = link_groups(nodes, cut(shared_buckets(buckets)), likely, first, fetch, verify)
     reps = filled.join(same, ["n_shingles", "f1", "f2"]).select("doc_id", "rep")
     placed = reps.join(comps, reps["rep"] == comps["node"], "left").select(F.col("doc_id"), F.coalesce("comp", "rep").alias("component_id"))
     out = one.select("doc_id", "n_shingles").join(placed, "doc_id", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
