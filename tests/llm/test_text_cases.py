@@ -79,6 +79,16 @@ def test_long_lines_and_words(spark):
     assert removed[2].n_removed == 120_000 - 1 and removed[4].n_removed == 0
 
 
+def test_a_window_takes_four_steps_of_search(monkeypatch):
+    steps, extend = [], substrings.FMIndex.extend
+    monkeypatch.setattr(substrings.FMIndex, "extend", lambda *a: steps.append(len(a[1])) or extend(*a))
+    rng = np.random.default_rng(5)
+    passage, alone = rng.integers(1, 50, 40), rng.integers(1, 50, 30)
+    text = np.concatenate(([0], passage, [0], alone, [0], passage[5:], [0]))
+    assert substrings.repeated_starts(text).tolist() == list(range(73, 73 + 35 - 19))
+    assert len(steps) <= 4
+
+
 def test_matching_statistics_equal_a_scan():
     r = random.Random(9)
     flat = [0]

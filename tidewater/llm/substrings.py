@@ -9,7 +9,7 @@ size. A shard is a compressed FM-index: a wavelet matrix over the Burrows-Wheele
 packed bits and block counts, and the first row of each symbol; no suffix positions are kept. The
 shard's segments are streamed through it backwards, all positions in step: matching statistics grow
 by a word a step for as long as the interval of rows holds another place than the position's own,
-from a table of 8-word intervals on. Positions whose match reaches 20 words and that end in the same
+from a table of 16-word intervals on. Positions whose match reaches 20 words and that end in the same
 interval hold the same window; all but the first of them are repeats.
 
 A key with more than ``HOT`` segments is a passage too common for one shard. Its windows are dealt
@@ -35,7 +35,7 @@ from tidewater.llm.words import shingles, signed, spans, word_hashes
 WINDOW = 20
 GRAM = 5
 #: Words of a match that a table gives, a power of two; backward search goes on from there.
-SEED = 8
+SEED = 16
 #: Words of a shard. A shard ends with a key, so it holds at most HOT segments more.
 SHARD_WORDS = 1 << 16
 #: Windows of a segment.
@@ -60,7 +60,7 @@ def _in_a_row(names: np.ndarray, span: int, times: int) -> np.ndarray:
 
 
 class FMIndex:
-    """Intervals of the sorted suffixes of a text of symbol ids; 0 ends a segment. Suffixes count up to 24 symbols, which a window doesn't reach."""
+    """Intervals of the sorted suffixes of a text of symbol ids; 0 ends a segment. Suffixes count up to 2 * SEED symbols, which a window doesn't reach."""
 
     def __init__(self, text: np.ndarray):
         order, self.seeds = self._order(text)
@@ -83,15 +83,15 @@ class FMIndex:
 
     @staticmethod
     def _order(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Suffixes sorted by their first 24 symbols or more, in text order where those agree; the name of the SEED symbols at each position."""
+        """Suffixes sorted by their first 2 * SEED symbols; the name of the SEED symbols at each position.
+
+        Those that agree so far are in any order: no interval of a window or a part of one ends between them.
+        """
         rank, span = text.astype(np.int64), 1
         while span < SEED:
             times = 4 if 4 * span <= SEED and _fit(rank, 4) else 2
             rank, span = np.unique(_in_a_row(rank, span, times), return_inverse=True)[1], span * times
-        seeds = rank.astype(np.int32)
-        if not _fit(rank, 3):
-            rank, span = np.unique(_in_a_row(rank, span, 2), return_inverse=True)[1], span * 2
-        return np.argsort(_in_a_row(rank, span, 3 if span == SEED else 2), kind="stable"), seeds
+        return np.argsort(_in_a_row(rank, span, 2)), rank.astype(np.int32)
 
     def seeded(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Suffix intervals of the SEED symbols at each position, from a table."""
