@@ -83,3 +83,76 @@ def test_lines_leave_one_table(spark):
     got = lines.deduplicate(docs).collect()
     assert sum(r.n_removed for r in got) > 30
     assert written() - mark == 1
+
+
+def edited(r, words, most):
+    out = list(words)
+    for _ in range(r.randrange(most + 1)):
+        k, what = r.randrange(len(out)), r.randrange(3)
+        if what == 0:
+            out.insert(k, r.choice(words))
+        elif what == 1:
+            out[k] = "new"
+        elif len(out) > lines.MIN_WORDS:
+            del out[k]
+    return out
+
+
+def test_filters_lose_no_link():
+    r = random.Random(77)
+    linked = 0
+    for k in range(400):
+        n = r.choice([5, 9, 10, 14, 30, 79, 80, 100, 254, 300])
+        vocabulary = r.choice([6, 400, 100_000])
+        both = [line(r, n, vocabulary)]
+        both.append(edited(r, both[0], n // 5))
+        raw = [lines.normalise(" ".join(t)) for t in both]
+        if raw[0] == raw[1] or not lines.edit_similar(*(t.split() for t in raw)):
+            continue
+        linked += 1
+        _, _, count, _, words = lines.parted([t.decode() for t in raw])
+        _, odd, _, keys, many, places, wide = lines.sketched(count, words, lines._NONE, np.ones(2, bool))
+        turned = 2 * (int(count.max()) // 5) - abs(int(count[0] - count[1]))
+        assert np.bitwise_count((odd[0] ^ odd[1]).view(np.uint64)).sum() <= turned
+        if len(wide) == 2:
+            assert np.bitwise_count((wide[0] ^ wide[1]).view(np.uint64)).sum() <= turned
+        at = [dict(zip(part.tolist(), lines._at(c, p), strict=True)) for part, p, c in zip(np.split(keys, many[:1]), np.split(places, many[:1]), count, strict=True)]
+        shared = [key for key in at[0] if key in at[1]]
+        # A line of few distinct pairs may lose them all.
+        assert not shared or any(lines.may_meet(np.array([at[0][key]]), np.array([at[1][key]]))[0] for key in shared), (k, n, vocabulary)
+    assert linked > 200
+
+
+def test_few_gives_pairs_of_small_keys_and_rows_of_large_ones():
+    rng = np.random.default_rng(9)
+    keys, ids = rng.integers(0, 300, 3000).astype(np.uint64), rng.integers(0, 500, 3000)
+    at = np.where(ids % 2, 20 << 8 | 3, 20 << 8 | 9).astype(np.int16)  # odd and even ones are too far apart
+    few, pairs, rows = lines.Few(8), set(), []
+    for k in range(0, 3000, 170):
+        a, b, *rest = few.add(keys[k : k + 170], ids[k : k + 170], at[k : k + 170])
+        pairs |= set(zip(a.tolist(), b.tolist(), strict=True))
+        rows += zip(*(c.tolist() for c in rest), strict=True)
+    owners: dict = {}
+    for k, i in zip(keys.tolist(), ids.tolist(), strict=True):
+        owners.setdefault(k, set()).add(i)
+    large = {k for k, own in owners.items() if len(own) > 8}
+    assert set(rows) >= {(k, i) for k in large for i in owners[k]} and {k for k, _ in rows} <= set(owners)
+    assert pairs >= {(i, j) for k, own in owners.items() if k not in large and k not in {x for x, _ in rows} for i in own for j in own if i > j and i % 2 == j % 2}
+    assert all(i > j and i % 2 == j % 2 for i, j in pairs) and len(large) > 50 and len(few.keys) <= 8 * 300
+
+
+def test_unlike_long_lines_are_not_compared(spark, monkeypatch):
+    r = random.Random(5)
+    # All have the same rare pair, and most words from a small vocabulary: the bags are unlike, the distinct words are not.
+    weights = [[r.random() ** 4 for _ in range(60)] for _ in range(100)]
+    texts = [" ".join(["rare", "pair", *r.choices([f"v{chr(97 + k % 26)}{'xyz'[k // 26]}" for k in range(60)], w, k=300)]) for w in weights]
+    seen = []
+
+    def counted(pairs, f=lines._verified):
+        seen.append(pairs.count())
+        return f(pairs)
+
+    monkeypatch.setattr(lines, "_verified", counted)
+    got = lines.deduplicate(spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string")).collect()
+    assert sum(x.n_removed for x in got) == 0
+    assert sum(seen) < 100, seen

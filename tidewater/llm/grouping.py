@@ -81,6 +81,7 @@ def link_groups(
     """(node, comp) of all nodes that some link touches.
 
     nodes: (id, further columns); shared: (id, key, n, centre, further columns), as ``shared_buckets`` gives it, a table.
+    A row of it without a key is a pair (id, centre) that is compared as it is; its id is in no bucket by that.
     Tables made on the way are deleted as soon as nothing reads them.
     ``likely(l, r)`` is a cheap condition on the further columns of two nodes, given their column
     prefixes; it must hold for every link. ``first(l, r)`` holds in just one of the buckets two nodes
@@ -89,7 +90,8 @@ def link_groups(
     ``verify`` keeps the true links (a, b) of pairs (a, b, x, y), x and y being the payloads.
     """
     spark = nodes.sparkSession
-    nodes = cut(nodes.join(shared.select("id").distinct(), "id", "left_semi"))
+    ids = shared.select("id").union(shared.where("key is null").select("centre")).distinct()
+    nodes = cut(nodes.join(ids, "id", "left_semi"))
     left = nodes.select(*(F.col(c).alias(f"l_{c}") for c in nodes.columns))
     right = nodes.select(*(F.col(c).alias(f"r_{c}") for c in nodes.columns))
     # A centre may have any number of members: they are dealt out by salt, and the centre is there for each salt.
@@ -114,7 +116,7 @@ def link_groups(
     comps = cut(connected_components(verified(star)))
     drop_written(spark, mark, keep=1)
 
-    grouped = shared.drop("n", "centre").join(comps.withColumnRenamed("node", "id"), "id", "left")
+    grouped = shared.where("key is not null").drop("n", "centre").join(comps.withColumnRenamed("node", "id"), "id", "left")
     grouped = grouped.withColumn("comp", F.coalesce("comp", "id"))
     mixed = grouped.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("key")
     mark = written()

@@ -7,12 +7,13 @@ words is at least ``SIMILARITY``; of all lines of a connected group the first st
 Keys follow from that rule without loss. An edit changes at most two of a line's pairs of
 neighbouring words, so a pair of lines that may be linked differs in a bounded number of them; if
 all lines sort theirs in one order, the first of them, one more than that number, have one in common,
-which is the join key. Rare ones come first in the order, so that keys tell lines apart. A candidate is
-compared if the lengths allow it and SimHashes over the distinct pairs of neighbouring words, four of 64
-bits, don't differ in more bits than the edits explain, and four deviations; that loses a link at
-the very bound about once in 15,000 times, others more rarely. Pairs count once however often a line
-repeats them, so an edit that turns many equal ones changes one. Pairs of words tell lines of a common
-vocabulary apart, which single words don't.
+which is the join key. Rare ones come first in the order, so that keys tell lines apart. One such key is
+a pair that no edit touched, so no more words than edits may be missing before and after it: lines that
+have a key in the wrong places don't meet by it. A candidate is then compared if a SimHash over the distinct
+pairs of neighbouring words and the parities of its words, 256 bits and 512 more for long lines, don't
+differ in more bits than the edits explain. Parities lose nothing; the SimHash is given four deviations, which
+loses a link at the very bound about once in 30,000 times, others more rarely. Pairs count once however
+often a line repeats them, so an edit that turns many equal ones changes one.
 """
 
 from __future__ import annotations
@@ -25,15 +26,18 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import cut, drop_written, first_rows, map_batches, one_per_id, sampled_texts, text_dictionary, written, zipped, zipper
+from tidewater.llm.common import cut, drop_written, first_rows, map_batches, one_per_id, sampled_texts, written
 from tidewater.llm.grouping import link_groups
 from tidewater.llm.words import located_hashes, mix, signed
 
 #: Word pairs that differ by half turn 21 of 64 bits, with a deviation of 3.8; unlike lines differ in some 32. So many may always differ.
 DISTANCE = 36
-SIMHASHES = 4
-#: Bits beyond the expected number, in the first and in all SimHashes, that a pair may differ in: four deviations.
-SLACK_ONE, SLACK = 16, 32
+#: Bits beyond the expected number that a pair's SimHashes may differ in: four deviations.
+SLACK = 16
+#: 64 bits of parities each: bit b says whether the line's words that hash to b are odd in number.
+PARITIES = 4
+#: Lines of LONG words and more have WIDE more, in which a word's first occurrence, its second and so on count as words of their own.
+LONG, WIDE = 80, 8
 SIMILARITY = 0.8
 #: Shorter lines (headings, list items, braces) are never removed.
 MIN_WORDS = 5
@@ -57,7 +61,7 @@ _COUNTABLE = 255
 
 
 def simhashes(begin: np.ndarray, count: np.ndarray, words: np.ndarray) -> np.ndarray:
-    """SIMHASHES SimHashes for each line of ``count`` features from ``begin`` on: bit b is the majority of bit b over them; a tie gives 0.
+    """The SimHash of each line of ``count`` features from ``begin`` on: bit b is the majority of bit b over them; a tie gives 0.
 
     Eight bits of a feature are added at once, each in a byte of its own; lines of more than a
     byte can count are added up from parts.
@@ -66,20 +70,35 @@ def simhashes(begin: np.ndarray, count: np.ndarray, words: np.ndarray) -> np.nda
     nth = np.cumsum(parts) - parts
     owner = np.repeat(np.arange(len(count)), parts)
     starts = begin[owner] + _COUNTABLE * (np.arange(len(owner)) - nth[owner])
-    out = np.zeros((len(count), SIMHASHES), np.uint64)
+    out = np.zeros(len(count), np.uint64)
     shifts = 8 * np.arange(8, dtype=np.uint64)
-    for k in range(SIMHASHES):
-        if k:
-            words = mix(words)
-        for bit in range(8):
-            ones = np.add.reduceat(words >> np.uint64(bit) & np.uint64(0x0101010101010101), starts).view(np.uint8).reshape(-1, 8)
-            if len(owner) > len(count):
-                ones = np.add.reduceat(ones, nth, axis=0, dtype=np.int64)
-            most = 2 * ones.astype(np.int64) > count[:, None]
-            out[:, k] |= (most.astype(np.uint64) << (shifts + np.uint64(bit))).sum(axis=1, dtype=np.uint64)
+    for bit in range(8):
+        ones = np.add.reduceat(words >> np.uint64(bit) & np.uint64(0x0101010101010101), starts).view(np.uint8).reshape(-1, 8)
+        if len(owner) > len(count):
+            ones = np.add.reduceat(ones, nth, axis=0, dtype=np.int64)
+        most = 2 * ones.astype(np.int64) > count[:, None]
+        out |= (most.astype(np.uint64) << (shifts + np.uint64(bit))).sum(axis=1, dtype=np.uint64)
     return signed(out)
 
 
+def parities(begin: np.ndarray, words: np.ndarray, hashes: int) -> np.ndarray:
+    """So many parities of 64 bits for each line of ``words`` from ``begin`` on: a word more or less turns one bit, another word two at most."""
+    h = mix(words ^ np.uint64(0x5851F42D4C957F2D))
+    bit, which = np.uint64(1) << (h & np.uint64(63)), h >> np.uint64(6) & np.uint64(hashes - 1)
+    zero = np.uint64(0)
+    return signed(np.stack([np.bitwise_xor.reduceat(np.where(which == np.uint64(k), bit, zero), begin) for k in range(hashes)], axis=1))
+
+
+def occurrences(count: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """A hash of each word of lines of ``count`` of the ``words`` with how many such words of its line come before it; in no order within a line."""
+    line = np.repeat(np.arange(len(count)), count)
+    order = np.lexsort((words, line))
+    words, line = words[order], line[order]
+    runs = np.flatnonzero(np.append(True, (words[1:] != words[:-1]) | (line[1:] != line[:-1])))
+    nth = np.arange(len(words)) - np.repeat(runs, np.diff(np.append(runs, len(words))))
+    return mix(words + nth.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+
+
 #: Cells of the distance tables that are filled at once.
 _CELLS = 1 << 20
 
@@ -99,6 +118,8 @@ def similar_pairs(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray
     good = np.zeros(len(n), bool)
     # What one bag of words lacks of the other can't be mended by fewer edits.
     todo = np.flatnonzero(_in_common(left, right, n) >= long - most)
+    plain = _plain_distances([sorted((left[k], right[k]), key=len) for k in todo]) <= most[todo]
+    good[todo[plain]], todo = True, todo[~plain]
     todo = todo[np.argsort(long[todo])]
     while len(todo):
         longest = int(long[todo[-1]])
@@ -124,6 +145,23 @@ def _in_common(left: list[np.ndarray], right: list[np.ndarray], n: np.ndarray) -
     return np.bincount(pair[runs], weights=np.minimum(x, y), minlength=len(n)).astype(np.int64)
 
 
+def _plain_distances(pairs: list[list[np.ndarray]]) -> np.ndarray:
+    """The edits of (shorter, longer) pairs if all words that one lacks stood at one place, the best: never fewer than the edit distance."""
+    if not pairs:
+        return np.zeros(0, np.int64)
+    m = np.array([len(x) for x, _ in pairs])
+    x = np.concatenate([x for x, _ in pairs])
+    front, back = (x != np.concatenate([f(y, len(v)) for v, y in pairs]) for f in (lambda y, k: y[:k], lambda y, k: y[len(y) - k :]))
+    # Words before a place are compared from the front, those from it on from the back.
+    change = np.concatenate(([0], np.cumsum(front.astype(np.int64) - back)))
+    begin = np.cumsum(m) - m
+    rest = np.concatenate(([0], np.cumsum(back)))
+    best = np.minimum.reduceat(np.append(change[1:], change[-1]), begin) if len(x) else change[begin]
+    some = m > 0
+    best = np.where(some, np.minimum(best, change[begin]), change[begin])
+    return best - change[begin] + rest[begin + m] - rest[begin] + np.array([len(y) for _, y in pairs]) - m
+
+
 def _distances(short: list[np.ndarray], long: list[np.ndarray], width: int) -> np.ndarray:
     """Edit distances of pairs, exact where they are at most ``width``: rows of all tables in step, each within ``width`` of the diagonal."""
     ns, nl = np.array([len(x) for x in short]), np.array([len(y) for y in long])
@@ -173,9 +211,9 @@ def least_cosine(n: Column, d: Column) -> Column:
     return F.greatest(F.lit(0.0), 1 - 2 * F.floor((1 - SIMILARITY) * n + 1e-9) / d)
 
 
-def most_bits(cosine: Column, hashes: int, slack: int) -> Column:
-    """The most bits of so many SimHashes that sets of this cosine may differ in."""
-    return F.acos(cosine) * (64 * hashes / math.pi) + slack
+def most_bits(cosine: Column) -> Column:
+    """The most bits of SimHashes that sets of this cosine may differ in."""
+    return F.acos(cosine) * (64 / math.pi) + SLACK
 
 
 def common_words(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -195,8 +233,12 @@ _NONE = (np.empty(0, np.uint64), np.empty(0, np.int64))
 _SORTED = 1 << 16
 
 
-def distinct_pairs(words: np.ndarray, count: np.ndarray, common: tuple[np.ndarray, np.ndarray] = _NONE) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct word pairs of lines that hold ``count`` of the ``words`` each, a line's rare ones first, and how many each line has."""
+#: The place of a pair that a line has more than once, or that is further on.
+ANYWHERE = 255
+
+
+def distinct_pairs(words: np.ndarray, count: np.ndarray, common: tuple[np.ndarray, np.ndarray] = _NONE) -> tuple[np.ndarray, ...]:
+    """The distinct word pairs of lines that hold ``count`` of the ``words`` each, a line's rare ones first, how many each line has, and their places."""
     if len(count) > _SORTED:
         half = len(count) // 2
         cut_at = int(count[:half].sum())
@@ -205,6 +247,7 @@ def distinct_pairs(words: np.ndarray, count: np.ndarray, common: tuple[np.ndarra
     line = np.repeat(np.arange(len(count), dtype=np.uint64), count)
     inside = line[1:] == line[:-1]
     pairs = word_pairs(words)[inside]
+    place = np.minimum((np.arange(len(words)) - np.repeat(np.cumsum(count) - count, count))[:-1][inside], ANYWHERE).astype(np.uint8)
     often = np.zeros(len(words), np.float32)
     if len(common[0]):
         at = np.minimum(np.searchsorted(common[0], words), len(common[0]) - 1)
@@ -213,19 +256,24 @@ def distinct_pairs(words: np.ndarray, count: np.ndarray, common: tuple[np.ndarra
     line = line[1:][inside]
     # Line, then how common the words are, then the pair's hash: one number, one sort.
     order = np.argsort(line << np.uint64(48) | rank << np.uint64(42) | pairs >> np.uint64(22))
-    line, pairs = line[order].astype(np.int64), pairs[order]
+    line, pairs, place = line[order].astype(np.int64), pairs[order], place[order]
     new = np.append(True, (line[1:] != line[:-1]) | (pairs[1:] != pairs[:-1]))
-    return pairs[new], np.bincount(line[new], minlength=len(count))
+    once = np.append(new[1:], True)[new]
+    return pairs[new], np.bincount(line[new], minlength=len(count)), np.where(once, place[new], np.uint8(ANYWHERE))
+
+
+#: Bits of a key; more would only take room.
+KEY_BITS = 48
 
 
-def line_keys(pairs: np.ndarray, many: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Join keys of lines of ``count`` words that have ``many`` of the distinct ``pairs`` each, and how many keys each line has."""
+def line_keys(pairs: np.ndarray, many: np.ndarray, count: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Join keys of lines of ``count`` words that have ``many`` of the distinct ``pairs`` each, how many keys each line has, and their places."""
     line = np.repeat(np.arange(len(many)), many)
     taken = np.arange(len(line)) - np.repeat(np.cumsum(many) - many, many) < prefix_lengths(count)[line]
-    return signed(pairs[taken]), np.bincount(line[taken], minlength=len(many))
+    return signed(pairs[taken] >> np.uint64(64 - KEY_BITS)), np.bincount(line[taken], minlength=len(many)), places[taken]
 
 
-_SIMS = [f"s{k}" for k in range(SIMHASHES)]
+_ODD = [f"o{k}" for k in range(PARITIES)]
 #: Lines that a task remembers.
 SEEN = 500_000
 
@@ -250,16 +298,24 @@ def parted(texts: list[str | None]) -> tuple[np.ndarray, ...]:
 
 
 def sketched(count: np.ndarray, words: np.ndarray, common: tuple[np.ndarray, np.ndarray], wanted: np.ndarray) -> tuple[np.ndarray, ...]:
-    """SimHashes, numbers of distinct word pairs and join keys of the wanted lines, and how many keys each line has; the others' are 0."""
-    many, rich, sims = np.zeros(len(count), np.int64), np.zeros(len(count), np.int64), np.zeros((len(count), SIMHASHES), np.int64)
+    """SimHashes, parities, numbers of distinct word pairs, join keys of the wanted lines, how many keys each line has, and their places; the others' are 0.
+
+    Last come further parities, of long lines alone.
+    """
+    many, rich, sims = (np.zeros(len(count), np.int64) for _ in range(3))
+    odd, wide = np.zeros((len(count), PARITIES), np.int64), np.zeros((0, WIDE), np.int64)
     words, count = words[np.repeat(wanted, count)], count[wanted]
-    if len(count):
-        pairs, own = distinct_pairs(words, count, common)
-        rich[wanted] = own
-        keys, many[wanted] = line_keys(pairs, own, count)
-        sims[wanted] = simhashes(np.cumsum(own) - own, own, pairs)
-        return sims, rich, keys, many
-    return sims, rich, np.empty(0, np.int64), many
+    if not len(count):
+        return sims, odd, rich, np.empty(0, np.int64), many, np.empty(0, np.uint8), wide
+    pairs, own, places = distinct_pairs(words, count, common)
+    rich[wanted] = own
+    keys, many[wanted], places = line_keys(pairs, own, count, places)
+    sims[wanted] = simhashes(np.cumsum(own) - own, own, pairs)
+    odd[wanted] = parities(np.cumsum(count) - count, words, PARITIES)
+    if (long := count >= LONG).any():
+        n = count[long]
+        wide = parities(np.cumsum(n) - n, occurrences(n, words[np.repeat(long, count)]), WIDE)
+    return sims, odd, rich, keys, many, places, wide
 
 
 def hashed_lines(text: str, common: tuple[np.ndarray, np.ndarray] = _NONE) -> tuple[np.ndarray, ...]:
@@ -267,14 +323,14 @@ def hashed_lines(text: str, common: tuple[np.ndarray, np.ndarray] = _NONE) -> tu
     _, line, count, ids, words = parted([text])
     if not len(line):
         return tuple(np.empty(0, np.int64) for _ in range(6))
-    sims, _, keys, many = sketched(count, words, common, np.ones(len(line), bool))
-    return line, ids, sims[:, 0], count, keys, many
+    sims, _, _, keys, many, *_ = sketched(count, words, common, np.ones(len(line), bool))
+    return line, ids, sims, count, keys, many
 
 
 def lines(docs: DataFrame) -> DataFrame:
-    """(doc_id, line, id, n, d, s0 to s3, keys): lines of MIN_WORDS words and more, ``id`` hashing the normalised line of n words, d distinct pairs.
+    """(doc_id, line, id, n, d, s, o0 to o3, wide, keys, places): lines of MIN_WORDS words and more, ``id`` hashing the normalised line of n words, d distinct pairs.
 
-    A task gives a line's keys and SimHashes once, not for each equal line, as long as it remembers it;
+    A key's place is a byte. A task gives a line's keys and SimHashes once, not for each equal line, as long as it remembers it;
     rows without keys have none.
     """
     common = common_words(docs)
@@ -290,15 +346,20 @@ def lines(docs: DataFrame) -> DataFrame:
         def step(ids, texts):
             owner, line, count, names, words = parted([t if i is not None else None for i, t in zip(ids, texts, strict=True)])
             if not len(line):
-                return [[] for _ in range(6 + SIMHASHES)]
-            sims, rich, keys, many = sketched(count, words, common, unseen(names))
-            lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(many)), pa.int32()), pa.array(keys))
-            return pa.array(ids).take(pa.array(owner)), line, names, count, rich, *sims.T, lists
+                return [[] for _ in range(9 + PARITIES)]
+            new = unseen(names)
+            sims, odd, rich, keys, many, places, more = sketched(count, words, common, new)
+            has = new & (count >= LONG)
+            wide = pa.ListArray.from_arrays(pa.array(WIDE * np.append(0, np.cumsum(has)), pa.int32()), pa.array(more.ravel()))
+            ends = pa.array(np.append(0, np.cumsum(many)), pa.int32())
+            lists = pa.ListArray.from_arrays(ends, pa.array(keys))
+            bytes_ = pa.Array.from_buffers(pa.binary(), len(many), [None, ends.buffers()[1], pa.py_buffer(places.tobytes())])
+            return pa.array(ids).take(pa.array(owner)), line, names, count, rich, sims, *odd.T, wide, lists, bytes_
 
         return step
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return map_batches(docs, ["doc_id", "text"], f"doc_id {kind}, line int, id bigint, n int, d int, {', '.join(f'{c} bigint' for c in _SIMS)}, keys array<bigint>", start)
+    return map_batches(docs, ["doc_id", "text"], f"doc_id {kind}, line int, id bigint, n int, d int, s bigint, {', '.join(f'{c} bigint' for c in _ODD)}, wide array<bigint>, keys array<bigint>, places binary", start)
 
 
 #: Keys that a task holds before it deals them out, or sorts them.
@@ -307,34 +368,119 @@ HELD = 1 << 20
 PARTS, PART_KEYS = 1024, 1 << 21
 
 
+#: Rows of a key that are met one by one: of more, those of a centre and of groups (``link_groups``).
+FEW = 32
+
+
+def _at(n: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """Length and place as two bytes; longer lines are long, and their pairs may be anywhere."""
+    return (np.minimum(n, ANYWHERE) << 8 | np.where(n < ANYWHERE, places, ANYWHERE)).astype(np.uint16).view(np.int16)
+
+
+def may_meet(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Whether lines may be linked by a pair of words that they have at ``x`` and ``y`` (``_at``), one pair untouched by any edit."""
+    x, y = x.view(np.uint16), y.view(np.uint16)
+    n, m, p, q = ((v >> 8 if high else v & 255).astype(np.int32) for high in (True, False) for v in (x, y))
+    left, more = p - q, n - m
+    most = np.maximum(n, m) // 5
+    placed = (p < ANYWHERE) & (q < ANYWHERE)
+    return (np.abs(more) <= most) & (~placed | (np.abs(left) + np.abs(more - left) <= most))
+
+
 def _dealt(sketches: DataFrame, parts: int, held: int) -> DataFrame:
-    """(part, keys, ids): the join keys of many lines and the lines they are of, a row a part; a key is 32 bits of its part."""
+    """(part, keys, ids, at): the join keys of many lines, the lines they are of and where, a row a part; a key is 32 bits of its part.
+
+    Of ``sketches`` without n and places lines may have their keys anywhere.
+    """
+    placed = "places" in sketches.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def blocks(ids, keys):
-            ids, keys = np.concatenate(ids), np.concatenate(keys).view(np.uint64)
+        def blocks(ids, keys, at):
+            ids, keys, at = np.concatenate(ids), np.concatenate(keys).view(np.uint64), np.concatenate(at)
             part = (keys % np.uint64(parts)).astype(np.int32)
             order = np.argsort(part.astype(np.uint16) if parts <= 1 << 16 else part, kind="stable")
             keys = (keys // np.uint64(parts)).astype(np.uint32).view(np.int32)[order]
             n = np.bincount(part, minlength=parts)
             some = np.flatnonzero(n)
             ends = pa.array(np.append(0, np.cumsum(n[some])), pa.int32())
-            lists = (pa.ListArray.from_arrays(ends, pa.array(v)) for v in (keys, ids[order]))
-            return pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), *lists], names=["part", "keys", "ids"])
+            lists = (pa.ListArray.from_arrays(ends, pa.array(v)) for v in (keys, ids[order], at[order]))
+            return pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), *lists], names=["part", "keys", "ids", "at"])
 
-        ids, keys, size = [], [], 0
+        ids, keys, at, size = [], [], [], 0
         for batch in batches:
             lists = batch.column(1)
-            ids.append(np.repeat(batch.column(0).to_numpy(zero_copy_only=False), np.diff(lists.offsets.to_numpy())))
+            many = np.diff(lists.offsets.to_numpy())
+            ids.append(np.repeat(batch.column(0).to_numpy(zero_copy_only=False), many))
             keys.append(lists.flatten().to_numpy(zero_copy_only=False))
+            if placed:
+                n = np.repeat(batch.column(2).to_numpy(zero_copy_only=False), many)
+                at.append(_at(n, np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint8)))
+            else:
+                at.append(np.full(len(ids[-1]), -1, np.int16))
             size += len(ids[-1])
             if size >= held:
-                yield blocks(ids, keys)
-                ids, keys, size = [], [], 0
+                yield blocks(ids, keys, at)
+                ids, keys, at, size = [], [], [], 0
         if size:
-            yield blocks(ids, keys)
+            yield blocks(ids, keys, at)
 
-    return sketches.mapInArrow(run, "part int, keys array<int>, ids array<bigint>")
+    return sketches.select("id", "keys", *(["n", "places"] if placed else [])).mapInArrow(run, "part int, keys array<int>, ids array<bigint>, at array<smallint>")
+
+
+class Few:
+    """Lines of keys that have no more than ``FEW``: ``add`` gives the pairs of them that may meet, and the rows of keys that have more.
+
+    What is remembered is at most so many rows a key.
+    """
+
+    def __init__(self, few: int):
+        self.few = few
+        self.keys, self.ids, self.at = np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int16)
+        #: Keys that have had more; their rows are not remembered.
+        self.full = np.empty(0, np.uint64)
+
+    @staticmethod
+    def _runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        begin = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[: len(keys)])
+        return begin, np.diff(np.append(begin, len(keys)))
+
+    def add(self, keys: np.ndarray, ids: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Both lines of pairs, then keys and lines of rows of full keys."""
+        if not self.few:
+            return ids[:0], ids[:0], keys, ids
+        old = np.append(np.ones(len(self.keys), bool), np.zeros(len(keys), bool))
+        keys, ids, at = np.concatenate((self.keys, keys)), np.concatenate((self.ids, ids)), np.concatenate((self.at, at))
+        order = np.argsort(keys, kind="stable")
+        keys, ids, at, old = keys[order], ids[order], at[order], old[order]
+        begin, n = self._runs(keys)
+        if (n > self.few).any():
+            # Equal lines of several tasks count once, the one that came first.
+            many = np.flatnonzero(np.repeat(n > self.few, n))
+            many = many[np.lexsort((ids[many], keys[many]))]
+            again = many[1:][(keys[many[1:]] == keys[many[:-1]]) & (ids[many[1:]] == ids[many[:-1]])]
+            keys, ids, at, old = (np.delete(v, again) for v in (keys, ids, at, old))
+            begin, n = self._runs(keys)
+        known = np.searchsorted(self.full, keys[begin])
+        known = self.full[np.minimum(known, len(self.full) - 1)] == keys[begin] if len(self.full) else np.zeros(len(begin), bool)
+        over = (n > self.few) | known
+        self.full = np.union1d(self.full, keys[begin][over])
+        gone = np.repeat(over, n)
+        rows = keys[gone], ids[gone]
+        keys, ids, at, old = keys[~gone], ids[~gone], at[~gone], old[~gone]
+        nth = np.arange(len(keys)) - np.repeat(np.cumsum(n[~over]) - n[~over], n[~over])
+        a, b = [ids[:0]], [ids[:0]]
+        last = np.flatnonzero((nth > 0) & ~old)
+        for back in range(1, self.few):
+            last = last[nth[last] >= back]
+            if not len(last):
+                break
+            other = last - back
+            met = may_meet(at[last], at[other]) & (ids[last] != ids[other])
+            x, y = ids[last[met]], ids[other[met]]
+            a.append(np.maximum(x, y))
+            b.append(np.minimum(x, y))
+        self.keys, self.ids, self.at = keys, ids, at
+        return np.concatenate(a), np.concatenate(b), *rows
 
 
 class Shared:
@@ -368,51 +514,58 @@ class Shared:
         return ids[new], keys[new].view(np.int64), self.n[owner[new]], centre[new]
 
 
-def _met(dealt: DataFrame, held: int) -> DataFrame:
-    """(id, key, n, centre): ``Shared`` rows of each part."""
+def _met(dealt: DataFrame, held: int, few: int) -> DataFrame:
+    """(id, key, n, centre): pairs of ``Few``, without a key, and ``Shared`` rows of the other keys of each part."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, keys, ids, size = Shared(), [], [], 0
+        scarce, known, keys, ids, at, size = Few(few), Shared(), [], [], [], 0
 
         def found():
-            rows = known.add(np.concatenate(keys), np.concatenate(ids))
-            return pa.RecordBatch.from_arrays([pa.array(r) for r in rows], names=["id", "key", "n", "centre"])
+            a, b, *rest = scarce.add(np.concatenate(keys), np.concatenate(ids), np.concatenate(at))
+            both = np.unique(np.stack((a, b), axis=1), axis=0) if len(a) else np.empty((0, 2), np.int64)
+            one = np.ones(len(both), np.int64)
+            rows = known.add(*rest)
+            nokey = pa.nulls(len(both), pa.int64())
+            columns = zip((both[:, 0], nokey, one, both[:, 1]), rows, strict=True)
+            return pa.RecordBatch.from_arrays([pa.concat_arrays([pa.array(x, pa.int64()), pa.array(y, pa.int64())]) for x, y in columns], names=["id", "key", "n", "centre"])
 
         for batch in batches:
-            parts, lists, lines_ = batch.columns
+            parts, lists, lines_, places = batch.columns
             part = np.repeat(parts.to_numpy(zero_copy_only=False), np.diff(lists.offsets.to_numpy())).astype(np.uint64)
             keys.append(part << np.uint64(32) | lists.flatten().to_numpy(zero_copy_only=False).view(np.uint32))
             ids.append(lines_.flatten().to_numpy(zero_copy_only=False))
+            at.append(places.flatten().to_numpy(zero_copy_only=False))
             size += len(part)
             if size >= held:
                 yield found()
-                keys, ids, size = [], [], 0
+                keys, ids, at, size = [], [], [], 0
         if size:
             yield found()
 
     return dealt.mapInArrow(run, "id bigint, key bigint, n bigint, centre bigint")
 
 
-def shared_keys(sketches: DataFrame, parts: int = PARTS, held: int = HELD) -> DataFrame:
-    """(id, key, n, centre) of the lines of ``sketches`` (id, keys) whose key other lines have too, each once.
+def shared_keys(sketches: DataFrame, parts: int = PARTS, held: int = HELD, few: int = 0) -> DataFrame:
+    """(id, key, n, centre) of the lines of ``sketches`` (id, keys, n and places or neither) whose key more than ``few`` other lines have too, each once.
 
     As ``shared_buckets``, but that keys travel in blocks, all are shuffled once and sorted by the task they come to,
-    the centre is any line of the key and n is how many it had as the line came.
+    the centre is any line of the key and n is how many it had as the line came. Of keys with no more than ``few`` rows
+    come the pairs (id, centre) that may meet, without a key.
     """
-    met = _met(_dealt(sketches, parts, held).repartition("part"), held)
-    return met.groupBy("id", "key").agg(F.max("n").alias("n"), F.min("centre").alias("centre"))
+    met = _met(_dealt(sketches, parts, held).repartition("part"), held, few)
+    # A pair comes from one key or many, a row of a key from its part alone.
+    other = F.when(F.col("key").isNull(), F.col("centre"))
+    return met.groupBy("id", "key", other.alias("other")).agg(F.max("n").alias("n"), F.min("centre").alias("centre")).drop("other")
 
 
-def _normalised(joined: DataFrame, dictionary: bytes) -> DataFrame:
+def _normalised(joined: DataFrame) -> DataFrame:
     """(id, payload): wanted lines, normalised."""
 
     def start():
-        unpack = zipper(dictionary)[1]
-
-        def step(zs, wanted):
+        def step(texts, wanted):
             out = [[], []]
-            for z, rows in zip(zs, wanted, strict=True):
-                parts = unpack(z).decode("utf-8", "surrogatepass").split("\n")
+            for text, rows in zip(texts, wanted, strict=True):
+                parts = text.split("\n")
                 for r in rows:
                     out[0].append(r["id"])
                     out[1].append(normalise(parts[r["line"]]))
@@ -420,7 +573,7 @@ def _normalised(joined: DataFrame, dictionary: bytes) -> DataFrame:
 
         return step
 
-    return map_batches(joined, ["z", "wanted"], "id bigint, payload binary", start)
+    return map_batches(joined, ["text", "wanted"], "id bigint, payload binary", start)
 
 
 def _verified(pairs: DataFrame) -> DataFrame:
@@ -439,32 +592,37 @@ def _verified(pairs: DataFrame) -> DataFrame:
     return map_batches(pairs, ["a", "b", "x", "y"], "a bigint, b bigint", start)
 
 
-def repeated_lines(docs: DataFrame, dictionary: bytes) -> DataFrame:
+def repeated_lines(docs: DataFrame) -> DataFrame:
     """(doc_id, gone): the lines of each document that are not the first of their group, by number."""
     spark, mark = docs.sparkSession, written()
     sketched = cut(lines(docs))
     many = sketched.agg(F.sum(F.size("keys"))).first()[0] or 0
-    found = cut(sketched.withColumn("own", F.size("keys") > 0).drop("keys"))
-    shared = cut(shared_keys(sketched.where(F.size("keys") > 0).select("id", "keys"), max(PARTS, many // PART_KEYS)))
+    keyed = sketched.where(F.size("keys") > 0).select("id", "keys", "n", "places")
+    shared = cut(shared_keys(keyed, max(PARTS, many // PART_KEYS), few=FEW))
+    found = cut(sketched.withColumn("own", F.size("keys") > 0).drop("keys", "places"))
     drop_written(spark, mark, keep=2)
     # The smallest place stands for all equal lines.
-    sims = (F.max(F.when(F.col("own"), F.col(c))).alias(c) for c in ("d", *_SIMS))
+    sims = (F.max(F.when(F.col("own"), F.col(c))).alias(c) for c in ("d", "s", *_ODD, "wide"))
     distinct = cut(found.groupBy("id").agg(F.min("n").alias("n"), *sims, F.min(F.struct("doc_id", "line")).alias("at")))
 
     def likely(a, b):
-        longer = F.greatest(f"{a}n", f"{b}n")
-        apart = F.abs(F.col(f"{a}n") - F.col(f"{b}n")) <= F.floor((1 - SIMILARITY) * longer + 1e-9)
-        bits = [F.bit_count(F.col(f"{a}{c}").bitwiseXOR(F.col(f"{b}{c}"))) for c in _SIMS]
+        bits = lambda c: F.bit_count(F.col(f"{a}{c}").bitwiseXOR(F.col(f"{b}{c}")))
+        longer, apart = F.greatest(f"{a}n", f"{b}n"), F.abs(F.col(f"{a}n") - F.col(f"{b}n"))
+        most = F.floor((1 - SIMILARITY) * longer + 1e-9)
         cosine = least_cosine(longer, F.greatest(f"{a}d", f"{b}d"))
-        first = bits[0] <= F.greatest(F.lit(DISTANCE), most_bits(cosine, 1, SLACK_ONE))
-        return apart & first & (sum(bits[1:], bits[0]) <= most_bits(cosine, SIMHASHES, SLACK))
+        close = bits("s") <= F.greatest(F.lit(DISTANCE), most_bits(cosine))
+        # A word put in place of another turns two parities, a word more or less just one.
+        turned = 2 * most - apart
+        wide = F.zip_with(f"{a}wide", f"{b}wide", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+        both = F.least(f"{a}n", f"{b}n") >= LONG
+        wide = ~both | (F.aggregate(wide, F.lit(0), lambda n, x: n + x) <= turned)
+        return (apart <= most) & (sum(map(bits, _ODD[1:]), bits(_ODD[0])) <= turned) & close & wide
 
     def fetch(ids):
         places = ids.join(distinct, "id").groupBy("at.doc_id").agg(F.collect_list(F.struct("id", "at.line")).alias("wanted"))
-        wanted = docs.join(places.select("doc_id"), "doc_id", "left_semi")
-        return _normalised(zipped(wanted, dictionary).join(places, "doc_id"), dictionary)
+        return _normalised(docs.select("doc_id", "text").join(places, "doc_id"))
 
-    comps = link_groups(distinct.select("id", "n", "d", *_SIMS), shared, likely, None, fetch, _verified)
+    comps = link_groups(distinct.select("id", "n", "d", "s", *_ODD, "wide"), shared, likely, None, fetch, _verified)
     grouped = found.join(comps.withColumnRenamed("node", "id"), "id", "left").select("doc_id", "line", F.coalesce("comp", "id").alias("comp"))
     firsts = grouped.groupBy("comp").agg(F.min(F.struct("doc_id", "line")).alias("first"), F.count("*").alias("n")).where("n > 1")
     gone = grouped.join(firsts, "comp").where(F.col("first") != F.struct("doc_id", "line"))
@@ -493,7 +651,7 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     may be of any length.
     """
     docs = one_per_id(docs)
-    rows = _with_lines_left(docs, repeated_lines(docs, text_dictionary(docs)))
+    rows = _with_lines_left(docs, repeated_lines(docs))
     n_lines = F.coalesce(F.length("text") - F.length(F.replace("text", F.lit("\n"))) + 1, F.lit(0)).cast("long")
     n_removed = F.coalesce(F.when(F.col("_tidewater_gone").isNotNull(), F.size("_tidewater_gone")), F.lit(0)).cast("long")
     return rows.select("doc_id", n_lines.alias("n_lines"), n_removed.alias("n_removed"), F.col("_tidewater_text").alias("text"))
@@ -506,7 +664,7 @@ def cleaned(docs: DataFrame) -> DataFrame:
     repeat a doc_id the one with the smallest text stays.
     """
     docs = first_rows(docs)
-    rows = _with_lines_left(docs, repeated_lines(docs.select("doc_id", "text"), text_dictionary(docs)))
+    rows = _with_lines_left(docs, repeated_lines(docs.select("doc_id", "text")))
     lost = F.col("_tidewater_gone").isNotNull()
     rows = rows.where(~lost | F.col("_tidewater_text").rlike(r"[^\x20\x09-\x0D]"))
     new = {"text": F.col("_tidewater_text")}
