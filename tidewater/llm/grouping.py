@@ -70,6 +70,25 @@ def _paired(rows: DataFrame) -> DataFrame:
     return rows.withColumn("meet", F.explode(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), place))).drop("blocks")
 
 
+def _joined(rows: DataFrame, likely: Callable[[str, str], Column], first: Callable[[str, str], Column] | None) -> DataFrame:
+    """The likely pairs (a, b) of ``rows`` (key, meet, block, id, comp and the columns of nodes) that meet and are of two groups."""
+    left = rows.select(*(F.col(c).alias(f"l_{c}") for c in rows.columns))
+    right = rows.select(*(F.col(c).alias(f"r_{c}") for c in rows.columns))
+    # Two rows of one block share every meet of that block: only (i, i) counts.
+    once = (F.col("l_block") != F.col("r_block")) | (F.col("l_meet.i") == F.col("l_meet.j"))
+    pairs = left.join(
+        right,
+        (F.col("l_key") == F.col("r_key"))
+        & (F.col("l_meet") == F.col("r_meet"))
+        & (F.col("l_id") < F.col("r_id"))
+        & (F.col("l_comp") != F.col("r_comp"))
+        & once
+        & (first("l_", "r_") if first else F.lit(True))
+        & likely("l_", "r_"),
+    )
+    return pairs.select(F.col("l_id").alias("a"), F.col("r_id").alias("b"))
+
+
 def link_groups(
     nodes: DataFrame,
     shared: DataFrame,
@@ -77,6 +96,8 @@ def link_groups(
     first: Callable[[str, str], Column] | None,
     fetch: Callable[[DataFrame], DataFrame],
     verify: Callable[[DataFrame], DataFrame],
+    mark: Callable[[DataFrame], DataFrame] | None = None,
+    meet: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """(node, comp) of all nodes that some link touches.
 
@@ -88,6 +109,9 @@ def link_groups(
     share, given also ``l_key``; it keeps a pair from being compared once per bucket; without it pairs
     are made distinct. ``fetch`` gives (id, payload) for the ids (id) that can be compared at all;
     ``verify`` keeps the true links (a, b) of pairs (a, b, x, y), x and y being the payloads.
+    ``meet`` takes the place of the join that pairs a bucket's members and of ``first`` there: of rows of key, i, j, block, comp and
+    the columns of nodes and ``shared`` it gives the likely pairs (a, b) of those that agree in (key, i, j), of two groups, and of two
+    blocks where i <> j. ``mark`` adds columns to the members of buckets before that; they come dealt out by id.
     """
     spark = nodes.sparkSession
     ids = shared.select("id").union(shared.where("key is null").select("centre")).distinct()
@@ -101,43 +125,32 @@ def link_groups(
     copies = copies.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
     members = star.join(left, star["id"] == F.col("l_id")).withColumn("_s", F.pmod(F.xxhash64("id"), salts).cast("int"))
     star = members.join(copies, (F.col("centre") == F.col("_c")) & (F.col("_s") == F.col("_salt"))).where(likely("l_", "r_"))
-    mark = written()
+    begin = written()
     star = cut(star.select(F.col("l_id").alias("a"), F.col("r_id").alias("b")))
 
     def verified(pairs: DataFrame) -> DataFrame:
         ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-        mark = written()
+        begin = written()
         payload = cut(fetch(ids))
         pairs = pairs.join(payload.select(F.col("id").alias("a"), F.col("payload").alias("x")), "a")
         links = cut(verify(pairs.join(payload.select(F.col("id").alias("b"), F.col("payload").alias("y")), "b")))
-        drop_written(spark, mark, keep=1)
+        drop_written(spark, begin, keep=1)
         return links
 
     comps = cut(connected_components(verified(star)))
-    drop_written(spark, mark, keep=1)
+    drop_written(spark, begin, keep=1)
 
     grouped = shared.where("key is not null").drop("n", "centre").join(comps.withColumnRenamed("node", "id"), "id", "left")
     grouped = grouped.withColumn("comp", F.coalesce("comp", "id"))
     mixed = grouped.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("key")
-    mark = written()
-    open_rows = cut(_paired(grouped.join(mixed, "key")).join(nodes, "id"))
-    left = open_rows.select(*(F.col(c).alias(f"l_{c}") for c in open_rows.columns))
-    right = open_rows.select(*(F.col(c).alias(f"r_{c}") for c in open_rows.columns))
-    # Two rows of one block share every meet of that block: only (i, i) counts.
-    once = (F.col("l_block") != F.col("r_block")) | (F.col("l_meet.i") == F.col("l_meet.j"))
-    pairs = left.join(
-        right,
-        (F.col("l_key") == F.col("r_key"))
-        & (F.col("l_meet") == F.col("r_meet"))
-        & (F.col("l_id") < F.col("r_id"))
-        & (F.col("l_comp") != F.col("r_comp"))
-        & once
-        & (first("l_", "r_") if first else F.lit(True))
-        & likely("l_", "r_"),
-    )
-    pairs = pairs.select(F.col("l_id").alias("a"), F.col("r_id").alias("b"))
+    begin = written()
+    open_rows = _paired((mark(grouped) if mark else grouped).join(mixed, "key")).join(nodes, "id")
+    if meet:
+        pairs = meet(open_rows.select("*", "meet.i", "meet.j").drop("meet"))
+    else:
+        pairs = _joined(cut(open_rows), likely, first)
     pairs = cut(pairs if first else pairs.distinct())
-    drop_written(spark, mark, keep=1)
+    drop_written(spark, begin, keep=1)
     more = verified(pairs)
     # The groups found so far stand for their members.
     seen = comps.select(F.col("node").alias("a"), F.col("comp").alias("b"))

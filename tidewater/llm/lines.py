@@ -23,7 +23,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewater.llm.common import cut, drop_written, first_rows, map_batches, one_per_id, sampled_texts, written
@@ -446,8 +447,12 @@ class Few:
 
     def add(self, keys: np.ndarray, ids: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
         """Both lines of pairs, then keys and lines of rows of full keys."""
+        return self.sorted_out(keys, ids, at)[:4]
+
+    def sorted_out(self, keys: np.ndarray, ids: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
+        """As ``add``, and where the rows of full keys have them."""
         if not self.few:
-            return ids[:0], ids[:0], keys, ids
+            return ids[:0], ids[:0], keys, ids, at
         old = np.append(np.ones(len(self.keys), bool), np.zeros(len(keys), bool))
         keys, ids, at = np.concatenate((self.keys, keys)), np.concatenate((self.ids, ids)), np.concatenate((self.at, at))
         order = np.argsort(keys, kind="stable")
@@ -465,7 +470,7 @@ class Few:
         over = (n > self.few) | known
         self.full = np.union1d(self.full, keys[begin][over])
         gone = np.repeat(over, n)
-        rows = keys[gone], ids[gone]
+        rows = keys[gone], ids[gone], at[gone]
         keys, ids, at, old = keys[~gone], ids[~gone], at[~gone], old[~gone]
         nth = np.arange(len(keys)) - np.repeat(np.cumsum(n[~over]) - n[~over], n[~over])
         a, b = [ids[:0]], [ids[:0]]
@@ -491,16 +496,17 @@ class Shared:
     """
 
     def __init__(self):
-        self.keys, self.ids = np.empty(0, np.uint64), np.empty(0, np.int64)
+        self.keys, self.ids, self.at = np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int16)
         #: Lines of each key so far; those that came twice count twice.
         self.n = np.empty(0, np.int64)
 
-    def add(self, keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, ...]:
-        """(id, key, n, centre) of lines whose key others have too; n is the number of the key's lines so far. A line may come again."""
+    def add(self, keys: np.ndarray, ids: np.ndarray, at: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
+        """(id, key, n, centre) of lines whose key others have too, and ``at`` if given; n is the number of the key's lines so far. A line may come again."""
         times = np.concatenate((self.n, np.ones(len(keys), np.int64)))
+        places = np.concatenate((self.at, np.zeros(len(keys), np.int16) if at is None else at))
         keys, ids = np.concatenate((self.keys, keys)), np.concatenate((self.ids, ids))
         order = np.argsort(keys, kind="stable")  # a centre comes before new lines
-        keys, ids, times = keys[order], ids[order], times[order]
+        keys, ids, times, places = keys[order], ids[order], times[order], places[order]
         first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[: len(keys)])
         owner = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(keys))))
         centre = ids[first][owner]
@@ -510,24 +516,25 @@ class Shared:
         new = other.copy()
         new[first] = shared & (times[first] == 1)
         times[~other & (np.arange(len(keys)) != first[owner])] = 0
-        self.keys, self.ids, self.n = keys[first], ids[first], np.add.reduceat(times, first) if len(first) else times
-        return ids[new], keys[new].view(np.int64), self.n[owner[new]], centre[new]
+        self.keys, self.ids, self.at, self.n = keys[first], ids[first], places[first], np.add.reduceat(times, first) if len(first) else times
+        found = ids[new], keys[new].view(np.int64), self.n[owner[new]], centre[new]
+        return found if at is None else (*found, places[new])
 
 
 def _met(dealt: DataFrame, held: int, few: int) -> DataFrame:
-    """(id, key, n, centre): pairs of ``Few``, without a key, and ``Shared`` rows of the other keys of each part."""
+    """(id, key, n, centre, at): pairs of ``Few``, without key and place, and ``Shared`` rows of the other keys of each part."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scarce, known, keys, ids, at, size = Few(few), Shared(), [], [], [], 0
 
         def found():
-            a, b, *rest = scarce.add(np.concatenate(keys), np.concatenate(ids), np.concatenate(at))
+            a, b, *rest = scarce.sorted_out(np.concatenate(keys), np.concatenate(ids), np.concatenate(at))
             both = np.unique(np.stack((a, b), axis=1), axis=0) if len(a) else np.empty((0, 2), np.int64)
             one = np.ones(len(both), np.int64)
             rows = known.add(*rest)
-            nokey = pa.nulls(len(both), pa.int64())
-            columns = zip((both[:, 0], nokey, one, both[:, 1]), rows, strict=True)
-            return pa.RecordBatch.from_arrays([pa.concat_arrays([pa.array(x, pa.int64()), pa.array(y, pa.int64())]) for x, y in columns], names=["id", "key", "n", "centre"])
+            nokey, nowhere = (pa.nulls(len(both), kind) for kind in (pa.int64(), pa.int16()))
+            columns = zip((both[:, 0], nokey, one, both[:, 1], nowhere), rows, [*[pa.int64()] * 4, pa.int16()], strict=True)
+            return pa.RecordBatch.from_arrays([pa.concat_arrays([pa.array(x, kind), pa.array(y, kind)]) for x, y, kind in columns], names=["id", "key", "n", "centre", "at"])
 
         for batch in batches:
             parts, lists, lines_, places = batch.columns
@@ -542,11 +549,11 @@ def _met(dealt: DataFrame, held: int, few: int) -> DataFrame:
         if size:
             yield found()
 
-    return dealt.mapInArrow(run, "id bigint, key bigint, n bigint, centre bigint")
+    return dealt.mapInArrow(run, "id bigint, key bigint, n bigint, centre bigint, at smallint")
 
 
 def shared_keys(sketches: DataFrame, parts: int = PARTS, held: int = HELD, few: int = 0) -> DataFrame:
-    """(id, key, n, centre) of the lines of ``sketches`` (id, keys, n and places or neither) whose key more than ``few`` other lines have too, each once.
+    """(id, key, n, centre, at) of the lines of ``sketches`` (id, keys, n and places or neither) whose key more than ``few`` other lines have too, each once.
 
     As ``shared_buckets``, but that keys travel in blocks, all are shuffled once and sorted by the task they come to,
     the centre is any line of the key and n is how many it had as the line came. Of keys with no more than ``few`` rows
@@ -555,7 +562,129 @@ def shared_keys(sketches: DataFrame, parts: int = PARTS, held: int = HELD, few:
     met = _met(_dealt(sketches, parts, held).repartition("part"), held, few)
     # A pair comes from one key or many, a row of a key from its part alone.
     other = F.when(F.col("key").isNull(), F.col("centre"))
-    return met.groupBy("id", "key", other.alias("other")).agg(F.max("n").alias("n"), F.min("centre").alias("centre")).drop("other")
+    return met.groupBy("id", "key", other.alias("other")).agg(F.max("n").alias("n"), F.min("centre").alias("centre"), F.max("at").alias("at")).drop("other")
+
+
+def with_previous(rows: DataFrame) -> DataFrame:
+    """``rows`` (id, key, at) with ``previous``: the key of the pair of words one place before, where that is among the line's rows too.
+
+    Lines that have both their keys and those before in common meet by those before already, as far apart as here.
+    """
+    place = F.col("at").bitwiseAND(ANYWHERE)
+    by = Window.partitionBy("id").orderBy("place")
+    rows = rows.withColumn("place", place)
+    before = (F.lag("place").over(by) == F.col("place") - 1) & (F.col("place") < ANYWHERE)
+    return rows.withColumn("previous", F.when(before, F.lag("key").over(by))).drop("place")
+
+
+#: Rows of large keys that are paired at once, and pairs that are sifted at once.
+PAIRED, SIFTED = 1 << 16, 1 << 20
+
+
+def sift(x: dict[str, np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether the rows ``a`` and ``b`` of ``x`` (n, d, s, odd, wide) may be linked: as ``likely`` in ``repeated_lines``."""
+    n, m = x["n"][a], x["n"][b]
+    longer = np.maximum(n, m)
+    most = _edits(longer)
+    apart = np.abs(n - m)
+    turned = 2 * most - apart
+    bits = lambda name, p, q: np.bitwise_count((x[name][p] ^ x[name][q]).view(np.uint64)).sum(axis=1, dtype=np.int64)
+    good = np.flatnonzero((apart <= most) & (bits("odd", a, b) <= turned))
+    a, b, turned, most = a[good], b[good], turned[good], most[good]
+    cosine = np.maximum(0.0, 1 - 2 * most / np.maximum(x["d"][a], x["d"][b]))
+    close = bits("s", a, b) <= np.maximum(DISTANCE, np.arccos(cosine) * (64 / math.pi) + SLACK)
+    long = np.flatnonzero((x["n"][a] >= LONG) & (x["n"][b] >= LONG) & close)
+    close[long] = bits("wide", a[long], b[long]) <= turned[long]
+    return good[close]
+
+
+def pairs_within(group: np.ndarray, x: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of the likely pairs of rows of one ``group``; groups come in order, ``x`` as ``sift`` and ``_met_by_key`` have it.
+
+    A group's rows are sorted by length, so that each is held only against those that aren't too short for it.
+    """
+    order = np.lexsort((x["n"], group))
+    group, x = group[order], {name: v[order] for name, v in x.items()}
+    begin = np.flatnonzero(np.append(True, group[1:] != group[:-1])[: len(group)])
+    many = np.diff(np.append(begin, len(group)))
+    nth = np.arange(len(group)) - np.repeat(begin, many)
+    n, at, comp, alone, previous = (x[c] for c in ("n", "at", "comp", "alone", "previous"))
+    least = n - _edits(n)
+    a, b, found, held = [], [], [np.empty((0, 2), np.int64)], 0
+
+    def sifted():
+        p, q = np.concatenate(a), np.concatenate(b)
+        good = sift(x, p, q)
+        p, q = x["id"][p[good]], x["id"][q[good]]
+        found.append(np.unique(np.stack((np.minimum(p, q), np.maximum(p, q)), axis=1), axis=0))
+
+    last, back = np.arange(len(group)), 0
+    while len(last):
+        back += 1
+        last = last[nth[last] >= back]
+        last = last[n[last - back] >= least[last]]
+        other = last - back
+        met = (comp[last] != comp[other]) & (alone[last] | (x["block"][last] != x["block"][other]))
+        met &= (previous[last] != previous[other]) | (previous[last] == NO_KEY)
+        p = last[met]
+        p = p[may_meet(at[p], at[p - back])]
+        if len(p):
+            a.append(p)
+            b.append(p - back)
+            held += len(p)
+        if held >= SIFTED:
+            sifted()
+            a, b, held = [], [], 0
+    if held:
+        sifted()
+    both = np.unique(np.concatenate(found), axis=0)
+    return both[:, 0], both[:, 1]
+
+
+#: Stands for no previous key; keys have no sign.
+NO_KEY = -1
+
+
+def _met_by_key(rows: DataFrame) -> DataFrame:
+    """(a, b): the likely pairs of two groups among the members of large keys that meet (``link_groups``), where no pair of words before makes them meet."""
+    plain = ["id", "comp", "block", "at", "n", "d"]
+    rows = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    rows = rows.select("key", "i", "j", *plain, F.coalesce("previous", F.lit(NO_KEY)).alias("previous"), "s", *_ODD, "wide")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def found(table: pa.Table):
+            c = {name: table[name].combine_chunks() for name in table.column_names}
+            whole = lambda name: c[name].to_numpy(zero_copy_only=False)
+            key, i, j = whole("key"), whole("i"), whole("j")
+            new = np.append(True, (key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1]))
+            wide = np.zeros((len(key), WIDE), np.int64)
+            wide[pc.list_value_length(c["wide"]).fill_null(0).to_numpy() > 0] = c["wide"].flatten().to_numpy(zero_copy_only=False).reshape(-1, WIDE)
+            x = {name: whole(name) for name in (*plain, "previous")}
+            x |= {"n": x["n"].astype(np.int64), "alone": i == j, "s": whole("s")[:, None], "odd": np.stack([whole(o) for o in _ODD], axis=1), "wide": wide}
+            a, b = pairs_within(np.cumsum(new), x)
+            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+        held: list[pa.RecordBatch] = []
+        size = 0
+        for batch in batches:
+            held.append(batch)
+            size += batch.num_rows
+            if size >= PAIRED:
+                table = pa.Table.from_batches(held)
+                # The last key's rows may go on.
+                same = np.ones(size, bool)
+                for name in ("key", "i", "j"):
+                    v = table[name].to_numpy()
+                    same &= v == v[-1]
+                begin = int(np.argmax(same))
+                if begin:
+                    yield found(table.slice(0, begin))
+                held = table.slice(begin).to_batches()
+                size -= begin
+        if size:
+            yield found(pa.Table.from_batches(held))
+
+    return rows.mapInArrow(run, "a bigint, b bigint")
 
 
 def _normalised(joined: DataFrame) -> DataFrame:
@@ -622,7 +751,7 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
         places = ids.join(distinct, "id").groupBy("at.doc_id").agg(F.collect_list(F.struct("id", "at.line")).alias("wanted"))
         return _normalised(docs.select("doc_id", "text").join(places, "doc_id"))
 
-    comps = link_groups(distinct.select("id", "n", "d", "s", *_ODD, "wide"), shared, likely, None, fetch, _verified)
+    comps = link_groups(distinct.select("id", "n", "d", "s", *_ODD, "wide"), shared, likely, None, fetch, _verified, with_previous, _met_by_key)
     grouped = found.join(comps.withColumnRenamed("node", "id"), "id", "left").select("doc_id", "line", F.coalesce("comp", "id").alias("comp"))
     firsts = grouped.groupBy("comp").agg(F.min(F.struct("doc_id", "line")).alias("first"), F.count("*").alias("n")).where("n > 1")
     gone = grouped.join(firsts, "comp").where(F.col("first") != F.struct("doc_id", "line"))
