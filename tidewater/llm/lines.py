@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import cut, drop_written, first_rows, map_batches, one_per_id, sampled_texts, written
+from tidewater.llm.common import cut, drop_written, first_rows, map_batches, one_per_id, sampled_texts, small_batches, written
 from tidewater.llm.grouping import link_groups
 from tidewater.llm.words import located_hashes, mix, signed
 
@@ -705,20 +705,51 @@ def _normalised(joined: DataFrame) -> DataFrame:
     return map_batches(joined, ["text", "wanted"], "id bigint, payload binary", start)
 
 
+#: Pairs, and bytes of them, that are compared at once: lines of about one length share the steps of a table.
+COMPARED, COMPARED_BYTES = 8192, 1 << 23
+
+
 def _verified(pairs: DataFrame) -> DataFrame:
-    def start():
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def hashes(texts):
             starts, words = located_hashes(b"\n".join(texts))
             lengths = np.cumsum([0] + [len(t) + 1 for t in texts])
             return np.split(words, np.searchsorted(starts, lengths[1:-1]))
 
-        def step(a, b, x, y):
-            good = np.flatnonzero(similar_pairs(hashes(x), hashes(y)))
-            return np.array(a, np.int64)[good], np.array(b, np.int64)[good]
+        def linked(held):
+            a, b, x, y = pa.Table.from_batches(held).columns
+            good = pa.array(np.flatnonzero(similar_pairs(hashes(x.to_pylist()), hashes(y.to_pylist()))))
+            return pa.RecordBatch.from_arrays([c.combine_chunks().take(good) for c in (a, b)], names=["a", "b"])
+
+        held: list[pa.RecordBatch] = []
+        rows = size = 0
+        for batch in batches:
+            if batch.num_rows:
+                held.append(batch)
+                rows, size = rows + batch.num_rows, size + batch.nbytes
+            if rows >= COMPARED or size >= COMPARED_BYTES:
+                yield linked(held)
+                held, rows, size = [], 0, 0
+        if held:
+            yield linked(held)
+
+    small_batches(pairs.sparkSession)
+    return pairs.select("a", "b", "x", "y").mapInArrow(run, "a bigint, b bigint")
+
+
+#: Bits that documents are set in before their texts are shuffled, 64 a row of a table that is broadcast.
+MARKS = 1 << 22
 
-        return step
 
-    return map_batches(pairs, ["a", "b", "x", "y"], "a bigint, b bigint", start)
+def _marked(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """``docs`` without most of those whose doc_id isn't among ``ids``: the rest share a bit with one that is. However many there are, the bits are as many."""
+    bit = F.pmod(F.xxhash64("doc_id"), F.lit(MARKS))
+    row, place = F.shiftright(bit, 6), bit.bitwiseAND(63).cast("int")
+    marks = ids.select(row.alias("_row"), place.alias("_place")).withColumn("_bit", F.expr("shiftleft(1L, _place)"))
+    marks = marks.groupBy("_row").agg(F.bit_or("_bit").alias("_bits"))
+    rows = docs.withColumns({"_mark_row": row, "_mark": place})
+    met = (F.col("_mark_row") == F.col("_row")) & (F.expr("shiftrightunsigned(_bits, _mark) & 1") == 1)
+    return rows.join(F.broadcast(marks), met, "left_semi").drop("_mark_row", "_mark")
 
 
 def repeated_lines(docs: DataFrame) -> DataFrame:
@@ -749,7 +780,8 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
 
     def fetch(ids):
         places = ids.join(distinct, "id").groupBy("at.doc_id").agg(F.collect_list(F.struct("id", "at.line")).alias("wanted"))
-        return _normalised(docs.select("doc_id", "text").join(places, "doc_id"))
+        places = cut(places)
+        return _normalised(_marked(docs.select("doc_id", "text"), places).join(places, "doc_id"))
 
     comps = link_groups(distinct.select("id", "n", "d", "s", *_ODD, "wide"), shared, likely, None, fetch, _verified, with_previous, _met_by_key)
     grouped = found.join(comps.withColumnRenamed("node", "id"), "id", "left").select("doc_id", "line", F.coalesce("comp", "id").alias("comp"))
