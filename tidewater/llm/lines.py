@@ -566,15 +566,16 @@ def shared_keys(sketches: DataFrame, parts: int = PARTS, held: int = HELD, few:
 
 
 def with_previous(rows: DataFrame) -> DataFrame:
-    """``rows`` (id, key, at) with ``previous``: the key of the pair of words one place before, where that is among the line's rows too.
+    """``rows`` (id, key, at) with ``previous``: of the line's rows the one before, as its key and how many words before it stands.
 
-    Lines that have both their keys and those before in common meet by those before already, as far apart as here.
+    Lines that have both their keys and those before in common, as far before, meet by those before already, as far apart as here.
     """
     place = F.col("at").bitwiseAND(ANYWHERE)
     by = Window.partitionBy("id").orderBy("place")
     rows = rows.withColumn("place", place)
-    before = (F.lag("place").over(by) == F.col("place") - 1) & (F.col("place") < ANYWHERE)
-    return rows.withColumn("previous", F.when(before, F.lag("key").over(by))).drop("place")
+    # Keys have KEY_BITS bits and some more, a distance eight.
+    before = F.lag("key").over(by) * (ANYWHERE + 1) + F.col("place") - F.lag("place").over(by)
+    return rows.withColumn("previous", F.when(F.col("place") < ANYWHERE, before)).drop("place")
 
 
 #: Rows of large keys that are paired at once, and pairs that are sifted at once.
